@@ -74,9 +74,10 @@ def row_hash(seed: int, keys: Sequence[str]) -> Column:
 
 
 def whole_row_hash(seed: int, columns: Sequence[str]) -> Column:
-    """As :func:`row_hash` over all columns, unambiguous for any content."""
-    row = F.struct(*[col(c) for c in columns])
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.to_json(row, {"ignoreNullFields": "false"})))
+    """As :func:`row_hash` over all columns, from 128 bits of their content."""
+    # the hash function skips nulls, so their places are part of the content
+    cells = [x for c in columns for x in (col(c).isNull(), col(c))]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.xxhash64(*cells), F.xxhash64(F.lit("second"), *cells)))
 
 
 def hash_uniform(seed: int, c: Column) -> Column:
@@ -85,6 +86,16 @@ def hash_uniform(seed: int, c: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(16**13))
 
 
+# relative standard error of approx_distinct
+DISTINCT_ERROR = 0.0082
+
+
+def approx_distinct(c: Column) -> Column:
+    """Estimated number of distinct non-null values of any type; almost exact for small numbers."""
+    hashed = F.when(c.isNotNull(), F.xxhash64(c))
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashed, 14)), F.lit(0))
+
+
 def rows_from_one(df: DataFrame, structs: Iterable[Column]) -> DataFrame:
     """Turn a one-row aggregate into one row per struct (long form)."""
     return df.select(F.inline(F.array(*structs)))

@@ -21,6 +21,7 @@ from tabloom.functions.columns import (
     strip,
     to_double,
 )
+from tabloom.functions.local import local_table
 from tabloom.operators.medians import medians
 from tabloom.sources.readers import infer_text_types
 
@@ -225,7 +226,8 @@ def _fill_by_class(df: DataFrame, columns: Sequence[str], by: str | None, rows:
     fields = [T.StructField("_class", df.schema[by].dataType)]
     fields += [T.StructField(f"_m{i}", T.DoubleType()) for i in range(len(columns))]
     # one row per class, at most MAX_CLASSES
-    table = df.sparkSession.createDataFrame(
+    table = local_table(
+        df.sparkSession,
         [(g, *[m[c] for c in columns]) for g, m in found.items()], T.StructType(fields)
     )
     joined = df.join(F.broadcast(table), col(by) == F.col("_class"), "left")

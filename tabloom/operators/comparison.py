@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tabloom import defaults as D
 from tabloom.functions.columns import (
+    approx_distinct,
     col,
     is_infinite,
     long_values,
@@ -20,6 +21,7 @@ from tabloom.functions.columns import (
     text_or_nan,
     to_double,
 )
+from tabloom.functions.local import local_table
 from tabloom.operators.profiling import common_numeric_columns
 
 REAL, SYNTHETIC = "real", "synthetic"
@@ -52,7 +54,8 @@ def numeric_drift(
             fields += [F.col(f"{side}_mean_{i}").alias(f"{side}_mean"), F.col(f"{side}_std_{i}").alias(f"{side}_std")]
         structs.append(F.struct(*fields))
     if not columns:
-        return real.sparkSession.createDataFrame(
+        return local_table(
+            real.sparkSession,
             [],
             "position int, variable string, real_mean double, real_std double, synthetic_mean double, "
             "synthetic_std double, rel_mean_diff double, std_rel_diff double, high_drift boolean",
@@ -114,11 +117,11 @@ def category_frequencies(
     wanted = [c for c in columns if c in plain or c in one_hot]
     spark = real.sparkSession
     if not wanted:
-        return spark.createDataFrame([], FREQUENCY_SCHEMA)
+        return local_table(spark, [], FREQUENCY_SCHEMA)
 
     n = {}
     for side, df, names in ((REAL, real, wanted), (SYNTHETIC, synthetic, plain)):
-        aggs = [F.approx_count_distinct(text_or_nan(col(c)), 0.02).alias(f"d{i}") for i, c in enumerate(names)]
+        aggs = [approx_distinct(text_or_nan(col(c))).alias(f"d{i}") for i, c in enumerate(names)]
         row = df.agg(F.count("*").alias("rows"), *aggs).first()
         n[side] = row["rows"]
         if max_categories is not None:
@@ -127,7 +130,7 @@ def category_frequencies(
             plain = [c for c in plain if c not in many]
     one_hot = [c for c in one_hot if c in wanted]
     if not wanted:
-        return spark.createDataFrame([], FREQUENCY_SCHEMA)
+        return local_table(spark, [], FREQUENCY_SCHEMA)
 
     cells = long_values(real, wanted, [F.lit(REAL).alias("_side")], text=True)
     if plain:
@@ -222,8 +225,9 @@ def comparison_table(
     skip_id_like: bool = True,
     drift_limit: float = D.NUMERIC_DRIFT,
     legacy_target_entries: bool = True,
+    frequencies: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per compared variable.
+    """One row per compared variable; ``frequencies`` may pass in those of the categorical columns.
 
     ``failed`` is what the score counts: a numeric variable by its relative mean
     difference, a categorical one by its largest difference over real
@@ -265,11 +269,14 @@ def comparison_table(
         )
 
     if categorical:
-        parts.append(categorical_part(categorical_drift(real, synthetic, categorical, max_categories=max_categories), categorical, len(numeric)))
+        if frequencies is None:
+            frequencies = category_frequencies(real, synthetic, categorical, max_categories)
+        parts.append(categorical_part(frequency_drift(frequencies), categorical, len(numeric)))
     if target is not None and synthetic_target is not None:
         at = len(numeric) + len(categorical)
         if legacy_target_entries:
-            entries = real.sparkSession.createDataFrame(
+            entries = local_table(
+                real.sparkSession,
                 [(at, "real_freq"), (at + 1, "synthetic_freq")], "position int, variable string"
             )
             parts.append(
@@ -436,7 +443,7 @@ def histograms(
         step = (hi - lo) / bins
         edges = [lo + b * step for b in range(bins)] + [hi]
         grid += [(c, b, (edges[b] + edges[b + 1]) / 2) for b in range(bins)]
-    table = real.sparkSession.createDataFrame(grid, "variable string, bin int, center double")
+    table = local_table(real.sparkSession, grid, "variable string, bin int, center double")
     if not cells:
         return table.withColumns({REAL: F.lit(0.0), SYNTHETIC: F.lit(0.0)})
     counts = (
@@ -500,7 +507,8 @@ def generated_statistics(original: DataFrame, synthetic: DataFrame) -> DataFrame
         synthetic.select(*[to_double(col(c)).alias(f"c{i}") for i, c in enumerate(names)]),
     )
     if not names:
-        return original.sparkSession.createDataFrame(
+        return local_table(
+            original.sparkSession,
             [], "variable string, original_mean double, synthetic_mean double, original_std double, synthetic_std double, mean_difference double"
         )
     aggs, structs = [], []

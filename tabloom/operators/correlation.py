@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.defaults import STRONG_CORRELATION, VERY_STRONG_CORRELATION
 from tabloom.functions.columns import col, numeric_columns, string_columns, to_double
+from tabloom.functions.local import local_table
 from tabloom.operators.encoding import LabelCodes, label_codes
 
 # sums per aggregate; wider tables take several passes
@@ -80,7 +81,7 @@ def correlation_matrix(
             if a in usable and b in usable:
                 r = 1.0 if a == b else _pearson(sums, a, b, full[a] and full[b])
             result.append((i, j, wanted[i], wanted[j], r))
-    return df.sparkSession.createDataFrame(result, MATRIX_SCHEMA)
+    return local_table(df.sparkSession, result, MATRIX_SCHEMA)
 
 
 def _pearson(sums: dict, i: int, j: int, complete: bool) -> float | None:

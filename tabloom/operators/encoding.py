@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tabloom.defaults import BROADCAST_BYTES, BROADCAST_VALUES, MAX_ONE_HOT
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import col, long_values, string_columns, text_or_nan
+from tabloom.functions.columns import approx_distinct, col, long_values, string_columns, text_or_nan
+from tabloom.functions.local import local_table
 from tabloom.operators.ranks import totals_before
 
 # values holding more than 1/HOT_SHARE of the rows; there are fewer than HOT_SHARE of them
@@ -30,7 +31,7 @@ class LabelCodes:
     def mapping(self, spark) -> DataFrame:
         """(column, value, code), long form."""
         data = [(c, v, i) for c, values in self.small.items() for i, v in enumerate(values)]
-        result = spark.createDataFrame(data, "column string, value string, code bigint")
+        result = local_table(spark, data, "column string, value string, code bigint")
         for c, table in self.large.items():
             result = result.unionAll(table.select(F.lit(c).alias("column"), "value", "code"))
         return result
@@ -39,7 +40,7 @@ class LabelCodes:
         """Replace the text columns by their codes (bigint)."""
         names = df.columns
         for i, (c, values) in enumerate(self.small.items()):
-            table = df.sparkSession.createDataFrame(list(zip(values, range(len(values)))), f"_v{i} string, _c{i} bigint")
+            table = local_table(df.sparkSession, list(zip(values, range(len(values)))), f"_v{i} string, _c{i} bigint")
             # checked: at most BROADCAST_VALUES rows and BROADCAST_BYTES bytes
             df = df.join(F.broadcast(table), text_or_nan(col(c)) == F.col(f"_v{i}"), "left")
             df = df.withColumn(c, F.col(f"_c{i}")).select(*[col(n) for n in names])
@@ -66,7 +67,7 @@ def label_codes(df: DataFrame, columns: Sequence[str] | None = None) -> LabelCod
     aggs = []
     for i, c in enumerate(names):
         aggs += [
-            F.approx_count_distinct(col(c), 0.02).alias(f"d{i}"),
+            approx_distinct(col(c)).alias(f"d{i}"),
             F.coalesce(F.max(F.octet_length(col(c))), F.lit(0)).alias(f"w{i}"),
         ]
     seen = df.agg(F.count("*").alias("rows"), *aggs).first()
@@ -102,7 +103,7 @@ def one_hot_values(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_H
     """Sorted non-null values per column; more than ``limit`` in one column is an error."""
     if not columns:
         return {}
-    screen = df.agg(*[F.approx_count_distinct(col(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    screen = df.agg(*[approx_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
     for i, c in enumerate(columns):
         if screen[f"d{i}"] > 1.2 * limit + 2:
             raise ValidationError(f"{c} has about {screen[f'd{i}']} values, more than {limit} one-hot columns")

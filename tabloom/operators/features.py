@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from tabloom.defaults import ID_NAME_PARTS
 from tabloom.functions.columns import col, string_columns
 from tabloom.operators.encoding import one_hot, one_hot_values
-from tabloom.operators.profiling import continuous_columns, id_like_columns
+from tabloom.operators.profiling import id_like_columns
 from tabloom.operators.scaling import StandardScaler, fit_standard
 
 
@@ -45,5 +45,5 @@ def prepare_features(
     wide = one_hot(df.select(*[col(c) for c in names], *[col(c) for c in kept]), categorical, values)
     columns = [c for c in wide.columns if c not in kept]
     wide = wide.select(*[col(c) for c in columns], *[col(c) for c in kept])
-    scaler = fit_standard(wide, continuous_columns(wide.select(*[col(c) for c in columns])))
+    scaler = fit_standard(wide.select(*[col(c) for c in columns]))
     return Features(scaler.transform(wide), columns, scaler, dropped, values)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabloom.defaults import MAX_CLASSES
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import col, long_values
+from tabloom.functions.local import local_table
 
 # up to this many cells the built-in exact median (a hash map per group) is used
 DIRECT_CELLS = 4_000_000
@@ -73,7 +74,8 @@ def _search(cells: DataFrame, columns: Sequence[str], by: str | None, final_valu
     lower: dict[tuple, float] = {}
 
     def inside(state: dict) -> DataFrame:
-        table = spark.createDataFrame(
+        table = local_table(
+            spark,
             [(g, c, s["low"], s["high"]) for (g, c), s in state.items()],
             f"group {group_type}, column string, low double, high double",
         )
@@ -86,7 +88,8 @@ def _search(cells: DataFrame, columns: Sequence[str], by: str | None, final_valu
         small = {k: s for k, s in open_cells.items() if s["inside"] <= final_values}
         if small:
             rest = inside(small).groupBy("group", "column").agg(F.sort_array(F.collect_list("value")).alias("v"))
-            ranks = spark.createDataFrame(
+            ranks = local_table(
+                spark,
                 [(g, c, s["rank"]) for (g, c), s in small.items()], f"group {group_type}, column string, rank int"
             )
             for r in rest.join(F.broadcast(ranks), ["group", "column"]).select(
@@ -106,7 +109,8 @@ def _search(cells: DataFrame, columns: Sequence[str], by: str | None, final_valu
             s = large[(r["group"], r["column"])]
             at = s["rank"] * GRID // s["inside"]
             edges[(r["group"], r["column"])] = (r["q"][max(0, at - 1)], r["q"][min(GRID, at + 2)])
-        table = spark.createDataFrame(
+        table = local_table(
+            spark,
             [(g, c, lo, hi) for (g, c), (lo, hi) in edges.items()], f"group {group_type}, column string, e1 double, e2 double"
         )
         parts = (
@@ -146,7 +150,8 @@ def _search(cells: DataFrame, columns: Sequence[str], by: str | None, final_valu
     upper = dict(lower)
     even = {k: v for k, v in lower.items() if n[k] % 2 == 0}
     if even:
-        table = spark.createDataFrame(
+        table = local_table(
+            spark,
             [(g, c, v) for (g, c), v in even.items()], f"group {group_type}, column string, found double"
         )
         nexts = cells.join(F.broadcast(table), ["group", "column"]).groupBy("group", "column").agg(

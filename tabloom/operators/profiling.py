@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.defaults import COMPARE_ID_NAME_PARTS, ID_NAME_PARTS, ID_UNIQUENESS, MAX_CLASSES, MAX_NULL_FRACTION
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import col, is_infinite, numeric_columns, rows_from_one, string_columns, to_double
-
-# relative error of the distinct screen; six of it around the limit are counted exactly
-SCREEN_ERROR = 0.01
+from tabloom.functions.columns import (
+    DISTINCT_ERROR,
+    approx_distinct,
+    col,
+    is_infinite,
+    numeric_columns,
+    rows_from_one,
+    string_columns,
+    to_double,
+)
+from tabloom.functions.local import local_table
+
+# estimates within this share of the limit are counted exactly
+NEAR_LIMIT = 6 * DISTINCT_ERROR
 
 
 def role(df: DataFrame, column: str) -> str:
@@ -103,13 +113,14 @@ def constant_columns(df: DataFrame) -> DataFrame:
     return training_quality(df).where("constant").select("position", "column")
 
 
-def continuous_profile(df: DataFrame) -> DataFrame:
-    """Numeric columns holding anything but 0 and 1 are continuous."""
+def is_continuous(v: Column) -> Column:
+    """Aggregate: whether a column holds anything but 0, 1 and nulls."""
+    return F.coalesce(F.bool_or(~v.isin(0.0, 1.0)), F.lit(False))
 
-    def measures(c):
-        return {"continuous": F.coalesce(F.bool_or(~to_double(c).isin(0.0, 1.0)), F.lit(False))}
 
-    return _per_column(df, numeric_columns(df), measures).select("position", "column", "continuous")
+def continuous_profile(df: DataFrame) -> DataFrame:
+    """Numeric columns holding anything but 0 and 1 are continuous."""
+    return _per_column(df, numeric_columns(df), lambda c: {"continuous": is_continuous(to_double(c))}).select("position", "column", "continuous")
 
 
 def continuous_columns(df: DataFrame) -> list[str]:
@@ -133,15 +144,14 @@ def id_like_profile(
     others = [c for c in columns if not by_name[c]]
     verdict = dict(by_name)
     if others:
-        aggs = [F.approx_count_distinct(col(c), SCREEN_ERROR).alias(f"d{i}") for i, c in enumerate(others)]
+        aggs = [approx_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(others)]
         row = df.agg(F.count("*").alias("rows"), *aggs).first()
         rows = max(1, row["rows"])
-        margin = 6 * SCREEN_ERROR
         near = []
         for i, c in enumerate(others):
             ratio = row[f"d{i}"] / rows
             verdict[c] = ratio > ID_UNIQUENESS
-            if ID_UNIQUENESS * (1 - margin) <= ratio <= ID_UNIQUENESS * (1 + margin):
+            if abs(ratio / ID_UNIQUENESS - 1) <= NEAR_LIMIT:
                 near.append(c)
         counts = [
             df.select(col(c).alias("v")).where("v is not null").distinct().agg(F.lit(c).alias("column"), F.count("*").alias("n"))
@@ -153,7 +163,7 @@ def id_like_profile(
                 union = union.unionAll(other)
             verdict.update({r["column"]: r["n"] / rows > ID_UNIQUENESS for r in union.collect()})
     data = [(i, c, by_name[c], bool(verdict[c])) for i, c in enumerate(columns)]
-    return df.sparkSession.createDataFrame(data, "position int, column string, by_name boolean, id_like boolean")
+    return local_table(df.sparkSession, data, "position int, column string, by_name boolean, id_like boolean")
 
 
 def id_like_columns(df: DataFrame, name_parts: Sequence[str] = tuple(ID_NAME_PARTS)) -> list[str]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tabloom.functions.local import local_table
 from tabloom.scratch import materialize
 
 
@@ -29,7 +30,7 @@ def totals_before(distinct: DataFrame, value: str, weights: Sequence[str]) -> Da
         for w in weights:
             running[w] += r[w]
     schema = "_slot int, " + ", ".join(f"`_{w}` bigint" for w in weights)
-    table = distinct.sparkSession.createDataFrame(offsets, schema)
+    table = local_table(distinct.sparkSession, offsets, schema)
     inside = W.partitionBy("_slot").orderBy(value)
     # one row per shuffle partition
     return slots.join(F.broadcast(table), "_slot").select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tabloom.defaults import BALANCED_RATIO, SEED, TEST_SIZE
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import col, hash_uniform
+from tabloom.functions.local import local_table
 from tabloom.operators.checks import BALANCING_METHODS, check_split
 from tabloom.operators.profiling import class_counts
 from tabloom.operators.selection import take_per_group
@@ -95,7 +96,8 @@ class Balanced:
         """One row per class: rows before, after and removed."""
         data = [(c, n, self.counts_after[c], n - self.counts_after[c]) for c, n in self.counts_before.items()]
         class_type = self.table.schema.fields[-1].dataType.simpleString()
-        return self.table.sparkSession.createDataFrame(
+        return local_table(
+            self.table.sparkSession,
             data, f"class {class_type}, before bigint, after bigint, removed bigint"
         )
 

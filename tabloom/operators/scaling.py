@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from tabloom.defaults import EPSILON, MAX_CLASSES
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import col, to_double
-from tabloom.operators.profiling import continuous_columns
+from tabloom.functions.columns import col, numeric_columns, to_double
+from tabloom.functions.local import local_table
+from tabloom.operators.profiling import is_continuous
 
 
 @dataclass
@@ -31,18 +32,20 @@ class StandardScaler:
 
 
 def fit_standard(df: DataFrame, columns: Sequence[str] | None = None) -> StandardScaler:
-    """Columns without any value are left out."""
-    columns = list(columns if columns is not None else continuous_columns(df))
-    if not columns:
+    """One pass. Without ``columns``, the continuous ones: numeric with a value besides 0 and 1.
+
+    Columns without any value are left out.
+    """
+    names = list(columns if columns is not None else numeric_columns(df))
+    if not names:
         return StandardScaler({}, {})
     aggs = []
-    for i, c in enumerate(columns):
+    for i, c in enumerate(names):
         v = to_double(col(c))
-        aggs += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}")]
+        aggs += [F.avg(v).alias(f"m{i}"), F.stddev_pop(v).alias(f"s{i}"), is_continuous(v).alias(f"c{i}")]
     row = df.agg(*aggs).first()
-    mean = {c: row[f"m{i}"] for i, c in enumerate(columns) if row[f"m{i}"] is not None}
-    scale = {c: row[f"s{i}"] or 1.0 for i, c in enumerate(columns) if c in mean}
-    return StandardScaler(mean, scale)
+    fitted = [(i, c) for i, c in enumerate(names) if row[f"m{i}"] is not None and (columns is not None or row[f"c{i}"])]
+    return StandardScaler({c: row[f"m{i}"] for i, c in fitted}, {c: row[f"s{i}"] or 1.0 for i, c in fitted})
 
 
 @dataclass
@@ -66,7 +69,7 @@ class MinMaxScaler:
             fields += [T.StructField(f"_lo{i}", T.DoubleType()), T.StructField(f"_hi{i}", T.DoubleType())]
         data = [(k, *[x for c in self.columns for x in lims[c]]) for k, lims in self.limits.items()]
         # one row per class, at most MAX_CLASSES
-        table = df.sparkSession.createDataFrame(data, T.StructType(fields))
+        table = local_table(df.sparkSession, data, T.StructType(fields))
         joined = df.join(F.broadcast(table), col(self.by) == F.col("_class"), "left")
         scaled = {c: formula(col(c).cast("double"), F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i, c in enumerate(self.columns)}
         return joined.withColumns(scaled).select(*[col(n) for n in names])

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tabloom.defaults import MAX_CLASSES, SEED
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import col, row_hash, whole_row_hash
+from tabloom.functions.local import local_table
 from tabloom.operators.profiling import checked_counts
 
 # hex digits of the counted prefix: a class of 10^12 rows has about 10^6 rows per prefix of 5
@@ -103,7 +104,8 @@ def take_per_group(
 
     if keys and any(need != same for _, _, need, same in cuts):
         raise ValidationError(f"{list(keys)} do not identify rows")
-    table = df.sparkSession.createDataFrame(
+    table = local_table(
+        df.sparkSession,
         [(c, cut, need) for c, cut, need, _ in cuts],
         T.StructType(
             [
@@ -126,7 +128,8 @@ def _cuts(marked: DataFrame, group: str, prefixes: DataFrame, quotas: dict, digi
         return []
     spark = marked.sparkSession
     class_type = prefixes.schema["_class"]
-    table = spark.createDataFrame(
+    table = local_table(
+        spark,
         list(quotas.items()), T.StructType([class_type, T.StructField("_quota", T.LongType())])
     )
     running = W.partitionBy("_class").orderBy("_prefix")

@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabloom import defaults as D
+from tabloom.defaults import MAX_CLASSES
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import col
+from tabloom.functions.columns import col, is_infinite, to_double
+from tabloom.functions.local import local_table
 from tabloom.operators import adversarial as net
 from tabloom.operators.checks import check_synthesis
 from tabloom.operators.cleaning import preprocess_numeric
-from tabloom.operators.profiling import class_counts
+from tabloom.operators.profiling import checked_counts
 from tabloom.operators.sampling import pick_by_counts
 from tabloom.operators.scaling import MinMaxScaler, fit_min_max
 from tabloom.scratch import materialize
@@ -37,6 +39,8 @@ SHARD_ROWS = 50_000
 COPIES = 256
 BLOCK_ROWS = 4096
 ROUNDS = 10
+# up to this many shards per core each one is made a task of its own
+FEW_SHARDS = 8
 # numbers in all model states together, held by the driver and sent to every executor
 MAX_STATE = 50_000_000
 ONE_CLASS = "_all"
@@ -64,7 +68,7 @@ class SynthModel:
 
     def metrics_table(self, spark: SparkSession) -> DataFrame:
         schema = f"class {self.class_type}, epoch int, rows bigint, shards int, loss_g double, loss_d double"
-        return spark.createDataFrame(self.metrics, schema)
+        return local_table(spark, self.metrics, schema)
 
     def save(self, spark: SparkSession, path: str) -> None:
         data = [
@@ -80,7 +84,7 @@ class SynthModel:
             f"class {self.class_type}, columns array<string>, `by` string, latent int, hidden int, rows bigint, steps bigint, "
             "low array<double>, high array<double>, state array<double>"
         )
-        spark.createDataFrame(data, schema).write.mode("overwrite").parquet(f"{path}/models")
+        local_table(spark, data, schema).write.mode("overwrite").parquet(f"{path}/models")
         self.metrics_table(spark).write.mode("overwrite").parquet(f"{path}/metrics")
 
     @staticmethod
@@ -144,14 +148,7 @@ def fit(
         key, df = ONE_CLASS, df.select(*[col(c) for c in columns]).withColumn(ONE_CLASS, F.lit(0))
     else:
         key, df = by, df.select(*[col(c) for c in columns], col(by)).where(col(by).isNotNull())
-    counts = class_counts(df, key)
-    if not counts:
-        raise ValidationError("no rows to fit on")
-    ready = preprocess_numeric(df, key, columns)
-    scaler = fit_min_max(ready, columns, key)
-    empty = [c for c in columns for k in counts if scaler.limits[k][c][0] is None]
-    if empty:
-        raise ValidationError(f"columns without values in some class: {sorted(set(empty))}")
+    df, scaler, counts = _prepare(df, columns, key)
 
     if init_model is not None:
         latent_dim, hidden = init_model.latent, init_model.hidden
@@ -168,7 +165,7 @@ def fit(
         else:
             states[k], steps[k] = net.initial_state(layout, np.random.default_rng([seed, index])), 0
 
-    shards = pack_shards(scaler.transform(ready), columns, key, counts, shard_rows)
+    shards = pack_shards(scaler.transform(df), columns, key, counts, shard_rows)
     largest = max(math.ceil(n / shard_rows) for n in counts.values())
     rounds = 1 if largest == 1 else max(1, min(epochs, rounds or ROUNDS))
     metrics, done = [], 0
@@ -187,6 +184,32 @@ def fit(
     return SynthModel(columns, by, class_type, latent_dim, hidden, scaler, counts, states, steps, metrics)
 
 
+def _prepare(df: DataFrame, columns: Sequence[str], key: str) -> tuple[DataFrame, MinMaxScaler, dict]:
+    """Filled table, limits and rows per class; one pass where nothing is to be filled."""
+    df = df.withColumns({c: to_double(col(c)) for c in columns})
+    aggs = [F.count("*").alias("rows")]
+    for i, c in enumerate(columns):
+        v = col(c)
+        aggs += [
+            F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
+            F.count_if(v.isNull() | is_infinite(v)).alias(f"bad{i}"),
+        ]
+    found = df.groupBy(col(key).alias("class")).agg(*aggs).limit(MAX_CLASSES + 1).collect()
+    counts = checked_counts({r["class"]: r["rows"] for r in found}, key)
+    if not counts:
+        raise ValidationError("no rows to fit on")
+    if any(r[f"bad{i}"] for r in found for i in range(len(columns))):
+        df = preprocess_numeric(df, key, columns)
+        scaler = fit_min_max(df, columns, key)
+    else:
+        limits = {r["class"]: {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(columns)} for r in found}
+        scaler = MinMaxScaler(list(columns), key, limits)
+    empty = {c for lims in scaler.limits.values() for c, (low, _) in lims.items() if low is None}
+    if empty:
+        raise ValidationError(f"columns without values in some class: {sorted(empty)}")
+    return df, scaler, counts
+
+
 def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dict, shard_rows: int) -> DataFrame:
     """(i, shard, copies, data) with the class number ``i``: one row per shard, written once, read in every round.
 
@@ -194,10 +217,15 @@ def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dic
     shards like any other data and each shard stays near ``shard_rows`` rows.
     """
     spark = scaled.sparkSession
-    fields = [T.StructField("class", scaled.schema[key].dataType), T.StructField("i", T.IntegerType()), T.StructField("shards", T.LongType())]
+    fields = [T.StructField("class", scaled.schema[key].dataType)]
+    fields += [T.StructField(c, T.LongType()) for c in ("i", "shards", "first")]
+    per_class = [math.ceil(n / shard_rows) for n in counts.values()]
+    firsts = np.cumsum([0, *per_class]).tolist()
     # one row per class, at most MAX_CLASSES
-    sizes = spark.createDataFrame(
-        [(k, i, math.ceil(n / shard_rows)) for i, (k, n) in enumerate(counts.items())], T.StructType(fields)
+    sizes = local_table(
+        spark,
+        [(k, i, n, firsts[i]) for i, (k, n) in enumerate(zip(counts, per_class))],
+        T.StructType(fields),
     )
     named = scaled.select(col(key).alias("class"), *[col(c).cast("float").alias(f"x{i}") for i, c in enumerate(columns)])
     values = [f"x{i}" for i in range(len(columns))]
@@ -210,10 +238,15 @@ def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dic
         F.expr(f"cast(least({COPIES}, n - chunk * {COPIES}) as int)").alias("copies"),
     )
     packed = (
-        placed.groupBy("i", F.expr("pmod(xxhash64(h), shards)").alias("shard"))
+        placed.groupBy("i", "first", F.expr("pmod(xxhash64(h), shards)").alias("shard"))
         .agg(F.sort_array(F.collect_list(row)).alias("rows"))
-        .select("i", "shard", F.col("rows.copies").alias("copies"), F.flatten(F.col("rows.x")).alias("data"))
+        .select("i", "first", "shard", F.col("rows.copies").alias("copies"), F.flatten(F.col("rows.x")).alias("data"))
     )
+    total = firsts[-1]
+    if total <= FEW_SHARDS * spark.sparkContext.defaultParallelism:
+        # little data: one file and so one task per shard; many shards spread by themselves
+        packed = packed.repartitionById(total, (F.col("first") + F.col("shard")).cast("int"))
+    packed = packed.drop("first")
     return materialize(packed, "shards")
 
 
@@ -297,7 +330,7 @@ def class_quotas(classes: Sequence[Any], n: int, strict_n: bool = False) -> dict
 
 
 def quota_table(spark: SparkSession, quotas: dict, class_type: str) -> DataFrame:
-    return spark.createDataFrame(list(quotas.items()), f"class {class_type}, rows bigint")
+    return local_table(spark, list(quotas.items()), f"class {class_type}, rows bigint")
 
 
 def sample_normalized(spark: SparkSession, model: SynthModel, quotas: dict[Any, int], seed: int = D.SEED) -> DataFrame:

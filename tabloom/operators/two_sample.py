@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.functions.columns import col, to_double
+from tabloom.functions.local import local_table
 from tabloom.operators.ranks import totals_before
 
 RESULT_SCHEMA = "test string, statistic double, p_value double, significant boolean"
@@ -60,10 +61,11 @@ def two_sample_tests(
     r = rank_statistics(real, synthetic, column, synthetic_column).first()
     spark = real.sparkSession
     if r is None or not r["size1"] or not r["size2"]:
-        return spark.createDataFrame([], RESULT_SCHEMA)
+        return local_table(spark, [], RESULT_SCHEMA)
     ks_p = kolmogorov_p(r["ks_statistic"], r["size1"], r["size2"])
     mw_p = mann_whitney_p(r["u_statistic"], r["size1"], r["size2"], r["tie_sum"])
-    return spark.createDataFrame(
+    return local_table(
+        spark,
         [
             ("kolmogorov_smirnov", r["ks_statistic"], ks_p, ks_p < alpha),
             ("mann_whitney", r["u_statistic"], mw_p, mw_p < alpha),

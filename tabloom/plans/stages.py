@@ -9,7 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom import defaults as D
-from tabloom.functions.columns import col
+from tabloom.functions.columns import col, string_columns
+from tabloom.functions.local import keep_small
 from tabloom.operators import comparison as cmp
 from tabloom.operators.checks import check_balancing, check_comparison, check_correlation, check_table, quality_report
 from tabloom.operators.cleaning import clean, cleaning_report
@@ -133,16 +134,16 @@ def comparison_stage(
     features = synthetic.drop(target)
     labels = bootstrap_labels(real, target, synthetic.count(), seed)
     numeric = cmp.common_numeric_columns(real, features)
-    categorical = cmp.string_columns(real)
-    table = materialize(
+    categorical = string_columns(real)
+    # at most max_categories rows per column, and one row per column
+    frequencies = keep_small(cmp.category_frequencies(real, features, categorical, max_categories))
+    target_freqs = keep_small(cmp.target_frequencies(real, labels, target))
+    table = keep_small(
         cmp.comparison_table(
             real, features, numeric=numeric, categorical=categorical, target=target, synthetic_target=labels,
-            max_categories=max_categories, drift_limit=drift_limit, legacy_target_entries=legacy_target_entries,
-        ),
-        "comparison",
+            drift_limit=drift_limit, legacy_target_entries=legacy_target_entries, frequencies=frequencies,
+        )
     )
-    frequencies = materialize(cmp.category_frequencies(real, features, categorical, max_categories), "frequencies")
-    target_freqs = cmp.target_frequencies(real, labels, target)
     report = cmp.comparison_report(table, frequencies, target_freqs)
     _report(spark, report, out_dir, "comparison_report")
     if out_dir is not None:
