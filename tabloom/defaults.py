@@ -48,6 +48,6 @@ MAX_CLASSES = 10_000
 # distinct values of one text column whose codes may be broadcast
 BROADCAST_VALUES = 20_000
 # bytes of such a broadcast
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 # columns one text column may become
 MAX_ONE_HOT = 1_000

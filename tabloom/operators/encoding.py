@@ -88,7 +88,7 @@ def label_codes(df: DataFrame, columns: Sequence[str] | None = None) -> LabelCod
     tables = {}
     for c in large:
         distinct = df.groupBy(text_or_nan(col(c)).alias("value")).agg(F.count("*").alias("rows"), F.lit(1).cast("bigint").alias("one"))
-        tables[c] = totals_before(distinct, "value", ["one"]).select("value", "rows", F.col("one_before").alias("code"))
+        tables[c] = totals_before(distinct, "value", ["one"])[0].select("value", "rows", F.col("one_before").alias("code"))
     return LabelCodes(ordered, tables, seen["rows"])
 
 

@@ -12,8 +12,8 @@ from tabloom.functions.local import local_table
 from tabloom.scratch import materialize
 
 
-def totals_before(distinct: DataFrame, value: str, weights: Sequence[str]) -> DataFrame:
-    """Adds ``<weight>_before``: the sum of the weight over all smaller values.
+def totals_before(distinct: DataFrame, value: str, weights: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Adds ``<weight>_before``: the sum of the weight over all smaller values. Also the grand totals.
 
     ``distinct`` holds each value once, so no value can make a range uneven. The
     values are range-partitioned and written once; ranges are summed on their
@@ -33,7 +33,8 @@ def totals_before(distinct: DataFrame, value: str, weights: Sequence[str]) -> Da
     table = local_table(distinct.sparkSession, offsets, schema)
     inside = W.partitionBy("_slot").orderBy(value)
     # one row per shuffle partition
-    return slots.join(F.broadcast(table), "_slot").select(
+    ranked = slots.join(F.broadcast(table), "_slot").select(
         *distinct.columns,
         *[(F.sum(w).over(inside) - F.col(w) + F.col(f"_{w}")).alias(f"{w}_before") for w in weights],
     )
+    return ranked, running

@@ -21,50 +21,48 @@ from tabloom.functions.columns import col, row_hash, whole_row_hash
 from tabloom.functions.local import local_table
 from tabloom.operators.profiling import checked_counts
 
-# hex digits of the counted prefix: a class of 10^12 rows has about 10^6 rows per prefix of 5
+# hex digits added to the counted prefix per pass
 PREFIX_DIGITS = 4
-LARGE_PREFIX_DIGITS = 5
-LARGE_ROWS = 20_000_000_000
+# rows sharing the deciding prefix that one task may order; more are counted by a longer prefix first
+NEAR_ROWS = 1_000_000
 COPIES_PER_ROW = 100_000
 
 
 class Selection:
     """The chosen rows of a table and the others; ``counts`` are the rows per class."""
 
-    def __init__(self, marked: DataFrame, columns: list[str], counts: dict, quotas: dict, key_is_unique: bool):
+    def __init__(self, marked: DataFrame, columns: list[str], counts: dict, quotas: dict, cuts: list[tuple]):
         self._marked = marked
         self._columns = columns
         self.counts = counts
         self.quotas = quotas
-        self._unique = key_is_unique
-
-    def _side(self, below: Column, copies: Column) -> DataFrame:
-        names = [col(c) for c in self._columns]
-        rows = self._marked.where(below).select(*names)
-        if self._unique:
-            return rows
-        # equal rows share the last hash: they are interchangeable, so the wanted
-        # number of copies is made from one of them
-        edge = self._marked.where("_hash = _cut").groupBy(*names).agg(copies.alias("_copies")).where("_copies > 0")
-        step = COPIES_PER_ROW
-        chunks = edge.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {step}"))))
-        chunks = chunks.repartition(F.col("_chunk")) if self._large_edge else chunks
-        size = F.least(F.lit(step).cast("bigint"), F.col("_copies") - F.col("_chunk") * step)
-        made = chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size)))
-        return rows.unionAll(made.select(*names))
-
-    _large_edge = False
+        # whether every class takes all rows with its last hash
+        self._whole = all(need == same for _, _, need, same in cuts)
+        self._copies = max((same for _, _, _, same in cuts), default=0)
 
     def chosen(self) -> DataFrame:
-        # nulls in _cut mark classes of which nothing is chosen
-        if self._unique:
-            return self._side(F.expr("_hash <= _cut"), F.lit(0))
-        return self._side(F.expr("_hash < _cut"), F.max("_need"))
+        # a null _cut marks a class of which nothing is chosen
+        if self._whole:
+            return self._rows("_hash <= _cut")
+        return self._rows("_hash < _cut").unionAll(self._copies_at_cut(F.max("_need")))
 
     def others(self) -> DataFrame:
-        if self._unique:
-            return self._side(F.expr("_cut is null or _hash > _cut"), F.lit(0))
-        return self._side(F.expr("_cut is null or _hash > _cut"), F.count("*") - F.max("_need"))
+        rows = self._rows("_cut is null or _hash > _cut")
+        return rows if self._whole else rows.unionAll(self._copies_at_cut(F.count("*") - F.max("_need")))
+
+    def _rows(self, condition: str) -> DataFrame:
+        return self._marked.where(condition).select(*[col(c) for c in self._columns])
+
+    def _copies_at_cut(self, wanted: Column) -> DataFrame:
+        """Rows with the last hash are equal, so ``wanted`` copies are made from one of them."""
+        names = [col(c) for c in self._columns]
+        step = COPIES_PER_ROW
+        rows = self._marked.where("_hash = _cut").groupBy(*names).agg(wanted.alias("_wanted")).where("_wanted > 0")
+        parts = rows.withColumn("_part", F.explode(F.expr(f"sequence(0L, (_wanted - 1) div {step})")))
+        if self._copies > step:
+            parts = parts.repartition(F.col("_part"))
+        size = F.expr(f"least({step}, _wanted - _part * {step})")
+        return parts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).select(*names)
 
 
 def take_per_group(
@@ -73,8 +71,6 @@ def take_per_group(
     quotas: Callable[[dict], dict],
     keys: Sequence[str] | None = None,
     seed: int = SEED,
-    *,
-    rows_hint: int | None = None,
 ) -> Selection:
     """Choose exactly ``quotas(class counts)[class]`` rows of every class.
 
@@ -82,15 +78,10 @@ def take_per_group(
     hashed and equal rows are interchangeable.
     """
     columns = list(df.columns)
-    digits = LARGE_PREFIX_DIGITS if (rows_hint or 0) > LARGE_ROWS else PREFIX_DIGITS
     h = row_hash(seed, keys) if keys else whole_row_hash(seed, columns)
     marked = df.withColumn("_hash", h)
 
-    prefixes = (
-        marked.groupBy(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix"))
-        .agg(F.count("*").alias("_n"))
-        .persist()  # 16^digits rows per class
-    )
+    prefixes = _count_prefixes(marked, group, PREFIX_DIGITS).persist()  # 16^4 rows per class
     try:
         found = prefixes.groupBy("_class").agg(F.sum("_n").alias("n")).limit(MAX_CLASSES + 1).collect()
         counts = checked_counts({r["_class"]: r["n"] for r in found}, group)
@@ -98,9 +89,10 @@ def take_per_group(
         for c, q in wanted.items():
             if not 0 <= q <= counts.get(c, 0):
                 raise ValidationError(f"class {c} has {counts.get(c, 0)} rows, {q} wanted")
-        cuts = _cuts(marked, group, prefixes, {c: q for c, q in wanted.items() if q > 0}, digits)
+        edges = _edges(prefixes, {c: q for c, q in wanted.items() if q > 0})
     finally:
         prefixes.unpersist()
+    cuts = _cuts(marked, group, edges) if edges else []
 
     if keys and any(need != same for _, _, need, same in cuts):
         raise ValidationError(f"{list(keys)} do not identify rows")
@@ -117,39 +109,57 @@ def take_per_group(
     )
     # one row per class, at most MAX_CLASSES
     joined = marked.join(F.broadcast(table), col(group) == F.col("_class"), "left")
-    selection = Selection(joined, columns, counts, wanted, key_is_unique=all(need == same for _, _, need, same in cuts))
-    selection._large_edge = any(same > COPIES_PER_ROW for _, _, _, same in cuts)
-    return selection
+    return Selection(joined, columns, counts, wanted, cuts)
 
 
-def _cuts(marked: DataFrame, group: str, prefixes: DataFrame, quotas: dict, digits: int) -> list[tuple]:
-    """Per class: the last chosen hash, how many rows with it are chosen, how many there are."""
+def _count_prefixes(marked: DataFrame, group: str, digits: int) -> DataFrame:
+    return marked.groupBy(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix")).agg(
+        F.count("*").alias("_n")
+    )
+
+
+def _edges(prefixes: DataFrame, quotas: dict) -> list[tuple]:
+    """Per class: the prefix in which the quota is reached, what is still needed there, its rows."""
     if not quotas:
         return []
-    spark = marked.sparkSession
-    class_type = prefixes.schema["_class"]
     table = local_table(
-        spark,
-        list(quotas.items()), T.StructType([class_type, T.StructField("_quota", T.LongType())])
+        prefixes.sparkSession,
+        list(quotas.items()),
+        T.StructType([prefixes.schema["_class"], T.StructField("_quota", T.LongType())]),
     )
     running = W.partitionBy("_class").orderBy("_prefix")
     edge = (
         prefixes.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
-        .join(F.broadcast(table), "_class")
+        .join(F.broadcast(table), "_class")  # one row per class
         .where("_before < _quota and _quota <= _before + _n")
-        .select("_class", "_prefix", (F.col("_quota") - F.col("_before")).alias("_rest"))
-    )
-    # only rows sharing the deciding prefix; equal hashes collapse before the window
-    near = (
-        marked.select(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix"), "_hash")
-        .join(F.broadcast(edge), ["_class", "_prefix"])
-        .groupBy("_class", "_hash")
-        .agg(F.count("*").alias("_same"), F.max("_rest").alias("_rest"))
+        .select("_class", "_prefix", F.expr("_quota - _before").alias("_rest"), "_n")
     )
+    return [tuple(r) for r in edge.collect()]
+
+
+def _cuts(marked: DataFrame, group: str, edges: list[tuple]) -> list[tuple]:
+    """Per class: the last chosen hash, how many rows with it are chosen, how many there are."""
+    spark = marked.sparkSession
+    class_field = T.StructField("_class", marked.schema[group].dataType)
+
+    def near(edges: list[tuple], digits: int) -> DataFrame:
+        """Rows whose hash starts with the deciding prefix of their class."""
+        schema = T.StructType([class_field, T.StructField("_prefix", T.StringType()), T.StructField("_rest", T.LongType())])
+        table = local_table(spark, [e[:3] for e in edges], schema)
+        rows = marked.select(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix"), "_hash")
+        return rows.join(F.broadcast(table), ["_class", "_prefix"])  # one row per class
+
+    digits = PREFIX_DIGITS
+    while digits < 16 and any(n > NEAR_ROWS for *_, n in edges):
+        longer = near(edges, digits).select("_class", "_hash")
+        digits += PREFIX_DIGITS
+        edges = _edges(_count_prefixes(longer, "_class", digits), {c: rest for c, _, rest, _ in edges})
+    # equal hashes collapse before the window
+    hashes = near(edges, digits).groupBy("_class", "_hash").agg(F.count("*").alias("_same"), F.max("_rest").alias("_rest"))
     ordered = W.partitionBy("_class").orderBy("_hash")
     cut = (
-        near.withColumn("_before", F.sum("_same").over(ordered) - F.col("_same"))
+        hashes.withColumn("_before", F.sum("_same").over(ordered) - F.col("_same"))
         .where("_before < _rest and _rest <= _before + _same")
-        .select("_class", "_hash", (F.col("_rest") - F.col("_before")).alias("_need"), "_same")
+        .select("_class", "_hash", F.expr("_rest - _before").alias("_need"), "_same")
     )
-    return [(r["_class"], r["_hash"], r["_need"], r["_same"]) for r in cut.collect()]
+    return [tuple(r) for r in cut.collect()]

@@ -25,32 +25,27 @@ def rank_statistics(real: DataFrame, synthetic: DataFrame, column: str, syntheti
         to_double(col(synthetic_column or column)).alias("value"), F.lit(0).cast("bigint").alias("n1"), F.lit(1).cast("bigint").alias("n2")
     )
     counts = a.unionAll(b).where("value is not null").groupBy("value").agg(F.sum("n1").alias("n1"), F.sum("n2").alias("n2"))
-    ordered = totals_before(counts, "value", ["n1", "n2"])
+    ordered, sizes = totals_before(counts, "value", ["n1", "n2"])
+    size1, size2 = sizes["n1"] or 0, sizes["n2"] or 0
     # twice the mid rank, so that everything stays whole
     twice_rank = "cast(2 * (n1_before + n2_before) + n1 + n2 + 1 as decimal(20, 0))"
     t = "cast(n1 + n2 as double)"
-    # n1 and n2 of the whole samples are needed beside every value: one row, from the same small table
-    sizes = ordered.agg(F.sum("n1").alias("size1"), F.sum("n2").alias("size2")).withColumn("_one", F.lit(1))
-    return (
-        ordered.withColumn("_one", F.lit(1))
-        .join(F.broadcast(sizes), "_one")
-        .groupBy("size1", "size2")
-        .agg(
-            F.max(
-                F.abs(F.expr("try_divide(n1_before + n1, size1) - try_divide(n2_before + n2, size2)"))
-            ).alias("ks_statistic"),
-            F.sum(F.expr(f"cast(n1 as decimal(18, 0)) * {twice_rank}")).alias("twice_rank_sum"),
-            F.sum(F.expr(f"{t} * {t} * {t} - {t}")).alias("tie_sum"),
-        )
-        .select(
-            "size1",
-            "size2",
-            "ks_statistic",
-            F.expr(
-                "cast(twice_rank_sum - cast(size1 as decimal(18, 0)) * cast(size1 + 1 as decimal(18, 0)) as double) / 2"
-            ).alias("u_statistic"),
-            "tie_sum",
-        )
+    return ordered.agg(
+        F.lit(size1).cast("bigint").alias("size1"),
+        F.lit(size2).cast("bigint").alias("size2"),
+        F.max(
+            F.abs(F.expr(f"try_divide(n1_before + n1, {size1}L) - try_divide(n2_before + n2, {size2}L)"))
+        ).alias("ks_statistic"),
+        F.sum(F.expr(f"cast(n1 as decimal(18, 0)) * {twice_rank}")).alias("twice_rank_sum"),
+        F.sum(F.expr(f"{t} * {t} * {t} - {t}")).alias("tie_sum"),
+    ).select(
+        "size1",
+        "size2",
+        "ks_statistic",
+        F.expr(
+            "cast(twice_rank_sum - cast(size1 as decimal(18, 0)) * cast(size1 + 1 as decimal(18, 0)) as double) / 2"
+        ).alias("u_statistic"),
+        "tie_sum",
     )
 
 

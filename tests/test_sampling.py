@@ -75,6 +75,7 @@ def test_many_copies_are_made_in_chunks(spark, monkeypatch):
     from tabloom.operators import selection
 
     monkeypatch.setattr(selection, "COPIES_PER_ROW", 7)
+    monkeypatch.setattr(selection, "NEAR_ROWS", 5)
     df = spark.createDataFrame([("x", "a")] * 100, "v string, k string")
     sel = take_per_group(df, "k", lambda n: {"a": 31})
     assert sel.chosen().count() == 31 and sel.others().count() == 69
@@ -116,3 +117,21 @@ def test_bootstrap_follows_frequencies(spark):
     assert sum(counts.values()) == 5000 and 400 < counts["b"] < 600
     again = bootstrap_labels(df.repartition(3), "k", 5000)
     assert got.exceptAll(again).count() == 0
+
+
+def test_longer_prefixes_find_the_same_rows(spark, monkeypatch):
+    from tabloom.operators import selection
+
+    df = table(spark, {"a": 3000, "b": 500})
+    want = {r.id for r in take_per_group(df, "k", lambda n: {"a": 777, "b": 5}, ["id"]).chosen().collect()}
+    monkeypatch.setattr(selection, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(selection, "NEAR_ROWS", 2)
+    got = {r.id for r in take_per_group(df, "k", lambda n: {"a": 777, "b": 5}, ["id"]).chosen().collect()}
+    assert got == want and len(got) == 782
+
+
+def test_null_places_matter_in_whole_rows(spark):
+    df = spark.createDataFrame([(None, "x", "a"), ("x", None, "a")] * 5, "u string, v string, k string")
+    sel = take_per_group(df, "k", lambda n: {"a": 5})
+    both = sel.chosen().unionAll(sel.others())
+    assert sel.chosen().count() == 5 and both.exceptAll(df).count() == 0 and both.count() == 10
