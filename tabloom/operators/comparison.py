@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabloom import defaults as D
@@ -162,9 +163,9 @@ def category_frequencies(
         )
     if max_categories is None:
         return counts
-    sizes = counts.groupBy("variable").agg(F.count("*").alias("_n")).where(F.col("_n") <= max_categories)
-    # one row per compared column
-    return counts.join(F.broadcast(sizes), "variable", "left_semi")
+    # the screen above bounds the categories of a variable, and so the window
+    size = F.count("*").over(W.partitionBy("variable"))
+    return counts.withColumn("_size", size).where(F.col("_size") <= max_categories).drop("_size")
 
 
 def frequency_drift(frequencies: DataFrame, limit: float = D.CATEGORICAL_DRIFT) -> DataFrame:

@@ -13,6 +13,7 @@ from tabloom.errors import ValidationError
 from tabloom.functions.columns import approx_distinct, col, long_values, string_columns, text_or_nan
 from tabloom.functions.local import local_table
 from tabloom.operators.ranks import totals_before
+from tabloom.scratch import materialize
 
 # values holding more than 1/HOT_SHARE of the rows; there are fewer than HOT_SHARE of them
 HOT_SHARE = 1000
@@ -88,7 +89,9 @@ def label_codes(df: DataFrame, columns: Sequence[str] | None = None) -> LabelCod
     tables = {}
     for c in large:
         distinct = df.groupBy(text_or_nan(col(c)).alias("value")).agg(F.count("*").alias("rows"), F.lit(1).cast("bigint").alias("one"))
-        tables[c] = totals_before(distinct, "value", ["one"])[0].select("value", "rows", F.col("one_before").alias("code"))
+        ranked, _ = totals_before(distinct, "value", ["one"])
+        # read twice by every encoding, so the ordered pass is stored
+        tables[c] = materialize(ranked.select("value", "rows", F.col("one_before").alias("code")), "codes")
     return LabelCodes(ordered, tables, seen["rows"])
 
 
@@ -99,14 +102,21 @@ def label_encode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 # --- one-hot ---------------------------------------------------------------
 
 
-def one_hot_values(df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_HOT) -> dict[str, list[str]]:
-    """Sorted non-null values per column; more than ``limit`` in one column is an error."""
+def one_hot_values(
+    df: DataFrame, columns: Sequence[str], limit: int = MAX_ONE_HOT, estimates: dict[str, int] | None = None
+) -> dict[str, list[str]]:
+    """Sorted non-null values per column; more than ``limit`` in one column is an error.
+
+    Sketches keep long lists from being collected; ``estimates`` passes in ones already made.
+    """
     if not columns:
         return {}
-    screen = df.agg(*[approx_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    for i, c in enumerate(columns):
-        if screen[f"d{i}"] > 1.2 * limit + 2:
-            raise ValidationError(f"{c} has about {screen[f'd{i}']} values, more than {limit} one-hot columns")
+    if estimates is None:
+        row = df.agg(*[approx_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+        estimates = {c: row[f"d{i}"] for i, c in enumerate(columns)}
+    for c in columns:
+        if estimates[c] > 1.2 * limit + 2:
+            raise ValidationError(f"{c} has about {estimates[c]} values, more than {limit} one-hot columns")
     cells = df.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]))
     )

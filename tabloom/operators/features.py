@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from tabloom.defaults import ID_NAME_PARTS
 from tabloom.functions.columns import col, string_columns
 from tabloom.operators.encoding import one_hot, one_hot_values
-from tabloom.operators.profiling import id_like_columns
+from tabloom.operators.profiling import id_like_profile
 from tabloom.operators.scaling import StandardScaler, fit_standard
 
 
@@ -38,10 +38,11 @@ def prepare_features(
     """
     kept = [target, *keep]
     plain = df.drop(*kept)
-    dropped = id_like_columns(plain, id_name_parts)
+    roles = id_like_profile(plain, id_name_parts).collect()
+    dropped = [r["column"] for r in roles if r["id_like"]]
     names = [c for c in plain.columns if c not in dropped]
     categorical = [c for c in string_columns(plain) if c in names]
-    values = one_hot_values(df, categorical)
+    values = one_hot_values(df, categorical, estimates={r["column"]: r["distinct_estimate"] for r in roles})
     wide = one_hot(df.select(*[col(c) for c in names], *[col(c) for c in kept]), categorical, values)
     columns = [c for c in wide.columns if c not in kept]
     wide = wide.select(*[col(c) for c in columns], *[col(c) for c in kept])

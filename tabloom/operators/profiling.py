@@ -143,13 +143,15 @@ def id_like_profile(
     by_name = {c: any(p.lower() in c.lower() for p in name_parts) for c in columns}
     others = [c for c in columns if not by_name[c]]
     verdict = dict(by_name)
+    estimates: dict[str, int] = {}
     if others:
         aggs = [approx_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(others)]
         row = df.agg(F.count("*").alias("rows"), *aggs).first()
         rows = max(1, row["rows"])
         near = []
         for i, c in enumerate(others):
-            ratio = row[f"d{i}"] / rows
+            estimates[c] = row[f"d{i}"]
+            ratio = estimates[c] / rows
             verdict[c] = ratio > ID_UNIQUENESS
             if abs(ratio / ID_UNIQUENESS - 1) <= NEAR_LIMIT:
                 near.append(c)
@@ -162,8 +164,9 @@ def id_like_profile(
             for other in counts[1:]:
                 union = union.unionAll(other)
             verdict.update({r["column"]: r["n"] / rows > ID_UNIQUENESS for r in union.collect()})
-    data = [(i, c, by_name[c], bool(verdict[c])) for i, c in enumerate(columns)]
-    return local_table(df.sparkSession, data, "position int, column string, by_name boolean, id_like boolean")
+    data = [(i, c, by_name[c], bool(verdict[c]), estimates.get(c)) for i, c in enumerate(columns)]
+    schema = "position int, column string, by_name boolean, id_like boolean, distinct_estimate bigint"
+    return local_table(df.sparkSession, data, schema)
 
 
 def id_like_columns(df: DataFrame, name_parts: Sequence[str] = tuple(ID_NAME_PARTS)) -> list[str]:

@@ -31,7 +31,7 @@ def totals_before(distinct: DataFrame, value: str, weights: Sequence[str]) -> tu
             running[w] += r[w]
     schema = "_slot int, " + ", ".join(f"`_{w}` bigint" for w in weights)
     table = local_table(distinct.sparkSession, offsets, schema)
-    inside = W.partitionBy("_slot").orderBy(value)
+    inside = W.partitionBy("_slot").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
     # one row per shuffle partition
     ranked = slots.join(F.broadcast(table), "_slot").select(
         *distinct.columns,

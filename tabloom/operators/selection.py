@@ -127,7 +127,7 @@ def _edges(prefixes: DataFrame, quotas: dict) -> list[tuple]:
         list(quotas.items()),
         T.StructType([prefixes.schema["_class"], T.StructField("_quota", T.LongType())]),
     )
-    running = W.partitionBy("_class").orderBy("_prefix")
+    running = W.partitionBy("_class").orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
     edge = (
         prefixes.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
         .join(F.broadcast(table), "_class")  # one row per class
@@ -156,7 +156,7 @@ def _cuts(marked: DataFrame, group: str, edges: list[tuple]) -> list[tuple]:
         edges = _edges(_count_prefixes(longer, "_class", digits), {c: rest for c, _, rest, _ in edges})
     # equal hashes collapse before the window
     hashes = near(edges, digits).groupBy("_class", "_hash").agg(F.count("*").alias("_same"), F.max("_rest").alias("_rest"))
-    ordered = W.partitionBy("_class").orderBy("_hash")
+    ordered = W.partitionBy("_class").orderBy("_hash").rowsBetween(W.unboundedPreceding, W.currentRow)
     cut = (
         hashes.withColumn("_before", F.sum("_same").over(ordered) - F.col("_same"))
         .where("_before < _rest and _rest <= _before + _same")

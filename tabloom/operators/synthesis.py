@@ -11,12 +11,14 @@ class and shard number.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,10 @@ from tabloom.operators.sampling import pick_by_counts
 from tabloom.operators.scaling import MinMaxScaler, fit_min_max
 from tabloom.scratch import materialize
 
+# tasks get these functions themselves, so executors need no installed copy of the package
+for _module in (net, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 SHARD_ROWS = 50_000
 # equal rows travel as one row with a number of copies, at most this many
 COPIES = 256

@@ -14,6 +14,7 @@ from tabloom.operators.features import prepare_features
 from tabloom.operators.sampling import stratified_split
 from tabloom.operators.synthesis import SynthModel
 from tabloom.plans import stages
+from tabloom.scratch import materialize
 from tabloom.sources import read_table
 
 
@@ -59,6 +60,8 @@ def run(
         learning_rate=learning_rate, n=n, max_categories=max_categories, drift_limit=drift_limit,
     )
     raw = read_table(spark, source) if isinstance(source, str) else source
+    if isinstance(source, str) and not source.rstrip("/").lower().endswith(".parquet"):
+        raw = materialize(raw, "typed")  # parse text once, read columns from then on
     reports: dict[str, dict[str, Any]] = {}
     cleaned, reports["cleaning"] = stages.clean_stage(raw, target, out_dir, source if isinstance(source, str) else "")
     reports["correlation"] = stages.correlation_stage(cleaned, target, out_dir, correlation_columns)

@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.errors import ValidationError
+from tabloom.functions.local import local_table
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
@@ -48,5 +49,5 @@ def write_report(spark: SparkSession, report: dict[str, Any] | DataFrame, path:
     if isinstance(report, DataFrame):
         return write_table(report, path, "json")
     text = json.dumps(plain(report), indent=4, ensure_ascii=False, default=str)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    local_table(spark, [(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
