@@ -209,10 +209,15 @@ def preprocess_numeric(df: DataFrame, by: str | None = None, columns: Sequence[s
     df = df.withColumns({c: to_double(col(c)) for c in names})
     nulls = [c for i, c in enumerate(names) if seen[f"null{i}"]]
     infinite = [c for i, c in enumerate(names) if seen[f"inf{i}"]]
-    df = _fill_by_class(df, nulls, by, seen["rows"])
+    return fill_by_class(df, nulls, infinite, by, seen["rows"])
+
+
+def fill_by_class(df: DataFrame, nulls: Sequence[str], infinite: Sequence[str], by: str | None, rows: int) -> DataFrame:
+    """The filling itself, for columns known to hold nulls or infinities."""
+    df = _fill_by_class(df, nulls, by, rows)
     if infinite:
         df = df.withColumns({c: F.when(~is_infinite(col(c)), col(c)) for c in infinite})
-        df = _fill_by_class(df, infinite, by, seen["rows"])
+        df = _fill_by_class(df, infinite, by, rows)
     return df
 
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.defaults import MAX_CLASSES
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import col, long_values
+from tabloom.functions.columns import col, to_double
 from tabloom.functions.local import local_table
 
 # up to this many cells the built-in exact median (a hash map per group) is used
@@ -18,6 +22,8 @@ DIRECT_CELLS = 4_000_000
 # below this many remaining values a search ends by sorting them in one group
 FINAL_VALUES = 50_000
 GRID = 500
+# values per column and group that bracket the middle rank; exact counts then tell where it is
+SAMPLE = 500_000
 ALL = "<all>"
 
 
@@ -34,8 +40,9 @@ def medians(
     """``{group: {column: median}}``; the only group is ``None`` without ``by``.
 
     The median of an even number of values is the mean of the two middle ones.
-    Large tables are searched: quantile sketches bracket the middle rank, exact
-    counts confirm the bracket, and the next pass looks only inside it. Nothing
+    Large tables are searched: quantiles of a sample bracket the middle rank, exact
+    counts of all values say where it is, and the next pass looks only there. A
+    poor sample costs a pass, never a wrong result. Nothing
     but a few numbers per (group, column) reaches the driver, and no task ever
     holds more than ``final_values`` values of a column.
     """
@@ -52,7 +59,8 @@ def medians(
     if rows * len(columns) <= direct_cells:
         aggs = [F.median(col(c).cast("double")).alias(c) for c in columns]
         return _collect_wide(df.groupBy(*keys).agg(*aggs), columns, by)
-    return _search(long_values(df, columns, keys).where("value is not null"), columns, by, final_values)
+    values = df.select(*keys, *[to_double(col(c)).alias(f"v{i}") for i, c in enumerate(columns)])
+    return _search(values, list(columns), by, final_values)
 
 
 def _collect_wide(result: DataFrame, columns: Sequence[str], by: str | None):
@@ -62,109 +70,136 @@ def _collect_wide(result: DataFrame, columns: Sequence[str], by: str | None):
     return {(r["group"] if by is not None else None): {c: r[c] for c in columns} for r in found}
 
 
-def _search(cells: DataFrame, columns: Sequence[str], by: str | None, final_values: int):
-    spark = cells.sparkSession
-    group_type = cells.schema["group"].dataType.simpleString()
-    counts = cells.groupBy("group", "column").agg(F.count("*").alias("n")).limit(MAX_CLASSES * len(columns) + 1).collect()
-    if len(counts) > MAX_CLASSES * len(columns):
+class _Bounds:
+    """Numbers per (group, column), put beside every row of the group."""
+
+    def __init__(self, values: DataFrame, by: str | None):
+        self._values = values
+        self._by = by
+
+    def beside(self, names: Sequence[str], numbers: dict[tuple, tuple]) -> DataFrame:
+        """``<name><i>`` columns; null where a (group, column) has no numbers."""
+        width = [f for f in self._values.columns if f != "group"]
+        places = [(f"{name}{i}", n, i) for i in range(len(width)) for n, name in enumerate(names)]
+        groups = list(dict.fromkeys(g for g, _ in numbers))
+        cells = [[numbers[(g, i)][n] if (g, i) in numbers else None for _, n, i in places] for g in groups]
+        if self._by is None:
+            return self._values.select("*", *[F.lit(v).cast("double").alias(p[0]) for p, v in zip(places, cells[0])])
+        fields = [self._values.schema["group"], *[T.StructField(p[0], T.DoubleType()) for p in places]]
+        table = local_table(self._values.sparkSession, [(g, *c) for g, c in zip(groups, cells)], T.StructType(fields))
+        # one row per class, at most MAX_CLASSES
+        return self._values.join(F.broadcast(table), "group")
+
+
+def _search(values: DataFrame, columns: list[str], by: str | None, final_values: int):
+    k = range(len(columns))
+    bounds = _Bounds(values, by)
+    counted = values.groupBy("group").agg(*[F.count(f"v{i}").alias(f"n{i}") for i in k]).limit(MAX_CLASSES + 1).collect()
+    if len(counted) > MAX_CLASSES:
         raise ValidationError(f"{by} has more than {MAX_CLASSES} classes")
-    n = {(r["group"], r["column"]): r["n"] for r in counts}
+    n = {(r["group"], i): r[f"n{i}"] for r in counted for i in k if r[f"n{i}"]}
     # open interval (low, high) holding the lower middle value, and its rank inside
-    open_cells = {k: dict(low=None, high=None, rank=(m - 1) // 2, inside=m) for k, m in n.items()}
+    searches = {key: dict(low=-math.inf, high=math.inf, closed=1, rank=(m - 1) // 2, inside=m) for key, m in n.items()}
     lower: dict[tuple, float] = {}
 
-    def inside(state: dict) -> DataFrame:
-        table = local_table(
-            spark,
-            [(g, c, s["low"], s["high"]) for (g, c), s in state.items()],
-            f"group {group_type}, column string, low double, high double",
-        )
-        # at most MAX_CLASSES x columns rows
-        return cells.join(F.broadcast(table), ["group", "column"]).where(
-            "(low is null or value > low) and (high is null or value < high)"
-        )
+    def inside(i: int) -> Column:
+        v = F.col(f"v{i}")
+        # the first interval includes infinite values
+        return ((v > F.col(f"low{i}")) & (v < F.col(f"high{i}"))) | (F.col(f"closed{i}") == 1) & v.isNotNull()
 
-    while open_cells:
-        small = {k: s for k, s in open_cells.items() if s["inside"] <= final_values}
+    def rows(searches: dict, extra: dict | None = None) -> DataFrame:
+        numbers = {
+            key: (s["low"], s["high"], s["closed"], min(1.0, SAMPLE / s["inside"]), float(s["rank"]), *(extra or {}).get(key, ()))
+            for key, s in searches.items()
+        }
+        return bounds.beside(["low", "high", "closed", "share", "rank", *(["e", "f"] if extra else [])], numbers)
+
+    while searches:
+        small = {key: s for key, s in searches.items() if s["inside"] <= final_values}
+        large = {key: s for key, s in searches.items() if key not in small}
+        searches = {}
         if small:
-            rest = inside(small).groupBy("group", "column").agg(F.sort_array(F.collect_list("value")).alias("v"))
-            ranks = local_table(
-                spark,
-                [(g, c, s["rank"]) for (g, c), s in small.items()], f"group {group_type}, column string, rank int"
-            )
-            for r in rest.join(F.broadcast(ranks), ["group", "column"]).select(
-                "group", "column", F.expr("v[rank]").alias("v")
-            ).collect():
-                lower[(r["group"], r["column"])] = r["v"]
-        large = {k: s for k, s in open_cells.items() if k not in small}
-        open_cells = {}
+            lists = [F.sort_array(F.collect_list(F.when(inside(i), F.col(f"v{i}")))).alias(f"a{i}") for i in k]
+            ranks = [F.max(f"rank{i}").cast("int").alias(f"r{i}") for i in k]
+            near = rows(small).where(reduce(or_, [inside(i) for i in k]))
+            found = near.groupBy("group").agg(*lists, *ranks)
+            for r in found.select("group", *[F.get(f"a{i}", F.col(f"r{i}")).alias(f"a{i}") for i in k]).collect():
+                lower.update({(r["group"], i): r[f"a{i}"] for i in k if (r["group"], i) in small})
         if not large:
             break
-        grid = [i / GRID for i in range(GRID + 1)]
-        sketches = inside(large).groupBy("group", "column").agg(
-            F.percentile_approx("value", grid, 20_000).alias("q")
+        grid = [j / GRID for j in range(GRID + 1)]
+        drawn = [inside(i) & (F.col("r") < F.col(f"share{i}")) for i in k]
+        sampled = rows(large).withColumn("r", F.rand(1)).where(reduce(or_, drawn))
+        quantiles = sampled.groupBy("group").agg(
+            *[F.percentile_approx(F.when(d, F.col(f"v{i}")), grid, 10_000).alias(f"q{i}") for i, d in zip(k, drawn)]
         )
         edges = {}
-        for r in sketches.collect():
-            s = large[(r["group"], r["column"])]
-            at = s["rank"] * GRID // s["inside"]
-            edges[(r["group"], r["column"])] = (r["q"][max(0, at - 1)], r["q"][min(GRID, at + 2)])
-        table = local_table(
-            spark,
-            [(g, c, lo, hi) for (g, c), (lo, hi) in edges.items()], f"group {group_type}, column string, e1 double, e2 double"
-        )
-        parts = (
-            inside(large)
-            .join(F.broadcast(table), ["group", "column"])
-            .groupBy("group", "column")
-            .agg(
-                F.count_if(F.expr("value < e1")).alias("below"),
-                F.count_if(F.expr("value = e1")).alias("at1"),
-                F.count_if(F.expr("value > e1 and value < e2")).alias("between"),
-                F.count_if(F.expr("value = e2 and e2 > e1")).alias("at2"),
-            )
-            .collect()
-        )
-        for p in parts:
-            key = (p["group"], p["column"])
-            s, (lo, hi) = large[key], edges[key]
-            rank = s["rank"]
-            if rank < p["below"]:
-                open_cells[key] = dict(low=s["low"], high=lo, rank=rank, inside=p["below"])
-                continue
-            rank -= p["below"]
-            if rank < p["at1"]:
-                lower[key] = lo
-                continue
-            rank -= p["at1"]
-            if rank < p["between"]:
-                open_cells[key] = dict(low=lo, high=hi, rank=rank, inside=p["between"])
-                continue
-            rank -= p["between"]
-            if rank < p["at2"]:
-                lower[key] = hi
-                continue
-            above = s["inside"] - p["below"] - p["at1"] - p["between"] - p["at2"]
-            open_cells[key] = dict(low=hi, high=s["high"], rank=rank - p["at2"], inside=above)
+        for r in quantiles.collect():
+            for i in k:
+                s = large.get((r["group"], i))
+                if s is not None and r[f"q{i}"]:
+                    at = s["rank"] * GRID // s["inside"]
+                    edges[(r["group"], i)] = (r[f"q{i}"][max(0, at - 1)], r[f"q{i}"][min(GRID, at + 2)])
+        searches.update({key: s for key, s in large.items() if key not in edges})  # an empty sample: try again
+        if not edges:
+            continue
+        counts = []
+        for i in k:
+            v, e, f = F.col(f"v{i}"), F.col(f"e{i}"), F.col(f"f{i}")
+            counts += [
+                F.count_if(inside(i) & (v < e)).alias(f"below{i}"),
+                F.count_if(inside(i) & (v == e)).alias(f"first{i}"),
+                F.count_if(inside(i) & (v > e) & (v < f)).alias(f"between{i}"),
+                F.count_if(inside(i) & (v == f) & (f > e)).alias(f"last{i}"),
+            ]
+        counted = rows({key: large[key] for key in edges}, edges).groupBy("group").agg(*counts).collect()
+        for r in counted:
+            for i in k:
+                key = (r["group"], i)
+                if key in edges:
+                    _narrow(key, large[key], edges[key], [r[f"{p}{i}"] for p in ("below", "first", "between", "last")], searches, lower)
+
+    upper = _upper(bounds, n, lower, len(columns))
+    groups = {g for g, _ in n} if by is not None else {ALL}
+    return {
+        (g if by is not None else None): {
+            c: (lower[(g, i)] + upper[(g, i)]) / 2 if (g, i) in lower else None for i, c in enumerate(columns)
+        }
+        for g in groups
+    }
+
+
+def _narrow(key, search: dict, edges: tuple, parts: list[int], searches: dict, lower: dict) -> None:
+    """Go on in the part that holds the rank: below, at the first edge, between, at the last edge, above."""
+    below, first, between, last = parts
+    above = search["inside"] - sum(parts)
+    lo, hi = edges
+    rank = search["rank"]
+    for size, value, low, high in (
+        (below, None, search["low"], lo), (first, lo, 0, 0), (between, None, lo, hi), (last, hi, 0, 0),
+        (above, None, hi, search["high"]),
+    ):
+        if rank < size:
+            if value is not None:
+                lower[key] = value
+            else:
+                searches[key] = dict(low=low, high=high, closed=0, rank=rank, inside=size)
+            return
+        rank -= size
 
+
+def _upper(bounds: _Bounds, n: dict, lower: dict, width: int) -> dict:
+    """The upper middle values: the lower one again, or the next larger value."""
     upper = dict(lower)
-    even = {k: v for k, v in lower.items() if n[k] % 2 == 0}
+    even = {key: (v,) for key, v in lower.items() if n[key] % 2 == 0}
     if even:
-        table = local_table(
-            spark,
-            [(g, c, v) for (g, c), v in even.items()], f"group {group_type}, column string, found double"
-        )
-        nexts = cells.join(F.broadcast(table), ["group", "column"]).groupBy("group", "column").agg(
-            F.count_if(F.expr("value <= found")).alias("upto"),
-            F.min(F.expr("if(value > found, value, null)")).alias("next"),
-        )
-        for r in nexts.collect():
-            key = (r["group"], r["column"])
-            if r["upto"] <= n[key] // 2:
-                upper[key] = r["next"]
-    result: dict[Any, dict[str, float | None]] = {}
-    for (g, c), v in lower.items():
-        result.setdefault(g if by is not None else None, dict.fromkeys(columns))[c] = (v + upper[(g, c)]) / 2
-    if by is None:
-        result.setdefault(None, dict.fromkeys(columns))
-    return result
+        aggs = []
+        for i in range(width):
+            v, found = F.col(f"v{i}"), F.col(f"found{i}")
+            aggs += [F.count_if(v <= found).alias(f"upto{i}"), F.min(F.when(v > found, v)).alias(f"next{i}")]
+        for r in bounds.beside(["found"], even).groupBy("group").agg(*aggs).collect():
+            for i in range(width):
+                key = (r["group"], i)
+                if key in even and r[f"upto{i}"] <= n[key] // 2:
+                    upper[key] = r[f"next{i}"]
+    return upper

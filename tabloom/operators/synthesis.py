@@ -30,10 +30,10 @@ from tabloom.functions.columns import col, is_infinite, to_double
 from tabloom.functions.local import local_table
 from tabloom.operators import adversarial as net
 from tabloom.operators.checks import check_synthesis
-from tabloom.operators.cleaning import preprocess_numeric
+from tabloom.operators.cleaning import fill_by_class
 from tabloom.operators.profiling import checked_counts
 from tabloom.operators.sampling import pick_by_counts
-from tabloom.operators.scaling import MinMaxScaler, fit_min_max
+from tabloom.operators.scaling import MinMaxScaler
 from tabloom.scratch import materialize
 
 # tasks get these functions themselves, so executors need no installed copy of the package
@@ -191,36 +191,41 @@ def fit(
 
 
 def _prepare(df: DataFrame, columns: Sequence[str], key: str) -> tuple[DataFrame, MinMaxScaler, dict]:
-    """Filled table, limits and rows per class; one pass where nothing is to be filled."""
+    """Filled table, limits and rows per class, from one pass and the medians that turn out to be needed.
+
+    Medians lie between the finite limits of their class, so filling does not move them.
+    """
     df = df.withColumns({c: to_double(col(c)) for c in columns})
     aggs = [F.count("*").alias("rows")]
     for i, c in enumerate(columns):
         v = col(c)
+        finite = F.when(~is_infinite(v), v)
         aggs += [
-            F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-            F.count_if(v.isNull() | is_infinite(v)).alias(f"bad{i}"),
+            F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}"),
+            F.count_if(v.isNull()).alias(f"null{i}"), F.count_if(is_infinite(v)).alias(f"inf{i}"),
         ]
     found = df.groupBy(col(key).alias("class")).agg(*aggs).limit(MAX_CLASSES + 1).collect()
     counts = checked_counts({r["class"]: r["rows"] for r in found}, key)
     if not counts:
         raise ValidationError("no rows to fit on")
-    if any(r[f"bad{i}"] for r in found for i in range(len(columns))):
-        df = preprocess_numeric(df, key, columns)
-        scaler = fit_min_max(df, columns, key)
-    else:
-        limits = {r["class"]: {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(columns)} for r in found}
-        scaler = MinMaxScaler(list(columns), key, limits)
-    empty = {c for lims in scaler.limits.values() for c, (low, _) in lims.items() if low is None}
+    limits = {r["class"]: {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(columns)} for r in found}
+    empty = {c for lims in limits.values() for c, (low, _) in lims.items() if low is None}
     if empty:
         raise ValidationError(f"columns without values in some class: {sorted(empty)}")
-    return df, scaler, counts
+    nulls = [c for i, c in enumerate(columns) if any(r[f"null{i}"] for r in found)]
+    infinite = [c for i, c in enumerate(columns) if any(r[f"inf{i}"] for r in found)]
+    if nulls or infinite:
+        # filled once, not in every pass that follows
+        df = materialize(fill_by_class(df, nulls, infinite, key, sum(counts.values())), "filled")
+    return df, MinMaxScaler(list(columns), key, limits), counts
 
 
 def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dict, shard_rows: int) -> DataFrame:
     """(i, shard, copies, data) with the class number ``i``: one row per shard, written once, read in every round.
 
-    Equal rows are counted first, so a row with very many copies is spread over
-    shards like any other data and each shard stays near ``shard_rows`` rows.
+    Rows go to shards by their content. Where that makes a shard too large, a row
+    has very many copies: then equal rows are counted first and travel in
+    portions of copies, which are spread like any other rows.
     """
     spark = scaled.sparkSession
     fields = [T.StructField("class", scaled.schema[key].dataType)]
@@ -235,18 +240,23 @@ def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dic
     )
     named = scaled.select(col(key).alias("class"), *[col(c).cast("float").alias(f"x{i}") for i, c in enumerate(columns)])
     values = [f"x{i}" for i in range(len(columns))]
-    distinct = named.groupBy("class", *values).agg(F.count("*").alias("n"))
-    chunks = distinct.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")))
-    placed = chunks.withColumn("h", F.xxhash64(*values, "chunk")).join(F.broadcast(sizes), "class")
-    row = F.struct(
-        "h",
-        F.array(*values).alias("x"),
-        F.expr(f"cast(least({COPIES}, n - chunk * {COPIES}) as int)").alias("copies"),
-    )
-    packed = (
-        placed.groupBy("i", "first", F.expr("pmod(xxhash64(h), shards)").alias("shard"))
-        .agg(F.sort_array(F.collect_list(row)).alias("rows"))
-        .select("i", "first", "shard", F.col("rows.copies").alias("copies"), F.flatten(F.col("rows.x")).alias("data"))
+    shard = F.expr("pmod(xxhash64(h), shards)").alias("shard")
+    placed = named.withColumn("h", F.xxhash64(*values)).withColumn("copies", F.lit(1)).join(F.broadcast(sizes), "class")
+    largest = placed.groupBy("i", shard).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    if largest > 2 * shard_rows + COPIES:
+        counted = named.groupBy("class", *values).agg(F.count("*").alias("n"))
+        portions = counted.withColumn("portion", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")))
+        portions = portions.withColumn("copies", F.expr(f"cast(least({COPIES}, n - portion * {COPIES}) as int)"))
+        placed = portions.withColumn("h", F.xxhash64(*values, "portion")).join(F.broadcast(sizes), "class")
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("h", kind="stable")
+        one = {c: [rows[c].iloc[0]] for c in ("i", "first", "shard")}
+        data = rows[values].to_numpy(np.float32).ravel()
+        return pd.DataFrame({**one, "copies": [rows["copies"].to_numpy(np.int32)], "data": [data]})
+
+    packed = placed.select("i", "first", shard, "h", "copies", *values).groupBy("i", "first", "shard").applyInPandas(
+        pack, "i bigint, first bigint, shard bigint, copies array<int>, data array<float>"
     )
     total = firsts[-1]
     if total <= FEW_SHARDS * spark.sparkContext.defaultParallelism:
