@@ -28,6 +28,16 @@ def frequencies(spark, sf):
     return _round(c.category_frequencies(*_both(spark, sf), CATEGORICAL).drop("in_real", "in_synthetic"))
 
 
+def align(spark, sf):
+    """Proportions of two tables with different categories, joined over their union."""
+    real, syn = _both(spark, sf)
+    return _round(
+        c.align_frequencies(
+            c.proportions(real.where("l_returnflag <> 'R'"), "l_returnflag"), c.proportions(syn.where("l_returnflag <> 'A'"), "l_returnflag")
+        )
+    )
+
+
 def drift_one_hot(spark, sf):
     """The second table holds one-hot columns; the first one categories it lacks."""
     real, syn = _both(spark, sf)
@@ -92,7 +102,8 @@ def target_bars(spark, sf):
 QUERIES = {
     "drift_numeric": drift_numeric,
     "drift_categorical": drift_categorical,
-    "align_frequencies": frequencies,
+    "category_frequencies": frequencies,
+    "align_frequencies": align,
     "drift_one_hot": drift_one_hot,
     "drift_target": drift_target,
     "comparison_table": comparison_table,
@@ -190,6 +201,12 @@ SQL = {
         from drift""",
     "drift_categorical": f"with {REAL}, {_FREQUENCIES} {_CAT_ROUNDED}",
     "align_frequencies": f"""
+        with {REAL},
+        a as (select l_returnflag as category, count(*) / sum(count(*)) over () as f from re where l_returnflag <> 'R' group by 1),
+        b as (select l_returnflag as category, count(*) / sum(count(*)) over () as f from sy where l_returnflag <> 'A' group by 1)
+        select coalesce(a.category, b.category) as category, round(coalesce(a.f, 0), 6) as "left", round(coalesce(b.f, 0), 6) as "right"
+        from a full join b on a.category = b.category""",
+    "category_frequencies": f"""
         with {REAL}, {_FREQUENCIES}
         select variable, category, round(real_freq, 6) as real_freq, round(synthetic_freq, 6) as synthetic_freq from freq""",
     "drift_one_hot": f"with {REAL}, freq as ({_freq('l_returnflag')}) {_CAT_ROUNDED}",

@@ -51,7 +51,20 @@ def common_numeric(spark, sf):
     return spark.createDataFrame([(n,) for n in names], "column string")
 
 
+def table_quality(spark, sf):
+    """Shape, nulls, copies and roles of a table with copies, from the nested report."""
+    df = table(spark, sf, "lineitem").selectExpr(
+        "l_quantity", "l_discount", "case when l_tax > 0.06 then null else l_tax end as l_tax", "l_returnflag"
+    )
+    r = checks.quality_report(df)
+    data = [(*r["shape"], r["duplicates"], r["missing_values"]["l_tax"], len(r["numeric_columns"]), len(r["categorical_columns"]))]
+    return spark.createDataFrame(
+        data, "rows bigint, columns bigint, duplicates bigint, nulls bigint, numeric_columns bigint, categorical_columns bigint"
+    )
+
+
 QUERIES = {
+    "table_quality": table_quality,
     "missing_profile": missing,
     "high_missing": lambda spark, sf: p.high_missing(_sparse_orders(spark, sf)).select("column", "nulls", "rows"),
     "table_summary": lambda spark, sf: p.summary(_typed_orders(spark, sf)),
@@ -108,6 +121,11 @@ _ID_LIKE = " union all ".join(
 )
 
 SQL = {
+    "table_quality": """
+        with t as (select l_quantity, l_discount, case when l_tax > 0.06 then null else l_tax end as l_tax, l_returnflag from lineitem)
+        select count(*) as rows, cast(4 as bigint) as columns, count(*) - (select count(*) from (select distinct * from t)) as duplicates,
+               count(*) - count(l_tax) as nulls, cast(3 as bigint) as numeric_columns, cast(1 as bigint) as categorical_columns
+        from t""",
     "missing_profile": f"with {_SPARSE} select *, round(nulls / rows, 9) as null_fraction, nulls / rows > 0.5 as high_missing from ({_PROFILE})",
     "high_missing": f"with {_SPARSE} select \"column\", nulls, rows from ({_PROFILE}) where nulls / rows > 0.5",
     "table_summary": f"with {MESSY_ORDERS} " + " union all ".join(_profile_row(i, *c) for i, c in enumerate(_COLUMNS[:5])),

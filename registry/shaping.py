@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from registry.inputs import MESSY_NUMBERS, messy_numbers, table
 from tabloom.operators import correlation as cor
 from tabloom.operators import encoding as e
+from tabloom.operators.comparison import target_correlation_bars
 from tabloom.operators.features import prepare_features
 from tabloom.operators.scaling import fit_min_max, fit_standard
 
@@ -96,7 +97,12 @@ def corr_target(spark, sf):
     return cor.target_correlations(_matrix(spark, sf), TARGET).withColumn("correlation", F.round("correlation", 8))
 
 
+def corr_target_bars(spark, sf):
+    return target_correlation_bars(_matrix(spark, sf), TARGET).select("variable", "sign", "label")
+
+
 QUERIES = {
+    "corr_target_bars": corr_target_bars,
     "label_encode": label_encode,
     "encoder_map": encoder_map,
     "label_encode_text": label_encode_text,
@@ -154,6 +160,10 @@ def _dummies(column: str, values) -> str:
 
 
 SQL = {
+    "corr_target_bars": f"""
+        with {_PAIRS}
+        select variable_1 as variable, case when r < 0 then 'negative' else 'positive' end as sign, printf('%.3f', r) as label
+        from pairs where variable_2 = '{TARGET}' and variable_1 <> '{TARGET}'""",
     "label_encode": """
         select o_orderkey, dense_rank() over (order by o_orderstatus) - 1 as o_orderstatus,
                dense_rank() over (order by o_orderpriority) - 1 as o_orderpriority from orders""",

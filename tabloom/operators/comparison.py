@@ -23,6 +23,7 @@ from tabloom.functions.columns import (
     to_double,
 )
 from tabloom.functions.local import local_table
+from tabloom.operators.correlation import target_correlations
 from tabloom.operators.profiling import common_numeric_columns
 
 REAL, SYNTHETIC = "real", "synthetic"
@@ -187,6 +188,19 @@ def frequency_drift(frequencies: DataFrame, limit: float = D.CATEGORICAL_DRIFT)
     )
 
 
+def align_frequencies(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two tables (category, proportion) over the union of their categories, absent = 0, sorted."""
+    a = left.select(F.col(left.columns[0]).alias("category"), F.col(left.columns[1]).alias("left"))
+    b = right.select(F.col(right.columns[0]).alias("category"), F.col(right.columns[1]).alias("right"))
+    return a.join(b, "category", "full").na.fill(0.0, ["left", "right"]).orderBy("category")
+
+
+def proportions(df: DataFrame, column: str) -> DataFrame:
+    """Share of every category, missing values as ``nan``."""
+    rows = df.count()
+    return df.groupBy(text_or_nan(col(column)).alias("category")).agg((F.count("*") / F.lit(max(1, rows))).alias("proportion"))
+
+
 def categorical_drift(
     real: DataFrame,
     synthetic: DataFrame,
@@ -394,6 +408,11 @@ def band_of(score: float) -> str:
 # --- charts as tables ------------------------------------------------------
 
 
+def target_correlation_bars(matrix: DataFrame, target: str) -> DataFrame:
+    """Bars of the correlations with the target, strongest first: value, sign, label."""
+    return target_correlations(matrix, target).withColumn("label", F.format_string("%.3f", F.col("correlation")))
+
+
 def class_bars(df: DataFrame, target: str) -> DataFrame:
     """Counts per class, missing ones left out."""
     return df.where(col(target).isNotNull()).groupBy(col(target).cast("string").alias("class")).agg(F.count("*").alias("rows"))

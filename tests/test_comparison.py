@@ -165,3 +165,14 @@ def test_bars_and_generated_validation(spark, cleaned):
     assert not v["column_comparison"]["columns_match"] and not v["data_types_match"]
     stats = v["numeric_stats_comparison"]["score_pct_"]
     assert stats["mean_difference"] == pytest.approx(155 - 58.3333333) and stats["original_std"] == pytest.approx(341.7706, abs=1e-4)
+
+
+def test_aligned_frequencies_and_correlation_bars(spark, cleaned):
+    from tabloom import correlation_matrix
+
+    a = spark.createDataFrame([("x", 0.5), ("z", 0.5)], "c string, f double")
+    b = spark.createDataFrame([("y", 1.0)], "c string, f double")
+    assert [tuple(r) for r in c.align_frequencies(a, b).collect()] == [("x", 0.5, 0.0), ("y", 0.0, 1.0), ("z", 0.5, 0.0)]
+    assert {r["category"]: r["proportion"] for r in c.proportions(cleaned.table, "grade").collect()} == pytest.approx({"A": 6 / 11, "B": 5 / 11}, abs=0.1)
+    first = c.target_correlation_bars(correlation_matrix(cleaned.table), "flag").first()
+    assert (first["variable"], first["sign"], first["label"]) == ("kind", "negative", "-0.555")
