@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,10 @@ from tabloom.functions.columns import col, numeric_columns, string_columns, to_d
 from tabloom.functions.local import local_table
 from tabloom.operators.encoding import LabelCodes, label_codes
 
-# sums per aggregate; wider tables take several passes
+# sums per aggregate; more of them take several passes
 SUMS_PER_PASS = 1500
+# above this many columns a table without nulls goes through one matrix product
+WIDE = 60
 MATRIX_SCHEMA = "i int, j int, variable_1 string, variable_2 string, correlation double"
 
 
@@ -26,7 +30,8 @@ def correlation_matrix(
     Text columns are replaced by their label codes. Pairs use the rows where
     both values exist; a constant column correlates with nothing (null). One
     pass finds means and nulls, a second one sums centred products, so each pair
-    costs a single running sum where neither column has nulls.
+    costs a single running sum where neither column has nulls. Wide tables
+    without nulls use the distributed matrix product of MLlib instead.
     """
     wanted = list(columns or [c for c in df.columns if c in set(numeric_columns(df)) | set(string_columns(df))])
     text = [c for c in wanted if c in string_columns(df)]
@@ -45,6 +50,9 @@ def correlation_matrix(
     usable = [i for i in range(k) if not seen[f"const{i}"]]
     centred = df.select(*[(F.col(f"c{i}") - F.lit(seen[f"avg{i}"])).alias(f"x{i}") for i in usable])
 
+    if len(usable) > WIDE and all(full[i] for i in usable):
+        return local_table(df.sparkSession, _matrix_rows(wanted, usable, _gramian_correlation(centred)), MATRIX_SCHEMA)
+
     sums: dict[str, float] = {}
     pending: list[tuple[str, Column]] = []
 
@@ -73,15 +81,22 @@ def correlation_matrix(
                 flush()
     flush()
 
-    result = []
-    for i in range(k):
-        for j in range(k):
-            a, b = min(i, j), max(i, j)
-            r = None
-            if a in usable and b in usable:
-                r = 1.0 if a == b else _pearson(sums, a, b, full[a] and full[b])
-            result.append((i, j, wanted[i], wanted[j], r))
-    return local_table(df.sparkSession, result, MATRIX_SCHEMA)
+    known = {
+        (a, b): 1.0 if a == b else _pearson(sums, a, b, full[a] and full[b]) for a in usable for b in usable if a <= b
+    }
+    return local_table(df.sparkSession, _matrix_rows(wanted, usable, known), MATRIX_SCHEMA)
+
+
+def _matrix_rows(names: list[str], usable: list[int], known) -> list[tuple]:
+    """All cells in order; ``known`` holds pairs (a <= b) by column number, or a matrix over the usable columns."""
+    if not isinstance(known, dict):
+        known = {(a, b): float(known[x, y]) for x, a in enumerate(usable) for y, b in enumerate(usable) if a <= b}
+    return [(i, j, a, b, known.get((min(i, j), max(i, j)))) for i, a in enumerate(names) for j, b in enumerate(names)]
+
+
+def _gramian_correlation(centred: DataFrame):
+    assembled = VectorAssembler(inputCols=centred.columns, outputCol="features").transform(centred).select("features")
+    return Correlation.corr(assembled, "features").first()[0].toArray()
 
 
 def _pearson(sums: dict, i: int, j: int, complete: bool) -> float | None:

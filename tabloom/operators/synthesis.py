@@ -44,6 +44,8 @@ SHARD_ROWS = 50_000
 # equal rows travel as one row with a number of copies, at most this many
 COPIES = 256
 BLOCK_ROWS = 4096
+# blocks one sampling task makes at most, so that a lost one costs little
+BLOCKS_PER_TASK = 512
 ROUNDS = 10
 # up to this many shards per core each one is made a task of its own
 FEW_SHARDS = 8
@@ -171,15 +173,18 @@ def fit(
         else:
             states[k], steps[k] = net.initial_state(layout, np.random.default_rng([seed, index])), 0
 
+    spark = df.sparkSession
     shards = pack_shards(scaler.transform(df), columns, key, counts, shard_rows)
     largest = max(math.ceil(n / shard_rows) for n in counts.values())
     rounds = 1 if largest == 1 else max(1, min(epochs, rounds or ROUNDS))
     metrics, done = [], 0
     for r in range(rounds):
         local = epochs // rounds + (r < epochs % rounds)
-        partial = _train_round(shards, layout, states, steps, list(counts), local, batch_size, learning_rate, [seed, r])
+        shared = spark.sparkContext.broadcast([(states[k], steps[k]) for k in counts])
+        partial = _train_round(shards, shared, layout, local, batch_size, learning_rate, [seed, r])
         metrics += [(k, done + e, n, s, g, d) for k, e, n, s, g, d in _average(partial, list(counts), states, steps, local)]
         done += local
+        shared.unpersist()
 
     if by is None:
         return SynthModel(
@@ -266,9 +271,8 @@ def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dic
     return materialize(packed, "shards")
 
 
-def _train_round(shards, layout, states, steps, classes, epochs, batch_size, learning_rate, seeds) -> DataFrame:
+def _train_round(shards, shared, layout, epochs, batch_size, learning_rate, seeds) -> DataFrame:
     """One row per class number and task: rows, shards, weighted state and loss sums."""
-    shared = shards.sparkSession.sparkContext.broadcast([(states[k], steps[k]) for k in classes])
     width = layout[2][1]
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -362,7 +366,8 @@ def sample_normalized(spark: SparkSession, model: SynthModel, quotas: dict[Any,
     shared = spark.sparkContext.broadcast(
         [(model.states[k][:size].astype(np.float32), starts[k], quotas[k]) for k in classes]
     )
-    plan = spark.range(total).select("id", pick_by_counts(dict(enumerate(blocks.values())), F.col("id"), "int").alias("i"))
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / BLOCKS_PER_TASK))
+    plan = spark.range(0, total, 1, tasks).select("id", pick_by_counts(dict(enumerate(blocks.values())), F.col("id"), "int").alias("i"))
 
     def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -15,7 +15,7 @@ from tabloom.operators.sampling import stratified_split
 from tabloom.operators.synthesis import SynthModel
 from tabloom.plans import stages
 from tabloom.scratch import materialize
-from tabloom.sources import read_table
+from tabloom.sources import file_format, read_table
 
 
 @dataclass
@@ -36,6 +36,7 @@ def run(
     target: str = D.TARGET,
     out_dir: str | None = None,
     *,
+    fmt: str | None = None,
     n: int = D.SYNTHETIC_ROWS,
     test_size: float = D.TEST_SIZE,
     seed: int = D.SEED,
@@ -59,9 +60,12 @@ def run(
         test_size=test_size, seed=seed, epochs=epochs, batch_size=batch_size, latent_dim=latent_dim,
         learning_rate=learning_rate, n=n, max_categories=max_categories, drift_limit=drift_limit,
     )
-    raw = read_table(spark, source) if isinstance(source, str) else source
-    if isinstance(source, str) and not source.rstrip("/").lower().endswith(".parquet"):
-        raw = materialize(raw, "typed")  # parse text once, read columns from then on
+    raw = source
+    if isinstance(source, str):
+        fmt = fmt or file_format(source)
+        raw = read_table(spark, source, fmt)
+        if fmt != "parquet":
+            raw = materialize(raw, "typed")  # parse text once, read columns from then on
     reports: dict[str, dict[str, Any]] = {}
     cleaned, reports["cleaning"] = stages.clean_stage(raw, target, out_dir, source if isinstance(source, str) else "")
     reports["correlation"] = stages.correlation_stage(cleaned, target, out_dir, correlation_columns)

@@ -111,16 +111,23 @@ def _read_column_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return infer_text_types(wide.select(*[col(n) for n in names]))
 
 
+def file_format(path: str) -> str:
+    """Format by file suffix, in any case."""
+    name = path.lower().rstrip("/")
+    for suffix, fmt in FORMATS.items():
+        if name.endswith(suffix):
+            return fmt
+    raise ValidationError(f"unsupported file format: {path}")
+
+
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
-    """Read by format or by file suffix (any case)."""
-    if fmt is None:
-        fmt = next((f for suffix, f in FORMATS.items() if path.lower().rstrip("/").endswith(suffix)), None)
-        if fmt == "json" and "orient" not in options and not path.lower().rstrip("/").endswith(".jsonl"):
-            options["orient"] = "records"
+    """Read by format or by file suffix; a ``.json`` file holds an array unless ``orient`` says otherwise."""
+    fmt = fmt or file_format(path)
     if fmt == "csv":
         return read_csv(spark, path, **options)
     if fmt == "json":
-        return read_json(spark, path, **options)
+        one_array = path.lower().rstrip("/").endswith(".json")
+        return read_json(spark, path, **{"orient": "records" if one_array else "lines", **options})
     if fmt == "parquet":
         return spark.read.parquet(path)
-    raise ValidationError(f"unsupported file format: {path}")
+    raise ValidationError(f"unsupported file format: {fmt}")

@@ -121,3 +121,17 @@ def test_feature_chain(cleaned):
     assert f.columns == ["w", "grade_A", "grade_B", "kind_blue", "kind_green", "kind_red", "code_7", "code_8", "code_9"]
     assert list(f.scaler.mean) == ["w"] and f.table.columns[-1] == "flag"
     assert sum(r["w"] for r in f.table.collect()) == pytest.approx(0)
+
+
+def test_wide_tables_agree_with_the_sums(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(1e5, 1, (300, 5)), columns=list("abcde"))
+    pdf["e"] += pdf["a"]
+    pdf["f"] = 1.5
+    df = spark.createDataFrame(pdf)
+    narrow = {(r["i"], r["j"]): r["correlation"] for r in correlation_matrix(df).collect()}
+    monkeypatch.setattr(cor, "WIDE", 2)
+    wide = {(r["i"], r["j"]): r["correlation"] for r in correlation_matrix(df).collect()}
+    assert narrow.keys() == wide.keys() and narrow[(0, 5)] is None and wide[(5, 5)] is None
+    for key, r in narrow.items():
+        assert (r is None) == (wide[key] is None) and (r is None or r == pytest.approx(wide[key], abs=1e-9))
