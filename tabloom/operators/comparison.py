@@ -123,7 +123,8 @@ def category_frequencies(
 
     n = {}
     for side, df, names in ((REAL, real, wanted), (SYNTHETIC, synthetic, plain)):
-        aggs = [approx_distinct(text_or_nan(col(c))).alias(f"d{i}") for i, c in enumerate(names)]
+        screen = names if max_categories is not None else []
+        aggs = [approx_distinct(text_or_nan(col(c))).alias(f"d{i}") for i, c in enumerate(screen)]
         row = df.agg(F.count("*").alias("rows"), *aggs).first()
         n[side] = row["rows"]
         if max_categories is not None:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tabloom.defaults import ID_NAME_PARTS
+from tabloom.defaults import ID_NAME_PARTS, MAX_ONE_HOT
 from tabloom.functions.columns import col, string_columns
 from tabloom.operators.encoding import one_hot, one_hot_values
 from tabloom.operators.profiling import id_like_profile
@@ -31,6 +31,7 @@ def prepare_features(
     *,
     id_name_parts: Sequence[str] = tuple(ID_NAME_PARTS),
     keep: Sequence[str] = (),
+    one_hot_limit: int = MAX_ONE_HOT,
 ) -> Features:
     """Drop target and ID-like columns, one-hot the text columns, scale the continuous ones.
 
@@ -42,7 +43,7 @@ def prepare_features(
     dropped = [r["column"] for r in roles if r["id_like"]]
     names = [c for c in plain.columns if c not in dropped]
     categorical = [c for c in string_columns(plain) if c in names]
-    values = one_hot_values(df, categorical, estimates={r["column"]: r["distinct_estimate"] for r in roles})
+    values = one_hot_values(df, categorical, one_hot_limit, {r["column"]: r["distinct_estimate"] for r in roles})
     wide = one_hot(df.select(*[col(c) for c in names], *[col(c) for c in kept]), categorical, values)
     columns = [c for c in wide.columns if c not in kept]
     wide = wide.select(*[col(c) for c in columns], *[col(c) for c in kept])

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.defaults import COMPARE_ID_NAME_PARTS, ID_NAME_PARTS, ID_UNIQUENESS, MAX_CLASSES, MAX_NULL_FRACTION
 from tabloom.errors import ValidationError
@@ -16,7 +17,6 @@ from tabloom.functions.columns import (
     is_infinite,
     numeric_columns,
     rows_from_one,
-    string_columns,
     to_double,
 )
 from tabloom.functions.local import local_table
@@ -26,9 +26,10 @@ NEAR_LIMIT = 6 * DISTINCT_ERROR
 
 
 def role(df: DataFrame, column: str) -> str:
-    if column in numeric_columns(df):
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
         return "numeric"
-    return "categorical" if column in string_columns(df) else "other"
+    return "categorical" if isinstance(kind, T.StringType) else "other"
 
 
 def _per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:

@@ -49,6 +49,7 @@ def run(
     max_categories: int = D.MAX_CATEGORIES,
     drift_limit: float = D.NUMERIC_DRIFT,
     correlation_columns: Sequence[str] | None = None,
+    one_hot_limit: int = D.MAX_ONE_HOT,
     **fit_settings,
 ) -> Run:
     """Clean, correlate, split, balance, prepare, fit and sample, compare.
@@ -75,7 +76,7 @@ def run(
     test = stages._store(split.test, out_dir, "test_data")
     balanced, reports["analysis"] = stages.analyze_and_balance(train, target, out_dir, seed, keys)
 
-    features = prepare_features(balanced, target)
+    features = prepare_features(balanced, target, one_hot_limit=one_hot_limit)
     synthetic, model = stages.generation_stage(
         features, target, n, out_dir, stratified=stratified, seed=seed, epochs=epochs, batch_size=batch_size,
         latent_dim=latent_dim, learning_rate=learning_rate, **fit_settings,

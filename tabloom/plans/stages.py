@@ -12,11 +12,10 @@ from tabloom import defaults as D
 from tabloom.functions.columns import col, string_columns
 from tabloom.functions.local import keep_small
 from tabloom.operators import comparison as cmp
-from tabloom.operators.checks import check_balancing, check_comparison, check_correlation, check_table, quality_report
+from tabloom.operators.checks import check_balancing, check_comparison, check_correlation, quality_report
 from tabloom.operators.cleaning import clean, cleaning_report
 from tabloom.operators.correlation import correlation_report
 from tabloom.operators.features import Features
-from tabloom.operators.profiling import class_analysis
 from tabloom.operators.sampling import Balanced, bootstrap_labels, undersample, validation_report
 from tabloom.operators.synthesis import SynthModel, fit, sample
 from tabloom.scratch import materialize
@@ -152,14 +151,3 @@ def comparison_stage(
         write_table(cmp.category_bars(target_freqs), f"{out_dir}/charts/target")
     return Comparison(table, frequencies, cmp.fidelity_score(table), report)
 
-
-__all__ = [
-    "Comparison",
-    "analyze_and_balance",
-    "check_table",
-    "class_analysis",
-    "clean_stage",
-    "comparison_stage",
-    "correlation_stage",
-    "generation_stage",
-]

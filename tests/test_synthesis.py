@@ -133,3 +133,15 @@ def test_full_run_writes_everything(spark, tmp_path):
         assert json.loads("\n".join(x[0] for x in spark.read.text(f"{out}/reports/{name}").collect()))
     for name in ("categories", "histograms", "target"):
         assert spark.read.parquet(f"{out}/charts/{name}").count() > 0
+
+
+def test_odd_names_and_categories_go_all_the_way(spark):
+    rng = np.random.default_rng(3)
+    titles = ["Mr. X", "Ms `Y`", 'Dr "Z"', "a b"]
+    rows = [(int(i % 2), float(rng.normal()), titles[rng.integers(4)], float(rng.integers(0, 9))) for i in range(400)]
+    raw = spark.createDataFrame(rows, "target int, `Size (cm)` double, `the.title` string, n double")
+    r = run(spark, raw, "target", n=60, epochs=2, latent_dim=4, hidden=8)
+    assert "the_title_Mr. X" in r.synthetic.columns and r.synthetic.count() == 60
+    assert r.reports["comparison"]["the_title"]["categories"] == sorted(titles)
+    plain = spark.createDataFrame([(1.0, "a"), (2.0, "b")] * 20, "`x.y` double, `k.l` string")
+    assert synthesize(plain, 6, ["x.y"], "k.l", epochs=1, **SMALL).columns == ["x.y", "k.l"]
