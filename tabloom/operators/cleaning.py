@@ -175,11 +175,16 @@ def clean(
     return Cleaned(drop_duplicates(fill(step, fills)), fills, rows, before, counts)
 
 
-def cleaning_report(cleaned: Cleaned, table: DataFrame | None = None, source: str = "") -> dict[str, Any]:
-    """Nested report. Pass the written table to avoid computing the cleaning twice."""
+def cleaning_report(
+    cleaned: Cleaned, table: DataFrame | None = None, source: str = "", quality: dict[str, Any] | None = None
+) -> dict[str, Any]:
+    """Nested report. Pass the written table, or its quality report, to avoid computing things twice."""
     table = cleaned.table if table is None else table
-    after = null_counts(table)
-    rows = after.pop(None)
+    if quality is None:
+        after = null_counts(table)
+        rows = after.pop(None)
+    else:
+        rows, after = quality["shape"][0], quality["missing_values"]
     removed = cleaned.rows_before - rows
     return {
         "load_info": {

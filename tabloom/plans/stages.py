@@ -41,8 +41,8 @@ def clean_stage(
     """Clean, store, report with quality checks of the stored table."""
     cleaned = clean(raw, target)
     table = _store(cleaned.table, out_dir, "cleaned_dataset")
-    report = cleaning_report(cleaned, table, source)
-    report["quality_report"] = quality_report(table, "cleaned table", duplicates=0)
+    quality = quality_report(table, "cleaned table", duplicates=0)
+    report = {**cleaning_report(cleaned, table, source, quality), "quality_report": quality}
     _report(raw.sparkSession, report, out_dir, "cleaning_report")
     return table, report
 
