@@ -26,7 +26,7 @@ class LabelCodes:
     small: dict[str, list[str]]
     """sorted values of columns whose codes may be broadcast"""
     large: dict[str, DataFrame]
-    """(value, rows, code) of the others, never collected"""
+    """(digest, value, rows, code) of the others, never collected"""
     rows: int
 
     def mapping(self, spark) -> DataFrame:
@@ -50,14 +50,15 @@ class LabelCodes:
         return df
 
     def _encode_large(self, df: DataFrame, column: str, table: DataFrame) -> DataFrame:
+        # joined by digest, so that long texts are neither broadcast nor shuffled;
         # fewer than HOT_SHARE values can hold more than 1/HOT_SHARE of the rows:
         # their codes are broadcast and their rows take no part in the shuffle
-        hot = F.broadcast(table.where(F.col("rows") * HOT_SHARE > self.rows).select("value", "code"))
-        rest = table.select("value", "code")
-        marked = df.withColumn("_t", text_or_nan(col(column)))
-        of_hot = marked.join(hot, F.col("_t") == F.col("value"))
-        others = marked.join(hot.select("value"), F.col("_t") == F.col("value"), "left_anti")
-        return of_hot.unionAll(others.join(rest, F.col("_t") == F.col("value"))).withColumn(column, F.col("code"))
+        codes = table.select(F.col("digest").alias("_digest"), F.col("code").alias("_code"), "rows")
+        hot = F.broadcast(codes.where(F.col("rows") * HOT_SHARE > self.rows).drop("rows"))
+        marked = df.withColumn(column, F.md5(text_or_nan(col(column)))).withColumnRenamed(column, "_digest")
+        of_hot = marked.join(hot, "_digest")
+        others = marked.join(hot.select("_digest"), "_digest", "left_anti").join(codes.drop("rows"), "_digest")
+        return of_hot.unionByName(others).withColumnRenamed("_code", column)
 
 
 def label_codes(df: DataFrame, columns: Sequence[str] | None = None) -> LabelCodes:
@@ -91,7 +92,8 @@ def label_codes(df: DataFrame, columns: Sequence[str] | None = None) -> LabelCod
         distinct = df.groupBy(text_or_nan(col(c)).alias("value")).agg(F.count("*").alias("rows"), F.lit(1).cast("bigint").alias("one"))
         ranked, _ = totals_before(distinct, "value", ["one"])
         # read twice by every encoding, so the ordered pass is stored
-        tables[c] = materialize(ranked.select("value", "rows", F.col("one_before").alias("code")), "codes")
+        coded = ranked.select(F.md5("value").alias("digest"), "value", "rows", F.col("one_before").alias("code"))
+        tables[c] = materialize(coded, "codes")
     return LabelCodes(ordered, tables, seen["rows"])
 
 

@@ -41,6 +41,8 @@ for _module in (net, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
 
 SHARD_ROWS = 50_000
+# and at most this many bytes, so that a shard of a wide table fits a Python worker
+SHARD_BYTES = 64 * 1024 * 1024
 # equal rows travel as one row with a number of copies, at most this many
 COPIES = 256
 BLOCK_ROWS = 4096
@@ -174,6 +176,7 @@ def fit(
             states[k], steps[k] = net.initial_state(layout, np.random.default_rng([seed, index])), 0
 
     spark = df.sparkSession
+    shard_rows = max(batch_size, min(shard_rows, SHARD_BYTES // (4 * len(columns))))
     shards = pack_shards(scaler.transform(df), columns, key, counts, shard_rows)
     largest = max(math.ceil(n / shard_rows) for n in counts.values())
     rounds = 1 if largest == 1 else max(1, min(epochs, rounds or ROUNDS))

@@ -135,3 +135,11 @@ def test_wide_tables_agree_with_the_sums(spark, monkeypatch):
     assert narrow.keys() == wide.keys() and narrow[(0, 5)] is None and wide[(5, 5)] is None
     for key, r in narrow.items():
         assert (r is None) == (wide[key] is None) and (r is None or r == pytest.approx(wide[key], abs=1e-9))
+
+
+def test_large_and_small_codes_agree_on_a_whole_table(spark, cleaned, monkeypatch):
+    small = label_encode(cleaned.table)
+    monkeypatch.setattr(encoding, "BROADCAST_VALUES", 1)
+    large = label_encode(cleaned.table)
+    assert small.columns == large.columns and small.dtypes == large.dtypes
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
