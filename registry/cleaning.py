@@ -78,7 +78,7 @@ def preprocess_by_class(spark, sf):
 def median_search(spark, sf):
     """Exact medians by bracketing, the way tables too large for one hash map take."""
     found = medians(
-        table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity", "l_tax"], "l_linestatus", direct_cells=0, final_values=1000
+        table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity", "l_tax"], "l_linestatus", direct_cells=0, final_values=10_000
     )
     data = [(g, c_, round(v, 4)) for g, m in found.items() for c_, v in m.items()]
     return spark.createDataFrame(data, "l_linestatus string, column string, med double")

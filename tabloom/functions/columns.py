@@ -42,6 +42,13 @@ def to_double(c: Column) -> Column:
     return F.nullif(c.cast("double"), F.lit(float("nan")))
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """A column as it is, but NaN as null: both mean a missing value."""
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(col(name)), col(name))
+    return col(name)
+
+
 def is_infinite(c: Column) -> Column:
     return F.abs(c) == F.lit(float("inf"))
 

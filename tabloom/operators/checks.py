@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom import defaults as D
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import col, numeric_columns
+from tabloom.functions.columns import col, numeric_columns, present
 from tabloom.operators.cleaning import duplicate_count, resolve_target
 from tabloom.operators.profiling import missing_profile
 
@@ -35,7 +35,7 @@ def check_target(df: DataFrame, target: str) -> DataFrame:
     df = resolve_target(df, target)
     if target not in df.columns:
         raise ValidationError(f"target {target} not found among {df.columns}")
-    row = df.agg(F.count("*").alias("rows"), F.count_if(col(target).isNull()).alias("nulls")).first()
+    row = df.agg(F.count("*").alias("rows"), F.count_if(present(df, target).isNull()).alias("nulls")).first()
     if row["rows"] and row["nulls"] / row["rows"] > D.MAX_NULL_FRACTION:
         raise ValidationError(f"target {target} is missing in {row['nulls']} of {row['rows']} rows")
     return df
@@ -116,7 +116,7 @@ def check_report(df: DataFrame, target: str) -> DataFrame:
     """The table checks as data, from one pass: (check, found, passed)."""
     one = df.agg(
         F.count("*").cast("double").alias("rows"),
-        F.try_divide(F.count_if(col(target).isNull()), F.count("*")).alias("target_null_fraction"),
+        F.try_divide(F.count_if(present(df, target).isNull()), F.count("*")).alias("target_null_fraction"),
         F.min(col(target)).eqNullSafe(F.max(col(target))).alias("single_class"),
     )
     numeric = F.lit(float(len(numeric_columns(df))))

@@ -17,6 +17,7 @@ from tabloom.functions.columns import (
     is_infinite,
     normalized_name,
     numeric_columns,
+    present,
     string_columns,
     strip,
     to_double,
@@ -64,7 +65,7 @@ def numeric_to_double(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame) -> dict[str, int]:
     """Nulls per column, and the row count under ``None``, in one pass."""
-    aggs = [F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    aggs = [F.count_if(present(df, c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
     row = df.agg(F.count("*").alias("rows"), *aggs).first()
     return {None: row["rows"], **{c: row[f"n{i}"] for i, c in enumerate(df.columns)}}
 
@@ -113,7 +114,7 @@ def fill(df: DataFrame, values: dict[str, Any]) -> DataFrame:
     if not values:
         return df
     return df.withColumns(
-        {c: F.coalesce(col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()}
+        {c: F.coalesce(present(df, c), F.lit(v).cast(df.schema[c].dataType)) for c, v in values.items()}
     )
 
 

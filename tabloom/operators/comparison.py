@@ -17,6 +17,7 @@ from tabloom.functions.columns import (
     is_infinite,
     long_values,
     numeric_columns,
+    present,
     rows_from_one,
     string_columns,
     text_or_nan,
@@ -501,7 +502,7 @@ def generated_validation(original: DataFrame, synthetic: DataFrame) -> dict[str,
     """Shapes, columns, types, nulls and basic statistics of two tables as a nested report."""
     shapes, nulls = {}, {}
     for name, df in (("original", original), ("synthetic", synthetic)):
-        row = df.agg(F.count("*").alias("rows"), *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]).first()
+        row = df.agg(F.count("*").alias("rows"), *[F.count_if(present(df, c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]).first()
         shapes[name] = [row["rows"], len(df.columns)]
         nulls[name] = sum(row[f"n{i}"] for i in range(len(df.columns)))
     return {

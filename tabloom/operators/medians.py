@@ -21,9 +21,9 @@ from tabloom.functions.local import local_table
 DIRECT_CELLS = 4_000_000
 # below this many remaining values a search ends by sorting them in one group
 FINAL_VALUES = 50_000
-GRID = 500
+GRID = 200
 # values per column and group that bracket the middle rank; exact counts then tell where it is
-SAMPLE = 500_000
+SAMPLE = 100_000
 ALL = "<all>"
 
 
@@ -52,12 +52,12 @@ def medians(
         df = df.where(col(by).isNotNull())
     keys = [col(by).alias("group")] if by is not None else [F.lit(ALL).alias("group")]
     if not exact:
-        aggs = [F.percentile_approx(col(c).cast("double"), 0.5, 10_000).alias(c) for c in columns]
+        aggs = [F.percentile_approx(to_double(col(c)), 0.5, 10_000).alias(c) for c in columns]
         return _collect_wide(df.groupBy(*keys).agg(*aggs), columns, by)
     if rows is None:
         rows = df.count()
     if rows * len(columns) <= direct_cells:
-        aggs = [F.median(col(c).cast("double")).alias(c) for c in columns]
+        aggs = [F.median(to_double(col(c))).alias(c) for c in columns]
         return _collect_wide(df.groupBy(*keys).agg(*aggs), columns, by)
     values = df.select(*keys, *[to_double(col(c)).alias(f"v{i}") for i, c in enumerate(columns)])
     return _search(values, list(columns), by, final_values)
@@ -131,7 +131,7 @@ def _search(values: DataFrame, columns: list[str], by: str | None, final_values:
         drawn = [inside(i) & (F.col("r") < F.col(f"share{i}")) for i in k]
         sampled = rows(large).withColumn("r", F.rand(1)).where(reduce(or_, drawn))
         quantiles = sampled.groupBy("group").agg(
-            *[F.percentile_approx(F.when(d, F.col(f"v{i}")), grid, 10_000).alias(f"q{i}") for i, d in zip(k, drawn)]
+            *[F.percentile_approx(F.when(d, F.col(f"v{i}")), grid, 4_000).alias(f"q{i}") for i, d in zip(k, drawn)]
         )
         edges = {}
         for r in quantiles.collect():

@@ -16,6 +16,7 @@ from tabloom.functions.columns import (
     col,
     is_infinite,
     numeric_columns,
+    present,
     rows_from_one,
     to_double,
 )
@@ -36,7 +37,7 @@ def _per_column(df: DataFrame, columns: Sequence[str], measures) -> DataFrame:
     """One aggregate over the table, one output row per column."""
     aggs, structs = [F.count("*").alias("rows")], []
     for i, c in enumerate(columns):
-        found = measures(col(c))
+        found = measures(present(df, c))
         aggs += [v.alias(f"{name}_{i}") for name, v in found.items()]
         structs.append(
             F.struct(
@@ -146,7 +147,7 @@ def id_like_profile(
     verdict = dict(by_name)
     estimates: dict[str, int] = {}
     if others:
-        aggs = [approx_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(others)]
+        aggs = [approx_distinct(present(df, c)).alias(f"d{i}") for i, c in enumerate(others)]
         row = df.agg(F.count("*").alias("rows"), *aggs).first()
         rows = max(1, row["rows"])
         near = []
@@ -157,7 +158,7 @@ def id_like_profile(
             if abs(ratio / ID_UNIQUENESS - 1) <= NEAR_LIMIT:
                 near.append(c)
         counts = [
-            df.select(col(c).alias("v")).where("v is not null").distinct().agg(F.lit(c).alias("column"), F.count("*").alias("n"))
+            df.select(present(df, c).alias("v")).where("v is not null").distinct().agg(F.lit(c).alias("column"), F.count("*").alias("n"))
             for c in near
         ]
         if counts:
@@ -189,8 +190,9 @@ def common_numeric_columns(real: DataFrame, synthetic: DataFrame, skip_id_like:
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """Rows per class, nulls left out."""
     return (
-        df.where(col(target).isNotNull())
-        .groupBy(col(target).alias("class"))
+        df.select(present(df, target).alias("class"))
+        .where("class is not null")
+        .groupBy("class")
         .agg(F.count("*").alias("rows"))
     )
 
@@ -217,7 +219,7 @@ def class_analysis(df: DataFrame, target: str) -> DataFrame:
 
 def class_counts(df: DataFrame, target: str) -> dict:
     """Class counts on the driver, sorted by class; too many classes or null labels are errors."""
-    found = df.groupBy(col(target).alias("class")).agg(F.count("*").alias("rows")).limit(MAX_CLASSES + 1).collect()
+    found = df.groupBy(present(df, target).alias("class")).agg(F.count("*").alias("rows")).limit(MAX_CLASSES + 1).collect()
     return checked_counts({r["class"]: r["rows"] for r in found}, target)
 
 

@@ -95,3 +95,15 @@ def test_reports(cleaned):
     assert passed == {
         "min_rows": True, "min_correlation_rows": False, "target_null_fraction": True, "two_classes": True, "two_numeric_columns": True,
     }
+
+
+def test_nan_counts_as_missing(spark):
+    from tabloom import impute
+
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 1), (nan, 2), (None, 3), (4.0, 4)], "x double, i int")
+    rows = {r["column"]: r["nulls"] for r in p.missing_profile(df).collect()}
+    assert rows == {"x": 2, "i": 0}
+    assert sorted(r["x"] for r in impute(df).collect()) == [1.0, 2.5, 2.5, 4.0]
+    assert k.check_report(df, "x").where("check = 'target_null_fraction'").first()["found"] == 0.5
+    assert {r["column"]: r["mean"] for r in p.numeric_stats(df).collect()} == {"x": 2.5, "i": 2.5}
