@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import exact_dedup, url_filter, warc_archive
-from tabloom.scratch import new_path
+from tabloom.llm import exact_dedup, mixing, quality, url_filter, warc_archive
+from tabloom.scratch import materialize, new_path
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +22,21 @@ def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("row.page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    stats = quality.with_statistics(table(spark, sf, "documents").select("doc_id", "text")).select(F.col("row.doc_id").alias("id"), "stats")
+    stats = materialize(stats, "quality-stats")
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    model = quality.fit_quality(stats, labels.where(~quality.held_out(F.col("id"))))
+    scored = stats.select(F.col("id").alias("doc_id"), quality.held_out(F.col("id")).alias("held_out"), model.score(F.col("stats")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.KEEP_FROM).cast("int"))
+
+
+def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    mixed = mixing.mix(docs, mixing.tempered_weights(docs))
+    return mixed.select("row.doc_id", "row.source", "mixed.*")
+
+
 def op8_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc_archive.write_archive(table(spark, sf, "pages"), path, min_bytes=0)
@@ -31,6 +46,8 @@ def op8_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_url_filter": op4_url_filter,
+    "op5_quality": op5_quality,
+    "op6_mixing": op6_mixing,
     "op8_warc_archive": op8_warc_archive,
 }
 
