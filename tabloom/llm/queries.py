@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import exact_dedup, mixing, quality, url_filter, warc_archive
+from tabloom.llm import decontamination, exact_dedup, mixing, quality, url_filter, warc_archive
 from tabloom.scratch import materialize, new_path
 
 
@@ -17,6 +17,10 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"), keep="max")
 
 
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op4_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf, "pages").select("page_id", "url"), url_filter.rules_table(spark))
     return judged.select("row.page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
@@ -45,6 +49,7 @@ def op8_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
