@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, exact_dedup, mixing, quality, url_filter, warc_archive
+from tabloom.llm import decontamination, exact_dedup, mixing, near_dedup, quality, url_filter, warc_archive
 from tabloom.scratch import materialize, new_path
 
 
@@ -47,6 +47,10 @@ def op8_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
     return warc_archive.read_facts(spark, path)
 
 
+def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf, "documents"), width=2)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_decontamination": op3_decontamination,
@@ -54,6 +58,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op8_warc_archive": op8_warc_archive,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 SQL = {
