@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows of one source that one task numbers, about.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def period(shares: dict, parts: int) -> list:
