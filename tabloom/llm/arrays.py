@@ -66,7 +66,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
 
 
 def prefix_hash(body: np.ndarray) -> np.ndarray:
-    """H with H[i] = sum of (byte + 1) * BASE^j over j < i, modulo 2^64."""
+    """H with H[i] = sum of (value + 1) * BASE^j over j < i, modulo 2^64."""
     out = np.empty(len(body) + 1, np.uint64)
     out[0] = 0
     np.cumsum((body.astype(np.uint64) + np.uint64(1)) * powers(len(body))[:-1], out=out[1:])

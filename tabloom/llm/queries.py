@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, exact_dedup, mixing, near_dedup, quality, url_filter, warc_archive
+from tabloom.llm import decontamination, exact_dedup, language, mixing, near_dedup, quality, url_filter, warc_archive
 from tabloom.scratch import materialize, new_path
 
 
@@ -17,6 +17,13 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"), keep="max")
 
 
+def op2_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = language.fit_language(language.teaching_spans(docs.where(language.learns(F.col("doc_id")))))
+    found = language.identify(docs.select("doc_id", "text"), model, passages=False)
+    return found.select("row.doc_id", quality.held_out(F.col("row.doc_id")).alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -53,6 +60,7 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language": op2_language,
     "op3_decontamination": op3_decontamination,
     "op4_url_filter": op4_url_filter,
     "op5_quality": op5_quality,
