@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, exact_dedup, language, mixing, near_dedup, quality, url_filter, warc_archive
+from tabloom.llm import decontamination, exact_dedup, language, mixing, near_dedup, quality, suffix_dedup, url_filter, warc_archive
 from tabloom.scratch import materialize, new_path
 
 
@@ -48,6 +48,10 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("row.doc_id", "row.source", "mixed.*")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf, "documents"), window=50, with_kept=False)
+
+
 def op8_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc_archive.write_archive(table(spark, sf, "pages"), path, min_bytes=0)
@@ -65,6 +69,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_warc_archive": op8_warc_archive,
     "op9_near_dedup": op9_near_dedup,
 }
