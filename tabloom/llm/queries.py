@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, exact_dedup, language, mixing, near_dedup, quality, suffix_dedup, url_filter, warc_archive
+from tabloom.llm import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, quality, suffix_dedup, url_filter, warc_archive
 from tabloom.scratch import materialize, new_path
 
 
@@ -62,6 +62,10 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf, "documents"), width=2)
 
 
+def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language": op2_language,
@@ -72,6 +76,7 @@ QUERIES = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_warc_archive": op8_warc_archive,
     "op9_near_dedup": op9_near_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 SQL = {
