@@ -32,7 +32,7 @@ from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, span_hash,
 
 WINDOW = 50
 #: Bytes of fragments that a task gathers before it sends them on, that one group and one sort are laid out for, and of texts in one group.
-FLUSH, GROUP, SORT, TEXTS = 32 << 20, 48 << 20, 3 << 20, 4 << 20
+FLUSH, GROUP, SORT, TEXTS = 32 << 20, 24 << 20, 3 << 20, 4 << 20
 GROWTH = 3.6  # bytes of fragments per byte of text, about
 
 
@@ -56,6 +56,19 @@ def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
+def gather(body: np.ndarray, start: np.ndarray, size: np.ndarray, most: int = 1 << 18) -> np.ndarray:
+    """The bytes of many ranges one after the other, without an index as long as they are."""
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    lo = 0
+    while lo < len(size):
+        done = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + most, "right")))
+        out[done : int(ends[hi - 1])] = body[spread(start[lo:hi], size[lo:hi])]
+        lo = hi
+    return out
+
+
 def content_code(h: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return mixed(span_hash(h, start, start + size) + size.astype(np.uint64))
 
@@ -242,6 +255,16 @@ def merged(doc: np.ndarray, tag: np.ndarray, start: np.ndarray, stop: np.ndarray
 # --- tasks ------------------------------------------------------------------------------------------------------
 
 _ZSTD = pa.Codec("zstd", compression_level=3)
+
+
+def _squeezed(raw: bytes) -> bytes:
+    return _ZSTD.compress(raw, asbytes=True)
+
+
+def _unsqueezed(packed: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(_ZSTD.decompress(packed, size, asbytes=True) if size else b"", np.uint8)
+
+
 PIECES = "bucket int, n int, facts binary, raw long, body binary, m_doc array<long>, m_tag array<int>, m_start array<long>, m_stop array<long>"
 MARKS = "spot int, m_doc array<long>, m_tag array<int>, m_start array<long>, m_stop array<long>"
 
@@ -252,15 +275,15 @@ LOTS = GROUP // SORT  # a group is sorted in so many lots of its anchors
 def _pack(lot, doc, tag, start, size, body) -> tuple[int, bytes, int, bytes]:
     kinds = (np.uint8, np.int64, np.int32, np.int64, np.int32)
     facts = b"".join(x.astype(kind).tobytes() for x, kind in zip((lot, doc, tag, start, size), kinds, strict=True))
-    return len(doc), _ZSTD.compress(facts, asbytes=True), len(body), _ZSTD.compress(body.tobytes(), asbytes=True)
+    return len(doc), _squeezed(facts), len(body), _squeezed(body.tobytes())
 
 
 def _unpack(n: int, facts: bytes, raw: int, body: bytes):
-    facts = memoryview(_ZSTD.decompress(facts, 25 * n, asbytes=True))
+    facts = memoryview(_unsqueezed(facts, 25 * n))
     cut = [0, n, 9 * n, 13 * n, 21 * n, 25 * n]
     kinds = (np.uint8, np.int64, np.int32, np.int64, np.int32)
     lot, doc, tag, start, size = (np.frombuffer(facts[a:b], kind) for a, b, kind in zip(cut, cut[1:], kinds, strict=False))
-    return lot, doc, tag, start, size.astype(np.int64), np.frombuffer(_ZSTD.decompress(body, raw, asbytes=True), np.uint8)
+    return lot, doc, tag, start, size.astype(np.int64), _unsqueezed(body, raw)
 
 
 def _stretches(body: np.ndarray, offsets: np.ndarray, window: int, most: int = 4 << 20):
@@ -285,7 +308,7 @@ def _cut(window: int, groups: int, spots: int, flush: int):
                 if not len(start):
                     continue
                 of = np.searchsorted(borders, start + lo, "right") - 1
-                held.append((ids[of], tags[of], start + lo - borders[of], size, anchor, code, body[spread(start, size)]))
+                held.append((ids[of], tags[of], start + lo - borders[of], size, anchor, code, gather(body, start, size)))
                 total += int(size.sum())
                 if total >= flush:
                     yield _send(held, groups, spots)
@@ -314,7 +337,7 @@ def _send(held, groups: int, spots: int) -> pa.RecordBatch:
     rows = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         i = left[a:b]
-        rows.append((int(bucket[i[0]]), *_pack(lot[i], doc[i], tag[i], at[i], size[i], body[spread(start[i], size[i])]), [], [], [], []))
+        rows.append((int(bucket[i[0]]), *_pack(lot[i], doc[i], tag[i], at[i], size[i], gather(body, start[i], size[i])), [], [], [], []))
     # marks go where their documents go, not with the passage that many share
     for spot, d, t, s, e in _by_document(doc[done], tag[done], at[done], (at + size)[done], spots):
         rows.append((spot, 0, b"", 0, b"", d, t, s, e))
@@ -370,7 +393,7 @@ def _resolve(packs, window: int, most: int):
     lots = [np.arange(len(size))] if len(body) <= most else [np.flatnonzero(lot == x) for x in range(LOTS)]
     for i in lots:
         if len(i):
-            yield from _marks(doc[i], tag[i], at[i], size[i], body[spread(start[i], size[i])], window)
+            yield from _marks(doc[i], tag[i], at[i], size[i], gather(body, start[i], size[i]), window)
 
 
 def _marks(doc, tag, at, size, body, window: int):
@@ -398,11 +421,55 @@ def _marks(doc, tag, at, size, body, window: int):
     yield doc[each], tag[each], at[each] + first[repeat], at[each] + last[repeat]
 
 
+TEXT_PACKS = "spot int, ids array<long>, tags array<int>, sizes array<long>, raw long, body binary"
+
+
+def _deal(spots: int, flush: int):
+    """Whole texts by the group that their marks go to, compressed; texts without an id get no marks and are spread."""
+
+    def send(held):
+        ids, tags = pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held])
+        size, body = np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held])
+        held.clear()
+        start = np.cumsum(size) - size
+        spot = _spot(ids.fill_null(0).to_numpy(), spots)
+        nulls = ids.is_null().to_numpy(zero_copy_only=False)
+        spot[nulls] = np.flatnonzero(nulls) % spots
+        order = np.argsort(spot, kind="stable")
+        edges = np.flatnonzero(np.concatenate([[True], spot[order][1:] != spot[order][:-1], [True]]))
+        rows = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            i = order[a:b]
+            part = b"".join(body[x:y].tobytes() for x, y in zip(start[i].tolist(), (start[i] + size[i]).tolist(), strict=True))
+            rows.append((int(spot[i[0]]), ids.take(pa.array(i)), tags[i], size[i], len(part), _squeezed(part)))
+        kinds = [pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[c] if c != 1 else r[c].to_pylist() for r in rows], k) for c, k in enumerate(kinds)], ["spot", "ids", "tags", "sizes", "raw", "body"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+        for part in portions(batches, lambda b: b.column(2)):
+            body, offsets = text_bytes(part.column(2))
+            held.append((part.column(0), part.column(1).to_numpy(), np.diff(offsets), body))
+            total += len(body) + part.num_rows
+            if total >= flush:
+                yield send(held)
+                held, total = [], 0
+        if held:
+            yield send(held)
+
+    return run
+
+
 def _apply(with_kept: bool):
-    def run(texts: pa.Table, marks: pa.Table) -> pa.Table:
-        chunks = texts.column("text").chunks
-        body, offsets = text_bytes(pa.concat_arrays(chunks) if chunks else pa.array([], pa.string()))
-        ids, tags = texts.column("id"), texts.column("tag").to_numpy()
+    def run(packs: pa.Table, marks: pa.Table) -> pa.Table:
+        parts = [_unsqueezed(r["body"], r["raw"]) for r in packs.select(["raw", "body"]).to_pylist()]
+        body = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        parts.clear()
+        offsets = np.concatenate([[0], np.cumsum(_listed(packs, "sizes"))]).astype(np.int64)
+        tags = _listed(packs, "tags")
+        ids = pa.chunked_array([c.flatten() for c in packs.column("ids").chunks], pa.int64())
         cover = np.zeros(len(body) + 1, np.int32)
         doc, tag, start, stop = merged(*(_listed(marks, c) for c in ("m_doc", "m_tag", "m_start", "m_stop")))
         if len(doc):
@@ -452,17 +519,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pieces = tagged.where("id is not null").mapInArrow(_cut(window, groups, spots, FLUSH), PIECES)
     marks = pieces.groupBy("bucket").applyInArrow(_meet(window, spots, SORT), MARKS)
 
-    # the same dealing as that of marks; rows without an id get no marks and are spread
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            plain = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            where = _spot(plain, spots)
-            nulls = ids.is_null().to_numpy(zero_copy_only=False)
-            where[nulls] = np.flatnonzero(nulls) % spots
-            yield pa.RecordBatch.from_arrays([pa.array(where.astype(np.int32)), *batch.columns[:3]], ["spot", "id", "tag", "text"])
-
-    dealt = tagged.mapInArrow(place, "spot int, id long, tag int, text string")
+    dealt = tagged.mapInArrow(_deal(spots, FLUSH // 2), TEXT_PACKS)
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")
     done = dealt.groupBy("spot").cogroup(marks.groupBy("spot")).applyInArrow(_apply(with_kept), out)
     return done.withColumnRenamed("id", id_col)
