@@ -24,6 +24,13 @@ def split_orders(spark, sf):
     return _sides(s.stratified_split(df, "o_orderstatus", 0.25, 7, ["o_orderkey"]), "o_orderkey", "o_orderstatus")
 
 
+def split_composite(spark, sf):
+    """Lines by their two-column key."""
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    keys = ["l_orderkey", "l_linenumber"]
+    return _sides(s.stratified_split(df, "l_returnflag", 0.2, 42, keys), *keys, "l_returnflag")
+
+
 def split_copies(spark, sf):
     """Rows without any key: equal rows are interchangeable, class sizes are still exact."""
     df = table(spark, sf, "lineitem").select("l_linenumber", "l_returnflag", "l_linestatus")
@@ -62,6 +69,7 @@ def quotas(spark, sf):
 QUERIES = {
     "split_stratified": split_documents,
     "split_stratified_orders": split_orders,
+    "split_composite_key": split_composite,
     "split_without_key": split_copies,
     "undersample": undersample,
     "balance_report": balance_report,
@@ -94,6 +102,11 @@ _CHOSEN = f"""{LABELLED}, low as (select min(n) as n from (select count(*) as n
 SQL = {
     "split_stratified": f"with {LABELLED}, {_split_sql('labelled', 'doc_id', 'quality', '0.2', 42)}",
     "split_stratified_orders": f"with {_split_sql('orders', 'o_orderkey', 'o_orderstatus', '0.25', 7)}",
+    "split_composite_key": f"""
+        with {_quota_sql('lineitem', 'l_returnflag', '0.2')}
+        select l_orderkey, l_linenumber, l_returnflag, case when row_number() over (partition by l_returnflag order by md5('42|' ||
+          length(l_orderkey::varchar) || ':' || l_orderkey || '|' || length(l_linenumber::varchar) || ':' || l_linenumber)) <= test then 'test' else 'train' end as side
+        from lineitem join q on l_returnflag = k""",
     "split_without_key": f"""
         with {_quota_sql('lineitem', 'l_linestatus', '0.2')}
         select k as l_linestatus, 'test' as side, cast(test as bigint) as rows from q

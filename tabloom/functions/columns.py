@@ -74,9 +74,11 @@ def row_hash(seed: int, keys: Sequence[str]) -> Column:
     """Repeatable pseudo-random order of rows: md5 of seed and key values.
 
     It depends on nothing but the values, so retries, repartitioning and file
-    layout cannot change which rows are picked.
+    layout cannot change which rows are picked. Several keys carry their lengths, so no two
+    different keys read alike; a null is left out, so it differs from any text.
     """
-    parts = [F.coalesce(col(k).cast("string"), F.lit("<null>")) for k in keys]
+    texts = [col(k).cast("string") for k in keys]
+    parts = texts if len(texts) == 1 else [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
 
 

@@ -68,12 +68,13 @@ def train_shard(
     batch_size: int,
     learning_rate: float,
     rng: np.random.Generator,
+    batches: int | None = None,
 ) -> tuple[np.ndarray, int, np.ndarray]:
     """Returns the new state, the optimizer steps done so far and (generator, discriminator) loss per epoch.
 
     Every batch makes one discriminator step and one generator step on fresh
-    noise; a last partial batch is left for the next shuffle. Batches shrink to
-    the shard where it is smaller than a batch.
+    noise; a last partial batch is left for the next shuffle. An epoch has ``batches`` batches; rows are shuffled
+    anew whenever they run out. Batches shrink to the shard where it is smaller than a batch.
     """
     size = weight_count(layout)
     flat = state.astype(np.float32)
@@ -91,11 +92,15 @@ def train_shard(
         w[part] -= rate * m[part] / (np.sqrt(v[part] / (1 - BETA2**steps)) + TINY)
 
     losses = np.zeros((epochs, 2))
-    batches = len(data) // batch
+    full = len(data) // batch
+    batches = batches or full
     truth = np.concatenate([np.ones((batch, 1)), np.zeros((batch, 1))]).astype(np.float32)
     for epoch in range(epochs):
         order = rng.permutation(len(data))
-        for b in range(batches):
+        for done in range(batches):
+            b = done % full
+            if done and not b:
+                order = rng.permutation(len(data))
             steps += 1
             noise = rng.standard_normal((batch, latent), dtype=np.float32)
             rows = np.concatenate([data[order[b * batch : (b + 1) * batch]], generate(weights, noise)[1]])

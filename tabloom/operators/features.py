@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tabloom.defaults import ID_NAME_PARTS, MAX_ONE_HOT
 from tabloom.functions.columns import col, string_columns
@@ -22,6 +23,8 @@ class Features:
     columns: list[str]
     scaler: StandardScaler
     dropped: list[str]
+    left_out: list[str]
+    """Columns of types that are no features: dates, timestamps, nested and binary ones."""
     one_hot_values: dict[str, list[str]]
 
 
@@ -35,10 +38,14 @@ def prepare_features(
 ) -> Features:
     """Drop target and ID-like columns, one-hot the text columns, scale the continuous ones.
 
+    Columns that are neither numbers, text nor truth values are left out and named in the result.
+
     The target and the columns in ``keep`` stay behind the features, untouched.
     """
     kept = [target, *keep]
-    plain = df.drop(*kept)
+    usable = (T.NumericType, T.StringType, T.BooleanType)
+    left_out = [f.name for f in df.schema.fields if f.name not in kept and not isinstance(f.dataType, usable)]
+    plain = df.drop(*kept, *left_out)
     roles = id_like_profile(plain, id_name_parts).collect()
     dropped = [r["column"] for r in roles if r["id_like"]]
     names = [c for c in plain.columns if c not in dropped]
@@ -48,4 +55,4 @@ def prepare_features(
     columns = [c for c in wide.columns if c not in kept]
     wide = wide.select(*[col(c) for c in columns], *[col(c) for c in kept])
     scaler = fit_standard(wide.select(*[col(c) for c in columns]))
-    return Features(scaler.transform(wide), columns, scaler, dropped, values)
+    return Features(scaler.transform(wide), columns, scaler, dropped, left_out, values)

@@ -24,6 +24,8 @@ FINAL_VALUES = 50_000
 GRID = 200
 # values per column and group that bracket the middle rank; exact counts then tell where it is
 SAMPLE = 100_000
+# a pass leaves about a hundredth of what it looks at, so this is far beyond any need
+MAX_PASSES = 60
 ALL = "<all>"
 
 
@@ -98,23 +100,27 @@ def _search(values: DataFrame, columns: list[str], by: str | None, final_values:
     if len(counted) > MAX_CLASSES:
         raise ValidationError(f"{by} has more than {MAX_CLASSES} classes")
     n = {(r["group"], i): r[f"n{i}"] for r in counted for i in k if r[f"n{i}"]}
-    # open interval (low, high) holding the lower middle value, and its rank inside
-    searches = {key: dict(low=-math.inf, high=math.inf, closed=1, rank=(m - 1) // 2, inside=m) for key, m in n.items()}
+    # interval holding the lower middle value, whether its ends belong to it (infinite values do), and the rank inside
+    searches = {key: dict(low=-math.inf, high=math.inf, low_in=1, high_in=1, rank=(m - 1) // 2, inside=m) for key, m in n.items()}
     lower: dict[tuple, float] = {}
 
     def inside(i: int) -> Column:
-        v = F.col(f"v{i}")
-        # the first interval includes infinite values
-        return ((v > F.col(f"low{i}")) & (v < F.col(f"high{i}"))) | (F.col(f"closed{i}") == 1) & v.isNotNull()
+        v, low, high = F.col(f"v{i}"), F.col(f"low{i}"), F.col(f"high{i}")
+        above = (v > low) | ((F.col(f"low_in{i}") == 1) & (v == low))
+        return above & ((v < high) | ((F.col(f"high_in{i}") == 1) & (v == high)))
 
     def rows(searches: dict, extra: dict | None = None) -> DataFrame:
         numbers = {
-            key: (s["low"], s["high"], s["closed"], min(1.0, SAMPLE / s["inside"]), float(s["rank"]), *(extra or {}).get(key, ()))
+            key: (s["low"], s["high"], s["low_in"], s["high_in"], min(1.0, SAMPLE / s["inside"]), float(s["rank"]), *(extra or {}).get(key, ()))
             for key, s in searches.items()
         }
-        return bounds.beside(["low", "high", "closed", "share", "rank", *(["e", "f"] if extra else [])], numbers)
+        return bounds.beside(["low", "high", "low_in", "high_in", "share", "rank", *(["e", "f"] if extra else [])], numbers)
 
+    passes = 0
     while searches:
+        passes += 1
+        if passes > MAX_PASSES:
+            raise RuntimeError(f"the medians of {sorted({columns[i] for _, i in searches})} did not settle in {MAX_PASSES} passes")
         small = {key: s for key, s in searches.items() if s["inside"] <= final_values}
         large = {key: s for key, s in searches.items() if key not in small}
         searches = {}
@@ -129,7 +135,7 @@ def _search(values: DataFrame, columns: list[str], by: str | None, final_values:
             break
         grid = [j / GRID for j in range(GRID + 1)]
         drawn = [inside(i) & (F.col("r") < F.col(f"share{i}")) for i in k]
-        sampled = rows(large).withColumn("r", F.rand(1)).where(reduce(or_, drawn))
+        sampled = rows(large).withColumn("r", F.rand(passes)).where(reduce(or_, drawn))
         quantiles = sampled.groupBy("group").agg(
             *[F.percentile_approx(F.when(d, F.col(f"v{i}")), grid, 4_000).alias(f"q{i}") for i, d in zip(k, drawn)]
         )
@@ -175,15 +181,15 @@ def _narrow(key, search: dict, edges: tuple, parts: list[int], searches: dict, l
     above = search["inside"] - sum(parts)
     lo, hi = edges
     rank = search["rank"]
-    for size, value, low, high in (
-        (below, None, search["low"], lo), (first, lo, 0, 0), (between, None, lo, hi), (last, hi, 0, 0),
-        (above, None, hi, search["high"]),
+    for size, value, low, high, low_in, high_in in (
+        (below, None, search["low"], lo, search["low_in"], 0), (first, lo, 0, 0, 0, 0), (between, None, lo, hi, 0, 0),
+        (last, hi, 0, 0, 0, 0), (above, None, hi, search["high"], 0, search["high_in"]),
     ):
         if rank < size:
             if value is not None:
                 lower[key] = value
             else:
-                searches[key] = dict(low=low, high=high, closed=0, rank=rank, inside=size)
+                searches[key] = dict(low=low, high=high, low_in=low_in, high_in=high_in, rank=rank, inside=size)
             return
         rank -= size
 

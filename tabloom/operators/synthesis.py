@@ -3,7 +3,7 @@
 Every class has its own small adversarial model. The rows of a class are hashed
 into shards of bounded size; in each round every shard trains on its own from
 the shared weights, and the results are averaged per class, weighted by rows.
-With one shard per class this is plain training. Nothing depends on row order,
+Rounds and optimizer steps follow from the class and the settings alone, whatever the number of shards. Nothing depends on row order,
 partitioning or file layout: shards, shuffles and noise are seeded by content,
 class and shard number.
 """
@@ -49,6 +49,8 @@ BLOCK_ROWS = 4096
 # blocks one sampling task makes at most, so that a lost one costs little
 BLOCKS_PER_TASK = 512
 ROUNDS = 10
+# an epoch shows a model about as many rows of its shard, the whole class where it is smaller
+EPOCH_ROWS = 50_000
 # up to this many shards per core each one is made a task of its own
 FEW_SHARDS = 8
 # numbers in all model states together, held by the driver and sent to every executor
@@ -149,8 +151,8 @@ def fit(
 ) -> SynthModel:
     """Fit one model per class of ``by`` (one in all without it) on numeric columns.
 
-    ``rounds`` is how often shards are averaged; it matters only where a class
-    has more than one shard. ``init_model`` continues an earlier fit.
+    ``rounds`` is how often shards are averaged. An epoch has as many optimizer steps as the class has
+    batches, up to those of ``EPOCH_ROWS`` rows; every shard does as many. ``init_model`` continues an earlier fit.
     """
     columns = list(columns or [c for c in df.columns if c != by])
     check_synthesis(epochs, batch_size, latent_dim, learning_rate, 1)
@@ -178,12 +180,12 @@ def fit(
     spark = df.sparkSession
     shard_rows = max(batch_size, min(shard_rows, SHARD_BYTES // (4 * len(columns))))
     shards = pack_shards(scaler.transform(df), columns, key, counts, shard_rows)
-    largest = max(math.ceil(n / shard_rows) for n in counts.values())
-    rounds = 1 if largest == 1 else max(1, min(epochs, rounds or ROUNDS))
+    rounds = max(1, min(epochs, rounds or ROUNDS))
+    batches = {k: max(1, min(n, EPOCH_ROWS) // min(batch_size, n)) for k, n in counts.items()}
     metrics, done = [], 0
     for r in range(rounds):
         local = epochs // rounds + (r < epochs % rounds)
-        shared = spark.sparkContext.broadcast([(states[k], steps[k]) for k in counts])
+        shared = spark.sparkContext.broadcast([(states[k], steps[k], batches[k]) for k in counts])
         partial = _train_round(shards, shared, layout, local, batch_size, learning_rate, [seed, r])
         metrics += [(k, done + e, n, s, g, d) for k, e, n, s, g, d in _average(partial, list(counts), states, steps, local)]
         done += local
@@ -231,9 +233,8 @@ def _prepare(df: DataFrame, columns: Sequence[str], key: str) -> tuple[DataFrame
 def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dict, shard_rows: int) -> DataFrame:
     """(i, shard, copies, data) with the class number ``i``: one row per shard, written once, read in every round.
 
-    Rows go to shards by their content. Where that makes a shard too large, a row
-    has very many copies: then equal rows are counted first and travel in
-    portions of copies, which are spread like any other rows.
+    Rows go to shards by their content. Equal rows are counted first and travel in portions of copies, so a row with very
+    many of them is spread like any other rows.
     """
     spark = scaled.sparkSession
     fields = [T.StructField("class", scaled.schema[key].dataType)]
@@ -249,13 +250,10 @@ def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dic
     named = scaled.select(col(key).alias("class"), *[col(c).cast("float").alias(f"x{i}") for i, c in enumerate(columns)])
     values = [f"x{i}" for i in range(len(columns))]
     shard = F.expr("pmod(xxhash64(h), shards)").alias("shard")
-    placed = named.withColumn("h", F.xxhash64(*values)).withColumn("copies", F.lit(1)).join(F.broadcast(sizes), "class")
-    largest = placed.groupBy("i", shard).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    if largest > 2 * shard_rows + COPIES:
-        counted = named.groupBy("class", *values).agg(F.count("*").alias("n"))
-        portions = counted.withColumn("portion", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")))
-        portions = portions.withColumn("copies", F.expr(f"cast(least({COPIES}, n - portion * {COPIES}) as int)"))
-        placed = portions.withColumn("h", F.xxhash64(*values, "portion")).join(F.broadcast(sizes), "class")
+    counted = named.groupBy("class", *values).agg(F.count("*").alias("n"))
+    portions = counted.withColumn("portion", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")))
+    portions = portions.withColumn("copies", F.expr(f"cast(least({COPIES}, n - portion * {COPIES}) as int)"))
+    placed = portions.withColumn("h", F.xxhash64(*values, "portion")).join(F.broadcast(sizes), "class")
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("h", kind="stable")
@@ -282,11 +280,11 @@ def _train_round(shards, shared, layout, epochs, batch_size, learning_rate, seed
         sums: dict[int, list] = {}
         for batch in batches:
             for i, shard, copies, flat in zip(batch["i"], batch["shard"], batch["copies"], batch["data"]):
-                state, before = shared.value[i]
+                state, before, batches = shared.value[i]
                 data = np.repeat(np.asarray(flat, np.float32).reshape(-1, width), np.asarray(copies), axis=0)
                 rng = np.random.default_rng([*seeds, int(i), int(shard)])
                 state, after, losses = net.train_shard(
-                    state, before, data, layout, epochs, batch_size, learning_rate, rng
+                    state, before, data, layout, epochs, batch_size, learning_rate, rng, batches
                 )
                 n = len(data)
                 s = sums.setdefault(i, [0, 0, 0, np.zeros(len(state)), np.zeros((epochs, 2))])
@@ -312,24 +310,25 @@ def _train_round(shards, shared, layout, epochs, batch_size, learning_rate, seed
 
 def _average(partial: DataFrame, classes: list, states: dict, steps: dict, epochs: int) -> list[tuple]:
     """Weighted means per class; updates ``states`` and ``steps``, returns losses per epoch."""
-    # training is expensive, so its small result is written once, then summed by position
-    done = materialize(partial, "round")
-    sums = (
-        done.select("i", F.posexplode(F.concat("g", "d", "state")).alias("pos", "v"))
-        .groupBy("i", "pos")
-        .agg(F.sum("v").alias("v"))
-        .groupBy("i")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("all"))
-        .select("i", F.col("all.v").alias("v"))
-    )
-    sizes = done.groupBy("i").agg(F.sum("rows").alias("rows"), F.sum("shards").alias("shards"), F.max("steps").alias("steps"))
-    totals = {r["i"]: r for r in sizes.collect()}
+    # training is expensive, so its small result is written once, then whole vectors are added in two levels
+    done = materialize(partial.withColumn("part", F.spark_partition_id()), "round")
+    width = max(1, math.isqrt(done.agg(F.count_distinct("part")).first()[0]))
+    columns = ["g", "d", "state"]
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("part", kind="stable")
+        total = {c: [np.sum(np.stack(rows[c].to_numpy()), axis=0)] for c in columns}
+        numbers = {"rows": [rows["rows"].sum()], "shards": [rows["shards"].sum()], "steps": [rows["steps"].max()]}
+        return pd.DataFrame({"i": [rows["i"].iloc[0]], "part": [rows["part"].iloc[0]], **numbers, **total})
+
+    schema = "i bigint, part int, rows bigint, shards bigint, steps bigint, g array<double>, d array<double>, state array<double>"
+    some = done.groupBy("i", (F.col("part") % width).alias("bucket")).applyInPandas(add, schema)
+    sums = some.groupBy("i").applyInPandas(add, schema)
     losses = []
     for r in sorted(sums.collect(), key=lambda r: r["i"]):
-        k, t = classes[r["i"]], totals[r["i"]]
-        mean = np.array(r["v"]) / t["rows"]
-        states[k], steps[k] = mean[2 * epochs :], t["steps"]
-        losses += [(k, e, t["rows"], t["shards"], float(mean[e]), float(mean[epochs + e])) for e in range(epochs)]
+        k, n = classes[r["i"]], r["rows"]
+        states[k], steps[k] = np.array(r["state"]) / n, r["steps"]
+        losses += [(k, e, n, r["shards"], r["g"][e] / n, r["d"][e] / n) for e in range(epochs)]
     return losses
 
 

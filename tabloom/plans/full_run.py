@@ -72,11 +72,13 @@ def run(
     reports["correlation"] = stages.correlation_stage(cleaned, target, out_dir, correlation_columns)
 
     split = stratified_split(cleaned, target, test_size, seed, keys)
-    train = stages._store(split.train, out_dir, "train_data")
-    test = stages._store(split.test, out_dir, "test_data")
+    train = stages._store(split.train, out_dir, "train")
+    test = stages._store(split.test, out_dir, "test")
     balanced, reports["analysis"] = stages.analyze_and_balance(train, target, out_dir, seed, keys)
 
     features = prepare_features(balanced, target, one_hot_limit=one_hot_limit)
+    reports["features"] = {"columns": features.columns, "identifiers": features.dropped, "left_out": features.left_out}
+    stages._report(spark, reports["features"], out_dir, "features")
     synthetic, model = stages.generation_stage(
         features, target, n, out_dir, stratified=stratified, seed=seed, epochs=epochs, batch_size=batch_size,
         latent_dim=latent_dim, learning_rate=learning_rate, **fit_settings,

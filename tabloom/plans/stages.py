@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabloom import defaults as D
 from tabloom.functions.columns import col, string_columns
-from tabloom.functions.local import keep_small
+from tabloom.functions.local import keep_small, local_table
 from tabloom.operators import comparison as cmp
 from tabloom.operators.checks import check_balancing, check_comparison, check_correlation, quality_report
 from tabloom.operators.cleaning import clean, cleaning_report
-from tabloom.operators.correlation import correlation_report
+from tabloom.operators.correlation import correlation_report, lower_triangle
 from tabloom.operators.features import Features
 from tabloom.operators.sampling import Balanced, bootstrap_labels, undersample, validation_report
 from tabloom.operators.synthesis import SynthModel, fit, sample
@@ -40,10 +40,10 @@ def clean_stage(
 ) -> tuple[DataFrame, dict[str, Any]]:
     """Clean, store, report with quality checks of the stored table."""
     cleaned = clean(raw, target)
-    table = _store(cleaned.table, out_dir, "cleaned_dataset")
+    table = _store(cleaned.table, out_dir, "cleaned")
     quality = quality_report(table, "cleaned table", duplicates=0)
     report = {**cleaning_report(cleaned, table, source, quality), "quality_report": quality}
-    _report(raw.sparkSession, report, out_dir, "cleaning_report")
+    _report(raw.sparkSession, report, out_dir, "cleaning")
     return table, report
 
 
@@ -52,7 +52,18 @@ def correlation_stage(
 ) -> dict[str, Any]:
     check_correlation(table)
     report = correlation_report(table, target, columns)
-    _report(table.sparkSession, report, out_dir, "correlation_report")
+    _report(table.sparkSession, report, out_dir, "correlation")
+    if out_dir is not None:
+        # the report holds the whole matrix already; it is as large as the square of the number of columns
+        names = list(report["correlation_matrix"])
+        cells = [
+            (i, j, a, b, report["correlation_matrix"][b][a]) for i, a in enumerate(names) for j, b in enumerate(names)
+        ]
+        schema = "i int, j int, variable_1 string, variable_2 string, correlation double"
+        matrix = local_table(table.sparkSession, cells, schema)
+        write_table(matrix, f"{out_dir}/charts/correlations")
+        write_table(lower_triangle(matrix), f"{out_dir}/charts/correlation_triangle")
+        write_table(cmp.target_correlation_bars(matrix, target), f"{out_dir}/charts/target_correlations")
     return report
 
 
@@ -66,7 +77,7 @@ def analyze_and_balance(
     """Class analysis, undersampling and its validation."""
     check_balancing(train, target)
     balanced: Balanced = undersample(train, target, seed=seed, keys=keys)
-    table = _store(balanced.table, out_dir, "balanced_data")
+    table = _store(balanced.table, out_dir, "balanced")
     before, after = balanced.counts_before, balanced.counts_after
     report = {
         "class_analysis": {
@@ -77,7 +88,10 @@ def analyze_and_balance(
         "balancing": balanced.report(),
         "validation": validation_report(before, after),
     }
-    _report(train.sparkSession, report, out_dir, "analysis_report")
+    _report(train.sparkSession, report, out_dir, "classes")
+    if out_dir is not None:
+        write_table(cmp.class_bars(train, target), f"{out_dir}/charts/classes_before")
+        write_table(cmp.class_bars(table, target), f"{out_dir}/charts/classes_after")
     return table, report
 
 
@@ -95,10 +109,12 @@ def generation_stage(
     spark = features.table.sparkSession
     prepared = materialize(features.table, "features")
     model = fit(prepared, features.columns, target if stratified else None, seed=seed, **settings)
+    if out_dir is not None:
+        model.save(spark, f"{out_dir}/model")
     synthetic = features.scaler.inverse(sample(spark, model, n, seed=seed))
     # names of one-hot columns keep saying where they come from
     dummies = {f.name: f.metadata for f in features.table.schema.fields if f.metadata}
-    stored = _store(synthetic, out_dir, "synthetic_data")
+    stored = _store(synthetic, out_dir, "synthetic")
     return stored.select(*[col(c).alias(c, metadata=dummies.get(c, {})) for c in stored.columns]), model
 
 
@@ -144,7 +160,7 @@ def comparison_stage(
         )
     )
     report = cmp.comparison_report(table, frequencies, target_freqs)
-    _report(spark, report, out_dir, "comparison_report")
+    _report(spark, report, out_dir, "comparison")
     if out_dir is not None:
         write_table(cmp.category_bars(frequencies), f"{out_dir}/charts/categories")
         write_table(cmp.histograms(real, features, numeric), f"{out_dir}/charts/histograms")

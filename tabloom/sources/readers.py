@@ -52,21 +52,28 @@ def read_csv(
     path: str | list[str],
     *,
     schema: T.StructType | str | None = None,
-    multiline: bool = False,
+    multiline: bool | None = None,
     na_values: Sequence[str] = tuple(CSV_NA_VALUES),
 ) -> DataFrame:
     """CSV with header and doubled quotes.
 
     Without ``schema`` all columns are read as text and typed by content, which
-    costs one extra pass. ``multiline=True`` allows line breaks inside quotes but
-    makes each file one task, so it is off by default.
+    costs one extra pass. Line breaks inside quotes make each file one task; without a word
+    on them (``multiline``) one more pass looks for a line in which quotes don't pair up.
     """
+    if multiline is None:
+        multiline = _open_quotes(spark, path)
     reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multiline)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return infer_text_types(reader.csv(path), na_values)
 
 
+def _open_quotes(spark: SparkSession, path: str | list[str]) -> bool:
+    odd = F.expr("(length(value) - length(replace(value, '\"', ''))) % 2 = 1")
+    return bool(spark.read.text(path).where(odd).limit(1).take(1))
+
+
 def read_json(
     spark: SparkSession,
     path: str | list[str],
@@ -87,7 +94,17 @@ def read_json(
     reader = spark.read.options(multiLine=orient == "records")
     if schema is not None:
         return reader.schema(schema).json(path)
-    return infer_text_types(reader.json(path))
+    df = reader.json(path)
+    return infer_text_types(df.select(*[col(c) for c in _file_order(spark, path, orient, df.columns)]))
+
+
+def _file_order(spark: SparkSession, path: str | list[str], orient: str, columns: list[str]) -> list[str]:
+    """Columns as the first record has them, then those that only others have."""
+    whole = spark.read.text(path, wholetext=orient == "records")
+    record = F.get_json_object("value", "$[0]") if orient == "records" else F.col("value")
+    first = whole.select(F.json_object_keys(record).alias("names")).where("names is not null").first()
+    names = [c for c in dict.fromkeys(first.names if first else []) if c in columns]
+    return names + [c for c in columns if c not in names]
 
 
 def _read_column_json(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -127,9 +127,9 @@ def test_full_run_writes_everything(spark, tmp_path):
     assert r.synthetic.columns[:2] == ["pclass", "age"] or set(r.synthetic.columns) >= {"pclass", "age", "sex_male", "sex_female", "survived"}
     meta = r.reports["comparison"]["_metadata"]
     assert meta["total_variables"] == 5 and {"pclass", "age", "sex", "real_freq", "synthetic_freq"} <= set(r.reports["comparison"])
-    for name in ("cleaned_dataset", "train_data", "test_data", "balanced_data", "synthetic_data"):
+    for name in ("cleaned", "train", "test", "balanced", "synthetic"):
         assert spark.read.parquet(f"{out}/data/{name}").count() > 0
-    for name in ("cleaning_report", "analysis_report", "correlation_report", "comparison_report"):
+    for name in ("cleaning", "classes", "correlation", "features", "comparison"):
         assert json.loads("\n".join(x[0] for x in spark.read.text(f"{out}/reports/{name}").collect()))
     for name in ("categories", "histograms", "target"):
         assert spark.read.parquet(f"{out}/charts/{name}").count() > 0
