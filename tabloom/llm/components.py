@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tabloom.scratch import materialize
 
+#: Links that one task may hold for union-find (some 100 MB).
+TASK_LINKS = 500_000
+
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, root) for all nodes that aren't the smallest of their component, by union-find with path halving."""
@@ -34,28 +37,47 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[below], nodes[roots[below]]
 
 
-def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A forest of each batch; what is linked stays linked."""
-    for batch in batches:
-        if batch.num_rows:
-            nodes, roots = forest(batch.column(0).to_numpy(), batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], ["a", "b"])
+def _local(most: int):
+    """A forest of every ``most`` links or so of a partition; what is linked stays linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+        for batch in _ended(batches):
+            if batch is not None and batch.num_rows:
+                held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+                total += batch.num_rows
+            if held and (batch is None or total >= most):
+                nodes, roots = forest(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
+                held, total = [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], ["a", "b"])
+
+    return run
+
+
+def _ended(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int = 60, task_links: int = TASK_LINKS, keep=materialize) -> DataFrame:
     """``edges`` (a, b long, no nulls) to (node, component): the smallest node of each component, for all nodes that are not it.
 
-    A node with very many edges is joined by its key, which adaptive execution can split; no neighbourhood is collected. Each
-    round is written to the shared folder; rounds grow with the logarithm of the components' sizes.
+    Partitions reduce their links to forests first. What is left is finished by one more union-find if it is few enough for
+    a task, and else by rounds of alternating stars. There a node with very many edges is joined by its key, which adaptive execution can split; no neighbourhood is collected. Each
+    round is written by ``keep``; rounds grow with the logarithm of the components' sizes.
     """
     down = lambda df: df.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = down(edges).repartition("b").mapInArrow(_local, "a long, b long").distinct()
-    now = materialize(links, "components")
+    links = down(edges).repartition("b").mapInArrow(_local(task_links), "a long, b long")
+    now = keep(links, "components")
     seen = _print(now)
+    if 0 < seen[0] <= task_links:
+        now = keep(now.coalesce(1).mapInArrow(_local(2 * task_links), "a long, b long"), "components")
+        return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    now = now.distinct()
     for _ in range(most_rounds):
         if seen[0] == 0 or not _deeper(now):
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        now = materialize(_small(_large(now)), "components")
+        now = keep(_small(_large(now)), "components")
         seen, last = _print(now), seen
         if seen == last:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

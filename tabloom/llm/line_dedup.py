@@ -3,8 +3,10 @@
 Lines are trimmed and ASCII-lower-cased. Each distinct one gets a MinHash signature of its character shingles: one hash per shingle falls into one of
 ``bands * rows`` bins, the smallest of each bin counts, and empty bins borrow from others by a fixed probe sequence. Lines with an equal band
 meet in a bucket, which links each member to its smallest one (first inside a task's portion, then across portions, so a bucket of any size is
-pre-aggregated before the shuffle). Links are verified by exact Jaccard similarity, union-find joins them, and members of a bucket that are still in different components and weren't compared are
-paired and verified in a second round. Of each component the line of the smallest (id, line number) stays.
+pre-aggregated before the shuffle). Links are verified by exact Jaccard similarity and union-find joins them. What is left in long buckets is
+linked to another pivot. Members of a bucket that are then still in different components and weren't compared are paired directly where the bucket has
+up to 8 members, and otherwise where they share a shingle among the rarest of both, as any pair at the threshold does; so groups of lines that are alike but not alike
+enough make few pairs. Of each component the line of the smallest (id, line number) stays.
 
 With 16 bands of 4 rows a pair at 0.8 meets with a chance of 0.9998. Unrelated lines of the test tables have a similarity around
 0.005, so a bucket holds fewer than one of them up to some 10^8 lines; raise ``rows`` and ``bands`` beyond that (more pairs are verified otherwise, none is lost).
@@ -21,16 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, span_hash, text_bytes
 from tabloom.llm.components import components
-from tabloom.llm.near_dedup import _open_pairs
+from tabloom.llm.near_dedup import SHORT, open_pairs
+from tabloom.llm.workspace import Workspace
 from tabloom.scratch import materialize
 
 SHINGLE, BANDS, ROWS, PERCENT = 7, 16, 4, 80
+PIVOTS = 1  # rounds with another pivot for long buckets
 #: Bucket entries that a task gathers before it sends them on, and that one group is laid out for.
 FLUSH, GROUP = 1_500_000, 1_500_000
 
@@ -40,10 +43,28 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0B, 0x0C, 0x0D]] = True
 
 
-def lines_of(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def characters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All texts as code points in a row, ASCII letters lower-cased, and n + 1 offsets; bytes of invalid UTF-8 count as characters."""
+    body, offsets = text_bytes(column)
+    body = _LOWER[body]
+    try:
+        points = np.frombuffer(body.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    except UnicodeDecodeError:
+        return body.astype(np.uint32), offsets
+    if len(points) == len(body):
+        return points, offsets
+    trails = np.flatnonzero((body & 0xC0) == 0x80)
+    return points, offsets - np.searchsorted(trails, offsets)
+
+
+def _blank_at(points: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return _SPACE[np.minimum(points[at], 255)]
+
+
+def lines_of(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, number in the text, start, stop) of every line, trimmed; a blank line has start = stop."""
     n = len(offsets) - 1
-    breaks = np.flatnonzero(body == 0x0A)
+    breaks = np.flatnonzero(points == 0x0A)
     of = np.searchsorted(offsets, breaks, "right") - 1
     count = np.bincount(of, minlength=n) + 1
     text = np.repeat(np.arange(n), count)
@@ -51,30 +72,34 @@ def lines_of(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     start, stop = offsets[text].copy(), offsets[text + 1].copy()
     after = number > 0
     start[after], stop[np.append(after[1:], False)] = breaks + 1, breaks
-    # the next and the last byte that is no white space
-    solid = ~_SPACE[body] & (body != 0x0A)
-    where = np.flatnonzero(solid)
-    first = np.searchsorted(where, start)
-    last = np.searchsorted(where, stop)
-    blank = first == last
-    where = np.append(where, 0)
-    start = np.where(blank, start, where[first])
-    stop = np.where(blank, start, where[np.maximum(last, 1) - 1] + 1)
+    left = np.flatnonzero(start < stop)
+    while len(left):  # as often as the longest run of white space at a line's edge
+        left = left[_blank_at(points, start[left])]
+        start[left] += 1
+        left = left[start[left] < stop[left]]
+    left = np.flatnonzero(start < stop)
+    while len(left):
+        left = left[_blank_at(points, stop[left] - 1)]
+        stop[left] -= 1
     return text, number, start, stop
 
 
-def shingles_of(body: np.ndarray, h: np.ndarray, start: np.ndarray, stop: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, hash) of all character shingles; a short line is its own shingle, an empty one has none."""
-    leads = np.flatnonzero((body & 0xC0) != 0x80)
-    first, last = np.searchsorted(leads, start), np.searchsorted(leads, stop)
-    count = np.where(stop > start, np.maximum(last - first - width + 1, 1), 0)
-    line = np.repeat(np.arange(len(start)), count)
-    ends = np.cumsum(count)
-    at = np.arange(len(line)) - np.repeat(ends - count - first, count)
-    leads = np.append(leads, len(body))
-    a = leads[at]
-    b = np.minimum(leads[np.minimum(at + width, len(leads) - 1)], stop[line])
-    return line, mixed(span_hash(h, a, b) + np.uint64(1))
+def shingles_of(h: np.ndarray, start: np.ndarray, stop: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of all character shingles of lines in order; a short line is its own shingle, an empty one has none."""
+    n = len(h) - 1
+    size = stop - start
+    full, short = np.flatnonzero(size >= width), np.flatnonzero((size > 0) & (size < width))
+    line, code = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(full):
+        every = (h[width:] - h[:-width]) * powers(n, True)[: n - width + 1]
+        edges = np.zeros(n - width + 2, np.int8)
+        np.add.at(edges, start[full], 1)
+        np.add.at(edges, stop[full] - width + 1, -1)
+        line, code = np.repeat(full, size[full] - width + 1), every[np.cumsum(edges[:-1], dtype=np.int8).view(bool)]
+    if len(short):
+        line = np.concatenate([line, short])
+        code = np.concatenate([code, span_hash(h, start[short], stop[short])])
+    return line, mixed(code + np.uint64(1))
 
 
 def _probes(bins: int) -> np.ndarray:
@@ -87,7 +112,7 @@ def signatures(line: np.ndarray, code: np.ndarray, lines: int, bins: int) -> np.
     """One-permutation MinHash: the smallest hash in each bin; empty bins borrow."""
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
     out = np.full(lines * bins, empty)
-    np.minimum.at(out, line * bins + (code % np.uint64(bins)).astype(np.int64), code // np.uint64(bins))
+    np.minimum.at(out, line * bins + (code % np.uint64(bins)).astype(np.int64), code >> np.uint64(6))
     out = out.reshape(lines, bins)
     hollow = out == empty
     row, column = np.nonzero(hollow & ~hollow.all(axis=1)[:, None])
@@ -115,12 +140,11 @@ def _nodes(h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return mixed(span_hash(h, start, stop) + (stop - start).astype(np.uint64))
 
 
-def _second(body: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Another hash of the same bytes, by another base."""
-    twisted = (body.astype(np.uint64) + np.uint64(7)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    values = twisted ^ (twisted >> np.uint64(29))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers(len(body), True)[: len(body)])])
-    return mixed((total[stop] - total[start]) * powers(len(body))[start])
+def _second(points: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Another hash of the same characters: the polynomial at the inverse base."""
+    values = (points.astype(np.uint64) + np.uint64(7)) * powers(len(points), True)[: len(points)]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)])
+    return mixed((total[stop] - total[start]) * powers(len(points))[start])
 
 
 # --- tasks ---------------------------------------------------------------------------------------------------
@@ -128,20 +152,14 @@ def _second(body: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray
 
 def _list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in portions(batches, lambda b: b.column(2)):
-        body, offsets = text_bytes(part.column(2))
-        body = _LOWER[body]
-        text, number, start, stop = lines_of(body, offsets)
-        node = _nodes(prefix_hash(body), start, stop)
-        blank = pa.array(start == stop)
-        null = pa.scalar(None, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [
-                part.column(0).take(pa.array(text)), part.column(1).take(pa.array(text)), pa.array(number),
-                pc.if_else(blank, null, pa.array(node.view(np.int64))),
-                pc.if_else(blank, null, pa.array(_second(body, start, stop).view(np.int64))),
-            ],
-            ["id", "tag", "line", "node", "second"],
-        )
+        points, offsets = characters(part.column(2))
+        text, number, start, stop = lines_of(points, offsets)
+        node = _nodes(prefix_hash(points), start, stop)
+        blank = start == stop
+        take = pa.array(text)
+        columns = [part.column(0).take(take), part.column(1).take(take), pa.array(number)]
+        codes = [pa.array(x.view(np.int64), mask=blank) for x in (node, _second(points, start, stop))]
+        yield pa.RecordBatch.from_arrays(columns + codes, ["id", "tag", "line", "node", "second"])
 
 
 ENTRIES = "bucket int, keys array<int>, nodes array<long>, e_key array<long>, e_x array<long>, e_z array<long>"
@@ -182,16 +200,14 @@ def _dealt(width: int, bands: int, rows: int, groups: int, flush: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
         for part in portions(batches, lambda b: b.column(0)):
-            body, offsets = text_bytes(part.column(0))
-            body = _LOWER[body]
-            _, _, start, stop = lines_of(body, offsets)
-            h = prefix_hash(body)
-            node = _nodes(h, start, stop)
-            node, first = np.unique(node, return_index=True)
+            points, offsets = characters(part.column(0))
+            _, _, start, stop = lines_of(points, offsets)
+            h = prefix_hash(points)
+            first = np.sort(np.unique(_nodes(h, start, stop), return_index=True)[1])
+            first = first[stop[first] > start[first]]
             start, stop = start[first], stop[first]
-            solid = stop > start
-            node, start, stop = node[solid], start[solid], stop[solid]
-            line, code = shingles_of(body, h, start, stop, width)
+            node = _nodes(h, start, stop)
+            line, code = shingles_of(h, start, stop, width)
             keys = band_keys(signatures(line, code, len(node), bands * rows), bands)
             held.append((keys.ravel(), np.repeat(node.view(np.int64), bands)))
             total += keys.size
@@ -226,48 +242,124 @@ def _meet(group: pa.Table) -> pa.Table:
 def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, text) of the wanted lines of each document."""
     for part in portions(batches, lambda b: b.column(0)):
-        body, offsets = text_bytes(part.column(0))
-        body = _LOWER[body]
-        text, _, start, stop = lines_of(body, offsets)
-        node = _nodes(prefix_hash(body), start, stop)
-        node = node.view(np.int64)
+        points, offsets = characters(part.column(0))
+        text, _, start, stop = lines_of(points, offsets)
+        node = _nodes(prefix_hash(points), start, stop).view(np.int64)
         wanted = part.column(1)
         sizes = wanted.value_lengths().to_numpy(zero_copy_only=False)
-        asked = set(zip(np.repeat(np.arange(len(sizes)), sizes).tolist(), wanted.flatten().to_numpy().tolist(), strict=True))
-        every = np.isin(node, wanted.flatten().to_numpy()) & (stop > start)
+        flat = wanted.flatten().to_numpy()
+        asked = set(zip(np.repeat(np.arange(len(sizes)), sizes).tolist(), flat.tolist(), strict=True))
         nodes, texts = [], []
-        for i in np.flatnonzero(every).tolist():
+        for i in np.flatnonzero(np.isin(node, flat) & (stop > start)).tolist():
             if (int(text[i]), int(node[i])) in asked:
                 asked.discard((int(text[i]), int(node[i])))
                 nodes.append(int(node[i]))
-                texts.append(body[start[i] : stop[i]].tobytes())
+                texts.append(points[start[i] : stop[i]].tobytes().decode("utf-32-le").encode())
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(texts, pa.binary())], ["node", "body"])
 
 
+def line_sets(bodies: list[bytes], width: int) -> list[np.ndarray]:
+    """Distinct shingle hashes of each line, ascending."""
+    texts = [b.decode() for b in bodies]
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    ends = np.cumsum([len(t) for t in texts])
+    start = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    line, code = shingles_of(prefix_hash(points), start, ends, width)
+    order = np.argsort(line, kind="stable")
+    cuts = np.searchsorted(line[order], np.arange(len(bodies) + 1))
+    code = code[order]
+    return [np.unique(code[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+
 def _jaccard(width: int, percent: int):
-    def sets(column):
-        body, offsets = text_bytes(column)
-        line, code = shingles_of(body, prefix_hash(body), offsets[:-1], offsets[1:], width)
-        order = np.lexsort((code, line))
-        line, code = line[order], code[order]
-        new = np.ones(len(line), bool)
-        new[1:] = (line[1:] != line[:-1]) | (code[1:] != code[:-1])
-        return line[new], code[new]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in portions(batches, lambda b: b.column(2), 1 << 20):
+            pairs = list(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True))
+            distinct = list(dict.fromkeys(x for pair in pairs for x in pair))
+            sets = dict(zip(distinct, line_sets(distinct, width), strict=True))
+            good = []
+            for a, b in pairs:
+                a, b = sets[a], sets[b]
+                n = len(a) + len(b)
+                enough = 100 * min(len(a), len(b)) >= percent * max(len(a), len(b))
+                if enough:
+                    both = np.concatenate([a, b])
+                    both.sort()
+                    common = int(np.count_nonzero(both[1:] == both[:-1]))
+                    enough = 100 * common >= percent * (n - common)
+                good.append(enough)
+            yield part.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
+    return run
+
+
+# Rare shingles of many lines, counted and ordered in packed form. ---------------------------------------------
+
+RARE = "bucket int, values array<long>, owners array<long>, sizes array<int>"
+RANKED = "bucket int, often array<int>, values array<long>, owners array<long>, sizes array<int>"
+
+
+def _packed(bucket: np.ndarray, columns: list[np.ndarray], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1], [True]])) if len(order) else np.zeros(1, np.int64)
+    lists = [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(c[order], k)) for c, k in zip(columns, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[order][edges[:-1]], pa.int32()), *lists], names)
+
+
+def _split_sets(width: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in portions(batches, lambda b: b.column(2), 1 << 19):
-            n = part.num_rows
-            (la, ca), (lb, cb) = sets(part.column(2)), sets(part.column(3))
-            line, code = np.concatenate([la, lb]), np.concatenate([ca, cb])
-            order = np.lexsort((code, line))
-            line, code = line[order], code[order]
-            both = np.bincount(line[1:][(line[1:] == line[:-1]) & (code[1:] == code[:-1])], minlength=n)
-            union = np.bincount(line, minlength=n) - both
-            yield part.select([0, 1]).filter(pa.array(100 * both >= percent * union))
+        for part in portions(batches, lambda b: b.column(1)):
+            sets = line_sets(part.column(1).to_pylist(), width)
+            size = np.array([len(x) for x in sets])
+            values = np.concatenate(sets)
+            owners, sizes = np.repeat(part.column(0).to_numpy(), size), np.repeat(size, size)
+            bucket = (mixed(values) % np.uint64(groups)).astype(np.int64)
+            yield _packed(bucket, [values.view(np.int64), owners, sizes], [pa.int64(), pa.int64(), pa.int32()], ["bucket", "values", "owners", "sizes"])
+
+    return run
+
+
+def _count_values(groups: int):
+    names = ["bucket", "often", "values", "owners", "sizes"]
+
+    def run(group: pa.Table) -> pa.Table:
+        values, owners, sizes = (_flat(group, c, np.int64) for c in names[2:])
+        order = np.argsort(values, kind="stable")
+        values, owners, sizes = values[order], owners[order], sizes[order]
+        new = np.concatenate([[True], values[1:] != values[:-1]])
+        often = np.diff(np.append(np.flatnonzero(new), len(values)))[np.cumsum(new) - 1]
+        left = often > 1
+        bucket = (mixed(owners.view(np.uint64)) % np.uint64(groups)).astype(np.int64)[left]
+        return pa.Table.from_batches([_packed(bucket, [often[left], values[left], owners[left], sizes[left]], [pa.int32(), pa.int64(), pa.int64(), pa.int32()], names)])
+
+    return run
+
+
+def _rank_values(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        often, values, owners, sizes = (_flat(group, c, np.int64) for c in ("often", "values", "owners", "sizes"))
+        order = np.lexsort((values, often, owners))
+        values, owners, sizes = values[order], owners[order], sizes[order]
+        new = np.concatenate([[True], owners[1:] != owners[:-1]])
+        first = np.flatnonzero(new)
+        shared = np.diff(np.append(first, len(owners)))
+        code = np.cumsum(new) - 1
+        place = np.arange(len(owners)) - first[code] + sizes - shared[code]
+        keep = place <= sizes * (100 - percent) // 100
+        return pa.table({"value": values[keep], "c": owners[keep], "n": sizes[keep], "place": place[keep]})
 
     return run
 
 
+def rare_lists(bodies: DataFrame, width: int, percent: int) -> DataFrame:
+    """(value, c, n, place) as in near_dedup.full_lists, from (node, body)."""
+    total = bodies.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
+    groups = max(1, math.ceil(total / GROUP))
+    spread = bodies.select("node", "body").mapInArrow(_split_sets(width, groups), RARE)
+    counted = spread.groupBy("bucket").applyInArrow(_count_values(groups), RANKED)
+    return counted.groupBy("bucket").applyInArrow(_rank_values(percent), "value long, c long, n long, place long")
+
+
 # --- the operator -----------------------------------------------------------------------------------------------
 
 
@@ -281,49 +373,91 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def duplicate_lines(tagged: DataFrame, width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, percent: int = PERCENT) -> DataFrame:
     """(id, tag, line, keep_id, keep_line) of every line to drop, from (id, tag, text)."""
+    keep = Workspace(tagged.sparkSession, "line-dedup")
     texts = tagged.where("id is not null").select("id", "tag", "text")
-    lines = materialize(texts.mapInArrow(_list_lines, "id long, tag long, line long, node long, second long"), "lines").where("node is not null")
+    lines = keep(texts.mapInArrow(_list_lines, "id long, tag long, line long, node long, second long"), "lines").where("node is not null")
     many = lines.agg(F.approx_count_distinct("node")).first()[0]
     groups = max(1, math.ceil(many * bands / GROUP))
     entries = texts.select("text").mapInArrow(_dealt(width, bands, rows, groups, FLUSH), ENTRIES)
-    links = materialize(entries.groupBy("bucket").applyInArrow(_meet, "value long, x long, z long"), "line-links")
-    members = links.select("value", F.col("x").alias("c")).union(links.select("value", "z")).distinct().withColumn("n", F.lit(1))
-    members = materialize(members, "line-members")
-    bodies = _bodies(lines, members, texts)
+    links = keep(entries.groupBy("bucket").applyInArrow(_meet, "value long, x long, z long"), "line-links")
+    members = links.select("value", F.col("x").alias("c")).union(links.select("value", "z")).distinct()
+    members = keep(members, "line-members")
+    bodies = _bodies(lines, members, texts, keep)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = bodies.select(F.col("node").alias("a"), F.col("body").alias("s"))
         two = bodies.select(F.col("node").alias("b"), F.col("body").alias("t"))
         met = pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t")
-        return materialize(met.mapInArrow(_jaccard(width, percent), "a long, b long"), "line-pairs")
-
-    pairs = materialize(links.select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b")).distinct(), "line-pairs")
-    sure = confirmed(pairs)
-    roots = components(sure)
-    rest = materialize(_open_pairs(members, roots, percent).join(pairs, ["a", "b"], "left_anti"), "line-pairs")
-    more = confirmed(rest)
-    roots = components(sure.union(more))
-    return _dropped(lines, roots)
+        return keep(met.mapInArrow(_jaccard(width, percent), "a long, b long"), "line-pairs")
+
+    asked = keep(links.select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b")).distinct(), "line-pairs")
+    sure = confirmed(asked)
+    roots = components(sure, keep=keep)
+    for salt in range(PIVOTS):
+        pairs = keep(_pivot_pairs(members, roots, salt).join(asked, ["a", "b"], "left_anti"), "line-pairs")
+        asked, sure = asked.union(pairs), sure.union(confirmed(pairs))
+        roots = components(sure, keep=keep)
+    undecided = keep(_undecided(members, roots), "line-undecided")
+    wanted = bodies.join(undecided.where("not short").select(F.col("c").alias("node")).distinct(), "node", "left_semi")
+    listed = keep(rare_lists(wanted, width, percent), "line-lists")
+    rest = _short_pairs(undecided).union(open_pairs(listed, roots, percent)).distinct().join(asked, ["a", "b"], "left_anti")
+    roots = components(sure.union(confirmed(keep(rest, "line-pairs"))), keep=keep)
+    out = materialize(_dropped(lines, roots, keep), "line-dedup-result")
+    keep.close()
+    return out
 
 
-def _bodies(lines: DataFrame, members: DataFrame, texts: DataFrame) -> DataFrame:
+def _bodies(lines: DataFrame, members: DataFrame, texts: DataFrame, keep) -> DataFrame:
     """Bytes of each line that is in a link, from the first document that has it."""
     nodes = members.select(F.col("c").alias("node")).distinct()
     home = lines.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "tag")).alias("at"))
     wanted = home.groupBy("at.id", "at.tag").agg(F.collect_list("node").alias("wanted"))
     found = texts.join(wanted, ["id", "tag"]).select("text", "wanted").mapInArrow(_line_texts, "node long, body binary")
-    return materialize(found.dropDuplicates(["node"]), "line-texts")
+    return keep(found.dropDuplicates(["node"]), "line-texts")
+
+
+def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component, with theirs."""
+    named = members.join(roots.withColumnRenamed("node", "c"), "c", "left").select("value", "c", F.coalesce("component", "c").alias("root"))
+    apart = named.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), (F.count("*") <= SHORT).alias("short")).where("lo != hi")
+    return named.join(apart.select("value", "short"), "value")
+
+
+def _pivot_pairs(members: DataFrame, roots: DataFrame, salt: int) -> DataFrame:
+    """Members of long buckets with another pivot, where they are in different components."""
+    named = _labelled(members, roots).where("not short")
+    pivot = named.groupBy("value").agg(F.min(F.struct(F.xxhash64(F.lit(salt), "c").alias("h"), F.col("c").alias("p"), F.col("root").alias("other"))).alias("x"))
+    met = named.join(pivot.select("value", "x.p", "x.other"), "value").where("root != other")
+    return met.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
+
+
+def _undecided(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of buckets with a pair in different components that may not have been compared: two that aren't the smallest."""
+    named = _labelled(members, roots)
+    first = named.groupBy("value").agg(F.min("c").alias("p"))
+    others = named.join(first, "value").where("c != p")
+    apart = others.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("value")
+    return others.join(apart, "value", "left_semi").select("value", "c", "root", "short")
+
+
+def _short_pairs(undecided: DataFrame) -> DataFrame:
+    left = undecided.where("short")
+    right = left.select("value", F.col("c").alias("d"), F.col("root").alias("other"))
+    return left.join(right, "value").where("c < d and root != other").select(F.col("c").alias("a"), F.col("d").alias("b"))
 
 
-def _dropped(lines: DataFrame, roots: DataFrame) -> DataFrame:
+def _dropped(lines: DataFrame, roots: DataFrame, keep) -> DataFrame:
     """All lines but the first of each component, or of equal lines outside of any."""
     linked = roots.union(roots.select(F.col("component").alias("node"), "component").distinct())
     named = lines.join(linked, "node", "left").select(
         "id", "tag", "line", F.coalesce("component", "node").alias("group"), F.when(F.col("component").isNull(), F.col("second")).otherwise(F.lit(0)).alias("sub")
     )
+    named = keep(named, "line-groups")
+    several = named.groupBy("group", "sub").agg(F.count("*").alias("members")).where("members > 1").drop("members")
+    inside = keep(named.join(several, ["group", "sub"]), "line-groups")
     place = F.struct("id", "tag", "line")
-    first = named.groupBy("group", "sub").agg(F.min(place).alias("keep"), F.max(place).alias("last")).where("keep != last").drop("last")
-    return named.join(first, ["group", "sub"]).where(place != F.col("keep")).select("id", "tag", "line", F.col("keep.id").alias("keep_id"), F.col("keep.line").alias("keep_line"))
+    first = inside.groupBy("group", "sub").agg(F.min(place).alias("keep"))
+    return inside.join(first, ["group", "sub"]).where(place != F.col("keep")).select("id", "tag", "line", F.col("keep.id").alias("keep_id"), F.col("keep.line").alias("keep_line"))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -4,9 +4,12 @@ One hash function gives every shingle a number; the ``k`` smallest of a document
 together first. Inverted lists of the retained values then generate candidates. A pair at the threshold shares
 far more than half of its sketches (more than ``SAFE`` of them but for a chance around 1e-9 per pair at k = 64; always, where a sketch is the whole
 set), so it must meet among the rarest ``size - needed + 1`` values of either: only these are listed, which keeps common shingles out
-of the lists. A list links its members to one pivot; after two such rounds, with the smallest and the largest member as pivots, only members
-that are still in different components and weren't compared are paired, so a large group of near copies costs a line of pairs instead of a
-square. The union-sketch estimate drops pairs that are clearly apart, and full sets decide the rest: 100 * intersection >= percent * union.
+of the lists. Each list links its members to one pivot, so it makes a line of pairs and not a square.
+
+Members of longer lists that are still in different components then meet by their full sets: a pair at the threshold shares one of the rarest values of both sets,
+and how many count follows from its two sizes. Groups of texts that are alike but not alike enough have rare values of their own and so make
+no pairs, however many there are (lists of up to 8 members just pair what is left). The union-sketch estimate drops pairs that are clearly apart, and full sets decide the rest:
+100 * intersection >= percent * union.
 
 Defined cases: null or wordless texts have an empty set and are linked with nothing; a text with fewer words than a shingle has one
 shingle of all its words; a null id has n_shingles, a null component and is kept, and links nothing; repeated rows are in one component (all rows
@@ -25,10 +28,12 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.arrays import mixed, portions, prefix_hash, span_hash, text_bytes
 from tabloom.llm.components import components
+from tabloom.llm.workspace import Workspace
 from tabloom.scratch import materialize
 
 K = 64
 SAFE = 0.5  # share of its sketch that any partner at 0.8 has too
+SHORT = 8  # members of a list that are paired directly, so at most 28 pairs for each
 EPS = 0.3  # what the sketch estimate may be below the threshold: six standard errors at k = 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -108,100 +113,141 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if percent < 80:
         raise ValueError("the sketches are laid out for similarities of 0.8 and more")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    drawn = materialize(rows.mapInArrow(_sketches(width, k), "id long, n long, d1 long, d2 long, sketch array<long>"), "near-sketches")
+    keep = Workspace(docs.sparkSession, "near-dedup")
+    drawn = keep(rows.mapInArrow(_sketches(width, k), "id long, n long, d1 long, d2 long, sketch array<long>"), "near-sketches")
     known = drawn.where("id is not null and n > 0")
     # equal sets fall together; their smallest id speaks for them
-    classes = known.groupBy("n", "d1", "d2").agg(F.min("id").alias("c"), F.count("*").alias("members"))
-    spokes = materialize(
-        known.join(classes.withColumnRenamed("c", "id"), ["id", "n", "d1", "d2"]).select(F.col("id").alias("c"), "n", "d1", "d2", "sketch").dropDuplicates(["c", "n", "d1", "d2"]),
-        "near-classes",
-    )
-    lists = materialize(_rare_lists(spokes, percent, k), "near-lists")
-    texts = rows.where("id is not null")
+    classes = keep(known.groupBy("n", "d1", "d2").agg(F.min("id").alias("c")), "near-classes")
+    lists = keep(_rare_lists(known, classes, percent, k, keep), "near-lists")
+    active = keep(_active(lists, drawn, rows.where("id is not null")), "near-active")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return _confirm(_estimate(pairs, spokes, percent, k), texts, width, percent)
-
-    asked, links, roots = None, None, None
-    for pivot in (F.min, F.max):
-        pairs = _pivot_pairs(lists, pivot, percent, roots)
-        pairs = materialize(pairs if asked is None else pairs.join(asked, ["a", "b"], "left_anti"), "near-pairs")
-        found = materialize(confirmed(pairs), "near-links")
-        asked = pairs if asked is None else asked.union(pairs)
-        links = found if links is None else links.union(found)
-        roots = components(links)
-    rest = materialize(_open_pairs(lists, roots, percent).join(asked, ["a", "b"], "left_anti"), "near-pairs")
-    links = links.union(materialize(confirmed(rest), "near-links"))
-    roots = components(links)
+        return keep(_confirm(_estimate(pairs, active, percent, k), active, width, percent, keep), "near-links")
+
+    pairs = keep(_pivot_pairs(lists, percent), "near-pairs")
+    links = confirmed(pairs)
+    roots = components(links, keep=keep)
+    undecided = keep(_undecided(lists, roots), "near-undecided")
+    texts = active.join(undecided.where("not short").select("c").distinct(), "c", "left_semi").select("c", "text")
+    sets = keep(texts.mapInArrow(_sets(width), "id long, codes array<long>"), "near-open-sets")
+    listed = keep(full_lists(sets.select(F.col("id").alias("c"), "codes"), percent, keep), "near-full-lists")
+    more = _short_pairs(undecided, percent).union(open_pairs(listed, roots, percent)).distinct()
+    rest = keep(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    roots = components(links.union(confirmed(rest)), keep=keep)
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select("n", "d1", "d2", F.coalesce("component", "c").alias("component_id"))
     out = drawn.join(named, ["n", "d1", "d2"], "left")
     alone = F.col("id").isNull() | (F.col("n") == 0)
     component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")
     )
+    out = materialize(out, "near-dedup-result")
+    keep.close()
+    return out
 
 
-def _needed(percent: int, k: int):
-    """Retained values that any partner shares at least: exact where both sketches are whole sets."""
-    size = F.size("sketch")
-    whole = F.col("n") * 100 <= F.lit(k * percent)
-    return F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(F.ceil(size * F.lit(SAFE))).cast("int")
-
+def _rare_lists(known: DataFrame, classes: DataFrame, percent: int, k: int, keep) -> DataFrame:
+    """(value, c, n): each class under the rarest values of its sketch that it must share one of, where another class is too.
 
-def _rare_lists(spokes: DataFrame, percent: int, k: int) -> DataFrame:
-    """(value, c, n): each class under the rarest values of its sketch that it must share one of."""
-    sized = spokes.select("c", "n", F.size("sketch").alias("size"), _needed(percent, k).alias("needed"), F.explode("sketch").alias("value"))
+    Rows are counted, copies included: any order that is the same for all will do. Copies of a set collapse when its values are gathered.
+    """
+    sized = known.select("d1", "n", F.explode("sketch").alias("value"))
     often = sized.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
-    shared = sized.join(often, "value")
-    packed = shared.groupBy("c", "n", "size", "needed").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("shared"))
-    # values of one class only are the rarest of all and take the first places
-    places = F.col("size") - F.col("needed") + 1 - (F.col("size") - F.size("shared"))
-    listed = packed.where(places > 0).select("c", "n", F.explode(F.slice("shared", F.lit(1), places)).alias("s"))
-    return listed.select(F.col("s.value").alias("value"), "c", "n")
+    size = F.least(F.col("n"), F.lit(k)).cast("int")
+    whole = F.col("n") * 100 <= k * percent
+    # retained values that any partner shares at least: exact where both sketches are whole sets
+    needed = F.when(whole, F.ceil(F.col("n") * percent / 100)).otherwise(F.ceil(size * F.lit(SAFE))).cast("int")
+    packed = sized.join(often, "value").groupBy("d1", "n").agg(F.sort_array(F.collect_set(F.struct("often", "value"))).alias("shared"))
+    # values that occur once are the rarest of all and take the first places
+    places = F.size("shared") - needed + 1
+    listed = packed.where(places > 0).select("d1", "n", F.explode(F.slice("shared", F.lit(1), places)).alias("s")).select(F.col("s.value").alias("value"), "d1", "n")
+    return _met(listed, keep).join(classes.select("n", "d1", "c"), ["n", "d1"]).select("value", "c", "n")
+
+
+def _met(listed: DataFrame, keep) -> DataFrame:
+    """Lists of two members and more; what is listed is written once and read twice."""
+    listed = keep(listed, "near-listed")
+    return listed.join(listed.groupBy("value").agg(F.count("*").alias("members")).where("members > 1").select("value"), "value")
+
+
+def _active(lists: DataFrame, drawn: DataFrame, texts: DataFrame) -> DataFrame:
+    """Sketch and text of the classes in any list; an id with several texts has several rows, and any of them may confirm a link."""
+    inside = drawn.select(F.col("id").alias("c"), "sketch").join(lists.select("c").distinct(), "c", "left_semi")
+    return inside.join(texts.withColumnRenamed("id", "c"), "c")
 
 
 def _alike(n, m, percent: int):
     """Sizes of sets that can reach the threshold."""
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def _ordered(a, b):
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _overlap(n, m, percent: int):
+    """Smallest intersection of two sets at the threshold."""
+    return F.expr(f"cast(({n} + {m}) * {percent}L + {99 + percent} as bigint) div {100 + percent}")
 
 
-def _labelled(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return lists.withColumn("root", F.col("c"))
-    return lists.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("component", "c")).drop("component")
+def _pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Every member of a list with its smallest one."""
+    pivot = lists.groupBy("value").agg(F.min(F.struct(F.col("c").alias("p"), F.col("n").alias("m"))).alias("x"))
+    both = lists.join(pivot.select("value", "x.*"), "value")
+    return both.where((F.col("c") != F.col("p")) & _alike(F.col("n"), F.col("m"), percent)).select(F.col("p").alias("a"), F.col("c").alias("b")).distinct()
 
 
-def _pivot_pairs(lists: DataFrame, pivot, percent: int, roots: DataFrame | None) -> DataFrame:
-    """Every member of a list with its pivot, where they are in different components."""
-    labelled = _labelled(lists, roots)
-    middle = labelled.groupBy("value").agg(pivot(F.struct(F.col("c").alias("p"), F.col("n").alias("m"), F.col("root").alias("r"))).alias("x"), F.count("*").alias("k"))
-    both = labelled.join(middle.where("k > 1").select("value", "x.*"), "value")
-    return both.where((F.col("root") != F.col("r")) & _alike(F.col("n"), F.col("m"), percent)).select(*_ordered("c", "p")).distinct()
+def _labelled(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    return lists.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("component", "c")).drop("component")
 
 
-def _open_pairs(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Members of one list in different components."""
-    labelled = _labelled(lists, roots)
-    mixed_lists = labelled.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("value")
-    left = labelled.join(mixed_lists, "value")
-    right = left.select("value", F.col("c").alias("p"), F.col("n").alias("m"), F.col("root").alias("r"))
-    met = left.join(right, (left["value"] == right["value"]) & (F.col("c") < F.col("p")) & (F.col("root") != F.col("r")) & _alike(F.col("n"), F.col("m"), percent))
-    return met.select(F.col("c").alias("a"), F.col("p").alias("b")).distinct()
+def _undecided(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of lists with a pair in different components that wasn't compared, which has to be of two that aren't the list's pivot."""
+    facts = lists.groupBy("value").agg(F.min("c").alias("p"), (F.count("*") <= SHORT).alias("short"))
+    others = _labelled(lists, roots).join(facts, "value").where("c != p")
+    apart = others.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("value")
+    return others.join(apart, "value", "left_semi").select("value", "c", "n", "root", "short")
+
+
+def _short_pairs(undecided: DataFrame, percent: int) -> DataFrame:
+    """Pairs of lists with up to SHORT members: a few for each."""
+    left = undecided.where("short")
+    right = left.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("other"))
+    met = left.join(right, "value").where((F.col("c") < F.col("d")) & (F.col("root") != F.col("other")) & _alike(F.col("n"), F.col("m"), percent))
+    return met.select(F.col("c").alias("a"), F.col("d").alias("b"))
+
+
+def full_lists(sets: DataFrame, percent: int, keep) -> DataFrame:
+    """(value, c, n, place): each set (c, codes) under its rarest values, with their place in that order."""
+    entries = sets.select("c", F.size("codes").alias("n"), F.explode("codes").alias("value"))
+    often = entries.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
+    packed = entries.join(often, "value").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("shared"))
+    before = F.col("n") - F.size("shared")  # values of this member only
+    places = F.floor(F.col("n") * (100 - percent) / 100) + 1 - before
+    listed = packed.where(places > 0).select("c", "n", before.alias("before"), F.posexplode(F.slice("shared", F.lit(1), places.cast("int"))).alias("at", "s"))
+    return _met(listed.select(F.col("s.value").alias("value"), "c", F.col("n").cast("long").alias("n"), (F.col("before") + F.col("at")).cast("long").alias("place")), keep)
+
+
+def open_pairs(listed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs in different components that meet early enough in both orders for their sizes; the smaller set's side is the short one."""
+    labelled = _labelled(listed, roots)
+    near = labelled.where(F.col("place") <= F.col("n") - _overlap("n", "n", percent))
+    far = labelled.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("root").alias("other"))
+    least = _overlap("n", "m", percent)
+    met = near.join(far, "value").where(
+        (F.col("root") != F.col("other"))
+        & ((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("c") < F.col("d"))))
+        & _alike(F.col("n"), F.col("m"), percent)
+        & (F.col("place") <= F.col("n") - least)
+        & (F.col("spot") <= F.col("m") - least)
+    )
+    return met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
-def _estimate(pairs: DataFrame, spokes: DataFrame, percent: int, k: int) -> DataFrame:
+def _estimate(pairs: DataFrame, active: DataFrame, percent: int, k: int) -> DataFrame:
     """Pairs whose union sketch doesn't put them clearly below the threshold."""
-    one = spokes.select(F.col("c").alias("a"), F.col("sketch").alias("s"))
-    two = spokes.select(F.col("c").alias("b"), F.col("sketch").alias("t"))
-    met = pairs.join(one, "a").join(two, "b")
+    one = active.select(F.col("c").alias("a"), F.col("sketch").alias("s"))
+    two = active.select(F.col("c").alias("b"), F.col("sketch").alias("t"))
     # values are unsigned numbers in signed columns
     union = F.transform(F.slice(F.sort_array(F.transform(F.array_union("s", "t"), _flip)), 1, k), _flip)
     shared = F.size(F.array_intersect(union, F.array_intersect("s", "t")))
+    met = pairs.join(one, "a").join(two, "b")
     return met.where(shared >= (percent / 100 - EPS) * F.size(union)).select("a", "b").distinct()
 
 
@@ -210,13 +256,13 @@ def _flip(x):
     return x.bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, active: DataFrame, width: int, percent: int, keep) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
-    pairs = materialize(pairs, "near-likely")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = materialize(texts.join(ids, "id", "left_semi").mapInArrow(_sets(width), "id long, codes array<long>").distinct(), "near-sets")
+    pairs = keep(pairs, "near-likely")
+    ids = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    sets = keep(active.join(ids, "c", "left_semi").select("c", "text").mapInArrow(_sets(width), "id long, codes array<long>"), "near-sets")
     one = sets.select(F.col("id").alias("a"), F.col("codes").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("codes").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     met = pairs.join(one, "a").join(two, "b").select("a", "b", common.alias("common"), F.size("x").alias("nx"), F.size("y").alias("ny"))
-    return met.where("100 * common >= {0} * (nx + ny - common)".format(percent)).select("a", "b").distinct()
+    return met.where(f"100 * common >= {percent} * (nx + ny - common)").select("a", "b").distinct()

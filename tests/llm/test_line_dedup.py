@@ -8,7 +8,7 @@ import pytest
 
 from tabloom.llm import line_dedup as D
 from tabloom.llm import queries
-from tabloom.llm.arrays import prefix_hash, text_bytes
+from tabloom.llm.arrays import prefix_hash
 
 SF = "/root/testdata/sf0.001"
 BLANKS = " \t\x0b\x0c\r"
@@ -63,13 +63,11 @@ def brute(rows, width=7, percent=80):
 
 def test_lines_and_shingles_against_plain_python():
     texts = ["", None, "one", " A b \n\nC\n", "\n", "x\r\ny\t", "é" * 9 + "\n日本", "  ", "end"]
-    body, offsets = text_bytes(pa.array(texts))
-    body = D._LOWER[body]
-    text, number, start, stop = D.lines_of(body, offsets)
-    raw = body.tobytes()
-    got = [(t, k, raw[a:b].decode()) for t, k, a, b in zip(text.tolist(), number.tolist(), start.tolist(), stop.tolist(), strict=True)]
+    points, offsets = D.characters(pa.array(texts))
+    text, number, start, stop = D.lines_of(points, offsets)
+    got = [(t, k, "".join(map(chr, points[a:b]))) for t, k, a, b in zip(text.tolist(), number.tolist(), start.tolist(), stop.tolist(), strict=True)]
     assert got == [(t, k, plain(x)) for t, s in enumerate(texts) for k, x in enumerate((s or "").split("\n"))]
-    line, code = D.shingles_of(body, prefix_hash(body), start, stop, 3)
+    line, code = D.shingles_of(prefix_hash(points), start, stop, 3)
     by = {}
     for i, (_, _, x) in enumerate(got):
         own = code[line == i].tolist()
@@ -78,7 +76,10 @@ def test_lines_and_shingles_against_plain_python():
         for g, c in zip(grams, own, strict=True):
             assert by.setdefault(g, c) == c
     assert len(set(by.values())) == len(by)
-    assert (D._second(body, start, stop)[[i for i, g in enumerate(got) if g[2] == "end"]] == D._second(*text_bytes(pa.array(["end"]))[:1], np.array([0]), np.array([3]))[0]).all()
+    alone = D._second(D.characters(pa.array(["end"]))[0], np.array([0]), np.array([3]))[0]
+    assert (D._second(points, start, stop)[[i for i, g in enumerate(got) if g[2] == "end"]] == alone).all()
+    sets = D.line_sets([x.encode() for *_, x in got], 3)
+    assert [len(s) for s in sets] == [len(shingles(x, 3)) for *_, x in got]
 
 
 def test_signatures_follow_similarity():
