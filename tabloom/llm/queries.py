@@ -86,6 +86,17 @@ select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
        doc_id = max(doc_id) over (partition by coalesce(text, '')) as kept,
        sha256(coalesce(text, '')) as text_sha256
 from documents""",
+    "op3_decontamination": r"""
+with t as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as h from documents),
+b as (select item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as g from benchmark),
+tw as (select doc_id, len(h) as size, unnest(h) as word, unnest(range(len(h))) as p from t),
+bw as (select item_id, len(g) as n, least(13, len(g)) as w, unnest(g) as word, unnest(range(len(g))) as q from b),
+m as (select doc_id, item_id, size, n, w, p - q as shift, q from tw join bw using (word)),
+f as (select *, count(*) over frame as equal, min(q) over frame as first from m
+      window frame as (partition by doc_id, item_id, shift order by q range between w - 1 preceding and current row))
+select doc_id, item_id, max(equal / w) as best, cast(min(greatest(shift, 0)) as integer) as at from f
+where equal >= ceil(round(w * 0.8, 9)) and greatest(0, -shift, q - w + 1) <= least(first, n - w, size - shift - w)
+group by doc_id, item_id""",
     "op4_url_filter": r"""
 with rules(r_host, r_path, action) as (
   values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -101,4 +112,25 @@ fits as (
   from parts join rules on (host = r_host or ends_with(host, '.' || r_host)) and starts_with(path, r_path)
   group by page_id)
 select page_id, host, path, rule, coalesce(action, 'allow') as verdict from parts left join fits using (page_id)""",
+    "op8_warc_archive": """
+with d as (select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as h from pages),
+r as (select *, max(page_id) over (partition by payload) as response from d)
+select page_id, strlen(payload) as payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         cast((cast('0x' || substr(h, 1 + 10 * (i // 8), 10) as bigint) >> (35 - 5 * (i % 8))) & 31 as integer) + 1, 1) for i in range(32)], '') as payload_digest,
+       case when page_id = response then 'response' else 'revisit' end as record_type,
+       case when page_id <> response then response end as refers_to
+from r""",
+    "op9_near_dedup": r"""
+with recursive t as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (select distinct doc_id, unnest(case when len(w) < 2 then w else [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] end) as g from t),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 80 * (nx.n + ny.n - c)),
+two as (select x, y from e union all select y, x from e),
+reach(doc_id, other) as (select doc_id, doc_id from documents union select reach.doc_id, two.y from reach join two on other = two.x),
+c as (select doc_id, min(other) as component_id from reach group by doc_id)
+select doc_id, coalesce(n.n, 0) as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)""",
 }
