@@ -432,12 +432,11 @@ def _pivot_pairs(members: DataFrame, roots: DataFrame, salt: int) -> DataFrame:
 
 
 def _undecided(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets with a pair in different components that may not have been compared: two that aren't the smallest."""
-    named = _labelled(members, roots)
-    first = named.groupBy("value").agg(F.min("c").alias("p"))
-    others = named.join(first, "value").where("c != p")
-    apart = others.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("value")
-    return others.join(apart, "value", "left_semi").select("value", "c", "root", "short")
+    """Members of buckets that hold more than one component.
+
+    The smallest one is among them: a member that isn't the smallest of its portion was linked to that one only, and not compared with the bucket's.
+    """
+    return _labelled(members, roots).select("value", "c", "root", "short")
 
 
 def _short_pairs(undecided: DataFrame) -> DataFrame:

@@ -153,3 +153,28 @@ def test_query_against_brute_force(spark):
     want = brute(rows)
     got = {r.doc_id: {(k, x.doc_id, x.line) for k, x in zip(r.dropped_lines, r.kept_from, strict=True)} for r in queries.op10_line_dedup(spark, SF).collect()}
     assert {d: s for d, s in got.items() if s} == want and want
+
+
+def test_smallest_member_meets_all_of_other_portions(spark):
+    """a is in one portion, b1 < b2 in another: b2 is linked to b1 there, b1 to a, and only a and b2 are near."""
+    rng = random.Random(1)
+
+    def facts(line):
+        points, offsets = D.characters(pa.array([line]))
+        h = prefix_hash(points)
+        return int(D._nodes(h, offsets[:-1], offsets[1:]).view(np.int64)[0]), int(D.signatures(*D.shingles_of(h, offsets[:-1], offsets[1:], 7), 1, 1)[0, 0])
+
+    def edited(line, place):
+        return line[:place] + "#" + line[place + 1 :]
+
+    while True:
+        b2 = "".join(rng.choice("abcdefgh") for _ in range(120))
+        a, b1 = edited(b2, 30), edited(b2, 80)
+        (x, i), (y, j), (z, k) = facts(a), facts(b1), facts(b2)
+        if x < y < z and i == j == k:
+            break
+    one, two = [(1, a)], [(2, b1 + "\n" + b2)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(one + two, 2), "doc_id long, text string")
+    # with one band of one row, all three are in the only bucket that any of them has
+    dropped = D.duplicate_lines(D._tagged(docs, "doc_id", "text"), bands=1, rows=1).collect()
+    assert {(r.id, r.line) for r in dropped} == {(d, n) for d, lines in brute(one + two).items() for n, *_ in lines} == {(2, 0), (2, 1)}
