@@ -2,7 +2,8 @@
 
 A passage counts from ``window`` bytes on: every byte covered by a ``window``-byte string that also starts in a document with a smaller
 id goes. Strings are compared where they can meet: each window belongs to its smallest hashed k-gram (its anchor), which depends on the window's
-bytes alone, and neighbouring windows with one anchor travel as one fragment. Fragments are dealt out by anchor.
+bytes alone, and neighbouring windows with one anchor travel as one fragment. Fragments are dealt out by anchor. Anchors that very many different fragments have are
+counted first; their windows travel one by one and are dealt out by a hash of the whole window, so no group holds all that is around a common phrase.
 
 Where they meet, equal fragments fall together, and suffixes of the rest that may recur are sorted: a merge sort whose comparisons find the
 common extension of two suffixes by binary search over prefix polynomial hashes, so a comparison takes a logarithmic number of steps.
@@ -34,6 +35,8 @@ WINDOW = 50
 #: Bytes of fragments that a task gathers before it sends them on, that one group and one sort are laid out for, and of texts in one group.
 FLUSH, GROUP, SORT, TEXTS = 32 << 20, 24 << 20, 3 << 20, 4 << 20
 GROWTH = 3.6  # bytes of fragments per byte of text, about
+#: Fragments of one anchor beyond which its windows are dealt one by one, and below which FLUSH bytes of text don't report an anchor.
+HOT, SEEN = 16_384, 4
 
 
 def anchor_width(window: int) -> int:
@@ -97,6 +100,19 @@ def fragments(body: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.nd
     return start, stop - start, least[start], content_code(h, start, stop - start)
 
 
+def single_windows(body: np.ndarray, start, size, anchor, code, hot: np.ndarray, window: int):
+    """Fragments with those of ``hot`` anchors (ascending) cut into their windows, which are dealt by a hash of all their bytes."""
+    where = np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)
+    crowded = hot[where] == anchor
+    if not crowded.any():
+        return start, size, anchor, code
+    at = spread(start[crowded], size[crowded] - window + 1)
+    length = np.full(len(at), window)
+    own = content_code(prefix_hash(body), at, length)
+    parts = ((start, at), (size, length), (anchor, mixed(own)), (code, own))
+    return tuple(np.concatenate([x[~crowded], y]) for x, y in parts)
+
+
 def same_bytes(body: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether body[a:a+size] and body[b:b+size] agree, for many pairs."""
     out = np.ones(len(a), bool)
@@ -297,7 +313,40 @@ def _stretches(body: np.ndarray, offsets: np.ndarray, window: int, most: int = 4
         yield lo, piece, np.concatenate([[0], inner, [len(piece)]])
 
 
-def _cut(window: int, groups: int, spots: int, flush: int):
+def _crowds(window: int, seen: int, flush: int):
+    """(anchor, distinct fragments) of the anchors that have several in ``flush`` bytes of text."""
+
+    def count(held):
+        anchor, code = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        held.clear()
+        anchor, often = np.unique(anchor[np.unique(code, return_index=True)[1]], return_counts=True)
+        many = often >= seen
+        return pa.RecordBatch.from_arrays([pa.array(anchor[many].view(np.int64)), pa.array(often[many])], ["anchor", "often"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+        for part in portions(batches, lambda b: b.column(0)):
+            everything, borders = text_bytes(part.column(0))
+            for _, body, offsets in _stretches(everything, borders, window):
+                held.append(fragments(body, offsets, window)[2:])
+                total += len(body)
+                if total >= flush:
+                    yield count(held)
+                    held, total = [], 0
+        if held:
+            yield count(held)
+
+    return run
+
+
+def hot_anchors(texts: DataFrame, window: int, hot: int, seen: int) -> np.ndarray:
+    """Anchors with more than ``hot`` fragments, ascending. They are fewer than all fragments divided by ``hot``."""
+    counted = texts.mapInArrow(_crowds(window, seen, FLUSH), "anchor long, often long").groupBy("anchor").agg(F.sum("often").alias("often"))
+    found = counted.where(F.col("often") > hot).select("anchor").collect()
+    return np.sort(np.array([r.anchor for r in found], np.int64).view(np.uint64))
+
+
+def _cut(window: int, groups: int, spots: int, flush: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
         for part in portions(batches, lambda b: b.column(2)):
@@ -307,6 +356,8 @@ def _cut(window: int, groups: int, spots: int, flush: int):
                 start, size, anchor, code = fragments(body, offsets, window)
                 if not len(start):
                     continue
+                if len(hot):
+                    start, size, anchor, code = single_windows(body, start, size, anchor, code, hot, window)
                 of = np.searchsorted(borders, start + lo, "right") - 1
                 held.append((ids[of], tags[of], start + lo - borders[of], size, anchor, code, gather(body, start, size)))
                 total += int(size.sum())
@@ -516,7 +567,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     twice = bool(rows.where("id is not null").groupBy("id").count().where("count > 1").limit(1).take(1))
     tag = (F.crc32(F.encode("text", "utf-8")) - (1 << 31)).cast("int") if twice else F.lit(0)
     tagged = rows.select("id", tag.alias("tag"), "text")
-    pieces = tagged.where("id is not null").mapInArrow(_cut(window, groups, spots, FLUSH), PIECES)
+    hot = hot_anchors(tagged.where("id is not null").select("text"), window, HOT, SEEN)
+    pieces = tagged.where("id is not null").mapInArrow(_cut(window, groups, spots, FLUSH, hot), PIECES)
     marks = pieces.groupBy("bucket").applyInArrow(_meet(window, spots, SORT), MARKS)
 
     dealt = tagged.mapInArrow(_deal(spots, FLUSH // 2), TEXT_PACKS)

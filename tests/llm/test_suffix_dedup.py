@@ -93,6 +93,36 @@ def test_suffix_dedup_against_brute_force(spark, window, small, monkeypatch):
     assert result(S.suffix_dedup(df, window=window)) == brute(rows, window)
 
 
+def test_common_phrase_between_different_words_is_spread(spark, monkeypatch):
+    for name, value in (("GROUP", 2000), ("HOT", 50), ("SEEN", 2)):
+        monkeypatch.setattr(S, name, value, raising=False)
+    plain = S._meet
+
+    def bounded(*args):
+        run = plain(*args)
+
+        def checked(group):
+            if sum(group.column("raw").to_pylist()) > 25_000:
+                raise AssertionError("a group holds all that is around the phrase")
+            return run(group)
+
+        return checked
+
+    monkeypatch.setattr(S, "_meet", bounded)
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghijklm") for _ in range(n))
+    around = lambda phrase, n: [word(60) + phrase + word(60) for _ in range(n)]
+    texts, often = [], 0
+    while often < 30:  # a phrase whose gram is the anchor nearly everywhere
+        phrase = word(14)
+        anchor = np.concatenate([S.fragments(*text_bytes(pa.array([t])), 50)[2] for t in around(phrase, 30)])
+        often = np.unique(anchor, return_counts=True)[1].max()
+    rows = list(enumerate(around(phrase, 600)))
+    rows += [(600 + d, "x" + rows[d][1][20:110] + "y") for d in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(S.suffix_dedup(df)) == brute(rows, 50)
+
+
 def test_rows_with_one_id_and_kept_bytes(spark):
     long = "0123456789abcdefghijklmnopqrstuvwxyz"
     rows = [(5, long + "A"), (5, long + "A"), (5, "B" + long), (3, "zz" + long[4:30] + "!"), (9, long)]
