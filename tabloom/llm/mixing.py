@@ -2,9 +2,9 @@
 
 Rows of a source are put into a fixed pseudo-random order and cut into blocks. With weight w, block j (from 1) of a
 source is released at floor((j - 1) / w) and due by ceil(j / w); earliest deadline first gives every slot to a released
-block, and after t slots a source has had less than one block more or fewer than w * t. Weights are
-shares of ``parts`` slots, so the schedule repeats every ``parts`` slots: one period is computed on the driver (bounded by
-``parts`` and the number of sources, whatever the number of rows) and every block finds its slot by arithmetic.
+block, and after t slots a source has had less than one block more or fewer than w * t. Weights are taken as they are, as whole numbers in
+their proportion, so nothing is rounded and the bound doesn't wear off with t. One task writes the schedule as a stream, a row for each block of
+``block_rows`` rows, and holds one entry per source; each bucket of rows then finds its blocks there.
 
 Every row is kept. The bound holds until the first source runs out; from then on its slots are empty and the others go on at
 their weights among each other.
@@ -20,9 +20,12 @@ input columns pass through inside the struct ``row``.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,21 +33,33 @@ from pyspark.sql import functions as F
 BUCKET_ROWS = 2_000
 
 
-def period(shares: dict, parts: int) -> list:
-    """Slot owners of one period. ``shares`` are whole numbers that add up to ``parts``."""
-    waiting = sorted((0, str(s), s, 1) for s in shares)
-    ready, out = [], []
-    for t in range(parts):
+def schedule(shares: dict, blocks: dict) -> Iterator[tuple]:
+    """(source, block from 1, release, deadline, slot) of ``blocks`` of each source, by slot; ``shares`` are whole numbers of any size.
+
+    A source that has run out leaves its slots empty where no other block is released.
+    """
+    parts = sum(shares.values())
+    waiting = sorted((0, str(s), s, 1) for s in shares if blocks.get(s))
+    ready, t = [], 0
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])
         while waiting and waiting[0][0] <= t:
-            _, name, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (_due(j, shares[s], parts), -shares[s], name, s, j))
-        due, _, name, s, j = heapq.heappop(ready)
+            release, name, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (_due(j, shares[s], parts), -shares[s], name, s, j, release))
+        due, _, name, s, j, release = heapq.heappop(ready)
         if due <= t:
             raise AssertionError("a block misses its deadline")
-        out.append(s)
-        if j < shares[s]:
+        yield s, j, release, due, t
+        if j < blocks[s]:
             heapq.heappush(waiting, (j * parts // shares[s], name, s, j + 1))
-    return out
+        t += 1
+
+
+def period(shares: dict, parts: int) -> list:
+    """Slot owners of one period. ``shares`` are whole numbers that add up to ``parts``."""
+    assert sum(shares.values()) == parts
+    return [s for s, *_ in schedule(shares, shares)]
 
 
 def _due(j: int, share: int, parts: int) -> int:
@@ -71,6 +86,28 @@ def whole_shares(weights: dict, parts: int) -> dict:
     return out
 
 
+def exact_shares(weights: dict, blocks: dict) -> dict:
+    """Weights as whole numbers in the same proportion, without rounding, raised only where a slot number wouldn't fit 64 bits."""
+    weights = {s: Fraction(w) for s, w in weights.items() if w > 0 and math.isfinite(w)}
+    unit = math.lcm(*(w.denominator for w in weights.values()))
+    shares = {s: int(w * unit) for s, w in weights.items()}
+    total = sum(shares.values())
+    return {s: max(n, -(-total * blocks.get(s, 0) // (1 << 61))) for s, n in shares.items()}
+
+
+def _rows_of_schedule(shares: dict, blocks: dict):
+    def run(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots = schedule(shares, blocks)
+        while part := list(itertools.islice(slots, 1 << 14)):
+            key, block, release, deadline, slot = zip(*part, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array([j - 1 for j in block], pa.int64()), *(pa.array(x, pa.int64()) for x in (release, deadline, slot))],
+                ["key", "block0", "release", "deadline", "slot"],
+            )
+
+    return run
+
+
 def tempered_weights(docs: DataFrame, source_col: str = "source", power: float = 0.5) -> dict:
     """Target weights proportional to rows^power; one number per source."""
     return {r.s: float(r.n) ** power for r in docs.groupBy(F.col(source_col).alias("s")).agg(F.count("*").alias("n")).collect()}
@@ -82,16 +119,16 @@ def mix(
     id_col: str = "doc_id",
     source_col: str = "source",
     block_rows: int = 16,
-    parts: int = 1000,
+    parts: int | None = None,
     seed: int = 7,
 ) -> DataFrame:
     """(row, mixed): ``mixed`` has block, release, deadline, slot and place (in the block), all from 0 but for block.
 
-    Sorting by (slot, place) gives the mixture. ``parts`` is raised where there are more sources than a quarter of it.
+    Sorting by (slot, place) gives the mixture. With ``parts`` the weights are rounded to whole shares of that many slots first.
     """
     spark = docs.sparkSession
-    parts = max(parts, 4 * len(weights))
-    shares = whole_shares(weights, parts)
+    if parts:
+        weights = whole_shares(weights, max(parts, 4 * len(weights)))
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.when(F.col(source_col).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(source_col).cast("string"))).alias("key"),
@@ -106,27 +143,25 @@ def mix(
         placed.groupBy("key", "bucket")
         .agg(F.count("*").alias("n"))
         .withColumn("offset", F.sum("n").over(Window.partitionBy("key").orderBy("bucket")) - F.col("n"))
-        .drop("n")
     )
-    number = F.row_number().over(Window.partitionBy("key", "bucket").orderBy("h", "tie"))
-    numbered = placed.withColumn("number", number).join(before, ["key", "bucket"]).withColumn("number", F.col("number") - 1 + F.col("offset"))
     text = lambda s: "null" if s is None else f"={s}"
-    seen, slots = {}, []
-    for t, s in enumerate(period(shares, parts) if shares else []):
-        seen[s] = seen.get(s, -1) + 1
-        slots.append((text(s), seen[s], t, shares[s]))
-    table = spark.createDataFrame(slots, "key string, turn long, at long, share long")
-    share = spark.createDataFrame([(text(s), n) for s, n in shares.items()], "key string, share long")
-    block = F.floor(F.col("number") / block_rows)
-    turned = numbered.join(F.broadcast(share), "key", "left").withColumn("block0", block).withColumn("turn", F.col("block0") % F.col("share"))
-    timed = turned.join(F.broadcast(table.drop("share")), ["key", "turn"], "left")
-    start = F.floor(F.col("block0") / F.col("share")) * parts
-    inner = F.col("turn")
+    named = {text(s): w for s, w in weights.items() if w > 0 and math.isfinite(w)}
+    known = spark.createDataFrame([(k,) for k in named], "key string")
+    blocks = {r.key: -(-r.n // block_rows) for r in sizes.join(F.broadcast(known), "key").collect()}  # one number per weight
+    table = spark.range(0, 1, 1, 1).mapInArrow(_rows_of_schedule(exact_shares(named, blocks), blocks), "key string, block0 long, release long, deadline long, slot long")
+    # a bucket gets the slots of its blocks, so rows are not moved again
+    reach = F.explode(F.sequence(F.expr(f"offset div {block_rows}"), F.expr(f"(offset + n - 1) div {block_rows}")))
+    turns = before.select("key", "bucket", "offset", reach.alias("block0")).join(table, ["key", "block0"])
+    turns = turns.groupBy("key", "bucket").agg(F.min("block0").alias("first"), F.sort_array(F.collect_list(F.struct("block0", "release", "deadline", "slot"))).alias("turns"))
+    number = F.row_number().over(Window.partitionBy("key", "bucket").orderBy("h", "tie"))
+    numbered = placed.withColumn("number", number).join(before.join(turns, ["key", "bucket"], "left").drop("n"), ["key", "bucket"])
+    numbered = numbered.withColumn("number", F.col("number") - 1 + F.col("offset"))
+    timed = numbered.withColumn("turn", F.get("turns", (F.expr(f"number div {block_rows}") - F.col("first")).cast("int")))
     mixed = F.struct(
-        F.when(F.col("share").isNotNull(), F.col("block0") + 1).alias("block"),
-        (start + F.expr(f"(turn * {parts}L) div share")).alias("release"),
-        (start + F.expr(f"((turn + 1) * {parts}L + share - 1) div share")).alias("deadline"),
-        (start + F.col("at")).alias("slot"),
-        F.when(inner.isNotNull(), F.col("number") % block_rows).alias("place"),
+        (F.col("turn.block0") + 1).alias("block"),
+        F.col("turn.release").alias("release"),
+        F.col("turn.deadline").alias("deadline"),
+        F.col("turn.slot").alias("slot"),
+        F.when(F.col("turn").isNotNull(), F.col("number") % block_rows).alias("place"),
     )
     return timed.select("row", mixed.alias("mixed"))

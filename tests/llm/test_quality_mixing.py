@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -135,6 +136,24 @@ def test_mix_is_whole_and_keeps_to_its_windows(spark):
             assert abs(done[s] - n * (t + 1) / 60) < 1
 
 
+def test_mix_keeps_to_the_weights_themselves(spark):
+    sizes = {"a": 5200, "b": 2600, "c": 60, None: 1}
+    data = [(f"{s}{i}", s) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(data, "doc_id string, source string")
+    weights = {"a": 2**0.5, "b": 0.5**0.5, "c": 0.013, None: 1e-5}
+    got = mixing.mix(docs, weights, block_rows=1).select("row.source", "mixed.*").collect()
+    assert len(got) == len(data)
+    owner = {r.slot: r.source for r in got}
+    assert len(owner) == len(data)
+    total, done = sum(map(Fraction, weights.values())), Counter()
+    ends = min(max(t for t, x in owner.items() if x == s) for s in sizes if s)
+    assert ends > 4000
+    for t in range(ends + 1):
+        done[owner[t]] += 1
+        for s, w in weights.items():
+            assert abs(done[s] - Fraction(w) / total * (t + 1)) < 1
+
+
 def test_mix_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, source string")
     assert mixing.tempered_weights(docs) == {}
