@@ -38,6 +38,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).take(1)
     if repeated:  # rows that repeat id and text are one document
         docs = materialize(docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"])), "near-rows")
+        tag = fresh("text_tag", docs.columns)
+        kept = near_dedup.near_dedup(docs, tag_col=tag).where("kept and doc_id is not null").select("doc_id", tag).distinct()
+        tagged = docs.where("doc_id is not null").withColumn(tag, near_dedup.text_tag())
+        return tagged.join(kept, ["doc_id", tag], "left_semi").drop(tag).unionByName(docs.where("doc_id is null"))
     kept = near_dedup.near_dedup(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
 

@@ -13,7 +13,7 @@ no pairs, however many there are (lists of up to 8 members just pair what is lef
 
 Defined cases: null or wordless texts have an empty set and are linked with nothing; a text with fewer words than a shingle has one
 shingle of all its words; a null id has n_shingles, a null component and is kept, and links nothing; repeated rows are in one component (all rows
-with its id are kept); rows with one id and different texts are taken one by one; empty tables give an empty result; only id and text are read.
+with its id and text are kept); rows with one id and different texts are taken one by one, as nodes of id and checksum; empty tables give an empty result; only id and text are read.
 Shingles are compared by 64-bit hashes, equal sets are told by 128 bits.
 """
 
@@ -108,12 +108,49 @@ def _sets(width: int):
     return run
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, k: int = K) -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept. ``percent`` must be 80 or more."""
+def text_tag(text_col: str = "text"):
+    """Checksum that tells the texts of one id apart."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, k: int = K, tag_col: str | None = None) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id, kept, and the text's checksum if ``tag_col`` names it. ``percent`` must be 80 or more."""
     if percent < 80:
         raise ValueError("the sketches are laid out for similarities of 0.8 and more")
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).where("id is not null")
+    if ids.groupBy("id").count().where("count > 1").limit(1).take(1):
+        return _by_text(docs, id_col, text_col, width, percent, k, tag_col)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    keep = Workspace(docs.sparkSession, "near-dedup")
+    out = _near_dedup(rows, id_col, width, percent, k)
+    if tag_col:
+        tags = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(id_col), text_tag(text_col).alias(tag_col))
+        out = materialize(out.join(tags, id_col, "left"), "near-dedup-tagged")
+    return out
+
+
+def _by_text(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, k: int, tag_col: str | None) -> DataFrame:
+    """Where an id repeats, a node is an id with a text; components are named by their smallest id in the end."""
+    tagged = docs.select(F.col(id_col).cast("long").alias("id"), text_tag(text_col).alias("tag"), F.col(text_col).cast("string").alias("text"))
+    tagged = tagged.withColumn("node", F.when(F.col("id").isNotNull(), F.xxhash64("id", "tag")))
+    texts = tagged.where("id is not null").dropDuplicates(["node"]).select(F.col("node").alias("id"), "text")
+    rows = texts.unionByName(tagged.where("id is null").select("id", "text"))
+    found = _near_dedup(rows, "node", width, percent, k)
+    nodes = found.where("node is not null").select("node", "n_shingles", "component_id")
+    named = tagged.where("id is not null").select("id", "tag", "node").join(nodes, "node")
+    least = named.groupBy("component_id").agg(F.min(F.struct("id", "tag")).alias("least"))
+    # a wordless text is linked with nothing
+    alone = F.col("n_shingles") == 0
+    component = F.when(alone, F.col("id")).otherwise(F.col("least.id"))
+    stays = alone | (F.struct("id", "tag") == F.col("least"))
+    known = named.join(least, "component_id").select("id", "n_shingles", component.alias("component_id"), stays.alias("kept"), "tag")
+    nulls = found.where("node is null").select(F.col("node").alias("id"), "n_shingles", "component_id", "kept", F.lit(None).cast("long").alias("tag"))
+    out = known.unionByName(nulls).withColumnRenamed("id", id_col)
+    return materialize(out.withColumnRenamed("tag", tag_col) if tag_col else out.drop("tag"), "near-dedup-result")
+
+
+def _near_dedup(rows: DataFrame, id_col: str, width: int, percent: int, k: int) -> DataFrame:
+    """From (id, text), where one id has one text."""
+    keep = Workspace(rows.sparkSession, "near-dedup")
     drawn = keep(rows.mapInArrow(_sketches(width, k), "id long, n long, d1 long, d2 long, sketch array<long>"), "near-sketches")
     known = drawn.where("id is not null and n > 0")
     # equal sets fall together; their smallest id speaks for them
@@ -171,7 +208,7 @@ def _met(listed: DataFrame, keep) -> DataFrame:
 
 
 def _active(lists: DataFrame, drawn: DataFrame, texts: DataFrame) -> DataFrame:
-    """Sketch and text of the classes in any list; an id with several texts has several rows, and any of them may confirm a link."""
+    """Sketch and text of the classes in any list."""
     inside = drawn.select(F.col("id").alias("c"), "sketch").join(lists.select("c").distinct(), "c", "left_semi")
     return inside.join(texts.withColumnRenamed("id", "c"), "c")
 

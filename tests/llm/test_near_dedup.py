@@ -120,6 +120,19 @@ def test_near_dedup_odd_rows(spark):
         N.near_dedup(empty, percent=50)
 
 
+def test_one_id_with_unrelated_texts(spark):
+    words = lambda a: " ".join(f"w{a}x{i}" for i in range(60))
+    rows = [(3, words(1) + " end"), (5, words(1)), (5, words(2)), (7, words(2) + " end"), (8, words(3)), (8, words(3) + " end"), (9, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = N.near_dedup(df, tag_col="tag").join(df.select("text", N.text_tag().alias("tag")).distinct(), "tag").collect()
+    by = {(r.doc_id, r.text): (r.component_id, r.kept) for r in got}
+    assert len(got) == len(rows)
+    assert by[3, rows[0][1]] == (3, True) and by[5, rows[1][1]] == (3, False)
+    assert by[5, rows[2][1]] == (5, True) and by[7, rows[3][1]] == (5, False)
+    assert sorted(by[8, t] for t in (rows[4][1], rows[5][1])) == [(8, False), (8, True)]
+    assert by[9, None] == by[9, ""] == (9, True)
+
+
 def test_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op9_near_dedup(spark, SF).collect()}

@@ -74,3 +74,10 @@ def test_odd_rows_and_empty_tables(spark, name, stage):
     got = out.collect()
     assert len({r.doc_id for r in got}) >= 3 and any(r.doc_id is None for r in got)
     assert stage(spark, odd.where("false"), SF).count() == 0
+
+
+def test_near_stage_keeps_texts_apart_that_share_an_id(spark):
+    words = lambda a: " ".join(f"w{a}x{i}" for i in range(60))
+    rows = [(3, words(1) + " end"), (5, words(1)), (5, words(2)), (7, words(2) + " end")]
+    got = P.near_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(pairs(got)) == [rows[0], rows[2]]
