@@ -44,19 +44,29 @@ _SPACE[[0x20, 0x09, 0x0B, 0x0C, 0x0D]] = True
 
 
 def characters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All texts as code points in a row, ASCII letters lower-cased, and n + 1 offsets; bytes of invalid UTF-8 count as characters."""
+    """All texts as code points in a row, ASCII letters lower-cased, and n + 1 offsets; bytes of a text that isn't valid UTF-8 count as characters."""
     body, offsets = text_bytes(column)
     body = _LOWER[body]
     try:
         points = np.frombuffer(body.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
     except UnicodeDecodeError:
-        return body.astype(np.uint32), offsets
+        return _one_by_one(body, offsets)
     if len(points) == len(body):
         return points, offsets
     trails = np.flatnonzero((body & 0xC0) == 0x80)
     return points, offsets - np.searchsorted(trails, offsets)
 
 
+def _one_by_one(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    parts = []
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        try:
+            parts.append(np.frombuffer(body[a:b].tobytes().decode("utf-8").encode("utf-32-le"), np.uint32))
+        except UnicodeDecodeError:
+            parts.append(body[a:b].astype(np.uint32))
+    return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(offsets.dtype)
+
+
 def _blank_at(points: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _SPACE[np.minimum(points[at], 255)]
 

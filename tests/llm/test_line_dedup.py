@@ -82,6 +82,14 @@ def test_lines_and_shingles_against_plain_python():
     assert [len(s) for s in sets] == [len(shingles(x, 3)) for *_, x in got]
 
 
+def test_invalid_utf8_stays_with_its_text():
+    texts = ["Ünlike lines\nété".encode(), b"bad \xff\xc3 byte", "日本".encode(), b""]
+    points, offsets = D.characters(pa.array(texts, pa.binary()))
+    got = [points[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    alone = [D.characters(pa.array([t], pa.binary()))[0].tolist() for t in texts]
+    assert got == alone and got[1] == list(texts[1]) and got[2] == [0x65E5, 0x672C]
+
+
 def test_signatures_follow_similarity():
     rng = np.random.default_rng(5)
     hits, meets, n = 0, 0, 300
