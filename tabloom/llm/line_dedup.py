@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, span_hash, text_bytes
 from tabloom.llm.components import components
-from tabloom.llm.near_dedup import SHORT, open_pairs
+from tabloom.llm.near_dedup import SHORT, full_lists, open_pairs
 from tabloom.llm.workspace import Workspace
 from tabloom.scratch import materialize
 
@@ -303,71 +303,21 @@ def _jaccard(width: int, percent: int):
     return run
 
 
-# Rare shingles of many lines, counted and ordered in packed form. ---------------------------------------------
-
-RARE = "bucket int, values array<long>, owners array<long>, sizes array<int>"
-RANKED = "bucket int, often array<int>, values array<long>, owners array<long>, sizes array<int>"
-
-
-def _packed(bucket: np.ndarray, columns: list[np.ndarray], kinds: list[pa.DataType], names: list[str]) -> pa.RecordBatch:
-    order = np.argsort(bucket, kind="stable")
-    edges = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1], [True]])) if len(order) else np.zeros(1, np.int64)
-    lists = [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(c[order], k)) for c, k in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[order][edges[:-1]], pa.int32()), *lists], names)
-
-
-def _split_sets(width: int, groups: int):
+def _line_codes(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(batches, lambda b: b.column(1)):
             sets = line_sets(part.column(1).to_pylist(), width)
-            size = np.array([len(x) for x in sets])
-            values = np.concatenate(sets)
-            owners, sizes = np.repeat(part.column(0).to_numpy(), size), np.repeat(size, size)
-            bucket = (mixed(values) % np.uint64(groups)).astype(np.int64)
-            yield _packed(bucket, [values.view(np.int64), owners, sizes], [pa.int64(), pa.int64(), pa.int32()], ["bucket", "values", "owners", "sizes"])
-
-    return run
-
-
-def _count_values(groups: int):
-    names = ["bucket", "often", "values", "owners", "sizes"]
-
-    def run(group: pa.Table) -> pa.Table:
-        values, owners, sizes = (_flat(group, c, np.int64) for c in names[2:])
-        order = np.argsort(values, kind="stable")
-        values, owners, sizes = values[order], owners[order], sizes[order]
-        new = np.concatenate([[True], values[1:] != values[:-1]])
-        often = np.diff(np.append(np.flatnonzero(new), len(values)))[np.cumsum(new) - 1]
-        left = often > 1
-        bucket = (mixed(owners.view(np.uint64)) % np.uint64(groups)).astype(np.int64)[left]
-        return pa.Table.from_batches([_packed(bucket, [often[left], values[left], owners[left], sizes[left]], [pa.int32(), pa.int64(), pa.int64(), pa.int32()], names)])
-
-    return run
-
-
-def _rank_values(percent: int):
-    def run(group: pa.Table) -> pa.Table:
-        often, values, owners, sizes = (_flat(group, c, np.int64) for c in ("often", "values", "owners", "sizes"))
-        order = np.lexsort((values, often, owners))
-        values, owners, sizes = values[order], owners[order], sizes[order]
-        new = np.concatenate([[True], owners[1:] != owners[:-1]])
-        first = np.flatnonzero(new)
-        shared = np.diff(np.append(first, len(owners)))
-        code = np.cumsum(new) - 1
-        place = np.arange(len(owners)) - first[code] + sizes - shared[code]
-        keep = place <= sizes * (100 - percent) // 100
-        return pa.table({"value": values[keep], "c": owners[keep], "n": sizes[keep], "place": place[keep]})
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
+            codes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column(0), codes], ["c", "codes"])
 
     return run
 
 
-def rare_lists(bodies: DataFrame, width: int, percent: int) -> DataFrame:
-    """(value, c, n, place) as in near_dedup.full_lists, from (node, body)."""
-    total = bodies.agg(F.sum(F.octet_length("body").cast("long"))).first()[0] or 0
-    groups = max(1, math.ceil(total / GROUP))
-    spread = bodies.select("node", "body").mapInArrow(_split_sets(width, groups), RARE)
-    counted = spread.groupBy("bucket").applyInArrow(_count_values(groups), RANKED)
-    return counted.groupBy("bucket").applyInArrow(_rank_values(percent), "value long, c long, n long, place long")
+def rare_lists(bodies: DataFrame, width: int, percent: int, keep) -> DataFrame:
+    """(value, c, n, place) as in near_dedup.full_lists, from (node, body); a shingle of very many lines is counted before it is shuffled."""
+    sets = bodies.select("node", "body").mapInArrow(_line_codes(width), "c long, codes array<long>")
+    return full_lists(keep(sets, "line-sets"), percent, keep)
 
 
 # --- the operator -----------------------------------------------------------------------------------------------
@@ -409,7 +359,7 @@ def duplicate_lines(tagged: DataFrame, width: int = SHINGLE, bands: int = BANDS,
         roots = components(sure, keep=keep)
     undecided = keep(_undecided(members, roots), "line-undecided")
     wanted = bodies.join(undecided.where("not short").select(F.col("c").alias("node")).distinct(), "node", "left_semi")
-    listed = keep(rare_lists(wanted, width, percent), "line-lists")
+    listed = keep(rare_lists(wanted, width, percent, keep), "line-lists")
     rest = _short_pairs(undecided).union(open_pairs(listed, roots, percent)).distinct().join(asked, ["a", "b"], "left_anti")
     roots = components(sure.union(confirmed(keep(rest, "line-pairs"))), keep=keep)
     out = materialize(_dropped(lines, roots, keep), "line-dedup-result")

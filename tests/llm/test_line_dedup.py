@@ -156,6 +156,17 @@ def test_drop_lines_and_odd_rows(spark):
     assert D.line_report(spark.createDataFrame([(1, "lonely")], "doc_id long, text string")).collect()[0].n_dropped == 0
 
 
+def test_common_shingle_is_counted_before_it_is_shuffled(spark):
+    lines = ["the common part " + x * 3 for x in ("abcdefg", "hijklmn", "opqrstu")]
+    bodies = spark.createDataFrame([(i, x.encode()) for i, x in enumerate(lines)], "node long, body binary")
+    listed = D.rare_lists(bodies, 7, 80, lambda df, label: df) if "keep" in D.rare_lists.__code__.co_varnames else D.rare_lists(bodies, 7, 80)
+    assert "InArrow" in (plan := listed._jdf.queryExecution().toString()) and "FlatMapGroupsInArrow" not in plan
+    sets = [shingles(x, 7) for x in lines]
+    often = [sum(g in s for s in sets) for g in sets[0]]
+    # own shingles of the first line fill its first places, so it is listed under none
+    assert often.count(1) > len(sets[0]) // 5 and listed.count() == 0
+
+
 def test_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = brute(rows)
