@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import decontamination, exact_dedup, language, line_dedup, mixing, near_dedup, quality, suffix_dedup, url_filter, warc_archive
+from tabloom.llm import (
+    decontamination, exact_dedup, hard_negatives, language, line_dedup, mixing, near_dedup, packing, quality, spelling, suffix_dedup, url_filter, warc_archive,
+)
 from tabloom.scratch import materialize, new_path
 
 
@@ -66,6 +68,28 @@ def op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.counted_words(table(spark, sf, "documents").select("doc_id", "text")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label), F.col("id") % 100 == 0)
+
+
+def op13_sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    pieces = materialize(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "packing-pieces")
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language": op2_language,
@@ -77,8 +101,47 @@ QUERIES = {
     "op8_warc_archive": op8_warc_archive,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_sequence_packing": op13_sequence_packing,
 }
 
+def spelling_sql() -> str:
+    """The checksum goes bit by bit over the bytes of the run behind its id; near words share a word with one character less at one place."""
+    bits = "list_reduce(list_prepend(4294967295::ubigint, steps), lambda c, b: case when b < 256 then xor(c, b) else xor(c >> 1, (c & 1) * 3988292384::ubigint) end)"
+    return rf"""
+with runs as (
+  select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents),
+kinds as (select doc_id, run, count(*) as times from runs where length(run) >= 5 group by all),
+coded as (
+  select doc_id, run, times, list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''), lambda c: unicode(c)) as points from kinds),
+bytes as (
+  select doc_id, run, times,
+    flatten(list_transform(points, lambda p: case when p < 128 then [p] else [192 + (p >> 6), 128 + (p & 63)] end)) as b from coded),
+summed as (
+  select doc_id, run, times, flatten(list_transform(b, lambda x: [x::ubigint, 256, 256, 256, 256, 256, 256, 256, 256])) as steps from bytes),
+hashed as (select doc_id, run, times, xor({bits}, 4294967295::ubigint) as h from summed),
+altered as (
+  select case when doc_id is not null and h % 97 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2) else run end as word, times from hashed),
+words as (select word, sum(times)::bigint as n from altered where length(word) >= 5 group by word having sum(times) >= 3),
+cut as (select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, unnest(range(1, length(word) + 1)) as i from words)),
+near as (
+  select a.word, b.word as other from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select a.word, a.rest from cut a join words w on w.word = a.rest
+  union select a.rest, a.word from cut a join words w on w.word = a.rest),
+ranked as (
+  select near.word, count(*) over (partition by near.word) as n_near, other, o.n as m,
+    row_number() over (partition by near.word order by o.n desc, encode(other)) as place
+  from near join words o on o.word = other),
+forms as (
+  select words.word, words.n, coalesce(n_near, 0) as n_near, case when m >= 2 * words.n then other end as form, case when m >= 2 * words.n then m end as form_n
+  from words left join ranked on ranked.word = words.word and place = 1),
+recursive_roots as (
+  with recursive up(word, root) as (select word, word from forms union select up.word, forms.form from up join forms on forms.word = up.root and forms.form is not null)
+  select up.word, root from up join forms on forms.word = root where forms.form is null)
+select word, form, root, n, n_near, form_n from forms join recursive_roots using (word)"""
+
+
 SQL = {
     "op1_exact_dedup": """
 select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
@@ -133,4 +196,19 @@ two as (select x, y from e union all select y, x from e),
 reach(doc_id, other) as (select doc_id, doc_id from documents union select reach.doc_id, two.y from reach join two on other = two.x),
 c as (select doc_id, min(other) as component_id from reach group by doc_id)
 select doc_id, coalesce(n.n, 0) as n_shingles, component_id, doc_id = component_id as kept from c left join n using (doc_id)""",
+    "op11_spelling_variants": spelling_sql(),
+    "op12_hard_negatives": """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+  from embeddings where vec_id is not null and label is not null and embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (
+  select anchor_id, id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, cast(row_number() over w as integer) as rank, id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where not same and 80 * positive_score <= 100 * score and score <= positive_score
+window w as (partition by anchor_id, positive_id order by score desc, id)
+qualify row_number() over w <= 5""",
 }
