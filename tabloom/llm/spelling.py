@@ -3,7 +3,8 @@
 Words are near if one inserted, deleted or replaced character turns one into the other. Bigrams are ordered by how many words have them, rarest first. A word's prefix is its
 first three bigrams in that order: they are enough to hold two that don't overlap, and of these dynamic programming takes the two
 disjoint ones that are rarest together, the word's pivots. One edit can't touch both. So of two near words, the one whose prefix ends earlier in the order has a pivot that is in the
-other's prefix (or ties with its third), at the same place or, behind an inserted character, one further. Pivots and prefixes meet by (bigram, place, length), and what meets is verified.
+other's prefix (or ties with its third), at the same place from the beginning or from the end; and since the edit is on one side of it, all that stands on the
+other side is equal. So pivots and prefixes meet by (bigram with its place and all before it, length) and by (bigram with its place and all behind it, length), and what meets is verified.
 
 Bigrams are told apart by 16 bits of a hash: the table of counts has 65,536 entries at the most, whatever the alphabet, and a collision makes a candidate more, never a near pair less.
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.arrays import mixed, portions
+from tabloom.llm.arrays import mixed, portions, prefix_hash, span_hash
 from tabloom.llm.workspace import Workspace
 from tabloom.scratch import materialize
 
@@ -34,6 +35,8 @@ GRAMS = 1 << 16
 ROUNDS = 6
 #: Places in its order at which a word can hold a near word's pivot: two are before the pivot in that word, and an edit makes two bigrams at the most.
 PROBES = 5
+#: Lengths that share a key: a word's neighbours by length have one or two of them.
+LENGTHS = 4
 
 
 def counted_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alter: int = 97, least_size: int = 5, least_count: int = 3) -> DataFrame:
@@ -107,27 +110,32 @@ def _entries(ranks: np.ndarray):
             texts = part.column(0)
             word, place, gram, sizes = bigrams(texts)
             inside, pivots, last = prefixes(word, place, gram, ranks, len(sizes))
+            points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
+            h, stop = prefix_hash(points), np.cumsum(sizes)
+            start = stop - sizes
+            mask = _mask(points, start, stop)
             for entries, pivot in ((pivots, True), (inside, False)):
-                key = _key(gram[entries], place[entries], sizes[word[entries]])
-                columns = [pa.array(np.full(len(entries), pivot)), pa.array(key), pa.array(last[word[entries]]), texts.take(pa.array(word[entries]))]
-                if pivot:
-                    yield _entry_batch(columns)
-                else:  # the places at which a near word's pivot can stand: same length, one longer, one shorter
-                    for longer, further in ((0, 0), (1, 0), (1, 1), (-1, 0), (-1, -1)):
-                        columns[1] = pa.array(_key(gram[entries], place[entries] + further, sizes[word[entries]] + longer))
-                        yield _entry_batch(columns)
+                w = word[entries]
+                at = start[w] + place[entries]
+                # equal up to the end of the bigram, or from its beginning
+                for side, code in enumerate((span_hash(h, start[w], at + 2), span_hash(h, at, stop[w]))):
+                    own, low, high = (sizes[w] + d for d in (0, -1, 1))
+                    every = np.ones(len(w), bool)
+                    shared = [(own, every)] if pivot else [(low, every), (high, high // LENGTHS > low // LENGTHS)]
+                    for size, new in shared:
+                        lengths = mixed((size[new] // LENGTHS).astype(np.uint64) + np.uint64(1))
+                        key = mixed(code[new] * np.uint64(4) + np.uint64(side) + lengths)
+                        columns = [np.full(len(key), pivot), key.view(np.int64), last[w[new]], mask[w[new]].view(np.int64)]
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), texts.take(pa.array(w[new]))], ["pivot", "key", "last", "mask", "word"])
 
     return run
 
 
-def _entry_batch(columns: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(columns, ["pivot", "key", "last", "word"])
-
-
-def _key(gram: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """16 bits of gram and 24 each of place and length; larger ones wrap around, which may make candidates but loses none."""
-    low = np.int64((1 << 24) - 1)
-    return gram << np.int64(48) | (place & low) << np.int64(24) | (size & low)
+def _mask(points: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Of 64 kinds of characters, those that a word has an odd number of; one edit changes two at the most."""
+    bit = np.uint64(1) << (mixed(points.astype(np.uint64)) & np.uint64(63))
+    total = np.concatenate([np.zeros(1, np.uint64), np.bitwise_xor.accumulate(bit)])
+    return total[stop] ^ total[start]
 
 
 # --- the operator --------------------------------------------------------------------------------------------
@@ -142,10 +150,11 @@ def near_pairs(words: DataFrame, keep=materialize) -> DataFrame:
     often[told.column(0).to_numpy()] = told.column(1).to_numpy()
     ranks = np.empty(GRAMS, np.int64)
     ranks[np.lexsort((np.arange(GRAMS), often))] = np.arange(GRAMS)
-    entries = keep(long.mapInArrow(_entries(ranks), "pivot boolean, key long, last long, word string"), "spelling-entries")
-    one = entries.where("pivot").select("key", F.col("last").alias("early"), F.col("word").alias("x"))
-    two = entries.where("not pivot").select("key", F.col("last").alias("late"), F.col("word").alias("y"))
-    met = one.join(two, "key").where("early <= late and x != y").where(F.levenshtein("x", "y", 1) == 1)
+    entries = keep(long.mapInArrow(_entries(ranks), "pivot boolean, key long, last long, mask long, word string"), "spelling-entries")
+    one = entries.where("pivot").select("key", F.col("last").alias("early"), F.col("mask").alias("mask_x"), F.col("word").alias("x"))
+    two = entries.where("not pivot").select("key", F.col("last").alias("late"), F.col("mask").alias("mask_y"), F.col("word").alias("y"))
+    likely = (F.col("early") <= F.col("late")) & (F.bit_count(F.col("mask_x").bitwiseXOR(F.col("mask_y"))) <= 2)
+    met = one.join(two, "key").where(likely & (F.levenshtein("x", "y", 1) == 1))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
