@@ -33,6 +33,13 @@ def _round_trip(fmt, **options):
     return query
 
 
+def csv_line_breaks(spark, sf):
+    """Whole document texts, line breaks and quotes included, through CSV files that are read in splits."""
+    source = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    path = write_table(source, new_path(spark, "csv"), "csv")
+    return read_table(spark, path, "csv", multiline=True).select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
+
+
 def trim_markers(spark, sf):
     df = c.markers_to_null(c.strip_strings(messy_orders(spark, sf)))
     return df.select(F.col("` Order Key`").alias("key"), F.col("Status").alias("status"), F.col("PRIORITY").alias("priority"))
@@ -86,6 +93,7 @@ def median_search(spark, sf):
 
 QUERIES = {
     "csv_round_trip": _round_trip("csv"),
+    "csv_line_breaks": csv_line_breaks,
     "json_round_trip": _round_trip("json", orient="lines"),
     "clean_trim_markers": trim_markers,
     "clean_names_doubles": names_and_doubles,
@@ -105,6 +113,7 @@ _MODE = "(select {c} from messy where {c} is not null group by {c} order by coun
 
 SQL = {
     "csv_round_trip": _ORDERS,
+    "csv_line_breaks": "select doc_id, lang, text from documents",
     "json_round_trip": _ORDERS,
     "clean_trim_markers": """
         select o_orderkey as key,

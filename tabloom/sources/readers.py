@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tabloom.defaults import CSV_NA_VALUES
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import col, looks_numeric, string_columns, strip
+from tabloom.sources.quoted import QUOTES, read_quoted_csv
 
 # one column-oriented JSON document is one value, so its size is checked
 MAX_COLUMN_JSON_BYTES = 128 * 1024 * 1024
@@ -58,19 +59,22 @@ def read_csv(
     """CSV with header and doubled quotes.
 
     Without ``schema`` all columns are read as text and typed by content, which
-    costs one extra pass. Line breaks inside quotes make each file one task; without a word
-    on them (``multiline``) one more pass looks for a line in which quotes don't pair up.
+    costs one extra pass. Files with line breaks inside quotes are split like any other, see
+    :mod:`tabloom.sources.quoted`; without a word on them (``multiline``) one more pass looks for a line in which quotes don't pair up.
     """
     if multiline is None:
         multiline = _open_quotes(spark, path)
-    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multiline)
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    return infer_text_types(reader.csv(path), na_values)
+    if multiline:
+        df = read_quoted_csv(spark, path, schema)
+    else:
+        reader = spark.read.options(header=True, **QUOTES)
+        df = (reader.schema(schema) if schema is not None else reader).csv(path)
+    return df if schema is not None else infer_text_types(df, na_values)
 
 
 def _open_quotes(spark: SparkSession, path: str | list[str]) -> bool:
-    odd = F.expr("(length(value) - length(replace(value, '\"', ''))) % 2 = 1")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    odd = F.contains("value", F.lit('"')) & (quotes % 2 == 1)  # most lines of most files have none
     return bool(spark.read.text(path).where(odd).limit(1).take(1))
 
 
