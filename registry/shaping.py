@@ -93,6 +93,38 @@ def corr_pairwise(spark, sf):
     return cor.correlation_matrix(df).select("variable_1", "variable_2", F.round("correlation", 8).alias("correlation"))
 
 
+def _wide_cells() -> list[tuple[str, str, str]]:
+    """(name, value, condition under which it is missing) of 72 columns over lineitem, as SQL for both sides."""
+    kinds = ["l_quantity", "l_extendedprice", "l_partkey % 97", "l_suppkey % 13 * l_linenumber", "l_quantity * l_discount", "l_orderkey % 31 - l_quantity"]
+    return [(f"w{k}", f"cast(({kinds[k % 6]}) + (l_partkey % {k + 2}) as double)", f"(l_orderkey + l_linenumber) % {k + 5} = 0 or l_suppkey % {k + 3} = 1") for k in range(72)]
+
+
+def _wide(spark, sf):
+    return table(spark, sf, "lineitem").selectExpr(*[f"case when {gap} then null else {value} end as {name}" for name, value, gap in _wide_cells()])
+
+
+def corr_wide(spark, sf):
+    """72 columns, each with missing values of its own."""
+    return cor.correlation_matrix(_wide(spark, sf)).select("variable_1", "variable_2", F.round("correlation", 7).alias("correlation"))
+
+
+#: Rows on which two of the columns are infinite.
+_ENDLESS = "(l_orderkey + l_linenumber) % 499 = 7"
+
+
+def corr_infinite(spark, sf):
+    """Twelve of them, two with infinities: pairs that have one on their rows have no correlation."""
+    cells = [f"case when {gap} then null {f'when {_ENDLESS} then double(\"{sign}Infinity\")' if sign is not None else ''} else {value} end as {name}" for name, value, gap, sign in _endless()]
+    df = table(spark, sf, "lineitem").selectExpr(*cells)
+    return cor.correlation_matrix(df).select("variable_1", "variable_2", F.round("correlation", 7).alias("correlation"))
+
+
+def _endless() -> list[tuple]:
+    """The first cells; the third and the last have an infinity, and the fourth is missing wherever it is."""
+    signs = {"w2": "", "w11": "-"}
+    return [(n, v, f"{gap} or {_ENDLESS}" if n == "w3" else gap, signs.get(n)) for n, v, gap in _wide_cells()[:12]]
+
+
 def corr_target(spark, sf):
     return cor.target_correlations(_matrix(spark, sf), TARGET).withColumn("correlation", F.round("correlation", 8))
 
@@ -114,6 +146,8 @@ QUERIES = {
     "feature_preparation": feature_preparation,
     "corr_matrix": corr_matrix,
     "corr_pairwise_nulls": corr_pairwise,
+    "corr_wide": corr_wide,
+    "corr_infinite": corr_infinite,
     "corr_target": corr_target,
     "corr_strong": lambda spark, sf: cor.strong_pairs(_matrix(spark, sf), 0.001),
     "corr_highest": lambda spark, sf: cor.extreme_pairs(_matrix(spark, sf)),
@@ -125,6 +159,17 @@ QUERIES = {
 }
 
 
+def _triangle(names: list[str], cells: str, unknown: str = "false") -> str:
+    """All pairs from one aggregation; ``unknown`` is what a pair mustn't have on any row."""
+    def cell(a, b):
+        r = f"round({'1.0' if a == b else f'corr({a}, {b})'}, 7)"
+        return f"case when not bool_or({unknown.format(a, b)}) then {r} end"
+
+    rows = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': {cell(a, b)}}}" for i, a in enumerate(names) for b in names[i:])
+    return f"""with wide as (select {cells} from lineitem), t as (select unnest([{rows}], recursive := true) from wide)
+        select a as variable_1, b as variable_2, r as correlation from t union all select b, a, r from t where a <> b"""
+
+
 def _corr(a: str, b: str, source: str) -> str:
     return f"select '{a}' as variable_1, '{b}' as variable_2, corr({a}, {b}) as r from {source}"
 
@@ -192,6 +237,12 @@ SQL = {
           select case when isinf(price) then null else price end as price, quantity, l_linenumber, 3 as three from messy),
         pairs as ({_all_pairs(['price', 'quantity', 'l_linenumber', 'three'], 'n')})
         select variable_1, variable_2, case when 'three' in (variable_1, variable_2) then null else round(r, 8) end as correlation from pairs""",
+    "corr_wide": _triangle([n for n, *_ in _wide_cells()], ", ".join(f"case when {gap} then null else {v} end as {n}" for n, v, gap in _wide_cells())),
+    "corr_infinite": _triangle(
+        [n for n, *_ in _endless()],
+        ", ".join(f"case when {gap} {f'or {_ENDLESS}' if sign is not None else ''} then null else {v} end as {n}, {'false' if sign is None else f'not ({gap}) and {_ENDLESS}'} as odd_{n}, not ({gap}) as there_{n}" for n, v, gap, sign in _endless()),
+        "(odd_{0} and there_{1}) or (odd_{1} and there_{0})",
+    ),
     "corr_target": f"""
         with {_PAIRS}
         select variable_1 as variable, round(r, 8) as correlation, case when r < 0 then 'negative' else 'positive' end as sign

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from typing import Any
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,108 +16,149 @@ from tabloom.defaults import STRONG_CORRELATION, VERY_STRONG_CORRELATION
 from tabloom.functions.columns import col, numeric_columns, string_columns, to_double
 from tabloom.functions.local import local_table
 from tabloom.operators.encoding import LabelCodes, label_codes
+from tabloom.scratch import materialize
+
+# tasks get this module's functions by value, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# sums per aggregate; more of them take several passes
-SUMS_PER_PASS = 1500
-# above this many columns a table without nulls goes through one matrix product
-WIDE = 60
 MATRIX_SCHEMA = "i int, j int, variable_1 string, variable_2 string, correlation double"
+# numbers that a task keeps for one panel of rows of the matrix (6 for each cell)
+PANEL_NUMBERS = 8_000_000
+# groups in which the tasks' sums meet first
+FAN_IN = 32
+MOMENTS = ["n", "mx", "my", "xx", "yy", "xy"]
+MOMENTS_SCHEMA = "i int, " + ", ".join(f"{m} array<double>" for m in MOMENTS)
 
 
 def correlation_matrix(
     df: DataFrame, columns: Sequence[str] | None = None, codes: LabelCodes | None = None
 ) -> DataFrame:
-    """All pairs (i, j, variable_1, variable_2, correlation) as a small local table.
+    """All pairs (i, j, variable_1, variable_2, correlation) as a stored table.
 
     Text columns are replaced by their label codes. Pairs use the rows where
-    both values exist; a constant column correlates with nothing (null). One
-    pass finds means and nulls, a second one sums centred products, so each pair
-    costs a single running sum where neither column has nulls. Wide tables
-    without nulls use the distributed matrix product of MLlib instead.
+    both values exist; a column that is constant or has an infinity on these rows correlates with nothing (null).
+
+    One pass at any usual width, with nulls or without: each task multiplies blocks of values and of their presence
+    (X'X, X'M, (X*X)'M, M'M), which are counts, means and centred sums of all pairs at once; these add up exactly and without cancellation in two
+    levels. Above some 1100 columns the matrix is made in panels of rows, a pass for each, so what a task holds is bounded.
     """
     wanted = list(columns or [c for c in df.columns if c in set(numeric_columns(df)) | set(string_columns(df))])
     text = [c for c in wanted if c in string_columns(df)]
+    spark = df.sparkSession
     df = df.select(*[col(c) for c in wanted])
     if text:
         df = (codes or label_codes(df, text)).encode(df)
-    df = df.select(*[to_double(col(c)).alias(f"c{i}") for i, c in enumerate(wanted)])
+    df = df.select(F.array(*[to_double(col(c)) for c in wanted]).alias("x"))
     k = len(wanted)
-
-    basics = [F.count("*").alias("rows")]
-    for i in range(k):
-        v = F.col(f"c{i}")
-        basics += [F.avg(v).alias(f"avg{i}"), F.count(v).alias(f"n{i}"), F.min(v).eqNullSafe(F.max(v)).alias(f"const{i}")]
-    seen = df.agg(*basics).first()
-    full = [seen[f"n{i}"] == seen["rows"] for i in range(k)]
-    usable = [i for i in range(k) if not seen[f"const{i}"]]
-    centred = df.select(*[(F.col(f"c{i}") - F.lit(seen[f"avg{i}"])).alias(f"x{i}") for i in usable])
-
-    if len(usable) > WIDE and all(full[i] for i in usable):
-        return local_table(df.sparkSession, _matrix_rows(wanted, usable, _gramian_correlation(centred)), MATRIX_SCHEMA)
-
-    sums: dict[str, float] = {}
-    pending: list[tuple[str, Column]] = []
-
-    def flush() -> None:
-        if pending:
-            row = centred.agg(*[F.sum(e).alias(name) for name, e in pending]).first()
-            sums.update(row.asDict())
-            pending.clear()
-
-    for i in usable:
-        for j in usable:
-            if j < i:
-                continue
-            x, y = F.col(f"x{i}"), F.col(f"x{j}")
-            pending.append((f"xy{i}_{j}", x * y))
-            if i != j and not (full[i] and full[j]):
-                both = x.isNotNull() & y.isNotNull()
-                pending += [
-                    (f"n{i}_{j}", F.when(both, 1).otherwise(0)),
-                    (f"x{i}_{j}", F.when(both, x)),
-                    (f"y{i}_{j}", F.when(both, y)),
-                    (f"xx{i}_{j}", F.when(both, x * x)),
-                    (f"yy{i}_{j}", F.when(both, y * y)),
-                ]
-            if len(pending) >= SUMS_PER_PASS:
-                flush()
-    flush()
-
-    known = {
-        (a, b): 1.0 if a == b else _pearson(sums, a, b, full[a] and full[b]) for a in usable for b in usable if a <= b
-    }
-    return local_table(df.sparkSession, _matrix_rows(wanted, usable, known), MATRIX_SCHEMA)
-
-
-def _matrix_rows(names: list[str], usable: list[int], known) -> list[tuple]:
-    """All cells in order; ``known`` holds pairs (a <= b) by column number, or a matrix over the usable columns."""
-    if not isinstance(known, dict):
-        known = {(a, b): float(known[x, y]) for x, a in enumerate(usable) for y, b in enumerate(usable) if a <= b}
-    return [(i, j, a, b, known.get((min(i, j), max(i, j)))) for i, a in enumerate(names) for j, b in enumerate(names)]
-
-
-def _gramian_correlation(centred: DataFrame):
-    assembled = VectorAssembler(inputCols=centred.columns, outputCol="features").transform(centred).select("features")
-    return Correlation.corr(assembled, "features").first()[0].toArray()
-
-
-def _pearson(sums: dict, i: int, j: int, complete: bool) -> float | None:
-    if complete:
-        xx, yy, xy = sums[f"xy{i}_{i}"], sums[f"xy{j}_{j}"], sums[f"xy{i}_{j}"]
-    else:
-        n = sums[f"n{i}_{j}"]
-        if not n:
-            return None
-        sx, sy = sums[f"x{i}_{j}"], sums[f"y{i}_{j}"]
-        raw_xx, raw_yy = sums[f"xx{i}_{j}"], sums[f"yy{i}_{j}"]
-        xx, yy = raw_xx - sx * sx / n, raw_yy - sy * sy / n
-        xy = sums[f"xy{i}_{j}"] - sx * sy / n
+    if not k:
+        return local_table(spark, [], MATRIX_SCHEMA)
+    height = max(1, min(k, PANEL_NUMBERS // (6 * k)))
+    cells = None
+    for first in range(0, k, height):
+        moments = _moments(df, k, range(first, min(k, first + height)))
+        cells = moments if cells is None else cells.unionByName(moments)
+    names = F.array(*[F.lit(c) for c in wanted]) if k <= 1000 else F.split(F.lit("\0".join(wanted)), "\0")
+    out = cells.select("i", F.posexplode(_pearson()).alias("j", "correlation"))
+    out = out.select("i", "j", F.get(names, F.col("i")).alias("variable_1"), F.get(names, F.col("j")).alias("variable_2"), "correlation")
+    return materialize(out.coalesce(max(1, k * k // 1_000_000)), "correlation")
+
+
+def _moments(df: DataFrame, k: int, rows: range) -> DataFrame:
+    """A row for each of ``rows`` with its moments with all k columns."""
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for values in _blocks(batches, k):
+            new = block_moments(values, rows)
+            held = new if held is None else merged(held, new)
+        if held is not None:
+            yield _moment_batch(np.arange(rows.start, rows.stop), held)
+
+    def total(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for part in parts:
+            for r in range(part.num_rows):
+                new = np.stack([_list(part.column(m), r) for m in MOMENTS])
+                held = new if held is None else merged(held, new)
+        yield _moment_batch(np.array([key[0].as_py()]), held[:, None])
+
+    parts = df.mapInArrow(local, MOMENTS_SCHEMA)
+    # each task's rows first meet a few others', then all
+    some = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
+    some = some.groupBy("i", "salt").applyInArrow(total, MOMENTS_SCHEMA)
+    return some.groupBy("i").applyInArrow(total, MOMENTS_SCHEMA)
+
+
+def _list(column: pa.Array, row: int) -> np.ndarray:
+    return column[row].values.to_numpy(zero_copy_only=False)
+
+
+def _moment_batch(numbers: np.ndarray, moments: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(numbers.astype(np.int32))]
+    n, k = moments.shape[1:]
+    columns += [pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k, dtype=np.int32)), pa.array(m.ravel())) for m in moments]
+    return pa.RecordBatch.from_arrays(columns, ["i", *MOMENTS])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[np.ndarray]:
+    """Rows of k values as matrices of some 8 MB; missing values are NaN."""
+    size = max(256, 1_000_000 // k)
+    for batch in batches:
+        for at in range(0, batch.num_rows, size):
+            part = batch.column(0).slice(at, size)
+            yield part.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, k)
+
+
+def block_moments(values: np.ndarray, rows: range) -> np.ndarray:
+    """(moment, row, column): pairs' counts, means of the row's and of the column's variable, and centred sums of squares and products."""
+    there = ~np.isnan(values)
+    infinite = np.isinf(values)
+    # numbers near each column's middle value lose nothing when they are squared; a constant column becomes exact zeros
+    middle = np.zeros(values.shape[1])
+    usable = there & ~infinite
+    for c in np.flatnonzero(usable.any(axis=0)):
+        some = values[usable[:, c], c][:999]
+        middle[c] = np.partition(some, len(some) // 2)[len(some) // 2]
+    x = np.where(usable, values - middle, 0.0)
+    with np.errstate(invalid="ignore", over="ignore"):
+        own, mask = slice(rows.start, rows.stop), there.astype(np.float64)
+        n = mask[:, own].T @ mask
+        sx, sxx = x[:, own].T @ mask, (x[:, own] ** 2).T @ mask
+        sy, syy = mask[:, own].T @ x, mask[:, own].T @ (x**2)
+        sxy = x[:, own].T @ x
+        size = np.maximum(n, 1)
+        xx, yy, xy = sxx - sx * sx / size, syy - sy * sy / size, sxy - sx * sy / size
         # constant on the shared rows, up to rounding
-        if xx <= 1e-12 * raw_xx or yy <= 1e-12 * raw_yy:
-            return None
-    if not xx > 0 or not yy > 0:
-        return None
-    return max(-1.0, min(1.0, xy / (xx**0.5 * yy**0.5)))
+        xx, yy = np.where(xx <= 1e-12 * sxx, 0.0, xx), np.where(yy <= 1e-12 * syy, 0.0, yy)
+        mx, my = sx / size + middle[own, None], sy / size + middle
+    if infinite.any():  # nothing is known of pairs that have one on their rows
+        odd = infinite.astype(np.float64)
+        xy[(odd[:, own].T @ mask + mask[:, own].T @ odd) > 0] = np.nan
+    return np.stack([n, mx, my, xx, yy, xy])
+
+
+def merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of both parts together."""
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    with np.errstate(invalid="ignore", over="ignore"):
+        dx, dy, weight = b[1] - a[1], b[2] - a[2], a[0] * share
+        empty = weight == 0  # one part has no rows: its means don't count
+        mx, my = (np.where(a[0] == 0, q, np.where(b[0] == 0, p, p + share * (q - p))) for p, q in ((a[1], b[1]), (a[2], b[2])))
+        more = [np.where(empty, 0.0, weight * p * q) for p, q in ((dx, dx), (dy, dy), (dx, dy))]
+    return np.stack([n, mx, my, a[3] + b[3] + more[0], a[4] + b[4] + more[1], a[5] + b[5] + more[2]])
+
+
+def _pearson() -> Column:
+    """Correlations of a row of moments with all columns; exactly 1 on the diagonal."""
+    cells = F.arrays_zip(*MOMENTS)
+
+    def one(m: Column, j: Column) -> Column:
+        r = m["xy"] / (F.sqrt(m["xx"]) * F.sqrt(m["yy"]))
+        known = (m["xx"] > 0) & (m["yy"] > 0) & ~F.isnan(m["xy"])
+        return F.when(known, F.when(F.col("i") == j, 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))))
+
+    return F.transform(cells, one)
 
 
 def upper(matrix: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ Lines are stored once between these steps, as the numbers given to them must not
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,9 @@ from pyspark.sql import types as T
 from tabloom.errors import ValidationError
 from tabloom.scratch import materialize
 
+# tasks get this module's functions by value, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUOTES = {"quote": '"', "escape": '"'}
 
 #: Whole values up to a separator, then a quote that opens a value and isn't closed; possessive, so linear in the line.

@@ -88,7 +88,7 @@ def test_correlation_of_cleaned_table(cleaned):
 
 
 def test_pairwise_nulls_and_constants_match_pandas(spark, monkeypatch):
-    monkeypatch.setattr(cor, "SUMS_PER_PASS", 5)
+    monkeypatch.setattr(cor, "PANEL_NUMBERS", 60)  # panels of two rows
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame(rng.normal(1e6, 1, (200, 4)), columns=list("abcd"))
     pdf["b"] += pdf["a"] * 0.5
@@ -123,18 +123,40 @@ def test_feature_chain(cleaned):
     assert sum(r["w"] for r in f.table.collect()) == pytest.approx(0)
 
 
-def test_wide_tables_agree_with_the_sums(spark, monkeypatch):
+def test_wide_table_with_nulls_and_infinities(spark):
     rng = np.random.default_rng(4)
-    pdf = pd.DataFrame(rng.normal(1e5, 1, (300, 5)), columns=list("abcde"))
-    pdf["e"] += pdf["a"]
-    pdf["f"] = 1.5
-    df = spark.createDataFrame(pdf)
-    narrow = {(r["i"], r["j"]): r["correlation"] for r in correlation_matrix(df).collect()}
-    monkeypatch.setattr(cor, "WIDE", 2)
-    wide = {(r["i"], r["j"]): r["correlation"] for r in correlation_matrix(df).collect()}
-    assert narrow.keys() == wide.keys() and narrow[(0, 5)] is None and wide[(5, 5)] is None
-    for key, r in narrow.items():
-        assert (r is None) == (wide[key] is None) and (r is None or r == pytest.approx(wide[key], abs=1e-9))
+    values = rng.normal(1e5, 1, (400, 80)) * 10.0 ** rng.integers(-6, 6, 80)
+    values[:, 1:] += values[:, :1]
+    values[rng.random(values.shape) < 0.2] = np.nan
+    values[:, 7] = 3.25
+    values[values[:, 9] == values[:, 9], 11] = 0.1  # constant wherever the other is
+    order = np.argsort(values[:, 0])  # parts of the table differ in size
+    pdf = pd.DataFrame(values[order], columns=[f"c{i}" for i in range(80)])
+    want = pdf.corr().to_numpy()
+    pdf.loc[5, "c3"], pdf.loc[11, "c4"], pdf.loc[11, "c5"] = np.inf, -np.inf, np.nan
+    got = {(r["i"], r["j"]): r["correlation"] for r in correlation_matrix(spark.createDataFrame(pdf).repartition(5)).collect()}
+    assert len(got) == 6400
+    finite = pdf.corr().to_numpy()  # of pairs without an infinity on their rows
+    for (i, j), r in got.items():
+        odd = any(np.isinf(pdf.iloc[x, [i, j]].astype(float)).any() and not pdf.iloc[x, [i, j]].isna().any() for x in (5, 11))
+        if odd or 7 in (i, j) or {i, j} == {9, 11}:
+            assert r is None
+        else:
+            assert r == pytest.approx(finite[i, j] if {i, j} & {4, 5} else want[i, j], abs=1e-6)
+
+
+def test_moments_do_not_cancel():
+    rng = np.random.default_rng(2)
+    x = np.concatenate([np.zeros(500), 1e9 + rng.normal(0, 1, 500)])
+    values = np.stack([x, x + rng.normal(0, 1, 1000)], axis=1)
+    parts = [cor.block_moments(v, range(2)) for v in np.array_split(values, 7)]
+    total = parts[0]
+    for p in parts[1:]:
+        total = cor.merged(total, p)
+    late = cor.merged(cor.block_moments(values[500:700], range(2)), cor.block_moments(values[700:], range(2)))
+    for m, v in ((total, values), (late, values[500:])):
+        r = m[5, 0, 1] / np.sqrt(m[3, 0, 1] * m[4, 0, 1])
+        assert r == pytest.approx(np.corrcoef(v.T)[0, 1], abs=1e-9)
 
 
 def test_large_and_small_codes_agree_on_a_whole_table(spark, cleaned, monkeypatch):
