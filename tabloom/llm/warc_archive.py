@@ -6,7 +6,7 @@ Records with equal payloads of at least ``min_bytes`` have one response, the oth
 Grouping is an aggregation over (SHA-256, SHA-1, length) with one number per group, so a payload with any number
 of copies collapses before the shuffle.
 
-Defined cases: a null html is the empty payload; a null url leaves ``WARC-Target-URI`` out; line breaks in a url are
+Defined cases: a null html is the empty payload; a null url leaves ``WARC-Target-URI`` out; whatever may pass for a line break in a url is
 percent-encoded in the header; a null id never becomes the response of a group that has another id, and a group of null ids only is all responses; of
 rows that repeat id and payload one is the response and the others are revisits of it; empty tables give an
 empty archive; other columns are not read.
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
+#: Characters that some reader takes for the end of a line.
+BREAKS = "\n\v\f\r\x1c\x1d\x1e\x85\u2028\u2029"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -62,7 +64,9 @@ def _record_id(value: Column) -> Column:
 
 
 def _header(date: str) -> Column:
-    clean = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    clean = F.col("url")
+    for c in BREAKS:
+        clean = F.replace(clean, F.lit(c), F.lit("".join(f"%{b:02X}" for b in c.encode())))
     revisit = F.col("kind") == "revisit"
     lines = [
         F.lit("WARC/1.1"),
@@ -91,8 +95,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def header_field(name: str, header: Column) -> Column:
-    value = F.regexp_extract(header, rf"(?m)^{name}: ([^\r\n]*)$", 1)
-    return F.nullif(value, F.lit(""))
+    """A field's value, null if there is none or it is empty; lines end at CRLF and nowhere else."""
+    start = f"{name}: "
+    line = F.get(F.filter(F.split(header, CRLF), lambda x: x.startswith(start)), F.lit(0))
+    return F.nullif(F.substring(line, F.lit(len(start) + 1), F.length(line)), F.lit(""))
 
 
 def page_of(record_id: Column) -> Column:

@@ -129,6 +129,17 @@ def test_warc_round_trip(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a/payloads")).count() == 6
 
 
+def test_warc_urls_that_look_like_headers(spark, tmp_path):
+    breaks = ["\r\n", "\n", "\r", "\x85", "\u2028", "\u2029", "\v", "\f", "\x1e", ""]
+    fields = ["Content-Length: 0", "WARC-Refers-To: <urn:page:77>", "WARC-Type: revisit", "WARC-Record-ID: <urn:page:5>", "WARC-Payload-Digest: sha1:AAAA"]
+    rows = [(i, f"http://a/{b}{f}{b}{b}x", f"payload {i // 2}") for i, (b, f) in enumerate((b, f) for b in breaks for f in fields)]
+    rows.append((1000, fields[1], "alone"))
+    write_archive(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "a"))
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in read_facts(spark, str(tmp_path / "a")).collect()}
+    last = {p: i for i, _, p in rows}
+    assert got == {i: (len(p), "response" if last[p] == i else "revisit", None if last[p] == i else last[p]) for i, _, p in rows}
+
+
 def test_warc_small_payloads_and_empty_table(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id long, url string, html string")
     write_archive(pages, str(tmp_path / "a"), min_bytes=3)
