@@ -151,7 +151,8 @@ def mix(
     table = spark.range(0, 1, 1, 1).mapInArrow(_rows_of_schedule(exact_shares(named, blocks), blocks), "key string, block0 long, release long, deadline long, slot long")
     # a bucket gets the slots of its blocks, so rows are not moved again
     reach = F.explode(F.sequence(F.expr(f"offset div {block_rows}"), F.expr(f"(offset + n - 1) div {block_rows}")))
-    turns = before.select("key", "bucket", "offset", reach.alias("block0")).join(table, ["key", "block0"])
+    # the schedule grows with the rows, so it is shuffled whatever its size looks like before it runs
+    turns = before.select("key", "bucket", "offset", reach.alias("block0")).hint("shuffle_merge").join(table.hint("shuffle_merge"), ["key", "block0"])
     turns = turns.groupBy("key", "bucket").agg(F.min("block0").alias("first"), F.sort_array(F.collect_list(F.struct("block0", "release", "deadline", "slot"))).alias("turns"))
     number = F.row_number().over(Window.partitionBy("key", "bucket").orderBy("h", "tie"))
     numbered = placed.withColumn("number", number).join(before.join(turns, ["key", "bucket"], "left").drop("n"), ["key", "bucket"])

@@ -154,6 +154,13 @@ def test_mix_keeps_to_the_weights_themselves(spark):
             assert abs(done[s] - Fraction(w) / total * (t + 1)) < 1
 
 
+def test_schedule_is_shuffled_and_not_broadcast(spark):
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("source"))
+    plan = mixing.mix(docs, {"0": 1.0, "1": 2.0, "2": 0.5})._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "block0" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_mix_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, source string")
     assert mixing.tempered_weights(docs) == {}
