@@ -21,9 +21,17 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.with_statistics(docs).where(model.score(F.col("stats")) >= quality.KEEP_FROM).select("row.*")
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that is the id, or where there is none a number from the text behind all usual ids; and its name."""
+    name = fresh("row_number", docs.columns)
+    own = F.lit(1 << 62) + F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).bitwiseAND(F.lit((1 << 61) - 1))
+    return docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), own)), name
+
+
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that come earlier in the corpus, exactly or nearly; a document that loses all it had goes."""
-    cut = line_dedup.drop_lines(docs)
+    rows, number = numbered(docs)
+    cut = line_dedup.drop_lines(rows, id_col=number)
     left = cut.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.col("n_dropped") > 0
     new = {
@@ -34,16 +42,16 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8)."""
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).take(1)
+    """One document of each group of near copies (five words, 0.8), if there is one a row that has an id."""
+    rows, number = numbered(docs)
+    repeated = rows.groupBy(number).count().where("count > 1").limit(1).take(1)
     if repeated:  # rows that repeat id and text are one document
-        docs = materialize(docs.where("doc_id is null").unionByName(docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"])), "near-rows")
-        tag = fresh("text_tag", docs.columns)
-        kept = near_dedup.near_dedup(docs, tag_col=tag).where("kept and doc_id is not null").select("doc_id", tag).distinct()
-        tagged = docs.where("doc_id is not null").withColumn(tag, near_dedup.text_tag())
-        return tagged.join(kept, ["doc_id", tag], "left_semi").drop(tag).unionByName(docs.where("doc_id is null"))
-    kept = near_dedup.near_dedup(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+        rows = materialize(rows.dropDuplicates([number, "text"]), "near-rows")
+        tag = fresh("text_tag", rows.columns)
+        kept = near_dedup.near_dedup(rows, id_col=number, tag_col=tag).where("kept").select(number, tag).distinct()
+        return rows.withColumn(tag, near_dedup.text_tag()).join(kept, [number, tag], "left_semi").select(*docs.columns)
+    kept = near_dedup.near_dedup(rows, id_col=number).where("kept").select(number).distinct()
+    return rows.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
