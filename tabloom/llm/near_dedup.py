@@ -33,6 +33,7 @@ from tabloom.scratch import materialize
 
 K = 64
 SAFE = 0.5  # share of its sketch that any partner at 0.8 has too
+HEADED = 256  # values of a set whose entries carry the rarest ones
 SHORT = 8  # members of a list that are paired directly, so at most 28 pairs for each
 EPS = 0.3  # what the sketch estimate may be below the threshold: six standard errors at k = 64
 
@@ -251,28 +252,39 @@ def _short_pairs(undecided: DataFrame, percent: int) -> DataFrame:
 
 
 def full_lists(sets: DataFrame, percent: int, keep) -> DataFrame:
-    """(value, c, n, place): each set (c, codes) under its rarest values, with their place in that order."""
+    """(value, c, n, place, head): each set (c, codes) under its rarest values, with their place in that order.
+
+    ``head`` are these values and one more. It is left out of sets above ``HEADED`` values, as each entry carries it.
+    """
     entries = sets.select("c", F.size("codes").alias("n"), F.explode("codes").alias("value"))
     often = entries.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     packed = entries.join(often, "value").groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("shared"))
     before = F.col("n") - F.size("shared")  # values of this member only
     places = F.floor(F.col("n") * (100 - percent) / 100) + 1 - before
-    listed = packed.where(places > 0).select("c", "n", before.alias("before"), F.posexplode(F.slice("shared", F.lit(1), places.cast("int"))).alias("at", "s"))
-    return _met(listed.select(F.col("s.value").alias("value"), "c", F.col("n").cast("long").alias("n"), (F.col("before") + F.col("at")).cast("long").alias("place")), keep)
+    head = F.when(F.col("n") <= HEADED, F.slice(F.col("shared")["value"], F.lit(1), (places + 1).cast("int")))
+    listed = packed.where(places > 0).select("c", "n", before.alias("before"), head.alias("head"), F.posexplode(F.slice("shared", F.lit(1), places.cast("int"))).alias("at", "s"))
+    place = (F.col("before") + F.col("at")).cast("long").alias("place")
+    return _met(listed.select(F.col("s.value").alias("value"), "c", F.col("n").cast("long").alias("n"), place, "head"), keep)
 
 
 def open_pairs(listed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs in different components that meet early enough in both orders for their sizes; the smaller set's side is the short one."""
+    """Pairs in different components that meet early enough in both orders for their sizes; the smaller set's side is the short one.
+
+    A pair at the threshold shares two values (or all it needs) of its heads, as these are one longer than it takes to share one; it is emitted at the first of them.
+    """
     labelled = _labelled(listed, roots)
     near = labelled.where(F.col("place") <= F.col("n") - _overlap("n", "n", percent))
-    far = labelled.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("root").alias("other"))
+    far = labelled.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("root").alias("other"), F.col("head").alias("top"))
     least = _overlap("n", "m", percent)
+    common = F.array_intersect("head", "top")
+    twice = F.coalesce((F.size(common) >= F.least(least, F.lit(2))) & (F.get(common, F.lit(0)) == F.col("value")), F.lit(True))
     met = near.join(far, "value").where(
         (F.col("root") != F.col("other"))
         & ((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("c") < F.col("d"))))
         & _alike(F.col("n"), F.col("m"), percent)
         & (F.col("place") <= F.col("n") - least)
         & (F.col("spot") <= F.col("m") - least)
+        & (F.col("head").isNull() | F.col("top").isNull() | twice)
     )
     return met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 

@@ -81,3 +81,13 @@ def test_near_stage_keeps_texts_apart_that_share_an_id(spark):
     rows = [(3, words(1) + " end"), (5, words(1)), (5, words(2)), (7, words(2) + " end")]
     got = P.near_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
     assert sorted(pairs(got)) == [rows[0], rows[2]]
+
+
+def test_copies_without_an_id(spark):
+    """Near copies, three of them without an id: the one that has an id stays, and lines that it has go from the others."""
+    body = [f"line number {i} of a text that is about things {i * 7919}" for i in range(30)]
+    rows = [(8, "\n".join(body)), (None, "\n".join([*body[:-1], "another end of it"])), (None, "\n".join(body)), (None, "\n".join(body)), (None, "quite other words"), (9, "not like it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(pairs(P.near_stage(spark, docs, SF)), key=str) == sorted([rows[0], rows[4], rows[5]], key=str)
+    left = sorted(pairs(P.line_stage(spark, docs, SF)), key=str)
+    assert left == sorted([rows[0], (None, "another end of it"), rows[4], rows[5]], key=str)
