@@ -33,6 +33,7 @@ from tabloom.scratch import materialize
 
 K = 64
 SAFE = 0.5  # share of its sketch that any partner at 0.8 has too
+SENT_IDS = 4_000_000  # numbers that are broadcast at the most (32 MB)
 HEADED = 256  # values of a set whose entries carry the rarest ones
 SHORT = 8  # members of a list that are paired directly, so at most 28 pairs for each
 EPS = 0.3  # what the sketch estimate may be below the threshold: six standard errors at k = 64
@@ -157,17 +158,18 @@ def _near_dedup(rows: DataFrame, id_col: str, width: int, percent: int, k: int)
     # equal sets fall together; their smallest id speaks for them
     classes = keep(known.groupBy("n", "d1", "d2").agg(F.min("id").alias("c")), "near-classes")
     lists = keep(_rare_lists(known, classes, percent, k, keep), "near-lists")
-    active = keep(_active(lists, drawn, rows.where("id is not null")), "near-active")
+    texts = rows.where("id is not null").withColumnRenamed("id", "c")
+    # sketches of the classes in any list
+    active = keep(drawn.select(F.col("id").alias("c"), "sketch").join(lists.select("c").distinct(), "c", "left_semi"), "near-active")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        return keep(_confirm(_estimate(pairs, active, percent, k), active, width, percent, keep), "near-links")
+        return keep(_confirm(_estimate(pairs, active, percent, k), texts, width, percent, keep), "near-links")
 
     pairs = keep(_pivot_pairs(lists, percent), "near-pairs")
     links = confirmed(pairs)
     roots = components(links, keep=keep)
     undecided = keep(_undecided(lists, roots), "near-undecided")
-    texts = active.join(undecided.where("not short").select("c").distinct(), "c", "left_semi").select("c", "text")
-    sets = keep(texts.mapInArrow(_sets(width), "id long, codes array<long>"), "near-open-sets")
+    sets = keep(_sets_of(texts, undecided.where("not short").select("c").distinct(), width, keep), "near-open-sets")
     listed = keep(full_lists(sets.select(F.col("id").alias("c"), "codes"), percent, keep), "near-full-lists")
     more = _short_pairs(undecided, percent).union(open_pairs(listed, roots, percent)).distinct()
     rest = keep(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs")
@@ -208,10 +210,11 @@ def _met(listed: DataFrame, keep) -> DataFrame:
     return listed.join(listed.groupBy("value").agg(F.count("*").alias("members")).where("members > 1").select("value"), "value")
 
 
-def _active(lists: DataFrame, drawn: DataFrame, texts: DataFrame) -> DataFrame:
-    """Sketch and text of the classes in any list."""
-    inside = drawn.select(F.col("id").alias("c"), "sketch").join(lists.select("c").distinct(), "c", "left_semi")
-    return inside.join(texts.withColumnRenamed("id", "c"), "c")
+def _sets_of(texts: DataFrame, ids: DataFrame, width: int, keep) -> DataFrame:
+    """(id, codes): full sets of the texts of ``ids``. Up to ``SENT_IDS`` of them are sent to the texts; beyond that both sides are shuffled."""
+    ids = keep(ids, "near-ids")
+    asked = F.broadcast(ids) if ids.count() <= SENT_IDS else ids.hint("shuffle_merge")
+    return texts.join(asked, "c", "left_semi").select("c", "text").mapInArrow(_sets(width), "id long, codes array<long>")
 
 
 def _alike(n, m, percent: int):
@@ -305,11 +308,11 @@ def _flip(x):
     return x.bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
 
 
-def _confirm(pairs: DataFrame, active: DataFrame, width: int, percent: int, keep) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int, keep) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
     pairs = keep(pairs, "near-likely")
     ids = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    sets = keep(active.join(ids, "c", "left_semi").select("c", "text").mapInArrow(_sets(width), "id long, codes array<long>"), "near-sets")
+    sets = keep(_sets_of(texts, ids, width, keep), "near-sets")
     one = sets.select(F.col("id").alias("a"), F.col("codes").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("codes").alias("y"))
     common = F.size(F.array_intersect("x", "y"))

@@ -98,8 +98,9 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("width", [2, 5])
-def test_near_dedup_against_brute_force(spark, width):
+@pytest.mark.parametrize("width, sent", [(2, N.SENT_IDS), (5, N.SENT_IDS), (5, 3)])
+def test_near_dedup_against_brute_force(spark, monkeypatch, width, sent):
+    monkeypatch.setattr(N, "SENT_IDS", sent)
     rows = corpus(width) + [(9000, ""), (9001, None), (9002, " \n")]
     df = spark.createDataFrame([(*r, 1, 1) for r in rows], "doc_id long, text string, n long, component_id int")
     got = N.near_dedup(df, width=width).collect()
