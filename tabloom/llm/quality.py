@@ -91,12 +91,15 @@ def document_statistics(texts: pa.Array) -> np.ndarray:
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(row, stats): each input row as a struct, and its statistics as an array."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    inside = isinstance(docs.schema[text_col].dataType, T.StringType) and docs.columns.index(text_col)  # texts travel once
+    rows = docs.select(whole) if inside is not False else docs.select(whole, F.col(text_col).cast("string").alias("text"))
     out = T.StructType([rows.schema["row"], T.StructField("stats", T.ArrayType(T.DoubleType()))])
+    text_of = lambda b: b.column(1) if inside is False else b.column(0).field(inside)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in portions(batches, lambda b: b.column(1)):
-            stats = document_statistics(part.column(1))
+        for part in portions(batches, text_of, 1 << 20):
+            stats = document_statistics(text_of(part))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, stats.size + 1, stats.shape[1], dtype=np.int32)), pa.array(stats.ravel()))
             yield pa.RecordBatch.from_arrays([part.column(0), flat], ["row", "stats"])
 
