@@ -31,6 +31,29 @@ def split_composite(spark, sf):
     return _sides(s.stratified_split(df, "l_returnflag", 0.2, 42, keys), *keys, "l_returnflag")
 
 
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+#: Orders as classes; those of one line share a class of their own, as a class of one row can't be split.
+ORDER_CLASSES = "case when count(*) over (partition by l_orderkey) > 1 then l_orderkey else -1 end"
+
+
+def split_many(spark, sf):
+    """About as many classes as there are orders: beyond sf0.001 they stay tables."""
+    df = table(spark, sf, "lineitem").selectExpr(*LINE_KEYS, f"{ORDER_CLASSES} as k")
+    return _sides(s.stratified_split(df, "k", 0.5, 42, LINE_KEYS), *LINE_KEYS)
+
+
+def undersample_many(spark, sf):
+    """One line of each order."""
+    df = table(spark, sf, "lineitem").select(*LINE_KEYS)
+    return s.undersample(df, "l_orderkey", keys=LINE_KEYS).table
+
+
+def bootstrap_many(spark, sf):
+    """As many draws as there are lines, over the orders they belong to."""
+    df = table(spark, sf, "lineitem")
+    return s.bootstrap_labels(df, "l_orderkey", df.count())
+
+
 def split_copies(spark, sf):
     """Rows without any key: equal rows are interchangeable, class sizes are still exact."""
     df = table(spark, sf, "lineitem").select("l_linenumber", "l_returnflag", "l_linestatus")
@@ -71,6 +94,9 @@ QUERIES = {
     "split_stratified_orders": split_orders,
     "split_composite_key": split_composite,
     "split_without_key": split_copies,
+    "split_many_classes": split_many,
+    "undersample_many_classes": undersample_many,
+    "bootstrap_many_classes": bootstrap_many,
     "undersample": undersample,
     "balance_report": balance_report,
     "balance_validation": balance_validation,
@@ -99,7 +125,23 @@ _CHOSEN = f"""{LABELLED}, low as (select min(n) as n from (select count(*) as n
   ranked as (select *, row_number() over (partition by quality order by md5('42|' || doc_id)) as place from labelled),
   chosen as (select doc_id, lang, quality from ranked cross join low where place <= n)"""
 
+_LINE_HASH = "md5('42|' || " + " || '|' || ".join(f"length({k}::varchar) || ':' || {k}" for k in LINE_KEYS) + ")"
+
 SQL = {
+    "split_many_classes": f"""
+        with lines as (select *, {ORDER_CLASSES} as class from lineitem), {_quota_sql('lines', 'class', '0.5')}
+        select {', '.join(LINE_KEYS)}, case when row_number() over (partition by class order by {_LINE_HASH}) <= test then 'test' else 'train' end as side
+        from lines join q on class = k""",
+    "undersample_many_classes": f"""
+        with low as (select min(n) as n from (select count(*) as n from lineitem group by l_orderkey)),
+        ranked as (select {', '.join(LINE_KEYS)}, row_number() over (partition by l_orderkey order by {_LINE_HASH}) as place from lineitem)
+        select {', '.join(LINE_KEYS)} from ranked cross join low where place <= n""",
+    "bootstrap_many_classes": """
+        with c as (select l_orderkey, count(*) as n from lineitem group by 1),
+        e as (select l_orderkey, sum(n) over (order by l_orderkey) - n as low, sum(n) over () as total from c),
+        ids as (select unnest(range((select count(*) from lineitem))) as id),
+        u as (select id, floor(cast('0x' || substr(md5('42|' || id), 1, 13) as bigint) / 4503599627370496.0 * (select max(total) from e)) as place from ids)
+        select id, l_orderkey from u asof join e on place >= low""",
     "split_stratified": f"with {LABELLED}, {_split_sql('labelled', 'doc_id', 'quality', '0.2', 42)}",
     "split_stratified_orders": f"with {_split_sql('orders', 'o_orderkey', 'o_orderstatus', '0.25', 7)}",
     "split_composite_key": f"""

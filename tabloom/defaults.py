@@ -43,7 +43,9 @@ LEARNING_RATE = 2e-4
 
 # --- limits that keep driver and broadcast data small ----------------------
 
-# classes of a target; every per-class parameter table has at most this many rows
+# classes whose numbers pass through the driver and are broadcast; beyond that they stay tables
+DRIVER_CLASSES = 10_000
+# classes of a target that a model is fitted for; every per-class parameter table has at most this many rows
 MAX_CLASSES = 10_000
 # distinct values of one text column whose codes may be broadcast
 BROADCAST_VALUES = 20_000

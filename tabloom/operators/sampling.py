@@ -8,15 +8,23 @@ from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tabloom.defaults import BALANCED_RATIO, SEED, TEST_SIZE
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import col, hash_uniform
+from tabloom.functions.columns import col, hash_uniform, present
 from tabloom.functions.local import local_table
 from tabloom.operators.checks import BALANCING_METHODS, check_split
-from tabloom.operators.profiling import class_counts
+from tabloom.operators.profiling import checked_counts
+from tabloom.operators.ranks import totals_before
 from tabloom.operators.selection import take_per_group
+from tabloom.scratch import materialize
+
+# classes that one expression may list
+FEW_CLASSES = 64
+# draws of a bootstrap that one range of places gets, about
+RANGE_DRAWS = 100_000
 
 
 def target_last(df: DataFrame, target: str) -> DataFrame:
@@ -49,12 +57,39 @@ def split_quotas(counts: dict, test_size: float = TEST_SIZE) -> dict:
     return {c: n - quota[c] for c, n in counts.items()}
 
 
+def split_quota_table(counts: DataFrame, test_size: float = TEST_SIZE) -> DataFrame:
+    """(_class, _quota) of :func:`split_quotas` for any number of classes, from (_class, n).
+
+    Only the sums reach the driver. The classes with the largest fractions are found by numbering all of them
+    in order of fraction over range partitions.
+    """
+    seen = counts.agg(F.sum("n").alias("total"), F.count("*").alias("k"), F.min("n").alias("least")).first()
+    total, test = seen.total, math.ceil(Fraction(str(test_size)) * seen.total)
+    train = total - test
+    if seen.least < 2:
+        small = [r[0] for r in counts.where("n < 2").select("_class").limit(10).collect()]
+        raise ValidationError(f"classes with fewer than 2 rows cannot be split: {small} and maybe others")
+    if min(train, test) < seen.k:
+        raise ValidationError(f"{train} + {test} rows are too few for {seen.k} classes")
+    # whole numbers of up to 38 digits: n * train, its quotient by the total and the remainder, which stands for the fraction
+    shares = counts.selectExpr("_class", "n", f"cast(n as decimal(19, 0)) * cast({train} as decimal(18, 0)) as s")
+    shares = shares.selectExpr("_class", "n", f"cast(s div {total} as long) as base", f"cast(s % {total} as long) as rest")
+    shares = materialize(shares, "split-shares")
+    left = train - shares.agg(F.sum("base")).first()[0]
+    order = F.struct((-F.col("rest")).alias("rest"), "_class").alias("order")
+    numbered, _ = totals_before(shares.select(order, F.lit(1).alias("one"), "n", "base"), "order", ["one"])
+    kept = F.col("base") + F.when(F.col("one_before") < left, 1).otherwise(0)
+    return numbered.select("order._class", (F.col("n") - kept).alias("_quota"))
+
+
 @dataclass
 class Split:
+    """``counts`` and ``test_counts`` by class: dictionaries, or tables (_class, n) and (_class, _quota) beyond ``DRIVER_CLASSES`` classes."""
+
     train: DataFrame
     test: DataFrame
-    counts: dict
-    test_counts: dict
+    counts: dict | DataFrame
+    test_counts: dict | DataFrame
 
 
 def stratified_split(
@@ -66,7 +101,9 @@ def stratified_split(
 ) -> Split:
     """Exact proportional split into train and test; the target becomes the last column."""
     check_split(test_size, seed)
-    chosen = take_per_group(df, target, lambda n: split_quotas(n, test_size), keys, seed)
+    chosen = take_per_group(
+        df, target, lambda n: split_quotas(n, test_size), keys, seed, table_quotas=lambda n: split_quota_table(n, test_size)
+    )
     return Split(
         target_last(chosen.others(), target), target_last(chosen.chosen(), target), chosen.counts, chosen.quotas
     )
@@ -77,12 +114,24 @@ def stratified_split(
 
 @dataclass
 class Balanced:
+    """Counts by class are dictionaries, or tables (_class, n) and (_class, _quota) beyond ``DRIVER_CLASSES`` classes."""
+
     table: DataFrame
-    counts_before: dict
-    counts_after: dict
+    counts_before: dict | DataFrame
+    counts_after: dict | DataFrame
     method: str = BALANCING_METHODS[0]
 
     def report(self) -> dict:
+        """With more classes than fit a report, their number and the rows of each stand for the distribution."""
+        if isinstance(self.counts_before, DataFrame):
+            seen = self.counts_before.agg(F.sum("n").alias("rows"), F.count("*").alias("classes"), F.min("n").alias("least")).first()
+            return {
+                "method": self.method,
+                "new_distribution": {"classes": seen.classes, "rows_of_each": seen.least},
+                "samples_removed": seen.rows - seen.classes * seen.least,
+                "original_samples": seen.rows,
+                "balanced_samples": seen.classes * seen.least,
+            }
         before, after = sum(self.counts_before.values()), sum(self.counts_after.values())
         return {
             "method": self.method,
@@ -94,6 +143,9 @@ class Balanced:
 
     def report_table(self) -> DataFrame:
         """One row per class: rows before, after and removed."""
+        if isinstance(self.counts_before, DataFrame):
+            both = self.counts_before.join(self.counts_after, "_class")
+            return both.selectExpr("_class as class", "n as before", "_quota as after", "n - _quota as removed")
         data = [(c, n, self.counts_after[c], n - self.counts_after[c]) for c, n in self.counts_before.items()]
         class_type = self.table.schema.fields[-1].dataType.simpleString()
         return local_table(
@@ -112,7 +164,10 @@ def undersample(
     """Every class down to the size of the smallest, without replacement; target last."""
     if method not in BALANCING_METHODS:
         raise ValidationError(f"unsupported balancing method: {method}")
-    chosen = take_per_group(df, target, lambda n: dict.fromkeys(n, min(n.values())) if n else {}, keys, seed)
+    chosen = take_per_group(
+        df, target, lambda n: dict.fromkeys(n, min(n.values())) if n else {}, keys, seed,
+        table_quotas=lambda n: n.select("_class", F.lit(n.agg(F.min("n")).first()[0]).alias("_quota")),
+    )
     return Balanced(target_last(chosen.chosen(), target), chosen.counts, chosen.quotas, method)
 
 
@@ -167,7 +222,36 @@ def bootstrap_from_counts(spark: SparkSession, counts: dict, n: int, target: str
     return spark.range(n).select("id", pick_by_counts(counts, rank, class_type).alias(target))
 
 
+def bootstrap_by_table(spark: SparkSession, counts: DataFrame, n: int, target: str, seed: int = SEED) -> DataFrame:
+    """The same from a table (class, rows) of any size: each drawn place meets the class that holds it inside its range of places."""
+    ends, totals = totals_before(counts, "class", ["rows"])
+    ends = materialize(ends, "bootstrap-classes")
+    total = totals["rows"]
+    width = max(1, total * RANGE_DRAWS // max(n, total, 1))  # so many places to a range, and about as many draws
+    # a class is known in every range that it reaches into, from where it begins there
+    span = ends.withColumn("range", F.explode(F.expr(f"sequence(rows_before div {width}, (rows_before + rows - 1) div {width})")))
+    begins = span.select("range", F.greatest("rows_before", F.col("range") * width).alias("place"), F.lit(None).cast("long").alias("id"), F.col("class"))
+    place = F.floor(hash_uniform(seed, F.col("id")) * F.lit(float(total))).cast("bigint")
+    drawn = spark.range(n).select("id", place.alias("place")).select(
+        F.expr(f"place div {width}").alias("range"), "place", "id", F.lit(None).cast(counts.schema["class"].dataType).alias("class")
+    )
+    order = W.partitionBy("range").orderBy(F.col("place"), F.col("id").asc_nulls_first())
+    held = F.last("class", ignorenulls=True).over(order)
+    return begins.unionByName(drawn).select("id", held.alias(target)).where("id is not null")
+
+
 def bootstrap_labels(df: DataFrame, target: str, n: int, seed: int = SEED) -> DataFrame:
-    """Labels drawn with replacement from the target column of ``df``: (id, target)."""
-    counts = class_counts(df, target)
-    return bootstrap_from_counts(df.sparkSession, counts, n, target, df.schema[target].dataType.simpleString(), seed)
+    """Labels drawn with replacement from the target column of ``df``: (id, target).
+
+    A few classes are laid out in the expression itself; more are met by ranges of places.
+    """
+    counts = df.groupBy(present(df, target).alias("class")).agg(F.count("*").alias("rows"))
+    few = counts.limit(FEW_CLASSES + 1).collect()
+    if len(few) > FEW_CLASSES:
+        counts = materialize(counts, "bootstrap-counts")
+        nulls = counts.where("class is null").first()
+        if nulls:
+            raise ValidationError(f"{target} has {nulls['rows']} rows without a class")
+        return bootstrap_by_table(df.sparkSession, counts, n, target, seed)
+    found = checked_counts({r["class"]: r["rows"] for r in few}, target)
+    return bootstrap_from_counts(df.sparkSession, found, n, target, df.schema[target].dataType.simpleString(), seed)

@@ -15,11 +15,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.defaults import MAX_CLASSES, SEED
+from tabloom.defaults import DRIVER_CLASSES, SEED
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import col, row_hash, whole_row_hash
 from tabloom.functions.local import local_table
 from tabloom.operators.profiling import checked_counts
+from tabloom.scratch import materialize
 
 # hex digits added to the counted prefix per pass
 PREFIX_DIGITS = 4
@@ -31,14 +32,14 @@ COPIES_PER_ROW = 100_000
 class Selection:
     """The chosen rows of a table and the others; ``counts`` are the rows per class."""
 
-    def __init__(self, marked: DataFrame, columns: list[str], counts: dict, quotas: dict, cuts: list[tuple]):
+    def __init__(self, marked: DataFrame, columns: list[str], counts: dict | DataFrame, quotas: dict | DataFrame, whole: bool, copies: int):
         self._marked = marked
         self._columns = columns
         self.counts = counts
         self.quotas = quotas
-        # whether every class takes all rows with its last hash
-        self._whole = all(need == same for _, _, need, same in cuts)
-        self._copies = max((same for _, _, _, same in cuts), default=0)
+        # whether every class takes all rows with its last hash, and the most rows that share one
+        self._whole = whole
+        self._copies = copies
 
     def chosen(self) -> DataFrame:
         # a null _cut marks a class of which nothing is chosen
@@ -71,11 +72,13 @@ def take_per_group(
     quotas: Callable[[dict], dict],
     keys: Sequence[str] | None = None,
     seed: int = SEED,
+    table_quotas: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Selection:
     """Choose exactly ``quotas(class counts)[class]`` rows of every class.
 
     ``keys`` name columns that identify a row; without them whole rows are
-    hashed and equal rows are interchangeable.
+    hashed and equal rows are interchangeable. Up to ``DRIVER_CLASSES`` classes their numbers pass through the driver and are broadcast;
+    beyond that all of them stay tables, with ``table_quotas`` from (_class, n) to (_class, _quota), and the same rows are chosen.
     """
     columns = list(df.columns)
     h = row_hash(seed, keys) if keys else whole_row_hash(seed, columns)
@@ -83,7 +86,11 @@ def take_per_group(
 
     prefixes = _count_prefixes(marked, group, PREFIX_DIGITS).persist()  # 16^4 rows per class
     try:
-        found = prefixes.groupBy("_class").agg(F.sum("_n").alias("n")).limit(MAX_CLASSES + 1).collect()
+        found = prefixes.groupBy("_class").agg(F.sum("_n").alias("n")).limit(DRIVER_CLASSES + 1).collect()
+        if len(found) > DRIVER_CLASSES:
+            if table_quotas is None:
+                raise ValidationError(f"{group} has more than {DRIVER_CLASSES} classes")
+            return _take_by_table(marked, prefixes, group, table_quotas, columns, keys)
         counts = checked_counts({r["_class"]: r["n"] for r in found}, group)
         wanted = quotas(counts)
         for c, q in wanted.items():
@@ -107,9 +114,44 @@ def take_per_group(
             ]
         ),
     )
-    # one row per class, at most MAX_CLASSES
+    # one row per class, at most DRIVER_CLASSES
     joined = marked.join(F.broadcast(table), col(group) == F.col("_class"), "left")
-    return Selection(joined, columns, counts, wanted, cuts)
+    whole = all(need == same for _, _, need, same in cuts)
+    return Selection(joined, columns, counts, wanted, whole, max((same for _, _, _, same in cuts), default=0))
+
+
+def _take_by_table(
+    marked: DataFrame, prefixes: DataFrame, group: str, quotas: Callable[[DataFrame], DataFrame], columns: list[str], keys: Sequence[str] | None
+) -> Selection:
+    """The same search for all classes at once, with tables instead of numbers on the driver."""
+    prefixes = materialize(prefixes, "class-prefixes")
+    counts = materialize(prefixes.groupBy("_class").agg(F.sum("_n").alias("n")), "class-counts")
+    nulls = counts.where("_class is null").first()
+    if nulls:
+        raise ValidationError(f"{group} has {nulls['n']} rows without a class")
+    wanted = materialize(quotas(counts).select("_class", F.col("_quota").cast("long").alias("_quota")), "class-quotas")
+    bad = counts.join(wanted, "_class").where("_quota < 0 or _quota > n").first()
+    if bad:
+        raise ValidationError(f"class {bad['_class']} has {bad['n']} rows, {bad['_quota']} wanted")
+
+    def near(edges: DataFrame, digits: int) -> DataFrame:
+        rows = marked.select(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix"), "_hash")
+        return rows.join(edges.select("_class", "_prefix", "_rest"), ["_class", "_prefix"])
+
+    digits = PREFIX_DIGITS
+    edges = materialize(_edge_table(prefixes, wanted.where("_quota > 0")), "class-edges")
+    while digits < 16 and (edges.agg(F.max("_n")).first()[0] or 0) > NEAR_ROWS:
+        longer = near(edges, digits).select("_class", "_hash")
+        digits += PREFIX_DIGITS
+        rest = edges.select("_class", F.col("_rest").alias("_quota"))
+        edges = materialize(_edge_table(_count_prefixes(longer, "_class", digits), rest), "class-edges")
+    cuts = materialize(_cut_table(near(edges, digits)), "class-cuts")
+    facts = cuts.agg(F.bool_and(F.expr("_need = _same")).alias("whole"), F.max("_same").alias("copies")).first()
+    whole = facts["whole"] is not False
+    if keys and not whole:
+        raise ValidationError(f"{list(keys)} do not identify rows")
+    joined = marked.join(cuts.select(F.col("_class").alias("_of"), F.col("_hash").alias("_cut"), "_need"), col(group) == F.col("_of"), "left")
+    return Selection(joined.drop("_of"), columns, counts, wanted, whole, facts["copies"] or 0)
 
 
 def _count_prefixes(marked: DataFrame, group: str, digits: int) -> DataFrame:
@@ -127,14 +169,17 @@ def _edges(prefixes: DataFrame, quotas: dict) -> list[tuple]:
         list(quotas.items()),
         T.StructType([prefixes.schema["_class"], T.StructField("_quota", T.LongType())]),
     )
+    return [tuple(r) for r in _edge_table(prefixes, F.broadcast(table)).collect()]  # one row per class
+
+
+def _edge_table(prefixes: DataFrame, quotas: DataFrame) -> DataFrame:
     running = W.partitionBy("_class").orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow)
-    edge = (
+    return (
         prefixes.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
-        .join(F.broadcast(table), "_class")  # one row per class
+        .join(quotas, "_class")
         .where("_before < _quota and _quota <= _before + _n")
         .select("_class", "_prefix", F.expr("_quota - _before").alias("_rest"), "_n")
     )
-    return [tuple(r) for r in edge.collect()]
 
 
 def _cuts(marked: DataFrame, group: str, edges: list[tuple]) -> list[tuple]:
@@ -154,12 +199,15 @@ def _cuts(marked: DataFrame, group: str, edges: list[tuple]) -> list[tuple]:
         longer = near(edges, digits).select("_class", "_hash")
         digits += PREFIX_DIGITS
         edges = _edges(_count_prefixes(longer, "_class", digits), {c: rest for c, _, rest, _ in edges})
+    return [tuple(r) for r in _cut_table(near(edges, digits)).collect()]
+
+
+def _cut_table(near: DataFrame) -> DataFrame:
     # equal hashes collapse before the window
-    hashes = near(edges, digits).groupBy("_class", "_hash").agg(F.count("*").alias("_same"), F.max("_rest").alias("_rest"))
+    hashes = near.groupBy("_class", "_hash").agg(F.count("*").alias("_same"), F.max("_rest").alias("_rest"))
     ordered = W.partitionBy("_class").orderBy("_hash").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cut = (
+    return (
         hashes.withColumn("_before", F.sum("_same").over(ordered) - F.col("_same"))
         .where("_before < _rest and _rest <= _before + _same")
         .select("_class", "_hash", F.expr("_rest - _before").alias("_need"), "_same")
     )
-    return [tuple(r) for r in cut.collect()]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -9,6 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tabloom import ValidationError, bootstrap_labels, stratified_split, undersample
+from tabloom.operators import sampling as s
+from tabloom.operators import selection
 from tabloom.operators.sampling import balance_validation, split_quotas, validation_report
 from tabloom.operators.selection import take_per_group
 
@@ -135,3 +138,46 @@ def test_null_places_matter_in_whole_rows(spark):
     sel = take_per_group(df, "k", lambda n: {"a": 5})
     both = sel.chosen().unionAll(sel.others())
     assert sel.chosen().count() == 5 and both.exceptAll(df).count() == 0 and both.count() == 10
+
+
+def _sides(split):
+    return sorted(map(tuple, split.train.collect())), sorted(map(tuple, split.test.collect()))
+
+
+def test_many_classes_as_tables_choose_the_same_rows(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(i, f"c{rng.choice([1, 2, 3, 3, 3, 4, 5, 5, 6])}" if i % 3 else "c0", rng.random()) for i in range(900)]
+    df = spark.createDataFrame(rows, "k long, target string, x double")
+    copies = df.select("target", (F.col("k") % 4).alias("y"))
+    few = [
+        _sides(s.stratified_split(df, "target", 0.3, 5, ["k"])), _sides(s.stratified_split(copies, "target", 0.25)),
+        sorted(map(tuple, s.undersample(df, "target", keys=["k"]).table.collect())),
+    ]
+    small = s.undersample(df, "target", keys=["k"])
+    labels = sorted(map(tuple, s.bootstrap_labels(df, "target", 2000).collect()))
+    monkeypatch.setattr(selection, "DRIVER_CLASSES", 2)
+    monkeypatch.setattr(selection, "NEAR_ROWS", 1)  # also longer prefixes
+    monkeypatch.setattr(s, "FEW_CLASSES", 2)
+    monkeypatch.setattr(s, "RANGE_DRAWS", 37)
+    many = [
+        _sides(s.stratified_split(df, "target", 0.3, 5, ["k"])), _sides(s.stratified_split(copies, "target", 0.25)),
+        sorted(map(tuple, s.undersample(df, "target", keys=["k"]).table.collect())),
+    ]
+    assert few == many
+    big = s.undersample(df, "target", keys=["k"])
+    assert big.report()["samples_removed"] == small.report()["samples_removed"]
+    assert sorted(map(tuple, big.report_table().collect())) == sorted(map(tuple, small.report_table().collect()))
+    assert sorted(map(tuple, s.bootstrap_labels(df, "target", 2000).collect())) == labels
+    with pytest.raises(ValidationError, match="do not identify"):
+        s.stratified_split(df, "target", 0.3, 5, ["target"])
+    with pytest.raises(ValidationError, match="without a class"):
+        s.stratified_split(df.withColumn("target", F.expr("nullif(target, 'c3')")), "target", 0.3, 5, ["k"])
+    with pytest.raises(ValidationError, match="fewer than 2"):
+        s.stratified_split(df.unionByName(spark.createDataFrame([(9999, "lone", 0.0)], df.schema)), "target", 0.3, 5, ["k"])
+
+
+def test_hundred_thousand_classes_are_split_exactly(spark):
+    df = spark.range(400_000).select("id", F.expr("id % 100000").alias("target"))
+    split = s.stratified_split(df, "target", 0.5, 1, ["id"])
+    assert split.test.count() == 200_000
+    assert split.test.groupBy("target").count().agg(F.min("count"), F.max("count"), F.count("*")).first() == (2, 2, 100_000)
