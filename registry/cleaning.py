@@ -13,7 +13,7 @@ from registry.inputs import (
 )
 from tabloom import clean, read_table, write_table
 from tabloom.operators import cleaning as c
-from tabloom.operators.medians import medians
+from tabloom.operators.medians import class_medians, medians
 from tabloom.scratch import new_path
 
 
@@ -82,6 +82,19 @@ def preprocess_by_class(spark, sf):
     return df.withColumns({"price": F.round("price", 4), "quantity": F.round("quantity", 4)})
 
 
+def preprocess_many(spark, sf):
+    """The same with each order as a class: beyond sf0.001 the medians stay a table."""
+    df = messy_numbers(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "price", "quantity")
+    return c.preprocess_numeric(df, "l_orderkey", ["price", "quantity"]).withColumns({n: F.round(n, 4) for n in ("price", "quantity")})
+
+
+def median_many(spark, sf):
+    """Medians of lines by order, and of a few large classes by search, in one table."""
+    df = table(spark, sf, "lineitem").selectExpr("case when l_linenumber < 3 then l_linenumber else l_orderkey + 10 end as k", "l_extendedprice")
+    found = class_medians(df, ["l_extendedprice"], "k", direct_cells=0)
+    return found.select(F.col("group").alias("k"), F.round("m0", 4).alias("med"))
+
+
 def median_search(spark, sf):
     """Exact medians by bracketing, the way tables too large for one hash map take."""
     found = medians(
@@ -104,6 +117,8 @@ QUERIES = {
     "clean_full": clean_full,
     "cleaning_report": cleaning_counts,
     "preprocess_by_class": preprocess_by_class,
+    "preprocess_many_classes": preprocess_many,
+    "median_many_classes": median_many,
     "median_search": median_search,
 }
 
@@ -156,6 +171,17 @@ SQL = {
         m2 as (select l_linestatus as s, median(price) as p from f2 group by 1)
         select f2.* replace (round(coalesce(price, p), 4) as price, round(quantity, 4) as quantity)
         from f2 join m2 on l_linestatus = s""",
+    "preprocess_many_classes": f"""
+        with {MESSY_NUMBERS},
+        m1 as (select l_orderkey as s, median(price) as p, median(quantity) as q from messy group by 1),
+        f1 as (select messy.* replace (coalesce(price, p) as price, coalesce(quantity, q) as quantity) from messy join m1 on l_orderkey = s),
+        f2 as (select * replace (case when isinf(price) then null else price end as price) from f1),
+        m2 as (select l_orderkey as s, median(price) as p from f2 group by 1)
+        select l_orderkey, l_linenumber, l_partkey, round(coalesce(price, p), 4) as price, round(quantity, 4) as quantity
+        from f2 join m2 on l_orderkey = s""",
+    "median_many_classes": """
+        select case when l_linenumber < 3 then l_linenumber else l_orderkey + 10 end as k, round(median(l_extendedprice), 4) as med
+        from lineitem group by 1""",
     "median_search": """
         select l_linestatus, 'l_extendedprice' as "column", round(median(l_extendedprice), 4) as med from lineitem group by 1
         union all select l_linestatus, 'l_quantity', round(median(l_quantity), 4) from lineitem group by 1

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.defaults import MISSING_MARKERS
+from tabloom.defaults import DRIVER_CLASSES, MISSING_MARKERS
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import (
     col,
@@ -23,7 +23,7 @@ from tabloom.functions.columns import (
     to_double,
 )
 from tabloom.functions.local import local_table
-from tabloom.operators.medians import medians
+from tabloom.operators.medians import class_medians, medians
 from tabloom.sources.readers import infer_text_types
 
 
@@ -230,17 +230,14 @@ def fill_by_class(df: DataFrame, nulls: Sequence[str], infinite: Sequence[str],
 def _fill_by_class(df: DataFrame, columns: Sequence[str], by: str | None, rows: int) -> DataFrame:
     if not columns:
         return df
-    found = medians(df, columns, by, rows=rows)
     if by is None:
+        found = medians(df, columns, rows=rows)
         return fill(df, {c: v for c, v in found[None].items() if v is not None})
     names = df.columns
-    fields = [T.StructField("_class", df.schema[by].dataType)]
-    fields += [T.StructField(f"_m{i}", T.DoubleType()) for i in range(len(columns))]
-    # one row per class, at most MAX_CLASSES
-    table = local_table(
-        df.sparkSession,
-        [(g, *[m[c] for c in columns]) for g, m in found.items()], T.StructType(fields)
-    )
-    joined = df.join(F.broadcast(table), col(by) == F.col("_class"), "left")
+    table = class_medians(df, columns, by, rows=rows)
+    table = table.select(F.col("group").alias("_class"), *[F.col(f"m{i}").alias(f"_m{i}") for i in range(len(columns))])
+    if table.count() <= DRIVER_CLASSES:
+        table = F.broadcast(table)
+    joined = df.join(table, col(by) == F.col("_class"), "left")
     filled = {c: F.coalesce(col(c), F.col(f"_m{i}")) for i, c in enumerate(columns)}
     return joined.withColumns(filled).select(*[col(c) for c in names])

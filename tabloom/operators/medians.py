@@ -12,15 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.defaults import MAX_CLASSES
+from tabloom.defaults import DRIVER_CLASSES
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import col, to_double
 from tabloom.functions.local import local_table
+from tabloom.scratch import materialize
 
 # up to this many cells the built-in exact median (a hash map per group) is used
 DIRECT_CELLS = 4_000_000
 # below this many remaining values a search ends by sorting them in one group
 FINAL_VALUES = 50_000
+# rows of a group that the built-in median may hold
+GROUP_ROWS = 1_000_000
 GRID = 200
 # values per column and group that bracket the middle rank; exact counts then tell where it is
 SAMPLE = 100_000
@@ -39,7 +42,7 @@ def medians(
     direct_cells: int = DIRECT_CELLS,
     final_values: int = FINAL_VALUES,
 ) -> dict[Any, dict[str, float | None]]:
-    """``{group: {column: median}}``; the only group is ``None`` without ``by``.
+    """``{group: {column: median}}``; the only group is ``None`` without ``by``. For a dictionary, so up to ``DRIVER_CLASSES`` groups; see :func:`class_medians`.
 
     The median of an even number of values is the mean of the two middle ones.
     Large tables are searched: quantiles of a sample bracket the middle rank, exact
@@ -65,10 +68,43 @@ def medians(
     return _search(values, list(columns), by, final_values)
 
 
+def class_medians(
+    df: DataFrame, columns: Sequence[str], by: str, *, rows: int | None = None, direct_cells: int = DIRECT_CELLS, final_values: int = FINAL_VALUES
+) -> DataFrame:
+    """(group, m0, m1, ...): exact medians of any number of groups, as a stored table.
+
+    Groups of up to ``GROUP_ROWS`` rows are what a task can hold, so the built-in median takes them, all in one pass. Larger ones, of which there are
+    few by their size, are searched as in :func:`medians`, in batches whose numbers fit the driver.
+    """
+    values = df.where(col(by).isNotNull()).select(col(by).alias("group"), *[to_double(col(c)).alias(f"v{i}") for i, c in enumerate(columns)])
+    k = range(len(columns))
+
+    def direct(part: DataFrame) -> DataFrame:
+        return part.groupBy("group").agg(*[F.median(f"v{i}").alias(f"m{i}") for i in k])
+
+    if rows is None:
+        rows = df.count()
+    if rows * len(columns) <= direct_cells:
+        return materialize(direct(values), "class-medians")
+    large = materialize(values.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_ROWS).select("group"), "large-groups")
+    many = large.count()
+    if not many:
+        return materialize(direct(values), "class-medians")
+    # at most one row for each GROUP_ROWS rows
+    parts = [direct(values.join(F.broadcast(large), "group", "left_anti"))]
+    schema = T.StructType([values.schema["group"], *[T.StructField(f"m{i}", T.DoubleType()) for i in k]])
+    batches = -(-2 * many // DRIVER_CLASSES) if many > DRIVER_CLASSES else 1
+    for b in range(batches):
+        some = large.where(F.pmod(F.xxhash64("group"), F.lit(batches)) == b)
+        found = _search(values.join(F.broadcast(some), "group", "left_semi"), list(columns), by, final_values)
+        parts.append(local_table(df.sparkSession, [(g, *[m[c] for c in columns]) for g, m in found.items()], schema))
+    return materialize(reduce(DataFrame.unionByName, parts), "class-medians")
+
+
 def _collect_wide(result: DataFrame, columns: Sequence[str], by: str | None):
-    found = result.limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValidationError(f"{by} has more than {MAX_CLASSES} classes")
+    found = result.limit(DRIVER_CLASSES + 1).collect()
+    if len(found) > DRIVER_CLASSES:
+        raise ValidationError(f"{by} has more than {DRIVER_CLASSES} classes")
     return {(r["group"] if by is not None else None): {c: r[c] for c in columns} for r in found}
 
 
@@ -89,16 +125,16 @@ class _Bounds:
             return self._values.select("*", *[F.lit(v).cast("double").alias(p[0]) for p, v in zip(places, cells[0])])
         fields = [self._values.schema["group"], *[T.StructField(p[0], T.DoubleType()) for p in places]]
         table = local_table(self._values.sparkSession, [(g, *c) for g, c in zip(groups, cells)], T.StructType(fields))
-        # one row per class, at most MAX_CLASSES
+        # one row per class, at most DRIVER_CLASSES
         return self._values.join(F.broadcast(table), "group")
 
 
 def _search(values: DataFrame, columns: list[str], by: str | None, final_values: int):
     k = range(len(columns))
     bounds = _Bounds(values, by)
-    counted = values.groupBy("group").agg(*[F.count(f"v{i}").alias(f"n{i}") for i in k]).limit(MAX_CLASSES + 1).collect()
-    if len(counted) > MAX_CLASSES:
-        raise ValidationError(f"{by} has more than {MAX_CLASSES} classes")
+    counted = values.groupBy("group").agg(*[F.count(f"v{i}").alias(f"n{i}") for i in k]).limit(DRIVER_CLASSES + 1).collect()
+    if len(counted) > DRIVER_CLASSES:
+        raise ValidationError(f"{by} has more than {DRIVER_CLASSES} classes")
     n = {(r["group"], i): r[f"n{i}"] for r in counted for i in k if r[f"n{i}"]}
     # interval holding the lower middle value, whether its ends belong to it (infinite values do), and the rank inside
     searches = {key: dict(low=-math.inf, high=math.inf, low_in=1, high_in=1, rank=(m - 1) // 2, inside=m) for key, m in n.items()}

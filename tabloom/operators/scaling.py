@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.defaults import EPSILON, MAX_CLASSES
-from tabloom.errors import ValidationError
+from tabloom.defaults import DRIVER_CLASSES, EPSILON
 from tabloom.functions.columns import col, numeric_columns, to_double
 from tabloom.functions.local import local_table
 from tabloom.operators.profiling import is_continuous
+from tabloom.scratch import materialize
 
 
 @dataclass
@@ -54,23 +54,27 @@ class MinMaxScaler:
 
     columns: list[str]
     by: str | None
-    limits: dict[Any, dict[str, tuple[float, float]]]
-    """class (``None`` without classes) -> column -> (min, max)"""
+    limits: dict[Any, dict[str, tuple[float, float]]] | DataFrame
+    """class (``None`` without classes) -> column -> (min, max); beyond ``DRIVER_CLASSES`` classes a table (_class, _lo0, _hi0, _lo1, ...)"""
 
     def _apply(self, df: DataFrame, formula) -> DataFrame:
-        names = df.columns
         if self.by is None:
             lims = self.limits[None]
             return df.withColumns(
                 {c: formula(col(c).cast("double"), F.lit(lims[c][0]).cast("double"), F.lit(lims[c][1]).cast("double")) for c in self.columns}
             )
+        if isinstance(self.limits, DataFrame):
+            return self._scaled(df, self.limits, formula)
         fields = [T.StructField("_class", df.schema[self.by].dataType)]
         for i in range(len(self.columns)):
             fields += [T.StructField(f"_lo{i}", T.DoubleType()), T.StructField(f"_hi{i}", T.DoubleType())]
         data = [(k, *[x for c in self.columns for x in lims[c]]) for k, lims in self.limits.items()]
-        # one row per class, at most MAX_CLASSES
-        table = local_table(df.sparkSession, data, T.StructType(fields))
-        joined = df.join(F.broadcast(table), col(self.by) == F.col("_class"), "left")
+        # one row per class, at most DRIVER_CLASSES
+        return self._scaled(df, F.broadcast(local_table(df.sparkSession, data, T.StructType(fields))), formula)
+
+    def _scaled(self, df: DataFrame, limits: DataFrame, formula) -> DataFrame:
+        names = df.columns
+        joined = df.join(limits, col(self.by) == F.col("_class"), "left")
         scaled = {c: formula(col(c).cast("double"), F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i, c in enumerate(self.columns)}
         return joined.withColumns(scaled).select(*[col(n) for n in names])
 
@@ -94,9 +98,11 @@ def fit_min_max(df: DataFrame, columns: Sequence[str], by: str | None = None) ->
     if by is None:
         rows = [(None, df.agg(*aggs).first())]
     else:
-        found = df.where(col(by).isNotNull()).groupBy(col(by).alias("_class")).agg(*aggs).limit(MAX_CLASSES + 1).collect()
-        if len(found) > MAX_CLASSES:
-            raise ValidationError(f"{by} has more than {MAX_CLASSES} classes")
+        by_class = df.where(col(by).isNotNull()).groupBy(col(by).alias("_class")).agg(*aggs)
+        found = by_class.limit(DRIVER_CLASSES + 1).collect()
+        if len(found) > DRIVER_CLASSES:
+            names = [F.col(f"{side}{i}").alias(f"_{side}{i}") for i in range(len(columns)) for side in ("lo", "hi")]
+            return MinMaxScaler(list(columns), by, materialize(by_class.select("_class", *names), "class-limits"))
         rows = [(r["_class"], r) for r in found]
     limits = {k: {c: (r[f"lo{i}"], r[f"hi{i}"]) for i, c in enumerate(columns)} for k, r in rows}
     return MinMaxScaler(list(columns), by, limits)

@@ -123,3 +123,24 @@ def test_preprocess_fills_nulls_then_infinities(spark):
     got = sorted((r.k, r.x) for r in out.collect())
     # a: null -> median(1,3,10,inf)=6.5, then inf -> median(1,3,6.5,10)=4.75; b: null -> -inf, then both -> 5
     assert got == [("a", 1.0), ("a", 3.0), ("a", 4.75), ("a", 6.5), ("a", 10.0), ("b", 5.0), ("b", 5.0), ("b", 5.0)]
+
+
+def test_medians_of_many_classes(spark, monkeypatch):
+    """Small groups by the built-in median, large ones by search in batches; nulls, infinities and empty groups included."""
+    import random
+
+    from tabloom.operators import cleaning, medians
+
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", "c", "d"]) if i % 2 else f"k{i % 90}", rng.choice([None, rng.random(), float("inf"), 0.5])) for i in range(1200)]
+    rows += [("empty", None), (None, 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    direct = {r["group"]: r["m0"] for r in medians.class_medians(df, ["v"], "k").collect()}
+    assert direct == {k: m["v"] for k, m in medians.medians(df, ["v"], "k").items()}
+    filled = sorted(map(str, cleaning.preprocess_numeric(df, "k").collect()))
+    monkeypatch.setattr(medians, "GROUP_ROWS", 50)
+    monkeypatch.setattr(medians, "DRIVER_CLASSES", 2)
+    monkeypatch.setattr(cleaning, "DRIVER_CLASSES", 2)
+    found = medians.class_medians(df, ["v"], "k", direct_cells=0, final_values=20)
+    assert {r["group"]: r["m0"] for r in found.collect()} == direct
+    assert sorted(map(str, cleaning.preprocess_numeric(df, "k").collect())) == filled
