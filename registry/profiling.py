@@ -38,7 +38,7 @@ def training_quality(spark, sf):
 
 
 def _roles_input(spark, sf):
-    return table(spark, sf, "orders").drop("o_orderdate").withColumn("urgent", F.expr("int(o_orderpriority = '1-URGENT')"))
+    return table(spark, sf, "orders").withColumn("urgent", F.expr("int(o_orderpriority = '1-URGENT')"))
 
 
 def id_like(spark, sf):
@@ -111,12 +111,12 @@ _QUALITY = " union all ".join(
     )
 )
 _WITH_CONSTANT = f"{MESSY_NUMBERS}, m as (select l_linestatus, price, quantity, 7 as one from messy)"
-_ROLES = "r as (select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, cast(o_orderpriority = '1-URGENT' as int) as urgent from orders)"
+_ROLES = "r as (select *, cast(o_orderpriority = '1-URGENT' as int) as urgent from orders)"
 _ID_LIKE = " union all ".join(
     f"select '{c}' as \"column\", {by} as by_name, ({by} or count(distinct {c}) > 0.9 * greatest(1, count(*))) as id_like from r"
     for c, by in (
         ("o_orderkey", "false"), ("o_custkey", "true"), ("o_orderstatus", "false"), ("o_totalprice", "false"),
-        ("o_orderpriority", "false"), ("urgent", "false"),
+        ("o_orderdate", "false"), ("o_orderpriority", "false"), ("urgent", "false"),
     )
 )
 

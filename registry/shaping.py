@@ -10,6 +10,7 @@ from tabloom.operators import encoding as e
 from tabloom.operators.comparison import target_correlation_bars
 from tabloom.operators.features import prepare_features
 from tabloom.operators.scaling import fit_min_max, fit_standard
+from tabloom.operators.sparse import fit_sparse_one_hot
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 SCALED = ["l_quantity", "l_discount", "l_extendedprice"]
@@ -39,6 +40,19 @@ def one_hot(spark, sf):
     return e.one_hot(_orders(spark, sf).withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'P')")))
 
 
+def one_hot_sparse(spark, sf):
+    """Whole texts and languages of documents as positions of one vector, and read back from them."""
+    df = table(spark, sf, "documents").select("doc_id", "lang", F.expr("case when doc_id % 11 = 0 then null else text end as text"))
+    hot = fit_sparse_one_hot(df, ["lang", "text"])
+    back = hot.inverse(hot.transform(df).withColumn("positions", F.array_join("one_hot", ",")))
+    return back.select("doc_id", "lang", "text", "positions", F.lit(hot.size).cast("bigint").alias("size"))
+
+
+def one_hot_dictionary(spark, sf):
+    df = table(spark, sf, "orders").selectExpr("cast(o_custkey as string) as customer", "o_orderpriority")
+    return fit_sparse_one_hot(df).dictionary()
+
+
 def _lines(spark, sf):
     return table(spark, sf, "lineitem").select(*KEYS, "l_linestatus", *SCALED)
 
@@ -148,6 +162,8 @@ QUERIES = {
     "encoder_map": encoder_map,
     "label_encode_text": label_encode_text,
     "one_hot": one_hot,
+    "one_hot_sparse": one_hot_sparse,
+    "one_hot_dictionary": one_hot_dictionary,
     "standard_scale": standard_scale,
     "standard_round_trip": standard_round_trip,
     "min_max_scale": min_max_scale,
@@ -227,6 +243,16 @@ SQL = {
         union all
         select 'o_orderpriority', v, row_number() over (order by v) - 1 from (select distinct o_orderpriority as v from orders)""",
     "label_encode_text": "select doc_id, dense_rank() over (order by text) - 1 as code from documents",
+    "one_hot_sparse": """
+        with d as (select doc_id, lang, case when doc_id % 11 = 0 then null else text end as text from documents),
+        l as (select lang, row_number() over (order by encode(lang)) - 1 as i from (select distinct lang from d where lang is not null)),
+        t as (select text, row_number() over (order by encode(text)) - 1 + (select count(*) from l) as j from (select distinct text from d where text is not null))
+        select doc_id, lang, text, concat_ws(',', i, j) as positions, (select count(*) from l) + (select count(*) from t) as size
+        from d left join l using (lang) left join t using (text)""",
+    "one_hot_dictionary": """
+        with c as (select o_custkey::varchar as value, count(*) as rows from orders group by 1), p as (select o_orderpriority as value, count(*) as rows from orders group by 1)
+        select row_number() over (order by value) - 1 as index, 'customer' as "column", value, rows from c
+        union all select row_number() over (order by value) - 1 + (select count(*) from c), 'o_orderpriority', value, rows from p""",
     "one_hot": f"""
         select o_orderkey, {_dummies('o_orderstatus', 'FO')}, {_dummies('o_orderpriority', _PRIORITIES)}
         from (select o_orderkey, nullif(o_orderstatus, 'P') as o_orderstatus, o_orderpriority from orders)""",

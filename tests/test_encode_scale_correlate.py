@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabloom import ValidationError, correlation_matrix, correlation_report, fit_min_max, fit_standard, label_encode, one_hot, prepare_features
 from tabloom.operators import correlation as cor
+from tabloom.operators import sparse
 from tabloom.operators import encoding
 from tabloom.operators.encoding import label_codes
 
@@ -165,3 +166,29 @@ def test_large_and_small_codes_agree_on_a_whole_table(spark, cleaned, monkeypatc
     large = label_encode(cleaned.table)
     assert small.columns == large.columns and small.dtypes == large.dtypes
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+
+
+def test_sparse_one_hot_agrees_with_the_columns(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    pick = lambda v: v[int(rng.integers(len(v)))]
+    rows = [(i, pick(["x", "y", None, "nan", "", "é"]), f"v{int(rng.integers(200))}" if i % 3 else "hot") for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, a string, b string")
+    wide = one_hot(df)
+    names = [c for c in wide.columns if c != "k"]
+    want = {r["k"]: [i for i, n in enumerate(names) if r[n]] for r in wide.collect()}
+    for limit in (20_000, 3):
+        monkeypatch.setattr(sparse, "BROADCAST_VALUES", limit)
+        monkeypatch.setattr(sparse, "HOT_SHARE", 10)
+        hot = sparse.fit_sparse_one_hot(df)
+        assert hot.size == len(names) and hot.sent["b"] == (limit > 3)
+        there = hot.transform(df).cache()
+        assert {r["k"]: r["one_hot"] for r in there.collect()} == want and there.count() == 500
+        assert sorted(map(str, hot.inverse(there).select("k", "a", "b").collect())) == sorted(map(str, df.collect()))
+        assert [f"{r['column']}_{r['value']}" for r in hot.dictionary().orderBy("index").collect()] == names
+
+
+def test_sparse_one_hot_of_very_many_values(spark):
+    df = spark.range(120_000).select(F.expr("concat('v', id % 100000)").alias("c"), "id")
+    hot = sparse.fit_sparse_one_hot(df)
+    assert hot.size == 100_000
+    assert hot.inverse(hot.transform(df)).exceptAll(df.select("id", "c")).count() == 0
