@@ -81,9 +81,8 @@ def min_max_many(spark, sf):
     """Limits of each order's lines: beyond sf0.001 they stay a table."""
     df = table(spark, sf, "lineitem").select(*KEYS, "l_quantity")
     scaler = fit_min_max(df, ["l_quantity"], "l_orderkey")
-    there = scaler.transform(df)
-    back = scaler.inverse(there).withColumnRenamed("l_quantity", "back")
-    return there.join(back, KEYS).withColumns({"l_quantity": F.round("l_quantity", 6), "back": F.round("back", 4)}).distinct()
+    there = scaler.transform(df).withColumn("scaled", F.col("l_quantity"))
+    return scaler.inverse(there).select(*KEYS, F.round("scaled", 6).alias("l_quantity"), F.round("l_quantity", 4).alias("back"))
 
 
 def min_max_round_trip(spark, sf):
@@ -260,7 +259,7 @@ SQL = {
     "standard_round_trip": _BACK,
     "min_max_many_classes": f"""
         with a as (select l_orderkey as k, min(l_quantity) as lo, max(l_quantity) as hi from lineitem group by 1)
-        select distinct {_KEYS}, round((l_quantity - lo) * 2 / case when lo = hi then 1e-8 else hi - lo end - 1, 6) as l_quantity, round(l_quantity, 4) as back
+        select {_KEYS}, round((l_quantity - lo) * 2 / case when lo = hi then 1e-8 else hi - lo end - 1, 6) as l_quantity, round(l_quantity, 4) as back
         from lineitem join a on l_orderkey = k""",
     "min_max_scale": f"with {_LIMITS} select {_KEYS}, l_linestatus, "
     + ", ".join(f"round((l.{c} - lo{i}) * 2 / (hi{i} - lo{i}) - 1, 6) as {c}" for i, c in enumerate(SCALED))

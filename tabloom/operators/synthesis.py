@@ -31,6 +31,7 @@ from tabloom.functions.local import local_table
 from tabloom.operators import adversarial as net
 from tabloom.operators.checks import check_synthesis
 from tabloom.operators.cleaning import fill_by_class
+from tabloom.operators.journal import RoundJournal
 from tabloom.operators.profiling import checked_counts
 from tabloom.operators.sampling import pick_by_counts
 from tabloom.operators.scaling import MinMaxScaler
@@ -148,11 +149,15 @@ def fit(
     shard_rows: int = SHARD_ROWS,
     rounds: int | None = None,
     init_model: SynthModel | None = None,
+    journal: str | None = None,
 ) -> SynthModel:
     """Fit one model per class of ``by`` (one in all without it) on numeric columns.
 
     ``rounds`` is how often shards are averaged. An epoch has as many optimizer steps as the class has
     batches, up to those of ``EPOCH_ROWS`` rows; every shard does as many. ``init_model`` continues an earlier fit.
+
+    ``journal`` names a folder on shared storage that keeps the state after every round. The same fit of the same data, started again after its driver was lost, goes
+    on behind the last round found there.
     """
     columns = list(columns or [c for c in df.columns if c != by])
     check_synthesis(epochs, batch_size, latent_dim, learning_rate, 1)
@@ -182,12 +187,29 @@ def fit(
     shards = pack_shards(scaler.transform(df), columns, key, counts, shard_rows)
     rounds = max(1, min(epochs, rounds or ROUNDS))
     batches = {k: max(1, min(n, EPOCH_ROWS) // min(batch_size, n)) for k, n in counts.items()}
-    metrics, done = [], 0
-    for r in range(rounds):
+    metrics, done, first = [], 0, 0
+    if journal is not None:
+        settings = dict(
+            columns=columns, classes=[str(k) for k in counts], batches=list(batches.values()), steps=list(steps.values()), epochs=epochs, rounds=rounds,
+            batch_size=batch_size, latent_dim=latent_dim, hidden=hidden, learning_rate=learning_rate, seed=seed, shard_rows=shard_rows,
+        )
+        log = RoundJournal(spark, journal, shards, settings, [states[k] for k in counts])
+        first = min(rounds, log.rounds())
+        if first:
+            known, reached, told = log.read(first - 1)
+            names = list(counts)
+            states, steps = dict(zip(names, known, strict=True)), dict(zip(names, reached, strict=True))
+            metrics = [(names[i], *m) for i, *m in told]
+            done = sum(epochs // rounds + (r < epochs % rounds) for r in range(first))
+    for r in range(first, rounds):
         local = epochs // rounds + (r < epochs % rounds)
         shared = spark.sparkContext.broadcast([(states[k], steps[k], batches[k]) for k in counts])
         partial = _train_round(shards, shared, layout, local, batch_size, learning_rate, [seed, r])
-        metrics += [(k, done + e, n, s, g, d) for k, e, n, s, g, d in _average(partial, list(counts), states, steps, local)]
+        new = [(k, done + e, n, s, g, d) for k, e, n, s, g, d in _average(partial, list(counts), states, steps, local)]
+        metrics += new
+        if journal is not None:
+            number = {k: i for i, k in enumerate(counts)}
+            log.write(r, [states[k] for k in counts], [int(steps[k]) for k in counts], [(number[k], *m) for k, *m in new])
         done += local
         shared.unpersist()
 

@@ -145,3 +145,33 @@ def test_odd_names_and_categories_go_all_the_way(spark):
     assert r.reports["comparison"]["the_title"]["categories"] == sorted(titles)
     plain = spark.createDataFrame([(1.0, "a"), (2.0, "b")] * 20, "`x.y` double, `k.l` string")
     assert synthesize(plain, 6, ["x.y"], "k.l", epochs=1, **SMALL).columns == ["x.y", "k.l"]
+
+
+def test_an_interrupted_fit_goes_on_behind_its_last_round(spark, tmp_path, monkeypatch):
+    from tabloom.operators import synthesis
+
+    df = spark.range(600).select(F.expr("concat('c', id % 2)").alias("k"), (F.col("id") % 97).cast("double").alias("x"), F.rand(3).alias("y"))
+    options = dict(epochs=8, rounds=4, shard_rows=100, batch_size=32, latent_dim=4, hidden=8)
+    whole = fit(df, ["x", "y"], "k", **options)
+    train, rounds = synthesis._train_round, []
+
+    def failing(*args):
+        rounds.append(1)
+        if len(rounds) == 3:
+            raise RuntimeError("the driver is lost")
+        return train(*args)
+
+    monkeypatch.setattr(synthesis, "_train_round", failing)
+    folder = str(tmp_path / "journal")
+    with pytest.raises(RuntimeError, match="lost"):
+        fit(df, ["x", "y"], "k", journal=folder, **options)
+    found = fit(df, ["x", "y"], "k", journal=folder, **options)
+    assert len(rounds) == 5  # two, the failing one, and the two that were left
+    again = fit(df, ["x", "y"], "k", journal=folder, **options)
+    assert len(rounds) == 5
+    for model in (found, again):
+        assert model.steps == whole.steps and [m[:4] for m in sorted(model.metrics)] == [m[:4] for m in sorted(whole.metrics)]
+        for k in whole.states:
+            assert np.allclose(model.states[k], whole.states[k], rtol=0, atol=1e-9)
+    fit(df.where("id is not null") if "id" in df.columns else df.limit(500), ["x", "y"], "k", journal=folder, **options)
+    assert len(rounds) == 9  # other data: a journal of its own
