@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, span_hash, text_bytes
 from tabloom.llm.components import components
-from tabloom.llm.near_dedup import SHORT, full_lists, open_pairs
+from tabloom.llm.near_dedup import PORTION, SHORT, full_lists, open_pairs
 from tabloom.llm.workspace import Workspace
 from tabloom.scratch import materialize
 
@@ -161,7 +161,7 @@ def _second(points: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarr
 
 
 def _list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in portions(batches, lambda b: b.column(2)):
+    for part in portions(batches, lambda b: b.column(2), PORTION):
         points, offsets = characters(part.column(2))
         text, number, start, stop = lines_of(points, offsets)
         node = _nodes(prefix_hash(points), start, stop)
@@ -209,7 +209,7 @@ def _dealt(width: int, bands: int, rows: int, groups: int, flush: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
-        for part in portions(batches, lambda b: b.column(0)):
+        for part in portions(batches, lambda b: b.column(0), PORTION):
             points, offsets = characters(part.column(0))
             _, _, start, stop = lines_of(points, offsets)
             h = prefix_hash(points)
@@ -251,7 +251,7 @@ def _meet(group: pa.Table) -> pa.Table:
 
 def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, text) of the wanted lines of each document."""
-    for part in portions(batches, lambda b: b.column(0)):
+    for part in portions(batches, lambda b: b.column(0), PORTION):
         points, offsets = characters(part.column(0))
         text, _, start, stop = lines_of(points, offsets)
         node = _nodes(prefix_hash(points), start, stop).view(np.int64)
@@ -305,7 +305,7 @@ def _jaccard(width: int, percent: int):
 
 def _line_codes(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in portions(batches, lambda b: b.column(1)):
+        for part in portions(batches, lambda b: b.column(1), PORTION):
             sets = line_sets(part.column(1).to_pylist(), width)
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
             codes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))

@@ -32,6 +32,7 @@ from tabloom.llm.workspace import Workspace
 from tabloom.scratch import materialize
 
 K = 64
+PORTION = 1 << 20  # bytes of text that a task takes apart at once
 SAFE = 0.5  # share of its sketch that any partner at 0.8 has too
 SENT_IDS = 4_000_000  # numbers that are broadcast at the most (32 MB)
 HEADED = 256  # values of a set whose entries carry the rarest ones
@@ -85,7 +86,7 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
 
 def _sketches(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in portions(batches, lambda b: b.column(1)):
+        for part in portions(batches, lambda b: b.column(1), PORTION):
             codes, offsets = shingle_sets(part.column(1), width)
             sizes = np.diff(offsets)
             one, two = mixed(codes ^ np.uint64(0x5BD1E995)), mixed(codes + _STEP)
@@ -103,7 +104,7 @@ def _sketches(width: int, k: int):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in portions(batches, lambda b: b.column(1)):
+        for part in portions(batches, lambda b: b.column(1), PORTION):
             codes, offsets = shingle_sets(part.column(1), width)
             yield pa.RecordBatch.from_arrays([part.column(0), _lists(codes, offsets)], ["id", "codes"])
 
