@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,7 @@ BITS = 18  # n-gram weights are kept in 2^BITS places
 GRAMS = (2, 3, 4)
 LANE = 64
 SPAN = 32  # words of a training sequence
+LONGEST = 40  # characters of a word there
 UNKNOWN = "und"
 
 _tables: dict[str, np.ndarray] = {}
@@ -201,29 +202,33 @@ def forward_backward(potential: np.ndarray, step: np.ndarray, offsets: np.ndarra
 
 
 def teaching_spans(docs: DataFrame, docs_per_language: int = 250, spans_per_doc: int = 12, id_col="doc_id", text_col="text", lang_col="lang") -> dict[str, list[str]]:
-    """Spans of up to SPAN words by language, from about ``docs_per_language`` documents of each."""
+    """Spans of up to SPAN words by language, from about ``docs_per_language`` documents of each.
+
+    Longer runs without a space count as words of LONGEST characters each, rows that repeat id and text as one document. A language
+    gets ``2 * docs_per_language * spans_per_doc`` spans at the most, and no more than these leave the executors.
+    """
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     usable = usable.where("id is not null and text is not null and lang is not null")
     counts = usable.groupBy("lang").agg(F.count("*").alias("n"))  # reads no texts
-    draw = F.pmod(F.xxhash64(F.lit(17), "id"), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit(17), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
     drawn = usable.join(F.broadcast(counts), "lang").where(draw < docs_per_language / F.col("n"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, ids, spans = [], [], []
             for lang, i, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                w = text.split()
+                w = [run[at : at + LONGEST] for run in text.split() for at in range(0, len(run), LONGEST)]
                 starts = sorted({int(s) for s in np.linspace(0, max(0, len(w) - SPAN), spans_per_doc)})
                 for s in starts:
                     langs.append(lang), ids.append(i), spans.append(" ".join(w[s : s + SPAN]))
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(ids, pa.int64()), pa.array(spans, pa.string())], ["lang", "id", "span"])
 
-    rows = drawn.select("lang", F.xxhash64("id").alias("id"), "text").mapInArrow(cut, "lang string, id long, span string")
-    most, out = 2 * docs_per_language * spans_per_doc, {}
-    for r in sorted(rows.collect(), key=lambda r: (r.lang, r.id, r.span)):
-        have = out.setdefault(r.lang, [])
-        if len(have) < most:
-            have.append(r.span)
+    rows = drawn.select("lang", F.xxhash64("id", "text").alias("id"), "text").mapInArrow(cut, "lang string, id long, span string").distinct()
+    number = F.row_number().over(Window.partitionBy("lang").orderBy("id", "span"))
+    rows = rows.withColumn("number", number).where(F.col("number") <= 2 * docs_per_language * spans_per_doc)
+    out = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.lang, r.number)):
+        out.setdefault(r.lang, []).append(r.span)
     return out
 
 

@@ -109,6 +109,17 @@ def test_one_language_and_no_teachers(spark):
     assert L.teaching_spans(odd) == {}
 
 
+def test_spans_are_bounded(spark):
+    rows = [(i, chr(0x4E00 + i) * 200_000, "zh") for i in range(3)] + [(7, "a copy of a text", "en")] * 500 + [(8, f"text number {i}", "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    spans = L.teaching_spans(docs, docs_per_language=300, spans_per_doc=4)
+    assert set(spans) == {"zh", "en"} and max(len(s) for v in spans.values() for s in v) <= L.SPAN * (L.LONGEST + 1)
+    assert len(spans["zh"]) <= 12 and spans["en"].count("a copy of a text") <= 1
+    few = L.teaching_spans(docs, docs_per_language=20, spans_per_doc=4)
+    assert all(len(v) <= 160 for v in few.values())
+    assert few == L.teaching_spans(docs.repartition(2), docs_per_language=20, spans_per_doc=4)
+
+
 def test_query_on_held_out_documents(spark):
     out = queries.op2_language(spark, SF)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
