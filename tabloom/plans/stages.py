@@ -112,10 +112,10 @@ def generation_stage(
     if out_dir is not None:
         model.save(spark, f"{out_dir}/model")
     synthetic = features.scaler.inverse(sample(spark, model, n, seed=seed))
-    # names of one-hot columns keep saying where they come from
+    # names of one-hot columns keep saying where they come from, in the stored table too
     dummies = {f.name: f.metadata for f in features.table.schema.fields if f.metadata}
-    stored = _store(synthetic, out_dir, "synthetic")
-    return stored.select(*[col(c).alias(c, metadata=dummies.get(c, {})) for c in stored.columns]), model
+    named = synthetic.select(*[col(c).alias(c, metadata=dummies.get(c, {})) for c in synthetic.columns])
+    return _store(named, out_dir, "synthetic"), model
 
 
 @dataclass
@@ -162,6 +162,8 @@ def comparison_stage(
     report = cmp.comparison_report(table, frequencies, target_freqs)
     _report(spark, report, out_dir, "comparison")
     if out_dir is not None:
+        write_table(table, f"{out_dir}/data/comparison")
+        write_table(frequencies, f"{out_dir}/data/frequencies")
         write_table(cmp.category_bars(frequencies), f"{out_dir}/charts/categories")
         write_table(cmp.histograms(real, features, numeric), f"{out_dir}/charts/histograms")
         write_table(cmp.category_bars(target_freqs), f"{out_dir}/charts/target")
