@@ -1,8 +1,8 @@
 """Queries over the test tables, each with the SQL that checks it where SQL can."""
 
-from registry import cleaning, comparison, profiling, sampling, shaping, synthesis
+from registry import cleaning, comparison, profiling, reports, sampling, shaping, synthesis
 
-MODULES = (cleaning, profiling, sampling, shaping, comparison, synthesis)
+MODULES = (cleaning, profiling, sampling, shaping, comparison, synthesis, reports)
 
 
 def all_queries():

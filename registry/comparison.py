@@ -95,6 +95,14 @@ def tests(spark, sf):
     return two_sample_tests(*_halves(spark, sf), "value").select("test", F.round("statistic", 6).alias("statistic"))
 
 
+def p_values(spark, sf):
+    """P-values and verdicts: events that buy against the others, and line quantities of two flags that hardly differ."""
+    lines = table(spark, sf, "lineitem")
+    both = {"events": (*_halves(spark, sf), "value"), "lines": (lines.where("l_returnflag = 'A'"), lines.where("l_returnflag = 'R'"), "l_quantity")}
+    found = [two_sample_tests(*args).select(F.lit(name).alias("data"), "test", F.round("p_value", 6).alias("p_value"), "significant") for name, args in both.items()]
+    return found[0].unionAll(found[1])
+
+
 def target_bars(spark, sf):
     return _round(c.category_bars(c.target_frequencies(*_both(spark, sf), "l_linenumber")))
 
@@ -114,6 +122,7 @@ QUERIES = {
     "histogram_compare": histogram,
     "two_sample_statistics": statistics,
     "two_sample_tests": tests,
+    "two_sample_p_values": p_values,
     "class_bars": lambda spark, sf: c.class_bars(table(spark, sf, "labels"), "toxic"),
     "category_bars": lambda spark, sf: _round(c.category_bars(c.category_frequencies(*_both(spark, sf), CATEGORICAL))),
     "target_bars": target_bars,
@@ -192,6 +201,29 @@ st as (
          sum(n1 * (c1 - n1 + c2 - n2 + (n1 + n2 + 1) / 2)) as r1, sum(power(n1 + n2, 3) - (n1 + n2)) as ties
   from run)"""
 
+# the error function by its power series, which is exact to 1e-8 up to 4; Kolmogorov's distribution by its alternating series
+_ERF = "(2 / sqrt(pi()) * list_sum(list_transform(range(0, 80), lambda i: power(-1, i) * power({0}, 2 * i + 1) / gamma(i + 1) / (2 * i + 1))))"
+_KOLMOGOROV = "2 * list_sum(list_transform(range(1, 101), lambda i: power(-1, i - 1) * exp(-2 * i * i * x * x)))"
+_P_VALUES = f"""
+ev as (
+  select 'events' as data, value as v, case when event_type in ('purchase', 'signup') then 1 else 0 end as a from events
+  union all select 'lines', l_quantity, case when l_returnflag = 'A' then 1 else 0 end from lineitem where l_returnflag in ('A', 'R')),
+cnt as (select data, v, sum(a) as n1, count(*) - sum(a) as n2 from ev where v is not null group by data, v),
+run as (
+  select *, sum(n1) over (partition by data order by v) as c1, sum(n2) over (partition by data order by v) as c2,
+         sum(n1) over (partition by data) as s1, sum(n2) over (partition by data) as s2 from cnt),
+st as (
+  select data, max(s1)::double as s1, max(s2)::double as s2, max(abs(c1 / s1 - c2 / s2)) as ks,
+         sum(n1 * (c1 - n1 + c2 - n2 + (n1 + n2 + 1) / 2)) as r1, sum(power(n1 + n2, 3) - (n1 + n2)) as ties
+  from run group by data),
+z as (
+  select *, sqrt(s1 * s2 / (s1 + s2)) * ks as x, r1 - s1 * (s1 + 1) / 2 as u,
+         s1 * s2 / 12 * (s1 + s2 + 1 - ties / ((s1 + s2) * (s1 + s2 - 1))) as variance from st),
+e as (select *, (greatest(u, s1 * s2 - u) - s1 * s2 / 2 - 0.5) / sqrt(variance) / sqrt(2) as y from z),
+p as (
+  select data, 'kolmogorov_smirnov' as test, case when x < 0.2 then 1.0::double else least(1, greatest(0, {_KOLMOGOROV})) end as p from e
+  union all select data, 'mann_whitney', case when y > 4 then 0.0::double else least(1, 1 - {_ERF.format('y')}) end from e)"""
+
 SQL = {
     "drift_numeric": f"""
         with {_DRIFT}
@@ -248,6 +280,7 @@ SQL = {
         with {_EVENTS}
         select 'kolmogorov_smirnov' as test, round(ks, 6) as statistic from st
         union all select 'mann_whitney', round(cast(r1 - s1 * (s1 + 1) / 2 as double), 6) from st""",
+    "two_sample_p_values": f"with {_P_VALUES} select data, test, round(p, 6) as p_value, p < 0.05 as significant from p",
     "class_bars": "select cast(toxic as varchar) as class, count(*) as rows from labels where toxic is not null group by 1",
     "category_bars": f"with {REAL}, {_FREQUENCIES} {_BARS}",
     "target_bars": f"with {REAL}, {_TARGET} {_BARS}",

@@ -74,3 +74,22 @@ SLOW = {"full_run_scorecard", "synthesize", "synthesize_whole_table", "continue_
 def test_query_agrees_with_its_sql(spark, name):
     problem, rows, _ = check.compare(spark, check.connect(SF), SF, name, all_queries()[name], all_sql().get(name))
     assert problem is None and rows > 0
+
+
+def test_running_totals_are_shuffled_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tabloom.operators import ranks
+
+    monkeypatch.setattr(ranks, "RANGE_VALUES", 300)
+    values = spark.range(2000).select((F.col("id") * 7919 % 2003).alias("v"), (F.col("id") % 5).alias("n"), F.lit(1).cast("long").alias("one"))
+    out, totals = ranks.totals_before(values.repartition(6), "v", ["n", "one"])
+    text = plan(out)
+    assert "hashpartitioning" not in text and "Sort" not in text and "Window" not in text
+    rows, n, one = sorted(out.collect()), 0, 0
+    for r in rows:
+        assert (r["n_before"], r["one_before"]) == (n, one)
+        n, one = n + r["n"], one + 1
+    assert totals == {"n": n, "one": 2000} and len(rows) == 2000 and out.columns == ["v", "n", "one", "n_before", "one_before"]
+    none, nothing = ranks.totals_before(values.where("false"), "v", ["n"])
+    assert none.count() == 0 and nothing == {"n": 0}
