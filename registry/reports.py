@@ -10,7 +10,7 @@ from registry.inputs import MESSY_ORDERS, REAL, drifted_lines, real_lines, table
 from registry.profiling import _sparse_orders
 from registry.shaping import _PAIRS, CORRELATED
 from registry.synthesis import CLASS, LINE_KEYS, SETTINGS
-from tabloom import ValidationError, run, write_report
+from tabloom import ValidationError, read_json, run, write_report
 from tabloom.operators import checks
 from tabloom.operators.correlation import correlation_report
 from tabloom.scratch import new_path
@@ -89,7 +89,18 @@ def report_table_round_trip(spark, sf):
     return spark.read.schema("event_type string, events bigint, huge double").json(path)
 
 
+def column_json_round_trip(spark, sf):
+    """Orders as column-oriented JSON documents, each of up to 50,000 keys, read back."""
+    orders = table(spark, sf, "orders").withColumn("bucket", F.expr("o_orderkey div 50000"))
+    cells = lambda c: F.map_from_entries(F.collect_list(F.struct(F.col("o_orderkey").cast("string"), F.col(c)))).alias(c)
+    whole = orders.groupBy("bucket").agg(*[cells(c) for c in ("o_orderkey", "o_totalprice", "o_orderpriority")])
+    path = new_path(spark, "column-json")
+    whole.select("bucket", F.to_json(F.struct("o_orderkey", "o_totalprice", "o_orderpriority")).alias("value")).write.partitionBy("bucket").text(path)
+    return read_json(spark, path, orient="columns")
+
+
 QUERIES = {
+    "column_json_round_trip": column_json_round_trip,
     "check_errors": check_errors,
     "run_artefacts": run_artefacts,
     "correlation_report_cells": correlation_report_cells,
@@ -101,6 +112,7 @@ _NEGATIVE = "(select count(*) from lineitem where l_quantity < 0)"
 _REGIONS = "(select count(*) from region)"
 
 SQL = {
+    "column_json_round_trip": "select cast(o_orderkey as double) as o_orderkey, o_totalprice, o_orderpriority from orders",
     "check_errors": f"""
         with {MESSY_ORDERS}, {REAL},
         rare as (select count(*) as n, count(*) - count(case when priority in ('1-URGENT', '2-HIGH') then cust end) as gone from messy),

@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 from tabloom.defaults import CSV_NA_VALUES
 from tabloom.errors import ValidationError
 from tabloom.functions.columns import col, looks_numeric, string_columns, strip
+from tabloom.sources.columnar import read_column_json
 from tabloom.sources.quoted import QUOTES, read_quoted_csv
 
-# one column-oriented JSON document is one value, so its size is checked
-MAX_COLUMN_JSON_BYTES = 128 * 1024 * 1024
 FORMATS = {".csv": "csv", ".json": "json", ".jsonl": "json", ".parquet": "parquet"}
 
 
@@ -89,10 +88,10 @@ def read_json(
 
     ``lines``: one object per line (splittable, use this at scale);
     ``records``: files holding an array of objects;
-    ``columns``: files holding ``{column: {row label: value}}``.
+    ``columns``: files holding ``{column: {row label: value}}``, split like any text, see :mod:`tabloom.sources.columnar`.
     """
     if orient == "columns":
-        return _read_column_json(spark, path)
+        return infer_text_types(read_column_json(spark, path))
     if orient not in ("lines", "records"):
         raise ValidationError(f"unknown JSON layout: {orient}")
     reader = spark.read.options(multiLine=orient == "records")
@@ -111,27 +110,6 @@ def _file_order(spark: SparkSession, path: str | list[str], orient: str, columns
     return names + [c for c in columns if c not in names]
 
 
-def _read_column_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    if largest is None:
-        raise ValidationError(f"no files at {path}")
-    if largest > MAX_COLUMN_JSON_BYTES:
-        raise ValidationError(
-            f"column-oriented JSON of {largest} bytes cannot be split; convert it to JSON lines"
-        )
-    cells = (
-        spark.read.text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("file"), F.from_json("value", "map<string,map<string,string>>").alias("m"))
-        .select("file", F.posexplode(F.map_entries("m")).alias("place", "entry"))
-        .select("file", "place", F.col("entry.key").alias("name"), F.explode(F.col("entry.value")).alias("label", "value"))
-    )
-    names = [r["name"] for r in cells.groupBy("name").agg(F.min("place").alias("p")).orderBy("p", "name").collect()]
-    wide = cells.groupBy("file", "label").agg(
-        *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
-    )
-    return infer_text_types(wide.select(*[col(n) for n in names]))
-
-
 def file_format(path: str) -> str:
     """Format by file suffix, in any case."""
     name = path.lower().rstrip("/")
