@@ -73,11 +73,14 @@ def label_codes(df: DataFrame, columns: Sequence[str] | None = None) -> LabelCod
             F.coalesce(F.max(F.octet_length(col(c))), F.lit(0)).alias(f"w{i}"),
         ]
     seen = df.agg(F.count("*").alias("rows"), *aggs).first()
-    small, large = [], []
-    for i, c in enumerate(names):
-        distinct = seen[f"d{i}"] * 1.2 + 2
-        fits = distinct <= BROADCAST_VALUES and distinct * max(3, seen[f"w{i}"]) <= BROADCAST_BYTES
-        (small if fits else large).append(c)
+    distinct = {c: seen[f"d{i}"] * 1.2 + 2 for i, c in enumerate(names)}
+    size = {c: distinct[c] * max(3, seen[f"w{i}"]) for i, c in enumerate(names)}
+    fits, spent = set(), 0
+    for c in sorted(names, key=size.get):  # all columns together stay within the bytes
+        spent += size[c]
+        if distinct[c] <= BROADCAST_VALUES and spent <= BROADCAST_BYTES:
+            fits.add(c)
+    small, large = [c for c in names if c in fits], [c for c in names if c not in fits]
     values: dict[str, list[str]] = {c: [] for c in small}
     if small:
         limit = BROADCAST_VALUES * len(small)
