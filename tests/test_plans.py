@@ -93,3 +93,20 @@ def test_running_totals_are_shuffled_once(spark, monkeypatch):
     assert totals == {"n": n, "one": 2000} and len(rows) == 2000 and out.columns == ["v", "n", "one", "n_before", "one_before"]
     none, nothing = ranks.totals_before(values.where("false"), "v", ["n"])
     assert none.count() == 0 and nothing == {"n": 0}
+
+
+def test_ranges_of_long_texts_are_bounded_by_bytes(spark, monkeypatch):
+    """One range held all texts, as there were fewer than RANGE_VALUES of them."""
+    from pyspark.sql import functions as F
+
+    from tabloom.operators import ranks
+
+    ranges, original = [], ranks.local_table
+    monkeypatch.setattr(ranks, "local_table", lambda s, rows, schema: ranges.append(len(rows)) or original(s, rows, schema))
+    monkeypatch.setattr(ranks, "RANGE_BYTES", 20_000)
+    texts = spark.range(400).select(F.concat(F.md5(F.col("id").cast("string")), F.repeat(F.lit("x"), 468)).alias("v"), F.lit(1).cast("long").alias("one"))
+    out, totals = ranks.totals_before(texts, "v", ["one"])
+    assert [r["one_before"] for r in sorted(out.collect())] == list(range(400)) and totals == {"one": 400}
+    ordered = texts.select(F.struct(F.lit(1).alias("a"), "v").alias("v"), "one")
+    assert ranks.totals_before(ordered, "v", ["one"])[1] == {"one": 400}
+    assert ranges == [10, ranges[1]] and ranges[1] >= 10
