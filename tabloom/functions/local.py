@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from tabloom.errors import ValidationError
 
 # rows of a result that is meant to be small
 MAX_SMALL_ROWS = 1_000_000
+# bytes of a method that the JVM still compiles; longer ones are interpreted
+METHOD_BYTES = 8000
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
@@ -31,3 +34,18 @@ def keep_small(df: DataFrame, limit: int = MAX_SMALL_ROWS) -> DataFrame:
     if len(rows) > limit:
         raise ValidationError(f"more than {limit} rows in a result meant to be small")
     return local_table(df.sparkSession, [tuple(r) for r in rows], df.schema)
+
+
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Runs what is inside with ``spark.sql.codegen.hugeMethodLimit`` at the JVM's own limit.
+
+    Spark fuses a stage into one method. That of very many expressions is never compiled and so many times slower than the expressions one by one.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), METHOD_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.defaults import STRONG_CORRELATION, VERY_STRONG_CORRELATION
-from tabloom.functions.columns import col, numeric_columns, string_columns, to_double
-from tabloom.functions.local import local_table
+from tabloom.functions.columns import col, numeric_columns, string_columns
+from tabloom.functions.local import compiled_methods, local_table
 from tabloom.operators.encoding import LabelCodes, label_codes
 from tabloom.scratch import materialize
 
@@ -48,7 +48,7 @@ def correlation_matrix(
     df = df.select(*[col(c) for c in wanted])
     if text:
         df = (codes or label_codes(df, text)).encode(df)
-    df = df.select(F.array(*[to_double(col(c)) for c in wanted]).alias("x"))
+    df = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(wanted)])
     k = len(wanted)
     if not k:
         return local_table(spark, [], MATRIX_SCHEMA)
@@ -60,7 +60,8 @@ def correlation_matrix(
     names = F.array(*[F.lit(c) for c in wanted]) if k <= 1000 else F.split(F.lit("\0".join(wanted)), "\0")
     out = cells.select("i", F.posexplode(_pearson()).alias("j", "correlation"))
     out = out.select("i", "j", F.get(names, F.col("i")).alias("variable_1"), F.get(names, F.col("j")).alias("variable_2"), "correlation")
-    return materialize(out.coalesce(max(1, k * k // 1_000_000)), "correlation")
+    with compiled_methods(spark):  # a wide table is often made by very many expressions
+        return materialize(out.coalesce(max(1, k * k // 1_000_000)), "correlation")
 
 
 def _moments(df: DataFrame, k: int, rows: range) -> DataFrame:
@@ -105,8 +106,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[np.ndarray]:
     size = max(256, 1_000_000 // k)
     for batch in batches:
         for at in range(0, batch.num_rows, size):
-            part = batch.column(0).slice(at, size)
-            yield part.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, k)
+            part = batch.slice(at, size)
+            values = np.empty((k, part.num_rows))
+            for c in range(k):
+                values[c] = part.column(c).to_numpy(zero_copy_only=False)
+            yield values.T
 
 
 def block_moments(values: np.ndarray, rows: range) -> np.ndarray:

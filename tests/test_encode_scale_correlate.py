@@ -192,3 +192,15 @@ def test_sparse_one_hot_of_very_many_values(spark):
     hot = sparse.fit_sparse_one_hot(df)
     assert hot.size == 100_000
     assert hot.inverse(hot.transform(df)).exceptAll(df.select("id", "c")).count() == 0
+
+
+def test_wide_correlation_runs_in_methods_that_the_jvm_compiles(spark, monkeypatch):
+    name, seen, original = "spark.sql.codegen.hugeMethodLimit", [], cor.materialize
+    monkeypatch.setattr(cor, "materialize", lambda df, label: seen.append(int(spark.conf.get(name))) or original(df, label))
+    before = spark.conf.get(name)
+    cells = [f"case when id % {k + 3} = 1 then null when id = 7 then double('NaN') else id % {k + 2} end as w{k}" for k in range(40)]
+    df = spark.range(200).selectExpr(*cells)
+    got = {(r["variable_1"], r["variable_2"]): r["correlation"] for r in cor.correlation_matrix(df).collect()}
+    assert seen == [8000] and spark.conf.get(name) == before
+    want = df.toPandas().corr()
+    assert all(got[(a, b)] == pytest.approx(want.loc[a, b]) for a in df.columns for b in df.columns)
