@@ -29,6 +29,10 @@ NEAR_ROWS = 1_000_000
 COPIES_PER_ROW = 100_000
 
 
+# before, at or behind the last chosen hash; a null _cut marks a class of which nothing is chosen
+PLACE = "cast(case when _hash < _cut then -1 when _hash = _cut then 0 else 1 end as tinyint)"
+
+
 class Selection:
     """The chosen rows of a table and the others; ``counts`` are the rows per class."""
 
@@ -42,13 +46,12 @@ class Selection:
         self._copies = copies
 
     def chosen(self) -> DataFrame:
-        # a null _cut marks a class of which nothing is chosen
         if self._whole:
-            return self._rows("_hash <= _cut")
-        return self._rows("_hash < _cut").unionAll(self._copies_at_cut(F.max("_need")))
+            return self._rows("_place <= 0")
+        return self._rows("_place < 0").unionAll(self._copies_at_cut(F.max("_need")))
 
     def others(self) -> DataFrame:
-        rows = self._rows("_cut is null or _hash > _cut")
+        rows = self._rows("_place > 0")
         return rows if self._whole else rows.unionAll(self._copies_at_cut(F.count("*") - F.max("_need")))
 
     def _rows(self, condition: str) -> DataFrame:
@@ -58,7 +61,7 @@ class Selection:
         """Rows with the last hash are equal, so ``wanted`` copies are made from one of them."""
         names = [col(c) for c in self._columns]
         step = COPIES_PER_ROW
-        rows = self._marked.where("_hash = _cut").groupBy(*names).agg(wanted.alias("_wanted")).where("_wanted > 0")
+        rows = self._marked.where("_place = 0").groupBy(*names).agg(wanted.alias("_wanted")).where("_wanted > 0")
         parts = rows.withColumn("_part", F.explode(F.expr(f"sequence(0L, (_wanted - 1) div {step})")))
         if self._copies > step:
             parts = parts.repartition(F.col("_part"))
@@ -90,7 +93,7 @@ def take_per_group(
         if len(found) > DRIVER_CLASSES:
             if table_quotas is None:
                 raise ValidationError(f"{group} has more than {DRIVER_CLASSES} classes")
-            return _take_by_table(marked, prefixes, group, table_quotas, columns, keys)
+            return _take_by_table(df, h, prefixes, group, table_quotas, keys)
         counts = checked_counts({r["_class"]: r["n"] for r in found}, group)
         wanted = quotas(counts)
         for c, q in wanted.items():
@@ -117,13 +120,18 @@ def take_per_group(
     # one row per class, at most DRIVER_CLASSES
     joined = marked.join(F.broadcast(table), col(group) == F.col("_class"), "left")
     whole = all(need == same for _, _, need, same in cuts)
-    return Selection(joined, columns, counts, wanted, whole, max((same for _, _, _, same in cuts), default=0))
+    return Selection(joined.withColumn("_place", F.expr(PLACE)), columns, counts, wanted, whole, max((same for _, _, _, same in cuts), default=0))
 
 
 def _take_by_table(
-    marked: DataFrame, prefixes: DataFrame, group: str, quotas: Callable[[DataFrame], DataFrame], columns: list[str], keys: Sequence[str] | None
+    df: DataFrame, h: Column, prefixes: DataFrame, group: str, quotas: Callable[[DataFrame], DataFrame], keys: Sequence[str] | None
 ) -> Selection:
-    """The same search for all classes at once, with tables instead of numbers on the driver."""
+    """The same search for all classes at once, with tables instead of numbers on the driver.
+
+    The table may be a costly one, so its rows are stored once, and again with their place at the end, as both sides of a split read them. Hashes are made
+    where they are wanted, as 16 bytes in the order of their digits.
+    """
+    columns = list(df.columns)
     prefixes = materialize(prefixes, "class-prefixes")
     counts = materialize(prefixes.groupBy("_class").agg(F.sum("_n").alias("n")), "class-counts")
     nulls = counts.where("_class is null").first()
@@ -134,14 +142,20 @@ def _take_by_table(
     if bad:
         raise ValidationError(f"class {bad['_class']} has {bad['n']} rows, {bad['_quota']} wanted")
 
+    stored = materialize(df, "class-rows")
+    h = F.unhex(h)
+
     def near(edges: DataFrame, digits: int) -> DataFrame:
-        rows = marked.select(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix"), "_hash")
-        return rows.join(edges.select("_class", "_prefix", "_rest"), ["_class", "_prefix"])
+        # the prefix is a key of the join but no column of the rows
+        prefix = F.lower(F.hex(F.substring("_hash", 1, digits // 2)))
+        rows = stored.select(col(group).alias("_of"), h.alias("_hash"))
+        met = rows.join(edges.select("_class", "_prefix", "_rest"), (F.col("_of") == F.col("_class")) & (prefix == F.col("_prefix")))
+        return met.select("_class", "_prefix", "_rest", "_hash")
 
     digits = PREFIX_DIGITS
     edges = materialize(_edge_table(prefixes, wanted.where("_quota > 0")), "class-edges")
     while digits < 16 and (edges.agg(F.max("_n")).first()[0] or 0) > NEAR_ROWS:
-        longer = near(edges, digits).select("_class", "_hash")
+        longer = near(edges, digits).select("_class", F.lower(F.hex("_hash")).alias("_hash"))
         digits += PREFIX_DIGITS
         rest = edges.select("_class", F.col("_rest").alias("_quota"))
         edges = materialize(_edge_table(_count_prefixes(longer, "_class", digits), rest), "class-edges")
@@ -150,8 +164,10 @@ def _take_by_table(
     whole = facts["whole"] is not False
     if keys and not whole:
         raise ValidationError(f"{list(keys)} do not identify rows")
-    joined = marked.join(cuts.select(F.col("_class").alias("_of"), F.col("_hash").alias("_cut"), "_need"), col(group) == F.col("_of"), "left")
-    return Selection(joined.drop("_of"), columns, counts, wanted, whole, facts["copies"] or 0)
+    joined = stored.join(cuts.select(F.col("_class").alias("_of"), F.col("_hash").alias("_cut"), "_need"), col(group) == F.col("_of"), "left")
+    joined = joined.withColumn("_hash", h)  # not shuffled
+    placed = materialize(joined.select(*[col(c) for c in columns], F.expr(PLACE).alias("_place"), "_need"), "class-places")
+    return Selection(placed, columns, counts, wanted, whole, facts["copies"] or 0)
 
 
 def _count_prefixes(marked: DataFrame, group: str, digits: int) -> DataFrame:

@@ -181,3 +181,21 @@ def test_hundred_thousand_classes_are_split_exactly(spark):
     split = s.stratified_split(df, "target", 0.5, 1, ["id"])
     assert split.test.count() == 200_000
     assert split.test.groupBy("target").count().agg(F.min("count"), F.max("count"), F.count("*")).first() == (2, 2, 100_000)
+
+
+def test_costly_table_of_many_classes_is_made_twice(spark, monkeypatch):
+    """Once to count its classes and once to be stored; it was made by every pass, and both sides of a split joined it with their cuts."""
+    from tabloom.operators import selection
+
+    monkeypatch.setattr(selection, "DRIVER_CLASSES", 2)
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(240).selectExpr("id", "id % 12 as k").mapInArrow(count, "id long, k long")
+    split = s.stratified_split(df, "k", 0.25, 7, ["id"])
+    assert (split.train.count(), split.test.count()) == (180, 60)
+    assert split.train.join(split.test, "id").count() == 0 and made.value == 480
