@@ -52,8 +52,8 @@ BLOCKS_PER_TASK = 512
 ROUNDS = 10
 # an epoch shows a model about as many rows of its shard, the whole class where it is smaller
 EPOCH_ROWS = 50_000
-# up to this many shards per core each one is made a task of its own
-FEW_SHARDS = 8
+# shards are written as this many files per core, or one each where there are fewer, with at most so many shards in each
+FILES_PER_CORE, SHARDS_PER_FILE = 8, 64
 # numbers in all model states together, held by the driver and sent to every executor
 MAX_STATE = 50_000_000
 ONE_CLASS = "_all"
@@ -286,10 +286,9 @@ def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dic
     packed = placed.select("i", "first", shard, "h", "copies", *values).groupBy("i", "first", "shard").applyInPandas(
         pack, "i bigint, first bigint, shard bigint, copies array<int>, data array<float>"
     )
-    total = firsts[-1]
-    if total <= FEW_SHARDS * spark.sparkContext.defaultParallelism:
-        # little data: one file and so one task per shard; many shards spread by themselves
-        packed = packed.repartitionById(total, (F.col("first") + F.col("shard")).cast("int"))
+    # training time goes with shards, not with bytes: equal rows make shards tiny, so their number says how they are dealt out
+    files = min(firsts[-1], max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, math.ceil(firsts[-1] / SHARDS_PER_FILE)))
+    packed = packed.repartitionById(files, F.pmod(F.col("first") + F.col("shard"), F.lit(files)).cast("int"))
     packed = packed.drop("first")
     return materialize(packed, "shards")
 

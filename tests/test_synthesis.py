@@ -175,3 +175,16 @@ def test_an_interrupted_fit_goes_on_behind_its_last_round(spark, tmp_path, monke
             assert np.allclose(model.states[k], whole.states[k], rtol=0, atol=1e-9)
     fit(df.where("id is not null") if "id" in df.columns else df.limit(500), ["x", "y"], "k", journal=folder, **options)
     assert len(rounds) == 9  # other data: a journal of its own
+
+
+def test_tiny_shards_of_equal_rows_are_dealt_out_by_their_number(spark):
+    """They were dealt out by their bytes, which are few where rows repeat, and so trained by few tasks."""
+    from pyspark.sql import functions as F
+
+    from tabloom.operators.synthesis import pack_shards
+
+    df = spark.range(4000).selectExpr("cast(id % 1000 as double) as x", "0 as class")
+    shards = pack_shards(df, ["x"], "class", {0: 4000}, 50)
+    files = [r["count"] for r in shards.groupBy(F.input_file_name()).count().collect()]
+    assert len(files) == 8 * spark.sparkContext.defaultParallelism and sum(files) == shards.count() and max(files) <= 3
+    assert shards.selectExpr("sum(aggregate(copies, 0, (a, c) -> a + c))").first()[0] == 4000
