@@ -48,12 +48,13 @@ def numeric_drift(
         real.select(*[to_double(col(c)).alias(f"c{i}") for i, c in enumerate(columns)]),
         synthetic.select(*[to_double(col(c)).alias(f"c{i}") for i, c in enumerate(columns)]),
     )
-    aggs, structs = [], []
+    # each row counts for its own side only
+    moments, aggs, structs = [], [], []
     for i, c in enumerate(columns):
+        moments += [F.avg(f"c{i}").alias(f"mean_{i}"), F.stddev_samp(f"c{i}").alias(f"std_{i}")]
         fields = [F.lit(i).alias("position"), F.lit(c).alias("variable")]
         for side in (REAL, SYNTHETIC):
-            v = F.when(F.col("_side") == side, F.col(f"c{i}"))
-            aggs += [F.avg(v).alias(f"{side}_mean_{i}"), F.stddev_samp(v).alias(f"{side}_std_{i}")]
+            aggs += [F.max(F.when(F.col("_side") == side, F.col(f"{m}_{i}"))).alias(f"{side}_{m}_{i}") for m in ("mean", "std")]
             fields += [F.col(f"{side}_mean_{i}").alias(f"{side}_mean"), F.col(f"{side}_std_{i}").alias(f"{side}_std")]
         structs.append(F.struct(*fields))
     if not columns:
@@ -63,7 +64,7 @@ def numeric_drift(
             "position int, variable string, real_mean double, real_std double, synthetic_mean double, "
             "synthetic_std double, rel_mean_diff double, std_rel_diff double, high_drift boolean",
         )
-    return drift_from_moments(rows_from_one(both.agg(*aggs), structs), limit)
+    return drift_from_moments(rows_from_one(both.groupBy("_side").agg(*moments).agg(*aggs), structs), limit)
 
 
 def drift_from_moments(moments: DataFrame, limit: float = D.NUMERIC_DRIFT) -> DataFrame:
