@@ -32,11 +32,13 @@ from pyspark.sql import types as T
 from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, span_hash, text_bytes
 
 WINDOW = 50
-#: Bytes of fragments that a task gathers before it sends them on, that one group and one sort are laid out for, and of texts in one group.
-FLUSH, GROUP, SORT, TEXTS = 32 << 20, 24 << 20, 3 << 20, 4 << 20
+#: Bytes of fragments that a task gathers before it sends them on, that one group and one sort are laid out for, of texts in one group, and of text cut at once.
+FLUSH, GROUP, SORT, TEXTS, PORTION = 32 << 20, 24 << 20, 3 << 20, 4 << 20, 2 << 20
 GROWTH = 3.6  # bytes of fragments per byte of text, about
 #: Fragments of one anchor beyond which its windows are dealt one by one, and below which FLUSH bytes of text don't report an anchor.
 HOT, SEEN = 16_384, 4
+#: Bytes of text that are cut at once where windows may travel one by one, which takes many times as many bytes.
+CROWDED = 1 << 18
 
 
 def anchor_width(window: int) -> int:
@@ -339,17 +341,17 @@ def _crowds(window: int, seen: int, flush: int):
     return run
 
 
-def hot_anchors(texts: DataFrame, window: int, hot: int, seen: int) -> np.ndarray:
-    """Anchors with more than ``hot`` fragments, ascending. They are fewer than all fragments divided by ``hot``."""
+def hot_anchors(texts: DataFrame, window: int, hot: int, seen: int) -> tuple[np.ndarray, int]:
+    """Anchors with more than ``hot`` fragments, ascending, and their fragments. They are fewer than all fragments divided by ``hot``."""
     counted = texts.mapInArrow(_crowds(window, seen, FLUSH), "anchor long, often long").groupBy("anchor").agg(F.sum("often").alias("often"))
-    found = counted.where(F.col("often") > hot).select("anchor").collect()
-    return np.sort(np.array([r.anchor for r in found], np.int64).view(np.uint64))
+    found = counted.where(F.col("often") > hot).collect()
+    return np.sort(np.array([r.anchor for r in found], np.int64).view(np.uint64)), sum(r.often for r in found)
 
 
 def _cut(window: int, groups: int, spots: int, flush: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
-        for part in portions(batches, lambda b: b.column(2)):
+        for part in portions(batches, lambda b: b.column(2), CROWDED if len(hot) else PORTION):
             everything, borders = text_bytes(part.column(2))
             ids, tags = part.column(0).to_numpy(), part.column(1).to_numpy()
             for lo, body, offsets in _stretches(everything, borders, window):
@@ -562,12 +564,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and, if asked for, the kept bytes."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    groups, spots = max(1, math.ceil(total * GROWTH / GROUP)), max(1, math.ceil(total / TEXTS))
+    spots = max(1, math.ceil(total / TEXTS))
     # one id with several texts is rare; only then texts are told apart
     twice = bool(rows.where("id is not null").groupBy("id").count().where("count > 1").limit(1).take(1))
     tag = (F.crc32(F.encode("text", "utf-8")) - (1 << 31)).cast("int") if twice else F.lit(0)
     tagged = rows.select("id", tag.alias("tag"), "text")
-    hot = hot_anchors(tagged.where("id is not null").select("text"), window, HOT, SEEN)
+    hot, crowded = hot_anchors(tagged.where("id is not null").select("text"), window, HOT, SEEN)
+    # a fragment has up to window - anchor_width + 1 windows, half as many on average; where they travel one by one, they fill groups too
+    single = (window - anchor_width(window) + 1) / 2 * window
+    groups = max(1, math.ceil((total * GROWTH + crowded * single) / GROUP))
     pieces = tagged.where("id is not null").mapInArrow(_cut(window, groups, spots, FLUSH, hot), PIECES)
     marks = pieces.groupBy("bucket").applyInArrow(_meet(window, spots, SORT), MARKS)
 
