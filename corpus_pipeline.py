@@ -9,10 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.functions.local import capped
 from tabloom.llm import decontamination, line_dedup, mixing, near_dedup, quality
 from tabloom.scratch import materialize
 
 
+#: Rows that go to a Python task at once. Whole texts are long, and each task holds a batch on both sides.
+BATCH_ROWS = 1000
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     stats = quality.with_statistics(docs.select("doc_id", "text")).select(F.col("row.doc_id").alias("id"), "stats")
@@ -90,8 +95,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, f"stage-{name}")
+    with capped(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
+        for k, (name, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if k < len(STAGES) - 1:
+                docs = materialize(docs, f"stage-{name}")
     return docs

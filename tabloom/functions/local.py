@@ -37,15 +37,21 @@ def keep_small(df: DataFrame, limit: int = MAX_SMALL_ROWS) -> DataFrame:
 
 
 @contextmanager
-def compiled_methods(spark: SparkSession) -> Iterator[None]:
-    """Runs what is inside with ``spark.sql.codegen.hugeMethodLimit`` at the JVM's own limit.
-
-    Spark fuses a stage into one method. That of very many expressions is never compiled and so many times slower than the expressions one by one.
-    """
-    name = "spark.sql.codegen.hugeMethodLimit"
+def capped(spark: SparkSession, name: str, most: int) -> Iterator[None]:
+    """Runs what is inside with a session's setting, a number, at ``most`` or what it is below."""
     before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), METHOD_BYTES)))
+    if int(before) > 0:  # no limit otherwise
+        most = min(int(before), most)
+    spark.conf.set(name, str(most))
     try:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def compiled_methods(spark: SparkSession):
+    """Runs what is inside with ``spark.sql.codegen.hugeMethodLimit`` at the JVM's own limit.
+
+    Spark fuses a stage into one method. That of very many expressions is never compiled and so many times slower than the expressions one by one.
+    """
+    return capped(spark, "spark.sql.codegen.hugeMethodLimit", METHOD_BYTES)

@@ -91,3 +91,15 @@ def test_copies_without_an_id(spark):
     assert sorted(pairs(P.near_stage(spark, docs, SF)), key=str) == sorted([rows[0], rows[4], rows[5]], key=str)
     left = sorted(pairs(P.line_stage(spark, docs, SF)), key=str)
     assert left == sorted([rows[0], (None, "another end of it"), rows[4], rows[5]], key=str)
+
+
+def test_whole_texts_go_to_tasks_in_small_batches(spark, tmp_path, monkeypatch):
+    """Each task held 10,000 whole texts on both sides of Python."""
+    import corpus_pipeline
+
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+    spark.createDataFrame([(1, "a text")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", lambda s, docs, d: seen.append(int(s.conf.get(name))) or docs)])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1
+    assert seen == [1000] and spark.conf.get(name) == before
