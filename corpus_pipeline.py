@@ -6,6 +6,8 @@ empty, other columns pass through, empty tables stay empty. Where an id is null
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,17 @@ from tabloom.scratch import materialize
 BATCH_ROWS = 1000
 
 
+def in_small_batches(stage):
+    """A stage whose tables are made while it is called, with batches of ``BATCH_ROWS``, whoever calls it."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with capped(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS):
+            return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
     stats = quality.with_statistics(docs.select("doc_id", "text")).select(F.col("row.doc_id").alias("id"), "stats")
@@ -33,6 +46,7 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     return docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), own)), name
 
 
+@in_small_batches
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that come earlier in the corpus, exactly or nearly; a document that loses all it had goes."""
     rows, number = numbered(docs)
@@ -46,6 +60,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.select(*[(new[c].cast(docs.schema[c].dataType) if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+@in_small_batches
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five words, 0.8), if there is one a row that has an id."""
     rows, number = numbered(docs)

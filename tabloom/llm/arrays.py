@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,16 @@ def portions(batches: Iterator[pa.RecordBatch], text_of, most: int = 2 << 20) ->
             upto = min(max(upto, at + 1), n)
             yield batch.slice(at, upto - at)
             at = upto
+    release()
+
+
+def release() -> None:
+    """Gives back to the system what a task has freed: Python workers stay for the tasks that follow, and otherwise keep it meanwhile."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        trim(0)
 
 
 _powers: dict[str, np.ndarray] = {}

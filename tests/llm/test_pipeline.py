@@ -103,3 +103,15 @@ def test_whole_texts_go_to_tasks_in_small_batches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", lambda s, docs, d: seen.append(int(s.conf.get(name))) or docs)])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 1
     assert seen == [1000] and spark.conf.get(name) == before
+
+
+@pytest.mark.parametrize("stage, module, name", [("line_stage", "line_dedup", "drop_lines"), ("near_stage", "near_dedup", "near_dedup")])
+def test_stages_called_one_by_one_have_small_batches(spark, monkeypatch, stage, module, name):
+    """The limit held in ``run`` only, and not for who calls the stages."""
+    conf, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(conf)
+    plain = getattr(getattr(P, module), name)
+    monkeypatch.setattr(getattr(P, module), name, lambda *a, **b: seen.append(int(spark.conf.get(conf))) or plain(*a, **b))
+    docs = spark.createDataFrame([(1, "a text"), (2, "another")], "doc_id long, text string")
+    assert getattr(P, stage)(spark, docs, SF).count() == 2
+    assert seen == [P.BATCH_ROWS] and spark.conf.get(conf) == before
