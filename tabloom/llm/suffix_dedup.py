@@ -29,16 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, span_hash, text_bytes
+from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, release, span_hash, text_bytes
 
 WINDOW = 50
 #: Bytes of fragments that a task gathers before it sends them on, that one group and one sort are laid out for, of texts in one group, and of text cut at once.
-FLUSH, GROUP, SORT, TEXTS, PORTION = 32 << 20, 24 << 20, 3 << 20, 4 << 20, 2 << 20
+FLUSH, GROUP, SORT, TEXTS, PORTION = 32 << 20, 24 << 20, 1 << 20, 4 << 20, 2 << 20
 GROWTH = 3.6  # bytes of fragments per byte of text, about
 #: Fragments of one anchor beyond which its windows are dealt one by one, and below which FLUSH bytes of text don't report an anchor.
 HOT, SEEN = 16_384, 4
 #: Bytes of text that are cut at once where windows may travel one by one, which takes many times as many bytes.
 CROWDED = 1 << 18
+#: Suffixes whose places are found at once.
+PART = 1 << 15
 
 
 def anchor_width(window: int) -> int:
@@ -185,30 +187,34 @@ class SuffixOrder:
         most, run = int(length.max(initial=0)), 1
         while run < most:
             live = np.flatnonzero(length > run)
-            inside = live - head[live]
-            block = head[live] + inside // (2 * run) * (2 * run)
-            end = head[live] + length[live]
-            middle, stop = np.minimum(block + run, end), np.minimum(block + 2 * run, end)
-            left = live < middle
-            # where an element goes: its place in its own run and the number of elements of the other run before it
-            lo, hi = np.where(left, middle, block), np.where(left, stop, middle)
-            first = lo.copy()
-            while True:
-                open_ = np.flatnonzero(lo < hi)
-                if not len(open_):
-                    break
-                mid = (lo[open_] + hi[open_]) // 2
-                sign = self.above(at[mid], at[live[open_]])
-                goes_before = (sign < 0) | ((sign == 0) & ~left[open_])
-                lo[open_] = np.where(goes_before, mid + 1, lo[open_])
-                hi[open_] = np.where(goes_before, hi[open_], mid)
-            target = np.where(left, live, block + (live - middle)) + (lo - first)
             moved = at.copy()
-            moved[target] = at[live]
+            for lo in range(0, len(live), PART):  # where an element goes follows from the order before, so any part can be moved alone
+                self._move(at, moved, live[lo : lo + PART], head, length, run)
             at = moved
             run *= 2
         return at
 
+    def _move(self, at: np.ndarray, moved: np.ndarray, live: np.ndarray, head: np.ndarray, length: np.ndarray, run: int) -> None:
+        """Writes the elements at ``live`` to where they go when sorted runs of ``run`` elements merge in pairs."""
+        inside = live - head[live]
+        block = head[live] + inside // (2 * run) * (2 * run)
+        end = head[live] + length[live]
+        middle, stop = np.minimum(block + run, end), np.minimum(block + 2 * run, end)
+        left = live < middle
+        # where an element goes: its place in its own run and the number of elements of the other run before it
+        lo, hi = np.where(left, middle, block), np.where(left, stop, middle)
+        first = lo.copy()
+        while True:
+            open_ = np.flatnonzero(lo < hi)
+            if not len(open_):
+                break
+            mid = (lo[open_] + hi[open_]) // 2
+            sign = self.above(at[mid], at[live[open_]])
+            goes_before = (sign < 0) | ((sign == 0) & ~left[open_])
+            lo[open_] = np.where(goes_before, mid + 1, lo[open_])
+            hi[open_] = np.where(goes_before, hi[open_], mid)
+        moved[np.where(left, live, block + (live - middle)) + (lo - first)] = at[live]
+
 
 def repeated_windows(body: np.ndarray, start: np.ndarray, size: np.ndarray, owner: np.ndarray, h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """(fragment, position) of the windows that a fragment of a smaller owner has too; fragments are distinct."""
@@ -227,12 +233,15 @@ def repeated_windows(body: np.ndarray, start: np.ndarray, size: np.ndarray, owne
     maybe = maybe[twice[place] == code[maybe]]
     fragment = np.repeat(np.arange(len(start)), count)
     of = np.full(len(body), -1, np.int64)
-    of[at[maybe]] = fragment[maybe]
+    at = at[maybe]
+    of[at] = fragment[maybe]
+    del code, ordered, twice, sieve, place, fragment, maybe  # while suffixes are sorted
     order = SuffixOrder(body, h, window)
-    line = order.sort(at[maybe])
+    line = order.sort(at)
     if len(line) < 2:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    equal = order.extension(line[:-1], line[1:]) >= window
+    before, after = line[:-1], line[1:]
+    equal = np.concatenate([order.extension(before[lo : lo + PART], after[lo : lo + PART]) for lo in range(0, len(before), PART)]) >= window
     pairs = np.flatnonzero(equal)
     good = same_bytes(body, line[pairs], line[pairs + 1], np.full(len(pairs), window))
     runs = np.concatenate([[0], np.cumsum(~equal)])
@@ -337,6 +346,7 @@ def _crowds(window: int, seen: int, flush: int):
                     held, total = [], 0
         if held:
             yield count(held)
+        release()
 
     return run
 
@@ -368,6 +378,7 @@ def _cut(window: int, groups: int, spots: int, flush: int, hot: np.ndarray):
                     held, total = [], 0
         if held:
             yield _send(held, groups, spots)
+        release()
 
     return run
 
@@ -432,6 +443,8 @@ def _meet(window: int, spots: int, most: int):
         if packs:
             found += _resolve(packs, window, most)
         rows = list(_by_document(*(np.concatenate([f[c] for f in found]) for c in range(4)), spots))
+        found.clear()
+        release()
         return pa.Table.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names)
 
     return run
@@ -511,6 +524,7 @@ def _deal(spots: int, flush: int):
                 held, total = [], 0
         if held:
             yield send(held)
+        release()
 
     return run
 

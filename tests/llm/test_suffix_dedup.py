@@ -7,9 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tabloom.llm import queries
+from tabloom.llm import arrays, queries
 from tabloom.llm import suffix_dedup as S
-from tabloom.llm.arrays import prefix_hash, text_bytes
+from tabloom.llm.arrays import portions, prefix_hash, text_bytes
 
 SF = "/root/testdata/sf0.01"
 
@@ -167,3 +167,31 @@ def test_long_text_in_stretches(spark, monkeypatch):
 def test_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert result(queries.op7_suffix_dedup(spark, SF)) == brute(rows, 50)
+
+
+def test_suffixes_are_sorted_in_parts(monkeypatch):
+    """A large group of windows around one phrase was compared at once, with dozens of arrays as long as the group."""
+    rng = np.random.default_rng(5)
+    phrase = rng.integers(97, 123, 70, dtype=np.uint8)
+    pieces = [np.concatenate([rng.integers(97, 99, 12, dtype=np.uint8), phrase]) for _ in range(150)]
+    body = np.concatenate(pieces)
+    at = np.concatenate([np.arange(len(p) - 50 + 1) for p in pieces]) + np.repeat(np.arange(150) * 82, 33)
+    sizes, plain = [], S.SuffixOrder.extension
+    monkeypatch.setattr(S, "PART", 64, raising=False)
+    monkeypatch.setattr(S.SuffixOrder, "extension", lambda self, i, j: (sizes.append(len(i)), plain(self, i, j))[1])
+    line = S.SuffixOrder(body, prefix_hash(body), 50).sort(at)
+    texts = [body[p : p + 50].tobytes() for p in line.tolist()]
+    assert texts == sorted(texts) and sorted(line.tolist()) == sorted(at.tolist())
+    start, size = np.arange(150) * 82, np.full(150, 82)
+    fragment, where = S.repeated_windows(body, start, size, np.arange(150), prefix_hash(body), 50)
+    first: dict[bytes, int] = {}
+    want = {p for p in at.tolist() if first.setdefault(body[p : p + 50].tobytes(), p // 82) < p // 82}
+    assert set(where.tolist()) == want and (where // 82 == fragment).all()
+    assert max(sizes) <= 64
+
+
+def test_a_task_leaves_nothing_behind():
+    """Workers that wait kept tables of up to 128 MB."""
+    S.powers(1 << 20)
+    list(portions(iter([pa.RecordBatch.from_arrays([pa.array(["some text"])], ["text"])]), lambda b: b.column(0)))
+    assert not arrays._powers
