@@ -5,8 +5,8 @@ Lines are trimmed and ASCII-lower-cased. Each distinct one gets a MinHash signat
 meet in a bucket, which links each member to its smallest one (first inside a task's portion, then across portions, so a bucket of any size is
 pre-aggregated before the shuffle). Links are verified by exact Jaccard similarity and union-find joins them. What is left in long buckets is
 linked to another pivot. Members of a bucket that are then still in different components and weren't compared are paired directly where the bucket has
-up to 8 members, and otherwise where they share a shingle among the rarest of both, as any pair at the threshold does; so groups of lines that are alike but not alike
-enough make few pairs. Of each component the line of the smallest (id, line number) stays.
+up to 64 members, and otherwise where they share a shingle among the rarest of both, as any pair at the threshold does. All pairs pass the parities of near_dedup
+before their lines are read, so groups of lines that are alike but not alike enough make few pairs. Of each component the line of the smallest (id, line number) stays.
 
 With 16 bands of 4 rows a pair at 0.8 meets with a chance of 0.9998. Unrelated lines of the test tables have a similarity around
 0.005, so a bucket holds fewer than one of them up to some 10^8 lines; raise ``rows`` and ``bands`` beyond that (more pairs are verified otherwise, none is lost).
@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, span_hash, text_bytes
+from tabloom.llm.arrays import mixed, portions, powers, prefix_hash, release, span_hash, text_bytes
 from tabloom.llm.components import components
-from tabloom.llm.near_dedup import PORTION, SHORT, full_lists, open_pairs
+from tabloom.llm.near_dedup import PORTION, SHORT, alike_pairs, full_lists, may_be_alike, open_pairs, parities
 from tabloom.llm.workspace import Workspace
 from tabloom.scratch import materialize
 
@@ -226,6 +226,7 @@ def _dealt(width: int, bands: int, rows: int, groups: int, flush: int):
                 held, total = [], 0
         if total:
             yield send(held)
+        release()
 
     return run
 
@@ -246,11 +247,24 @@ def _meet(group: pa.Table) -> pa.Table:
     _, _, e_key, e_x, e_z = stars(rest, _flat(group, "nodes", np.int64))
     e_key = _key(np.full(len(e_key), bucket), e_key)
     out = [np.concatenate([_flat(group, n, np.int64), x]) for n, x in (("e_key", e_key), ("e_x", e_x), ("e_z", e_z))]
+    release()
     return pa.table({"value": out[0], "x": out[1], "z": out[2]})
 
 
-def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, text) of the wanted lines of each document."""
+def _line_texts(width: int):
+    """(node, text, number of shingles, their parity) of the wanted lines of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for nodes, texts in _wanted_lines(batches):
+            sets = line_sets(texts, width)
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+            columns = [pa.array(nodes, pa.int64()), pa.array(texts, pa.binary()), pa.array(np.diff(offsets)), parities(np.concatenate([np.zeros(0, np.uint64), *sets]), offsets)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "body", "n", "parity"])
+
+    return run
+
+
+def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bytes]]]:
     for part in portions(batches, lambda b: b.column(0), PORTION):
         points, offsets = characters(part.column(0))
         text, _, start, stop = lines_of(points, offsets)
@@ -265,7 +279,7 @@ def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 asked.discard((int(text[i]), int(node[i])))
                 nodes.append(int(node[i]))
                 texts.append(points[start[i] : stop[i]].tobytes().decode("utf-32-le").encode())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(texts, pa.binary())], ["node", "body"])
+        yield nodes, texts
 
 
 def line_sets(bodies: list[bytes], width: int) -> list[np.ndarray]:
@@ -342,12 +356,13 @@ def duplicate_lines(tagged: DataFrame, width: int = SHINGLE, bands: int = BANDS,
     links = keep(entries.groupBy("bucket").applyInArrow(_meet, "value long, x long, z long"), "line-links")
     members = links.select("value", F.col("x").alias("c")).union(links.select("value", "z")).distinct()
     members = keep(members, "line-members")
-    bodies = _bodies(lines, members, texts, keep)
+    bodies = _bodies(lines, members, texts, width, keep)
+    facts = bodies.select(F.col("node").alias("c"), "n", "parity")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         one = bodies.select(F.col("node").alias("a"), F.col("body").alias("s"))
         two = bodies.select(F.col("node").alias("b"), F.col("body").alias("t"))
-        met = pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t")
+        met = alike_pairs(pairs, facts, percent).join(one, "a").join(two, "b").select("a", "b", "s", "t")
         return keep(met.mapInArrow(_jaccard(width, percent), "a long, b long"), "line-pairs")
 
     asked = keep(links.select(F.least("x", "z").alias("a"), F.greatest("x", "z").alias("b")).distinct(), "line-pairs")
@@ -360,19 +375,19 @@ def duplicate_lines(tagged: DataFrame, width: int = SHINGLE, bands: int = BANDS,
     undecided = keep(_undecided(members, roots), "line-undecided")
     wanted = bodies.join(undecided.where("not short").select(F.col("c").alias("node")).distinct(), "node", "left_semi")
     listed = keep(rare_lists(wanted, width, percent, keep), "line-lists")
-    rest = _short_pairs(undecided).union(open_pairs(listed, roots, percent)).distinct().join(asked, ["a", "b"], "left_anti")
+    rest = _short_pairs(undecided.join(facts, "c"), percent).union(open_pairs(listed, roots, facts.select("c", "parity"), percent)).distinct().join(asked, ["a", "b"], "left_anti")
     roots = components(sure.union(confirmed(keep(rest, "line-pairs"))), keep=keep)
     out = materialize(_dropped(lines, roots, keep), "line-dedup-result")
     keep.close()
     return out
 
 
-def _bodies(lines: DataFrame, members: DataFrame, texts: DataFrame, keep) -> DataFrame:
-    """Bytes of each line that is in a link, from the first document that has it."""
+def _bodies(lines: DataFrame, members: DataFrame, texts: DataFrame, width: int, keep) -> DataFrame:
+    """Bytes and parity of each line that is in a link, from the first document that has it."""
     nodes = members.select(F.col("c").alias("node")).distinct()
     home = lines.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("id", "tag")).alias("at"))
     wanted = home.groupBy("at.id", "at.tag").agg(F.collect_list("node").alias("wanted"))
-    found = texts.join(wanted, ["id", "tag"]).select("text", "wanted").mapInArrow(_line_texts, "node long, body binary")
+    found = texts.join(wanted, ["id", "tag"]).select("text", "wanted").mapInArrow(_line_texts(width), "node long, body binary, n long, parity array<long>")
     return keep(found.dropDuplicates(["node"]), "line-texts")
 
 
@@ -399,10 +414,11 @@ def _undecided(members: DataFrame, roots: DataFrame) -> DataFrame:
     return _labelled(members, roots).select("value", "c", "root", "short")
 
 
-def _short_pairs(undecided: DataFrame) -> DataFrame:
+def _short_pairs(undecided: DataFrame, percent: int) -> DataFrame:
     left = undecided.where("short")
-    right = left.select("value", F.col("c").alias("d"), F.col("root").alias("other"))
-    return left.join(right, "value").where("c < d and root != other").select(F.col("c").alias("a"), F.col("d").alias("b"))
+    right = left.select("value", F.col("c").alias("d"), F.col("root").alias("other"), F.col("n").alias("m"), F.col("parity").alias("q"))
+    alike = may_be_alike(F.col("parity"), F.col("q"), F.col("n"), F.col("m"), percent)
+    return left.join(right, "value").where((F.col("c") < F.col("d")) & (F.col("root") != F.col("other")) & alike).select(F.col("c").alias("a"), F.col("d").alias("b"))
 
 
 def _dropped(lines: DataFrame, roots: DataFrame, keep) -> DataFrame:

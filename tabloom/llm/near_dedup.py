@@ -8,8 +8,11 @@ of the lists. Each list links its members to one pivot, so it makes a line of pa
 
 Members of longer lists that are still in different components then meet by their full sets: a pair at the threshold shares one of the rarest values of both sets,
 and how many count follows from its two sizes. Groups of texts that are alike but not alike enough have rare values of their own and so make
-no pairs, however many there are (lists of up to 8 members just pair what is left). The union-sketch estimate drops pairs that are clearly apart, and full sets decide the rest:
-100 * intersection >= percent * union.
+no pairs, however many there are (lists of up to 64 members just pair what is left).
+
+Each set has a parity of 512 bits: every value turns one over. Where two sets differ in d values their parities differ in d bits at the most, so the joins
+drop pairs whose parities are further apart than sets at the threshold can be; none at the threshold is lost. Sets of up to some 1000 values that aren't alike seldom
+get past that. The union-sketch estimate drops more pairs that are clearly apart, and full sets decide the rest: 100 * intersection >= percent * union.
 
 Defined cases: null or wordless texts have an empty set and are linked with nothing; a text with fewer words than a shingle has one
 shingle of all its words; a null id has n_shingles, a null component and is kept, and links nothing; repeated rows are in one component (all rows
@@ -36,7 +39,8 @@ PORTION = 1 << 20  # bytes of text that a task takes apart at once
 SAFE = 0.5  # share of its sketch that any partner at 0.8 has too
 SENT_IDS = 4_000_000  # numbers that are broadcast at the most (32 MB)
 HEADED = 256  # values of a set whose entries carry the rarest ones
-SHORT = 8  # members of a list that are paired directly, so at most 28 pairs for each
+SHORT = 64  # members of a list that are paired directly, so each meets 63 others there at the most
+WORDS = 8  # of 64 bits in a parity
 EPS = 0.3  # what the sketch estimate may be below the threshold: six standard errors at k = 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -84,6 +88,26 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+def parities(codes: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    """64 * WORDS bits for each set of distinct hashes, of which each hash turns one over."""
+    n, bits = len(offsets) - 1, 64 * WORDS
+    step = 1 << 14  # sets at a time
+    parts = []
+    for lo in range(0, n, step):
+        ends = offsets[lo : lo + step + 1]
+        sets = len(ends) - 1
+        at = np.repeat(np.arange(sets) * bits, np.diff(ends)) + (mixed(codes[ends[0] : ends[-1]] + _STEP) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+        odd = np.bincount(at, minlength=sets * bits).astype(np.uint8) & 1
+        parts.append(np.packbits(odd).view(np.uint64))
+    return _lists(np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.arange(n + 1) * WORDS)
+
+
+def may_be_alike(p, q, n, m, percent: int):
+    """Whether two sets of n and m values with parities p and q can reach the threshold, by sizes and by how many values they differ in at least."""
+    differ = sum((F.bit_count(F.get(p, F.lit(i)).bitwiseXOR(F.get(q, F.lit(i)))) for i in range(WORDS)), F.lit(0))
+    return _alike(n, m, percent) & (differ * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def _sketches(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(batches, lambda b: b.column(1), PORTION):
@@ -95,8 +119,8 @@ def _sketches(width: int, k: int):
             ends = np.concatenate([[0], np.cumsum(keep)])
             at = np.arange(ends[-1]) - np.repeat(ends[:-1], keep) + np.repeat(offsets[:-1], keep)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes), pa.array(total(one).view(np.int64)), pa.array(total(two).view(np.int64)), _lists(codes[at], ends)],
-                ["id", "n", "d1", "d2", "sketch"],
+                [part.column(0), pa.array(sizes), pa.array(total(one).view(np.int64)), pa.array(total(two).view(np.int64)), _lists(codes[at], ends), parities(codes, offsets)],
+                ["id", "n", "d1", "d2", "sketch", "parity"],
             )
 
     return run
@@ -154,14 +178,15 @@ def _by_text(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
 def _near_dedup(rows: DataFrame, id_col: str, width: int, percent: int, k: int) -> DataFrame:
     """From (id, text), where one id has one text."""
     keep = Workspace(rows.sparkSession, "near-dedup")
-    drawn = keep(rows.mapInArrow(_sketches(width, k), "id long, n long, d1 long, d2 long, sketch array<long>"), "near-sketches")
+    drawn = keep(rows.mapInArrow(_sketches(width, k), "id long, n long, d1 long, d2 long, sketch array<long>, parity array<long>"), "near-sketches")
     known = drawn.where("id is not null and n > 0")
     # equal sets fall together; their smallest id speaks for them
     classes = keep(known.groupBy("n", "d1", "d2").agg(F.min("id").alias("c")), "near-classes")
     lists = keep(_rare_lists(known, classes, percent, k, keep), "near-lists")
     texts = rows.where("id is not null").withColumnRenamed("id", "c")
-    # sketches of the classes in any list
-    active = keep(drawn.select(F.col("id").alias("c"), "sketch").join(lists.select("c").distinct(), "c", "left_semi"), "near-active")
+    # sketches and parities of the classes in any list
+    active = keep(drawn.select(F.col("id").alias("c"), "n", "sketch", "parity").join(lists.select("c").distinct(), "c", "left_semi"), "near-active")
+    parity = active.select("c", "parity")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return keep(_confirm(_estimate(pairs, active, percent, k), texts, width, percent, keep), "near-links")
@@ -172,7 +197,7 @@ def _near_dedup(rows: DataFrame, id_col: str, width: int, percent: int, k: int)
     undecided = keep(_undecided(lists, roots), "near-undecided")
     sets = keep(_sets_of(texts, undecided.where("not short").select("c").distinct(), width, keep), "near-open-sets")
     listed = keep(full_lists(sets.select(F.col("id").alias("c"), "codes"), percent, keep), "near-full-lists")
-    more = _short_pairs(undecided, percent).union(open_pairs(listed, roots, percent)).distinct()
+    more = _short_pairs(undecided.join(parity, "c"), percent).union(open_pairs(listed, roots, parity, percent)).distinct()
     rest = keep(more.join(pairs, ["a", "b"], "left_anti"), "near-pairs")
     roots = components(links.union(confirmed(rest)), keep=keep)
     named = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select("n", "d1", "d2", F.coalesce("component", "c").alias("component_id"))
@@ -250,8 +275,9 @@ def _undecided(lists: DataFrame, roots: DataFrame) -> DataFrame:
 def _short_pairs(undecided: DataFrame, percent: int) -> DataFrame:
     """Pairs of lists with up to SHORT members: a few for each."""
     left = undecided.where("short")
-    right = left.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("other"))
-    met = left.join(right, "value").where((F.col("c") < F.col("d")) & (F.col("root") != F.col("other")) & _alike(F.col("n"), F.col("m"), percent))
+    right = left.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("parity").alias("q"))
+    alike = may_be_alike(F.col("parity"), F.col("q"), F.col("n"), F.col("m"), percent)
+    met = left.join(right, "value").where((F.col("c") < F.col("d")) & (F.col("root") != F.col("other")) & alike)
     return met.select(F.col("c").alias("a"), F.col("d").alias("b"))
 
 
@@ -271,21 +297,23 @@ def full_lists(sets: DataFrame, percent: int, keep) -> DataFrame:
     return _met(listed.select(F.col("s.value").alias("value"), "c", F.col("n").cast("long").alias("n"), place, "head"), keep)
 
 
-def open_pairs(listed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def open_pairs(listed: DataFrame, roots: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
     """Pairs in different components that meet early enough in both orders for their sizes; the smaller set's side is the short one.
 
+    ``parity`` has (c, parity) of every set.
+
     A pair at the threshold shares two values (or all it needs) of its heads, as these are one longer than it takes to share one; it is emitted at the first of them.
     """
-    labelled = _labelled(listed, roots)
+    labelled = listed.join(_labelled(parity, roots), "c")
     near = labelled.where(F.col("place") <= F.col("n") - _overlap("n", "n", percent))
-    far = labelled.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("root").alias("other"), F.col("head").alias("top"))
+    far = labelled.select("value", F.col("c").alias("d"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("root").alias("other"), F.col("head").alias("top"), F.col("parity").alias("q"))
     least = _overlap("n", "m", percent)
     common = F.array_intersect("head", "top")
     twice = F.coalesce((F.size(common) >= F.least(least, F.lit(2))) & (F.get(common, F.lit(0)) == F.col("value")), F.lit(True))
     met = near.join(far, "value").where(
         (F.col("root") != F.col("other"))
         & ((F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("c") < F.col("d"))))
-        & _alike(F.col("n"), F.col("m"), percent)
+        & may_be_alike(F.col("parity"), F.col("q"), F.col("n"), F.col("m"), percent)
         & (F.col("place") <= F.col("n") - least)
         & (F.col("spot") <= F.col("m") - least)
         & (F.col("head").isNull() | F.col("top").isNull() | twice)
@@ -293,14 +321,22 @@ def open_pairs(listed: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
 
+def alike_pairs(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that sizes and parities, ``facts`` (c, n, parity), don't put below the threshold."""
+    one = facts.select(F.col("c").alias("a"), "n", "parity")
+    two = facts.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("parity").alias("q"))
+    return pairs.join(one, "a").join(two, "b").where(may_be_alike(F.col("parity"), F.col("q"), F.col("n"), F.col("m"), percent)).select("a", "b")
+
+
 def _estimate(pairs: DataFrame, active: DataFrame, percent: int, k: int) -> DataFrame:
     """Pairs whose union sketch doesn't put them clearly below the threshold."""
+    near = alike_pairs(pairs, active.select("c", "n", "parity"), percent)
     one = active.select(F.col("c").alias("a"), F.col("sketch").alias("s"))
     two = active.select(F.col("c").alias("b"), F.col("sketch").alias("t"))
     # values are unsigned numbers in signed columns
     union = F.transform(F.slice(F.sort_array(F.transform(F.array_union("s", "t"), _flip)), 1, k), _flip)
     shared = F.size(F.array_intersect(union, F.array_intersect("s", "t")))
-    met = pairs.join(one, "a").join(two, "b")
+    met = near.join(one, "a").join(two, "b")
     return met.where(shared >= (percent / 100 - EPS) * F.size(union)).select("a", "b").distinct()
 
 

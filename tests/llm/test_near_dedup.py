@@ -158,3 +158,40 @@ def test_query_against_brute_force(spark):
     a, b = np.array(edges).T
     roots = dict(zip(*(x.tolist() for x in forest(a, b)), strict=True))
     assert {d: c for d, (_, c) in got.items()} == {d: roots.get(d, d) for d in sets}
+
+
+def test_parities_lose_no_pair_at_the_threshold(spark):
+    """Sets that reach the threshold pass for sure, sets of a few hundred values that are far from it don't."""
+    rng = np.random.default_rng(3)
+    sets, want = [], []
+    for n in (1, 4, 60, 300, 1500):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for gone in sorted({0, n // 12, n // 10, n // 9, n // 5, n // 2}):
+            sets.append(np.unique(np.concatenate([base[gone:], rng.integers(0, 1 << 63, gone, dtype=np.uint64)])))
+    codes, offsets = np.concatenate(sets), np.cumsum([0, *[len(x) for x in sets]])
+    rows = [(i, len(x), p) for i, (x, p) in enumerate(zip(sets, N.parities(codes, offsets).to_pylist(), strict=True))]
+    facts = spark.createDataFrame(rows, "c long, n long, parity array<long>")
+    pairs = spark.createDataFrame([(a, b) for b in range(len(sets)) for a in range(b)], "a long, b long")
+    got = {(r.a, r.b) for r in N.alike_pairs(pairs, facts, 80).collect()}
+    for a, b in [(a, b) for b in range(len(sets)) for a in range(b)]:
+        common, n, m = len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b])
+        if 100 * common >= 80 * (n + m - common):
+            want.append((a, b))
+        if 60 <= max(n, m) <= 400 and 100 * common < 50 * (n + m - common):
+            assert (a, b) not in got
+    assert want and set(want) <= got
+
+
+@pytest.mark.parametrize("members", [40, 100])
+def test_groups_below_the_threshold_make_no_pairs(spark, members):
+    """Sets of over 256 values at a similarity of 0.5 that meet under many rare values: all pairs of a group came out."""
+    rng = np.random.default_rng(4)
+    shared = rng.integers(0, 1 << 63, 220, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, 110, dtype=np.uint64)])) for _ in range(members)]
+    codes, offsets = np.concatenate(sets), np.cumsum([0, *[len(x) for x in sets]])
+    parity = spark.createDataFrame([(i, p) for i, p in enumerate(N.parities(codes, offsets).to_pylist())], "c long, parity array<long>")
+    listed = spark.createDataFrame([(v, i, len(x), 0, None) for i, x in enumerate(sets) for v in range(5)], "value long, c long, n long, place long, head array<long>")
+    roots = spark.createDataFrame([], "node long, component long")
+    assert N.open_pairs(listed, roots, parity, 80).count() == 0
+    undecided = listed.selectExpr("value", "c", "n", "c as root", "true as short").join(parity, "c")
+    assert N._short_pairs(undecided, 80).count() == 0
