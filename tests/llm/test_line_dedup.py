@@ -197,3 +197,36 @@ def test_smallest_member_meets_all_of_other_portions(spark):
     # with one band of one row, all three are in the only bucket that any of them has
     dropped = D.duplicate_lines(D._tagged(docs, "doc_id", "text"), bands=1, rows=1).collect()
     assert {(r.id, r.line) for r in dropped} == {(d, n) for d, lines in brute(one + two).items() for n, *_ in lines} == {(2, 0), (2, 1)}
+
+
+def test_one_pass_gives_lines_and_links():
+    """The lines go with the bucket entries, so the texts are taken apart once for both."""
+    lines = ["the same long line of text here", "", "another line that is quite different"]
+    texts = ["\n".join(lines), lines[0].upper() + "\n ", "the same long line of text hers"]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6, 7], pa.int64()), pa.array([0, 0, 0], pa.int64()), pa.array(texts)], ["id", "tag", "text"])
+    groups = {}
+    for part in D._dealt(7, 16, 4, 3, 10**6)(iter([batch])):
+        for row in pa.Table.from_batches([part]).to_pylist():
+            groups.setdefault(row["bucket"], []).append(row)
+    rows = [r for g in groups.values() for r in D._meet(pa.Table.from_pylist(g, part.schema)).to_pylist()]
+    got = {(r["id"], r["line"]): r["node"] for r in rows if r["line"] is not None}
+    assert set(got) == {(5, 0), (5, 1), (5, 2), (6, 0), (6, 1), (7, 0)} and got[5, 1] is None and got[6, 1] is None
+    assert got[5, 0] == got[6, 0] and len(set(got.values())) == 4
+    links = {(r["x"], r["z"]) for r in rows if r["value"] is not None}
+    assert links == {(max(got[5, 0], got[7, 0]), min(got[5, 0], got[7, 0]))}
+
+
+def test_buckets_of_two_are_settled(spark):
+    """Two members alone are linked with each other, so they have been compared."""
+    members = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (2, 11), (2, 12), (3, 10), (3, 11), (3, 13)], "value long, c long")
+    roots = spark.createDataFrame([(11, 10), (13, 10)], "node long, component long")
+    assert sorted((r.value, r.c, r.root) for r in D._undecided(members, roots).collect()) == [(2, 10, 10), (2, 11, 10), (2, 12, 12)]
+
+
+def test_small_tables_of_counts_and_bits_lose_nothing(spark, monkeypatch):
+    """Lists for every bucket of three, with shingles that share cells and a sieve that lets most lines pass."""
+    for name, value in (("SHORT", 2), ("CELLS", 8), ("SIEVE", 64), ("FLUSH", 300), ("GROUP", 5000)):
+        monkeypatch.setattr(D, name, value)
+    rows = corpus(7)
+    got = {r.doc_id: {(k, x.doc_id, x.line) for k, x in zip(r.dropped_lines, r.kept_from, strict=True)} for r in D.line_report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert {d: s for d, s in got.items() if s} == brute(rows)
