@@ -13,7 +13,7 @@ from registry.synthesis import CLASS, LINE_KEYS, SETTINGS
 from tabloom import ValidationError, read_json, run, write_report
 from tabloom.operators import checks
 from tabloom.operators.correlation import correlation_report
-from tabloom.scratch import new_path
+from tabloom.scratch import materialize, new_path
 
 
 def _error(check, *args, **options):
@@ -58,6 +58,7 @@ def check_errors(spark, sf):
 def run_artefacts(spark, sf):
     """Rows of the tables and numbers of the reports that a run leaves, told by a second run that reads its stages."""
     raw = table(spark, sf, "lineitem").select(*LINE_KEYS, "l_quantity", "l_extendedprice", CLASS).dropDuplicates(LINE_KEYS)
+    raw = materialize(raw, "lines")  # both runs read it several times
     out, n = new_path(spark, "run"), raw.count()
     run(spark, raw, CLASS, out, n=n, keys=LINE_KEYS, **SETTINGS)
     result = run(spark, raw, CLASS, out, n=n, keys=LINE_KEYS, **SETTINGS)

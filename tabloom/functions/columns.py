@@ -89,6 +89,14 @@ def whole_row_hash(seed: int, columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.xxhash64(*cells), F.xxhash64(F.lit("second"), *cells)))
 
 
+def hash_total(df: DataFrame, h: Column) -> tuple[int, int | None]:
+    """Rows, and the exact sum of their 64-bit hashes: thirds of them add up as longs, for a trillion rows."""
+    mask = 2**22 - 1
+    thirds = [F.shiftright("h", 44), F.shiftright("h", 22).bitwiseAND(mask), F.col("h").bitwiseAND(mask)]
+    n, *sums = df.select(h.alias("h")).agg(F.count("*"), *[F.sum(x.cast("bigint")) for x in thirds]).first()
+    return n, None if sums[0] is None else (sums[0] << 44) + (sums[1] << 22) + sums[2]
+
+
 def hash_uniform(seed: int, c: Column) -> Column:
     """A number in [0, 1) from the first 52 bits of md5(seed|value)."""
     digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), c.cast("string"))), 1, 13)
@@ -99,10 +107,14 @@ def hash_uniform(seed: int, c: Column) -> Column:
 DISTINCT_ERROR = 0.0082
 
 
-def approx_distinct(c: Column) -> Column:
-    """Estimated number of distinct non-null values of any type; almost exact for small numbers."""
-    hashed = F.when(c.isNotNull(), F.xxhash64(c))
-    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashed, 14)), F.lit(0))
+def distinct_hash(c: Column) -> Column:
+    """What :func:`approx_distinct` counts. A sketch interprets its argument row by row, so this belongs into a projection before it, which is compiled."""
+    return F.when(c.isNotNull(), F.xxhash64(c))
+
+
+def approx_distinct(hashes: Column) -> Column:
+    """Estimated number of distinct non-null values of any type, from their :func:`distinct_hash`; almost exact for small numbers."""
+    return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(hashes, 14)), F.lit(0))
 
 
 def rows_from_one(df: DataFrame, structs: Iterable[Column]) -> DataFrame:
@@ -116,4 +128,6 @@ def long_values(df: DataFrame, columns: Sequence[str], keep: Sequence[Column] =
         F.struct(F.lit(c).alias("column"), (text_or_nan(col(c)) if text else col(c).cast("double")).alias("value"))
         for c in columns
     ]
+    if len(cells) == 1:  # nothing to take apart
+        return df.select(*keep, *[cells[0].getField(f).alias(f) for f in ("column", "value")])
     return df.select(*keep, F.inline(F.array(*cells)))

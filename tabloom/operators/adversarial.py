@@ -37,17 +37,29 @@ def initial_state(layout: list[tuple[int, ...]], rng: np.random.Generator) -> np
 
 
 def generate(weights: list[np.ndarray], noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hidden = np.maximum(noise @ weights[0] + weights[1], 0)
-    return hidden, np.tanh(hidden @ weights[2] + weights[3])
+    hidden = noise @ weights[0]
+    hidden += weights[1]
+    np.maximum(hidden, 0, out=hidden)
+    made = hidden @ weights[2]
+    made += weights[3]
+    return hidden, np.tanh(made, out=made)
 
 
 def _judge(weights: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hidden = np.maximum(rows @ weights[4] + weights[5], 0)
+    hidden = rows @ weights[4]
+    hidden += weights[5]
+    np.maximum(hidden, 0, out=hidden)
     return hidden, hidden @ weights[6] + weights[7]
 
 
+def _hidden_gradient(weights, hidden, d_logit):
+    d_hidden = d_logit * weights[6].T
+    d_hidden *= hidden > 0
+    return d_hidden
+
+
 def _judge_gradients(weights, rows, hidden, d_logit):
-    d_hidden = (d_logit @ weights[6].T) * (hidden > 0)
+    d_hidden = _hidden_gradient(weights, hidden, d_logit)
     return d_hidden, [rows.T @ d_hidden, d_hidden.sum(0), hidden.T @ d_logit, d_logit.sum(0)]
 
 
@@ -112,7 +124,7 @@ def train_shard(
             inner, made = generate(weights, noise)
             hidden, logit = _judge(weights, made)
             losses[epoch, 0] += _softplus(-logit).sum() / batch
-            d_hidden, _ = _judge_gradients(weights, made, hidden, (_sigmoid(logit) - 1) / batch)
+            d_hidden = _hidden_gradient(weights, hidden, (_sigmoid(logit) - 1) / batch)
             d_out = (d_hidden @ weights[4].T) * (1 - made * made)
             d_inner = (d_out @ weights[2].T) * (inner > 0)
             adam(slice(0, split), [noise.T @ d_inner, d_inner.sum(0), inner.T @ d_out, d_out.sum(0)])

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +18,7 @@ from tabloom import defaults as D
 from tabloom.functions.columns import (
     approx_distinct,
     col,
+    distinct_hash,
     is_infinite,
     long_values,
     numeric_columns,
@@ -27,6 +32,9 @@ from tabloom.functions.local import local_table
 from tabloom.operators.correlation import target_correlations
 from tabloom.operators.profiling import common_numeric_columns
 
+# tasks get this module's functions by value, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 REAL, SYNTHETIC = "real", "synthetic"
 FREQUENCY_SCHEMA = "variable string, category string, real_freq double, synthetic_freq double, in_real boolean, in_synthetic boolean"
 
@@ -126,8 +134,9 @@ def category_frequencies(
     n = {}
     for side, df, names in ((REAL, real, wanted), (SYNTHETIC, synthetic, plain)):
         screen = names if max_categories is not None else []
-        aggs = [approx_distinct(text_or_nan(col(c))).alias(f"d{i}") for i, c in enumerate(screen)]
-        row = df.agg(F.count("*").alias("rows"), *aggs).first()
+        hashes = df.select(*[distinct_hash(text_or_nan(col(c))).alias(f"h{i}") for i, c in enumerate(screen)])
+        aggs = [approx_distinct(F.col(f"h{i}")).alias(f"d{i}") for i in range(len(screen))]
+        row = hashes.agg(F.count("*").alias("rows"), *aggs).first()
         n[side] = row["rows"]
         if max_categories is not None:
             many = {c for i, c in enumerate(names) if row[f"d{i}"] > 1.2 * max_categories + 5}
@@ -455,25 +464,27 @@ def histograms(
         finite = F.when(~is_infinite(v), v)
         aggs += [F.min(finite).alias(f"lo{i}"), F.max(finite).alias(f"hi{i}")]
     seen = both.agg(*aggs).first()
-    cells, grid = [], []
+    ranges, grid = {}, []
     for i, c in enumerate(columns):
         lo, hi = seen[f"lo{i}"], seen[f"hi{i}"]
         if lo is None:
             continue
         if lo == hi:
             lo, hi = lo - 0.5, hi + 0.5
-        cells.append(F.struct(F.lit(c).alias("variable"), _bin(F.col(f"c{i}"), lo, hi, bins).alias("bin")))
+        ranges[i] = (lo, hi)
         step = (hi - lo) / bins
         edges = [lo + b * step for b in range(bins)] + [hi]
         grid += [(c, b, (edges[b] + edges[b + 1]) / 2) for b in range(bins)]
     table = local_table(real.sparkSession, grid, "variable string, bin int, center double")
-    if not cells:
+    if not ranges:
         return table.withColumns({REAL: F.lit(0.0), SYNTHETIC: F.lit(0.0)})
+    names = F.array(*[F.lit(c) for c in columns])
+    parts = [df.select(F.lit(s == REAL).alias("_side"), *[col(columns[i]).cast("double").alias(f"c{i}") for i in ranges]) for s, df in ((REAL, real), (SYNTHETIC, synthetic))]
+    cells = parts[0].unionAll(parts[1])
     counts = (
-        both.select("_side", F.inline(F.array(*cells)))
-        .where("bin is not null")
-        .groupBy("variable", "bin")
-        .agg(*[F.count_if(F.col("_side") == s).alias(f"_{s}") for s in (REAL, SYNTHETIC)])
+        cells.mapInArrow(_bin_counter(ranges, bins), "i int, bin int, real bigint, synthetic bigint")
+        .groupBy(F.get(names, F.col("i")).alias("variable"), "bin")
+        .agg(*[F.sum(s).alias(f"_{s}") for s in (REAL, SYNTHETIC)])
     )
     # both sides hold columns x bins rows
     return table.join(counts, ["variable", "bin"], "left").select(
@@ -484,16 +495,37 @@ def histograms(
     )
 
 
-def _bin(v: Column, lo: float, hi: float, bins: int) -> Column:
+def _bin_counter(ranges: dict[int, tuple[float, float]], bins: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts a task's values in the bins of their columns, for each side; columns x bins numbers are all it holds and tells."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, len(ranges), bins), np.int64)
+        for batch in batches:
+            side = batch.column(0).to_numpy(zero_copy_only=False)
+            for k, (lo, hi) in enumerate(ranges.values()):
+                values = batch.column(k + 1).to_numpy(zero_copy_only=False)
+                for s, own in enumerate((side, ~side)):
+                    if own.any():
+                        found[s, k] += bin_counts(values if own.all() else values[own], lo, hi, bins)
+        k, b = np.nonzero(found.any(axis=0))
+        numbers = np.array(list(ranges))[k]
+        columns = [pa.array(numbers.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(found[0, k, b]), pa.array(found[1, k, b])]
+        yield pa.RecordBatch.from_arrays(columns, ["i", "bin", REAL, SYNTHETIC])
+
+    return count
+
+
+def bin_counts(values: np.ndarray, lo: float, hi: float, bins: int) -> np.ndarray:
+    """Values in each of ``bins`` equal bins from ``lo`` to ``hi``; missing ones (NaN) and those outside are in none."""
     step = (hi - lo) / bins
-    low, size = F.lit(lo), F.lit(step)
-    inside = (v >= low) & (v <= F.lit(hi))
-    guess = F.least(F.floor((v - low) / size).cast("int"), F.lit(bins - 1))
+    if not 0 < step < np.inf:  # doubles don't tell such bins apart
+        return np.zeros(bins, np.int64)
+    v = values[(values >= lo) & (values <= hi)]
+    guess = np.minimum(np.floor((v - lo) / step), bins - 1)
     # the edge rule decides where rounding of the division is off by one
-    placed = F.when(v < low + guess * size, guess - 1).when(
-        (guess < bins - 1) & (v >= low + (guess + 1) * size), guess + 1
-    ).otherwise(guess)
-    return F.when(inside, placed)
+    low = v < lo + guess * step
+    high = ~low & (guess < bins - 1) & (v >= lo + (guess + 1) * step)
+    return np.bincount((guess - low + high).astype(np.int64), minlength=bins)
 
 
 # --- generated data --------------------------------------------------------

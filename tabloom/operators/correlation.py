@@ -123,12 +123,19 @@ def block_moments(values: np.ndarray, rows: range) -> np.ndarray:
     for c in np.flatnonzero(usable.any(axis=0)):
         some = values[usable[:, c], c][:999]
         middle[c] = np.partition(some, len(some) // 2)[len(some) // 2]
-    x = np.where(usable, values - middle, 0.0)
+    whole = bool(usable.all())
+    x = values - middle if whole else np.where(usable, values - middle, 0.0)
     with np.errstate(invalid="ignore", over="ignore"):
         own, mask = slice(rows.start, rows.stop), there.astype(np.float64)
-        n = mask[:, own].T @ mask
-        sx, sxx = x[:, own].T @ mask, (x[:, own] ** 2).T @ mask
-        sy, syy = mask[:, own].T @ x, mask[:, own].T @ (x**2)
+        if whole:  # every pair has all rows, so its sums are those of its columns
+            shape, square = (len(rows), x.shape[1]), x**2
+            n = np.full(shape, float(len(x)))
+            sy, syy = (np.broadcast_to(np.ones(len(x)) @ v, shape) for v in (x, square))
+            sx, sxx = (np.broadcast_to((np.ones(len(x)) @ v[:, own])[:, None], shape) for v in (x, square))
+        else:
+            n = mask[:, own].T @ mask
+            sx, sxx = x[:, own].T @ mask, (x[:, own] ** 2).T @ mask
+            sy, syy = mask[:, own].T @ x, mask[:, own].T @ (x**2)
         sxy = x[:, own].T @ x
         size = np.maximum(n, 1)
         xx, yy, xy = sxx - sx * sx / size, syy - sy * sy / size, sxy - sx * sy / size

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.defaults import BROADCAST_BYTES, BROADCAST_VALUES, MAX_ONE_HOT
 from tabloom.errors import ValidationError
-from tabloom.functions.columns import approx_distinct, col, long_values, string_columns, text_or_nan
+from tabloom.functions.columns import approx_distinct, col, distinct_hash, long_values, string_columns, text_or_nan
 from tabloom.functions.local import local_table
 from tabloom.operators.ranks import totals_before
 from tabloom.scratch import materialize
@@ -66,13 +66,11 @@ def label_codes(df: DataFrame, columns: Sequence[str] | None = None) -> LabelCod
     names = list(columns or string_columns(df))
     if not names:
         return LabelCodes({}, {}, 0)
-    aggs = []
+    cells, aggs = [], []
     for i, c in enumerate(names):
-        aggs += [
-            approx_distinct(col(c)).alias(f"d{i}"),
-            F.coalesce(F.max(F.octet_length(col(c))), F.lit(0)).alias(f"w{i}"),
-        ]
-    seen = df.agg(F.count("*").alias("rows"), *aggs).first()
+        cells += [distinct_hash(col(c)).alias(f"h{i}"), F.octet_length(col(c)).alias(f"b{i}")]
+        aggs += [approx_distinct(F.col(f"h{i}")).alias(f"d{i}"), F.coalesce(F.max(f"b{i}"), F.lit(0)).alias(f"w{i}")]
+    seen = df.select(*cells).agg(F.count("*").alias("rows"), *aggs).first()
     distinct = {c: seen[f"d{i}"] * 1.2 + 2 for i, c in enumerate(names)}
     size = {c: distinct[c] * max(3, seen[f"w{i}"]) for i, c in enumerate(names)}
     fits, spent = set(), 0
@@ -117,7 +115,8 @@ def one_hot_values(
     if not columns:
         return {}
     if estimates is None:
-        row = df.agg(*[approx_distinct(col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+        hashes = df.select(*[distinct_hash(col(c)).alias(f"h{i}") for i, c in enumerate(columns)])
+        row = hashes.agg(*[approx_distinct(F.col(f"h{i}")).alias(f"d{i}") for i in range(len(columns))]).first()
         estimates = {c: row[f"d{i}"] for i, c in enumerate(columns)}
     for c in columns:
         if estimates[c] > 1.2 * limit + 2:

@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabloom.functions.columns import hash_total
 from tabloom.functions.local import local_table
 from tabloom.scratch import is_complete
 
@@ -25,9 +26,9 @@ class RoundJournal:
     """
 
     def __init__(self, spark: SparkSession, folder: str, shards: DataFrame, settings: dict[str, Any], states: list[np.ndarray]):
-        content = shards.agg(F.count("*").alias("n"), F.sum(F.xxhash64("i", "shard", "copies", "data").cast("decimal(38,0)")).alias("h")).first()
+        n, total = hash_total(shards, F.xxhash64("i", "shard", "copies", "data"))
         first = hashlib.sha256(b"".join(np.ascontiguousarray(x, np.float64).tobytes() for x in states)).hexdigest()
-        told = json.dumps([content["n"], str(content["h"]), first, settings], sort_keys=True, default=str)
+        told = json.dumps([n, str(total), first, settings], sort_keys=True, default=str)
         self.spark, self.path = spark, f"{folder.rstrip('/')}/{hashlib.sha256(told.encode()).hexdigest()[:32]}"
 
     def _place(self, number: int) -> str:

@@ -14,6 +14,7 @@ from tabloom.functions.columns import (
     DISTINCT_ERROR,
     approx_distinct,
     col,
+    distinct_hash,
     is_infinite,
     numeric_columns,
     present,
@@ -147,8 +148,9 @@ def id_like_profile(
     verdict = dict(by_name)
     estimates: dict[str, int] = {}
     if others:
-        aggs = [approx_distinct(present(df, c)).alias(f"d{i}") for i, c in enumerate(others)]
-        row = df.agg(F.count("*").alias("rows"), *aggs).first()
+        hashes = df.select(*[distinct_hash(present(df, c)).alias(f"h{i}") for i, c in enumerate(others)])
+        aggs = [approx_distinct(F.col(f"h{i}")).alias(f"d{i}") for i in range(len(others))]
+        row = hashes.agg(F.count("*").alias("rows"), *aggs).first()
         rows = max(1, row["rows"])
         near = []
         for i, c in enumerate(others):

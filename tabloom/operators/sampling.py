@@ -90,6 +90,8 @@ class Split:
     test: DataFrame
     counts: dict | DataFrame
     test_counts: dict | DataFrame
+    hashed_train: DataFrame | None = None
+    """the train rows with their hashes, where the split was given some: what :func:`undersample` takes for the same keys and seed"""
 
 
 def stratified_split(
@@ -98,14 +100,19 @@ def stratified_split(
     test_size: float = TEST_SIZE,
     seed: int = SEED,
     keys: Sequence[str] | None = None,
+    hashed: bool = False,
 ) -> Split:
-    """Exact proportional split into train and test; the target becomes the last column."""
+    """Exact proportional split into train and test; the target becomes the last column.
+
+    ``hashed`` says that ``df`` comes from :func:`with_hashes` with these keys and this seed.
+    """
     check_split(test_size, seed)
     chosen = take_per_group(
-        df, target, lambda n: split_quotas(n, test_size), keys, seed, table_quotas=lambda n: split_quota_table(n, test_size)
+        df, target, lambda n: split_quotas(n, test_size), keys, seed, table_quotas=lambda n: split_quota_table(n, test_size), hashed=hashed
     )
     return Split(
-        target_last(chosen.others(), target), target_last(chosen.chosen(), target), chosen.counts, chosen.quotas
+        target_last(chosen.others(), target), target_last(chosen.chosen(), target), chosen.counts, chosen.quotas,
+        chosen.others_with_hashes() if hashed and keys else None,
     )
 
 
@@ -160,13 +167,17 @@ def undersample(
     method: str = BALANCING_METHODS[0],
     seed: int = SEED,
     keys: Sequence[str] | None = None,
+    hashed: bool = False,
 ) -> Balanced:
-    """Every class down to the size of the smallest, without replacement; target last."""
+    """Every class down to the size of the smallest, without replacement; target last.
+
+    ``hashed`` says that ``df`` comes with the hashes of these keys and this seed, as :func:`with_hashes` makes them.
+    """
     if method not in BALANCING_METHODS:
         raise ValidationError(f"unsupported balancing method: {method}")
     chosen = take_per_group(
         df, target, lambda n: dict.fromkeys(n, min(n.values())) if n else {}, keys, seed,
-        table_quotas=lambda n: n.select("_class", F.lit(n.agg(F.min("n")).first()[0]).alias("_quota")),
+        table_quotas=lambda n: n.select("_class", F.lit(n.agg(F.min("n")).first()[0]).alias("_quota")), hashed=hashed,
     )
     return Balanced(target_last(chosen.chosen(), target), chosen.counts, chosen.quotas, method)
 
@@ -210,6 +221,12 @@ def pick_by_counts(counts: dict, rank: Column, class_type: str) -> Column:
     for n in counts.values():
         total += n
         ends.append(total)
+    if 0 < len(counts) <= FEW_CLASSES:  # compiled, as a search of an array is not
+        held = [F.lit(c).cast(class_type) for c in counts]
+        places = F.when(rank < F.lit(ends[0]).cast("bigint"), held[0])
+        for e, c in zip(ends[1:], held[1:]):
+            places = places.when(rank < F.lit(e).cast("bigint"), c)
+        return places
     places = F.array(*[F.lit(e).cast("bigint") for e in ends])
     classes = F.array(*[F.lit(c).cast(class_type) for c in counts])
     return F.element_at(classes, (F.size(F.filter(places, lambda e: e <= rank)) + 1).cast("int"))
@@ -219,7 +236,8 @@ def bootstrap_from_counts(spark: SparkSession, counts: dict, n: int, target: str
     """``n`` labels drawn with replacement; the i-th depends on seed and i only."""
     total = sum(counts.values())
     rank = F.floor(hash_uniform(seed, F.col("id")) * F.lit(float(total))).cast("bigint")
-    return spark.range(n).select("id", pick_by_counts(counts, rank, class_type).alias(target))
+    drawn = spark.range(n).select("id", rank.alias("rank"))
+    return drawn.select("id", pick_by_counts(counts, F.col("rank"), class_type).alias(target))
 
 
 def bootstrap_by_table(spark: SparkSession, counts: DataFrame, n: int, target: str, seed: int = SEED) -> DataFrame:

@@ -54,8 +54,12 @@ class Selection:
         rows = self._rows("_place > 0")
         return rows if self._whole else rows.unionAll(self._copies_at_cut(F.count("*") - F.max("_need")))
 
-    def _rows(self, condition: str) -> DataFrame:
-        return self._marked.where(condition).select(*[col(c) for c in self._columns])
+    def others_with_hashes(self) -> DataFrame:
+        """For another choice among them by the same keys and seed; keys tell all rows apart, so none are copies."""
+        return self._rows("_place > 0", "_hash")
+
+    def _rows(self, condition: str, *more: str) -> DataFrame:
+        return self._marked.where(condition).select(*[col(c) for c in self._columns], *more)
 
     def _copies_at_cut(self, wanted: Column) -> DataFrame:
         """Rows with the last hash are equal, so ``wanted`` copies are made from one of them."""
@@ -69,6 +73,19 @@ class Selection:
         return parts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).select(*names)
 
 
+def with_hashes(df: DataFrame, keys: Sequence[str] | None = None, seed: int = SEED) -> DataFrame:
+    """The rows stored with their hashes.
+
+    A choice reads its rows some four times, and to make a hash costs several times what it does to read one.
+    """
+    return materialize(df.withColumn("_hash", _hash(df.columns, keys, seed)), "hashed")
+
+
+def _hash(columns: Sequence[str], keys: Sequence[str] | None, seed: int) -> Column:
+    """16 bytes, in the order of their digits."""
+    return F.unhex(row_hash(seed, keys) if keys else whole_row_hash(seed, columns))
+
+
 def take_per_group(
     df: DataFrame,
     group: str,
@@ -76,16 +93,19 @@ def take_per_group(
     keys: Sequence[str] | None = None,
     seed: int = SEED,
     table_quotas: Callable[[DataFrame], DataFrame] | None = None,
+    hashed: bool = False,
 ) -> Selection:
     """Choose exactly ``quotas(class counts)[class]`` rows of every class.
 
     ``keys`` name columns that identify a row; without them whole rows are
     hashed and equal rows are interchangeable. Up to ``DRIVER_CLASSES`` classes their numbers pass through the driver and are broadcast;
     beyond that all of them stay tables, with ``table_quotas`` from (_class, n) to (_class, _quota), and the same rows are chosen.
+
+    ``hashed`` says that ``df`` comes from :func:`with_hashes` with these keys and this seed; the hashes are no part of the chosen rows.
     """
-    columns = list(df.columns)
-    h = row_hash(seed, keys) if keys else whole_row_hash(seed, columns)
-    marked = df.withColumn("_hash", h)
+    columns = [c for c in df.columns if not (hashed and c == "_hash")]
+    h = None if hashed else _hash(columns, keys, seed)
+    marked = df if hashed else df.withColumn("_hash", h)
 
     prefixes = _count_prefixes(marked, group, PREFIX_DIGITS).persist()  # 16^4 rows per class
     try:
@@ -112,7 +132,7 @@ def take_per_group(
         T.StructType(
             [
                 T.StructField("_class", df.schema[group].dataType),
-                T.StructField("_cut", T.StringType()),
+                T.StructField("_cut", T.BinaryType()),
                 T.StructField("_need", T.LongType()),
             ]
         ),
@@ -124,14 +144,15 @@ def take_per_group(
 
 
 def _take_by_table(
-    df: DataFrame, h: Column, prefixes: DataFrame, group: str, quotas: Callable[[DataFrame], DataFrame], keys: Sequence[str] | None
+    df: DataFrame, h: Column | None, prefixes: DataFrame, group: str, quotas: Callable[[DataFrame], DataFrame], keys: Sequence[str] | None
 ) -> Selection:
     """The same search for all classes at once, with tables instead of numbers on the driver.
 
     The table may be a costly one, so its rows are stored once, and again with their place at the end, as both sides of a split read them. Hashes are made
-    where they are wanted, as 16 bytes in the order of their digits.
+    where they are wanted. Without ``h`` the rows are stored with them.
     """
-    columns = list(df.columns)
+    hashed = ["_hash"] if h is None else []
+    columns = [c for c in df.columns if c not in hashed]
     prefixes = materialize(prefixes, "class-prefixes")
     counts = materialize(prefixes.groupBy("_class").agg(F.sum("_n").alias("n")), "class-counts")
     nulls = counts.where("_class is null").first()
@@ -142,20 +163,19 @@ def _take_by_table(
     if bad:
         raise ValidationError(f"class {bad['_class']} has {bad['n']} rows, {bad['_quota']} wanted")
 
-    stored = materialize(df, "class-rows")
-    h = F.unhex(h)
+    stored = df if hashed else materialize(df, "class-rows")
+    h = F.col("_hash") if hashed else h
 
     def near(edges: DataFrame, digits: int) -> DataFrame:
         # the prefix is a key of the join but no column of the rows
-        prefix = F.lower(F.hex(F.substring("_hash", 1, digits // 2)))
         rows = stored.select(col(group).alias("_of"), h.alias("_hash"))
-        met = rows.join(edges.select("_class", "_prefix", "_rest"), (F.col("_of") == F.col("_class")) & (prefix == F.col("_prefix")))
+        met = rows.join(edges.select("_class", "_prefix", "_rest"), (F.col("_of") == F.col("_class")) & (_prefix(digits) == F.col("_prefix")))
         return met.select("_class", "_prefix", "_rest", "_hash")
 
     digits = PREFIX_DIGITS
     edges = materialize(_edge_table(prefixes, wanted.where("_quota > 0")), "class-edges")
     while digits < 16 and (edges.agg(F.max("_n")).first()[0] or 0) > NEAR_ROWS:
-        longer = near(edges, digits).select("_class", F.lower(F.hex("_hash")).alias("_hash"))
+        longer = near(edges, digits).select("_class", "_hash")
         digits += PREFIX_DIGITS
         rest = edges.select("_class", F.col("_rest").alias("_quota"))
         edges = materialize(_edge_table(_count_prefixes(longer, "_class", digits), rest), "class-edges")
@@ -166,14 +186,17 @@ def _take_by_table(
         raise ValidationError(f"{list(keys)} do not identify rows")
     joined = stored.join(cuts.select(F.col("_class").alias("_of"), F.col("_hash").alias("_cut"), "_need"), col(group) == F.col("_of"), "left")
     joined = joined.withColumn("_hash", h)  # not shuffled
-    placed = materialize(joined.select(*[col(c) for c in columns], F.expr(PLACE).alias("_place"), "_need"), "class-places")
+    placed = materialize(joined.select(*[col(c) for c in columns], *hashed, F.expr(PLACE).alias("_place"), "_need"), "class-places")
     return Selection(placed, columns, counts, wanted, whole, facts["copies"] or 0)
 
 
+def _prefix(digits: int) -> Column:
+    """The first digits of a hash, two to a byte."""
+    return F.substring("_hash", 1, digits // 2)
+
+
 def _count_prefixes(marked: DataFrame, group: str, digits: int) -> DataFrame:
-    return marked.groupBy(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix")).agg(
-        F.count("*").alias("_n")
-    )
+    return marked.groupBy(col(group).alias("_class"), _prefix(digits).alias("_prefix")).agg(F.count("*").alias("_n"))
 
 
 def _edges(prefixes: DataFrame, quotas: dict) -> list[tuple]:
@@ -205,9 +228,9 @@ def _cuts(marked: DataFrame, group: str, edges: list[tuple]) -> list[tuple]:
 
     def near(edges: list[tuple], digits: int) -> DataFrame:
         """Rows whose hash starts with the deciding prefix of their class."""
-        schema = T.StructType([class_field, T.StructField("_prefix", T.StringType()), T.StructField("_rest", T.LongType())])
+        schema = T.StructType([class_field, T.StructField("_prefix", T.BinaryType()), T.StructField("_rest", T.LongType())])
         table = local_table(spark, [e[:3] for e in edges], schema)
-        rows = marked.select(col(group).alias("_class"), F.substring("_hash", 1, digits).alias("_prefix"), "_hash")
+        rows = marked.select(col(group).alias("_class"), _prefix(digits).alias("_prefix"), "_hash")
         return rows.join(F.broadcast(table), ["_class", "_prefix"])  # one row per class
 
     digits = PREFIX_DIGITS

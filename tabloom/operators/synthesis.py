@@ -10,6 +10,7 @@ class and shard number.
 
 from __future__ import annotations
 
+import bisect
 import math
 import sys
 from collections.abc import Iterator, Sequence
@@ -18,6 +19,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,38 +261,53 @@ def pack_shards(scaled: DataFrame, columns: Sequence[str], key: str, counts: dic
     many of them is spread like any other rows.
     """
     spark = scaled.sparkSession
-    fields = [T.StructField("class", scaled.schema[key].dataType)]
-    fields += [T.StructField(c, T.LongType()) for c in ("i", "shards", "first")]
     per_class = [math.ceil(n / shard_rows) for n in counts.values()]
     firsts = np.cumsum([0, *per_class]).tolist()
-    # one row per class, at most MAX_CLASSES
-    sizes = local_table(
-        spark,
-        [(k, i, n, firsts[i]) for i, (k, n) in enumerate(zip(counts, per_class))],
-        T.StructType(fields),
-    )
+    # one row per class in both, at most MAX_CLASSES
+    numbers = local_table(spark, list(zip(counts, range(len(counts)))), T.StructType([T.StructField("class", scaled.schema[key].dataType), T.StructField("i", T.LongType())]))
+    sizes = local_table(spark, [(i, n, firsts[i]) for i, n in enumerate(per_class)], "i bigint, shards bigint, first bigint")
     named = scaled.select(col(key).alias("class"), *[col(c).cast("float").alias(f"x{i}") for i, c in enumerate(columns)])
     values = [f"x{i}" for i in range(len(columns))]
-    shard = F.expr("pmod(xxhash64(h), shards)").alias("shard")
-    counted = named.groupBy("class", *values).agg(F.count("*").alias("n"))
+    counted = named.join(F.broadcast(numbers), "class").groupBy("i", *values).agg(F.count("*").alias("n"))
     portions = counted.withColumn("portion", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES})")))
     portions = portions.withColumn("copies", F.expr(f"cast(least({COPIES}, n - portion * {COPIES}) as int)"))
-    placed = portions.withColumn("h", F.xxhash64(*values, "portion")).join(F.broadcast(sizes), "class")
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("h", kind="stable")
-        one = {c: [rows[c].iloc[0]] for c in ("i", "first", "shard")}
-        data = rows[values].to_numpy(np.float32).ravel()
-        return pd.DataFrame({**one, "copies": [rows["copies"].to_numpy(np.int32)], "data": [data]})
+    placed = portions.withColumn("h", F.xxhash64(*values, "portion")).join(F.broadcast(sizes), "i")
+    # the number of a shard among those of all classes
+    placed = placed.select(F.expr("first + pmod(xxhash64(h), shards)").alias("place"), "h", "copies", *values)
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        """The rows of one shard, in the order of their hashes."""
+        rows = pa.Table.from_batches(held)
+        order = np.argsort(rows["h"].to_numpy(), kind="stable")
+        place = rows["place"][0].as_py()
+        i = bisect.bisect_right(firsts, place) - 1
+        data = np.stack([rows[c].to_numpy() for c in values], axis=1).astype(np.float32, copy=False)[order]
+        lists = [[rows["copies"].to_numpy()[order].astype(np.int32)], [data.ravel()]]
+        cells = [pa.array([i], pa.int64()), pa.array([place - firsts[i]], pa.int64()), pa.array(lists[0], pa.list_(pa.int32())), pa.array(lists[1], pa.list_(pa.float32()))]
+        return pa.RecordBatch.from_arrays(cells, ["i", "shard", "copies", "data"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        place = None
+        for batch in batches:
+            places = batch.column("place").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(places)) + 1).tolist(), len(places)]
+            for a, b in zip(edges, edges[1:]):
+                if a == b:
+                    continue
+                if held and places[a] != place:
+                    yield packed(held)
+                    held = []
+                place = places[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield packed(held)
 
-    packed = placed.select("i", "first", shard, "h", "copies", *values).groupBy("i", "first", "shard").applyInPandas(
-        pack, "i bigint, first bigint, shard bigint, copies array<int>, data array<float>"
-    )
     # training time goes with shards, not with bytes: equal rows make shards tiny, so their number says how they are dealt out
     files = min(firsts[-1], max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, math.ceil(firsts[-1] / SHARDS_PER_FILE)))
-    packed = packed.repartitionById(files, F.pmod(F.col("first") + F.col("shard"), F.lit(files)).cast("int"))
-    packed = packed.drop("first")
-    return materialize(packed, "shards")
+    # rows go straight to the file of their shard
+    dealt = placed.repartitionById(files, F.pmod("place", F.lit(files)).cast("int")).sortWithinPartitions("place")
+    return materialize(dealt.mapInArrow(pack, "i bigint, shard bigint, copies array<int>, data array<float>"), "shards")
 
 
 def _train_round(shards, shared, layout, epochs, batch_size, learning_rate, seeds) -> DataFrame:
@@ -392,19 +409,19 @@ def sample_normalized(spark: SparkSession, model: SynthModel, quotas: dict[Any,
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / BLOCKS_PER_TASK))
     plan = spark.range(0, total, 1, tasks).select("id", pick_by_counts(dict(enumerate(blocks.values())), F.col("id"), "int").alias("i"))
 
-    def generate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def generate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, i in zip(batch["id"], batch["i"]):
+            for block, i in zip(batch.column("id").to_pylist(), batch.column("i").to_pylist()):
                 flat, start, quota = shared.value[i]
-                local = int(block) - start
+                local = block - start
                 n = min(BLOCK_ROWS, quota - local * BLOCK_ROWS)
-                rng = np.random.default_rng([seed, int(i), local])
+                rng = np.random.default_rng([seed, i, local])
                 noise = rng.standard_normal((n, latent), dtype=np.float32)
-                made = net.generate(net.views(flat, layout), noise)[1].astype(np.float64)
-                yield pd.DataFrame(made, columns=names).assign(_i=i)
+                made = net.generate(net.views(flat, layout), noise)[1].T.astype(np.float64, order="C")
+                yield pa.RecordBatch.from_arrays([*map(pa.array, made), pa.array(np.full(n, i, np.int32))], [*names, "_i"])
 
     fields = [T.StructField(c, T.DoubleType()) for c in names]
-    made = plan.mapInPandas(generate, T.StructType([*fields, T.StructField("_i", T.IntegerType())]))
+    made = plan.mapInArrow(generate, T.StructType([*fields, T.StructField("_i", T.IntegerType())]))
     if model.by is None:
         return made.drop("_i")
     labels = F.array(*[F.lit(k).cast(model.class_type) for k in classes])

@@ -13,6 +13,7 @@ from tabloom.operators.checks import check_settings
 from tabloom.operators.comparison import fidelity_score
 from tabloom.operators.features import prepare_features
 from tabloom.operators.sampling import stratified_split
+from tabloom.operators.selection import with_hashes
 from tabloom.operators.synthesis import SynthModel
 from tabloom.plans import stages
 from tabloom.plans.resume import StageLog, source_key
@@ -91,15 +92,18 @@ def run(
         "correlation", dict(columns=columns), [], lambda: ([], stages.correlation_stage(cleaned, target, out_dir, columns))
     )
 
+    hashed: list[DataFrame | None] = []
+
     def splitting():
-        split = stratified_split(cleaned, target, test_size, seed, keys)
+        split = stratified_split(with_hashes(cleaned, keys, seed), target, test_size, seed, keys, hashed=True)
+        hashed.append(split.hashed_train)
         return [stages._store(split.train, out_dir, "train"), stages._store(split.test, out_dir, "test")], {}
 
     chosen = dict(seed=seed, keys=None if keys is None else list(keys))
     (train, test), _ = log.stage("split", dict(test_size=test_size, **chosen), ["data/train", "data/test"], splitting)
 
     def balancing():
-        table, report = stages.analyze_and_balance(train, target, out_dir, seed, keys)
+        table, report = stages.analyze_and_balance(train, target, out_dir, seed, keys, hashed[0] if hashed else None)
         return [table], report
 
     (balanced,), reports["analysis"] = log.stage("balancing", chosen, ["data/balanced"], balancing)

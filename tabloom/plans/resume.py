@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabloom.functions.columns import col
+from tabloom.functions.columns import col, hash_total
 from tabloom.scratch import is_complete
 from tabloom.sources import write_report
 from tabloom.sources.writers import plain
@@ -32,8 +32,8 @@ def source_key(spark: SparkSession, source: str | DataFrame, fmt: str | None = N
     else:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
         rows, told = files.select(F.xxhash64("path", "length", "modificationTime").alias("h")), [source, fmt]
-    seen = rows.agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("h")).first()
-    return _digest(LAYOUT, told, seen["n"], str(seen["h"]))
+    n, total = hash_total(rows, F.col("h"))
+    return _digest(LAYOUT, told, n, str(total))
 
 
 class StageLog:

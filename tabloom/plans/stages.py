@@ -17,6 +17,7 @@ from tabloom.operators.cleaning import clean, cleaning_report
 from tabloom.operators.correlation import correlation_report, lower_triangle
 from tabloom.operators.features import Features
 from tabloom.operators.sampling import Balanced, bootstrap_labels, undersample, validation_report
+from tabloom.operators.selection import with_hashes
 from tabloom.operators.synthesis import SynthModel, fit, sample
 from tabloom.scratch import materialize
 from tabloom.sources import write_report, write_table
@@ -73,10 +74,12 @@ def analyze_and_balance(
     out_dir: str | None = None,
     seed: int = D.SEED,
     keys: Sequence[str] | None = None,
+    hashed: DataFrame | None = None,
 ) -> tuple[DataFrame, dict[str, Any]]:
-    """Class analysis, undersampling and its validation."""
+    """Class analysis, undersampling and its validation; ``hashed`` are the rows of ``train`` with their hashes, where they are at hand."""
     check_balancing(train, target)
-    balanced: Balanced = undersample(train, target, seed=seed, keys=keys)
+    hashed = with_hashes(train, keys, seed) if hashed is None else hashed
+    balanced: Balanced = undersample(hashed, target, seed=seed, keys=keys, hashed=True)
     table = _store(balanced.table, out_dir, "balanced")
     before, after = balanced.counts_before, balanced.counts_after
     report = {
@@ -107,7 +110,8 @@ def generation_stage(
 ) -> tuple[DataFrame, SynthModel]:
     """Fit per class, sample, undo the scaling; the class stays on the synthetic rows."""
     spark = features.table.sparkSession
-    prepared = materialize(features.table, "features")
+    # scaling alone costs less than writing what it gives; one-hot columns can be many
+    prepared = materialize(features.table, "features") if features.one_hot_values else features.table
     model = fit(prepared, features.columns, target if stratified else None, seed=seed, **settings)
     if out_dir is not None:
         model.save(spark, f"{out_dir}/model")

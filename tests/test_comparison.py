@@ -118,6 +118,19 @@ def test_histogram_edges_match_numpy(spark):
     assert [r["center"] for r in got] == pytest.approx(list((want_a[1][1:] + want_a[1][:-1]) / 2))
 
 
+def test_histograms_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    real = spark.createDataFrame([(inf, None, 1), (1.0, None, 2), (nan, None, 2), (None, None, None), (4.0, None, 3)], "x double, y double, z int")
+    syn = spark.createDataFrame([(2.0, None, 3), (-inf, None, 4)], "x double, y double, z int")
+    got = {(r["variable"], r["bin"]): (r["real"], r["synthetic"]) for r in c.histograms(real, syn, ["x", "y", "z"], 3).collect()}
+    assert got == {
+        ("x", 0): (0.2, 0.0), ("x", 1): (0.0, 0.5), ("x", 2): (0.2, 0.0),
+        ("z", 0): (0.2, 0.0), ("z", 1): (0.4, 0.0), ("z", 2): (0.2, 1.0),
+    }
+    huge = spark.createDataFrame([(-1.7e308,), (1.7e308,)], "x double")
+    assert [r["real"] for r in c.histograms(huge, huge, ["x"], 3).collect()] == [0, 0, 0]
+
+
 def test_histogram_goldens(spark):
     one = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (3.0,)], "x double")
     assert [r["real"] * 4 for r in c.histograms(one, one, ["x"], 3).orderBy("bin").collect()] == [1, 1, 2]

@@ -110,3 +110,94 @@ def test_ranges_of_long_texts_are_bounded_by_bytes(spark, monkeypatch):
     ordered = texts.select(F.struct(F.lit(1).alias("a"), "v").alias("v"), "one")
     assert ranks.totals_before(ordered, "v", ["one"])[1] == {"one": 400}
     assert ranges == [10, ranges[1]] and ranges[1] >= 10
+
+
+def test_rows_are_hashed_once_for_all_choices(spark):
+    """Each of the seven passes of a run's split and balancing made all hashes anew."""
+    from tabloom import undersample
+    from tabloom.operators.selection import with_hashes
+
+    keys, target = ["o_orderkey", "o_custkey"], "o_orderstatus"
+    df = table(spark, SF, "orders").select(*keys, target)
+    split = stratified_split(with_hashes(df, keys), target, keys=keys, hashed=True)
+    low = undersample(split.hashed_train, target, keys=keys, hashed=True).table
+    plain = stratified_split(df, target, keys=keys)
+    for got, want in ((split.train, plain.train), (split.test, plain.test), (low, undersample(plain.train, target, keys=keys).table)):
+        assert "md5" not in plan(got) and "md5" in plan(want)
+        assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    copies = df.select(target, target).toDF("a", target)  # without a key
+    split, plain = stratified_split(with_hashes(copies), target, hashed=True), stratified_split(copies, target)
+    assert split.hashed_train is None
+    assert sorted(map(tuple, split.test.collect())) == sorted(map(tuple, plain.test.collect()))
+
+
+def test_stages_of_a_run_read_hashes(spark, tmp_path, monkeypatch):
+    from tabloom import run
+    from tabloom.plans import full_run, stages
+
+    made = []
+    for place in (full_run, stages):
+        original = place.with_hashes
+        monkeypatch.setattr(place, "with_hashes", lambda *a, original=original, place=place: made.append(place.__name__) or original(*a))
+    df = spark.range(120).selectExpr("id", "id % 2 as k", "cast(id * 37 % 41 as double) as x")
+    run(spark, df, "k", str(tmp_path / "out"), n=20, keys=["id"], epochs=1, latent_dim=2, hidden=2, batch_size=16)
+    assert made == ["tabloom.plans.full_run"]
+
+
+def test_a_histogram_takes_no_cells_apart(spark):
+    """Each cell became a row, which went through an aggregation by name and bin."""
+    both = spark.range(500).selectExpr("cast(id * 7 % 13 as double) as a", "if(id % 5 = 0, null, cast(id as double)) as b", "cast('NaN' as double) as c")
+    text = plan(c.histograms(both, both.where("b < 100"), ["a", "b", "c"]))
+    assert "Generate" not in text and "MapInArrow" in text
+
+
+def test_sketches_read_finished_hashes(spark):
+    """Their arguments are interpreted, so hashing there took most of the time."""
+    import pyspark.sql.classic.dataframe as classic
+
+    seen, first = [], classic.DataFrame.first
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(classic.DataFrame, "first", lambda df: seen.append(plan(df)) or first(df))
+        p.id_like_profile(table(spark, SF, "orders").select("o_custkey", "o_totalprice")).collect()
+    sketches = re.findall(r"partial_hll_sketch_agg\(([^,]*),", seen[0])
+    assert len(sketches) == 2 and all(re.fullmatch(r"h\d#\d+L", x) for x in sketches)
+
+
+def test_labels_are_drawn_by_compiled_code(spark):
+    from tabloom.operators import sampling as s
+
+    counts = {"a": 5, "b": 0, "c": 90, "d": 5}
+    got = s.bootstrap_from_counts(spark, counts, 400, "k", "string")
+    assert "lambda" not in plan(got)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(s, "FEW_CLASSES", 0)
+        want = s.bootstrap_from_counts(spark, counts, 400, "k", "string")
+        assert "lambda" in plan(want)
+    assert got.collect() == want.collect()
+
+
+def test_lines_of_a_run_are_deduplicated_once(spark, monkeypatch):
+    """Both runs and all their passes over the lines did it anew."""
+    from registry import reports
+
+    class Seen(Exception):
+        pass
+
+    def look(spark, raw, *args, **options):
+        assert "Aggregate" not in plan(raw) and raw.count() == raw.dropDuplicates(reports.LINE_KEYS).count()
+        raise Seen
+
+    monkeypatch.setattr(reports, "run", look)
+    with pytest.raises(Seen):
+        reports.run_artefacts(spark, SF)
+
+
+def test_the_sum_of_hashes_is_exact(spark):
+    from pyspark.sql import functions as F
+
+    from tabloom.functions.columns import hash_total
+
+    extremes = [2**63 - 1, -(2**63), -1, 0, 2**32, -(2**32) - 1, 2**63 - 1]
+    df = spark.createDataFrame([(x,) for x in extremes], "h bigint")
+    assert hash_total(df, F.col("h")) == (7, sum(extremes))
+    assert hash_total(df.where("false"), F.col("h")) == (0, None)

@@ -140,6 +140,20 @@ def test_null_places_matter_in_whole_rows(spark):
     assert sel.chosen().count() == 5 and both.exceptAll(df).count() == 0 and both.count() == 10
 
 
+def test_stored_hashes_choose_the_same_rows_of_many_classes(spark, monkeypatch):
+    df = table(spark, {c: 40 + 3 * i for i, c in enumerate("abcdef")})
+
+    def rows(split, low):
+        return [sorted(map(tuple, t.collect())) for t in (split.train, split.test, low.table)]
+
+    plain = stratified_split(df, "k", keys=["id"])
+    want = rows(plain, undersample(plain.train, "k", keys=["id"]))
+    for classes in (10, 2):  # their numbers on the driver, or as tables
+        monkeypatch.setattr(selection, "DRIVER_CLASSES", classes)
+        split = stratified_split(selection.with_hashes(df, ["id"]), "k", keys=["id"], hashed=True)
+        assert rows(split, undersample(split.hashed_train, "k", keys=["id"], hashed=True)) == want
+
+
 def _sides(split):
     return sorted(map(tuple, split.train.collect())), sorted(map(tuple, split.test.collect()))
 
